@@ -1,9 +1,9 @@
 """Report structures: widget extraction, reference diffs, metadata references, bulk assembly,
 table blocks.
 
-Report structures are JSON trees. Widget extraction walks every report's tree at once with a
-recursive CTE over ``variant_explode`` (each round explodes one level of all reports), so work is
-spread over reports and tree levels rather than one Python walk per report.
+Report structures are JSON trees. Widget extraction walks each report's tree inside the task
+that reads it (``mapInPandas``), or, with built-ins only, with a recursive CTE over
+``variant_explode``. Everything else is joins and grouped aggregation keyed by report.
 """
 
 from __future__ import annotations
@@ -31,34 +31,84 @@ WHERE try_variant_get(v, '$.type', 'string') = 'widget'
 """
 
 
+def _widget_ids(doc) -> set[str]:
+    """Non-empty insight ids of widget objects anywhere in a parsed JSON document (iterative, so
+    depth is not limited by the Python stack)."""
+    found: set[str] = set()
+    stack = [doc]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, dict):
+            if node.get("type") == "widget" and "widgetData" in node:
+                data = node["widgetData"]
+                iid = data.get("insightId") if isinstance(data, dict) else None
+                if iid:
+                    found.add(str(iid))
+            stack.extend(v for v in node.values() if isinstance(v, (dict, list)))
+        elif isinstance(node, list):
+            stack.extend(v for v in node if isinstance(v, (dict, list)))
+    return found
+
+
+def _widgets_batches(batches):
+    import json
+
+    import pandas as pd
+
+    for pdf in batches:
+        ids, insights = [], []
+        for rid, text in zip(pdf["report_id"], pdf["structure"]):
+            if text is None:
+                continue
+            try:
+                doc = json.loads(text)
+            except ValueError:
+                continue
+            for iid in _widget_ids(doc):
+                ids.append(rid)
+                insights.append(iid)
+        yield pd.DataFrame({"report_id": ids, "insight_id": insights}, dtype=object)
+
+
 def extract_widgets(spark: SparkSession, reports: DataFrame, id_col: str = "report_id",
-                    structure_col: str = "structure", materialize: bool = True) -> DataFrame:
+                    structure_col: str = "structure", method: str = "map") -> DataFrame:
     """Distinct non-empty ``widgetData.insightId`` of every object whose ``type`` is
     ``"widget"`` and that has a ``widgetData`` key, at any depth, inside objects and arrays.
 
-    Spark stops recursive CTEs at 100 levels / 1,000,000 rows by default; a catalog of reports
-    easily has more nodes than that, so both limits are lifted while the query runs. The limits
-    are read when the query executes, so the result is written to the shared checkpoint folder
-    before they are restored (``materialize=True``); with ``materialize=False`` the caller keeps
-    them lifted until its own action.
+    ``method="map"`` (default): one ``mapInPandas`` pass; each report's document is walked where it
+    lies, Arrow-batched, no shuffle and no iteration, so the cost is one scan whatever the depth.
+    Memory per task is one batch of documents. ``report_id`` is the key of the reports table, so
+    de-duplication within a report is enough for set semantics.
+
+    ``method="sql"``: the same with built-ins only, a recursive CTE over ``variant_explode``
+    (one job per tree level).
     """
-    src = reports.select(F.col(id_col).alias("report_id"), F.col(structure_col).alias("structure"))
+    src = reports.select(F.col(id_col).cast("string").alias("report_id"),
+                         F.col(structure_col).alias("structure"))
+    if method == "map":
+        return src.mapInPandas(_widgets_batches, "report_id string, insight_id string")
+    if method == "sql":
+        return _extract_widgets_sql(spark, src)
+    raise ValueError(f"unknown method {method!r}")
+
+
+def _extract_widgets_sql(spark: SparkSession, src: DataFrame) -> DataFrame:
+    """Spark stops recursive CTEs at 100 levels / 1,000,000 rows by default; a catalog of reports
+    has more nodes than that, so both limits are lifted while the query runs. They are read when
+    the query executes, so the result is written to the shared checkpoint folder before they are
+    restored."""
     saved = {k: spark.conf.get(k, None) for k in _RECURSION_CONFS}
     for k in _RECURSION_CONFS:
         spark.conf.set(k, "-1")
     try:
-        out = spark.sql(WIDGET_SQL, reports=src)
-        if not materialize:
-            return out
         path = scratch_path(spark, "widgets", uuid.uuid4().hex)
-        out.write.mode("overwrite").parquet(path)
+        spark.sql(WIDGET_SQL, reports=src).write.mode("overwrite").parquet(path)
     finally:
-        if materialize:
-            for k, v in saved.items():
-                if v is None:
-                    spark.conf.unset(k)
-                else:
-                    spark.conf.set(k, v)
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     return spark.read.parquet(path)
 
 
@@ -99,20 +149,20 @@ def assemble(blocks: DataFrame) -> DataFrame:
 
 
 def table_blocks(rows: DataFrame, has_header: bool = True) -> DataFrame:
-    """Rows (table_id, row_nr, cells array<string>) → one table block JSON per table. The row
-    with the smallest ``row_nr`` is the header (``th`` cells) when ``has_header``."""
-    cell_type = F.when(F.lit(has_header) & (F.col("row_nr") == F.col("_first")), "th").otherwise("td")
-    first = rows.groupBy("table_id").agg(F.min("row_nr").alias("_first"))
-    typed = rows.join(first, "table_id").withColumn("_t", cell_type)
-    tr = typed.select(
-        "table_id", "row_nr",
-        F.struct(F.lit("tr").alias("type"),
-                 F.transform("cells", lambda c: F.struct(F.col("_t").alias("type"),
-                                                          F.array(F.struct(c.alias("text"))).alias("children")))
-                 .alias("children")).alias("tr"))
-    per = tr.groupBy("table_id").agg(F.sort_array(F.collect_list(F.struct("row_nr", "tr"))).alias("_rows"))
+    """Rows (table_id, row_nr, cells array<string>) → one table block JSON per table. The first
+    row in ``row_nr`` order is the header (``th`` cells) when ``has_header``. One grouped
+    aggregation; a table's rows are gathered into one array (bounded by one table's size)."""
+    per = rows.groupBy("table_id").agg(F.sort_array(F.collect_list(F.struct("row_nr", "cells"))).alias("_rows"))
+
+    def tr(row, i):
+        kind = F.when(F.lit(has_header) & (i == 0), F.lit("th")).otherwise(F.lit("td"))
+        return F.struct(F.lit("tr").alias("type"),
+                        F.transform(row["cells"], lambda c: F.struct(kind.alias("type"),
+                                                                     F.array(F.struct(c.alias("text"))).alias("children")))
+                        .alias("children"))
+
     return per.select(
         "table_id",
         F.to_json(F.struct(F.lit("table").alias("type"),
                            F.concat(F.lit("t"), F.col("table_id").cast("string")).alias("id"),
-                           F.col("_rows.tr").alias("children"))).alias("block"))
+                           F.transform("_rows", tr).alias("children"))).alias("block"))

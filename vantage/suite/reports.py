@@ -52,17 +52,18 @@ def report_assemble(spark, sf_dir):
     return out.withColumn("insights", F.when(F.size("insights") > 0, F.col("insights")))
 
 
-_CELL = """'{"type":"' || CASE WHEN l_linenumber = first_nr THEN 'th' ELSE 'td' END || '","children":[{"text":"' || c || '"}]}'"""
+_CELL = """'{"type":"' || CASE WHEN rn = 1 THEN 'th' ELSE 'td' END || '","children":[{"text":"' || c || '"}]}'"""
 
 
 @register("report_table_block", f"""
-WITH rows AS (SELECT l_orderkey, l_linenumber, min(l_linenumber) OVER (PARTITION BY l_orderkey) AS first_nr,
+WITH rows AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey
+                     ORDER BY l_linenumber, CAST(l_quantity AS VARCHAR), l_returnflag) AS rn,
                      [CAST(l_linenumber AS VARCHAR), CAST(l_quantity AS VARCHAR), l_returnflag] AS cells FROM lineitem),
-trs AS (SELECT l_orderkey, l_linenumber,
+trs AS (SELECT l_orderkey, rn,
                '{{"type":"tr","children":[' || array_to_string(list_transform(cells, lambda c: {_CELL}), ',') || ']}}' AS tr
         FROM rows)
 SELECT l_orderkey AS table_id,
-       '{{"type":"table","id":"t' || l_orderkey || '","children":[' || string_agg(tr, ',' ORDER BY l_linenumber, tr) || ']}}' AS block
+       '{{"type":"table","id":"t' || l_orderkey || '","children":[' || string_agg(tr, ',' ORDER BY rn) || ']}}' AS block
 FROM trs GROUP BY l_orderkey
 """)
 def report_table_block(spark, sf_dir):
