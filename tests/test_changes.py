@@ -83,9 +83,8 @@ def test_kpi_match_first_listed_and_missing(spark):
     ins = spark.createDataFrame([("3", "s", "K1 - later"), ("1", "s", "K1 - first"), ("2", "s", "K2"),
                                  ("4", "t", "K1 - other solution")], "id string, solution_id string, name string")
     req = spark.createDataFrame([("s", "K1"), ("s", "K2"), ("s", "K9")], "solution_id string, kpi_id string")
-    m, missing = chg.kpi_match(ins, req, order=F.col("id").cast("int"))
-    assert sorted(tuple(r) for r in m.collect()) == [("s", "K1", "1"), ("s", "K2", "2")]
-    assert [r.kpi_id for r in missing.collect()] == ["K9"]
+    m = chg.kpi_match(ins, req, order=F.col("id").cast("int"))
+    assert sorted(tuple(r) for r in m.collect()) == [("s", "K1", "1"), ("s", "K2", "2"), ("s", "K9", None)]
 
 
 def test_role_delta_equals_replay(spark):
@@ -117,3 +116,20 @@ def test_role_delta_equals_replay(spark):
             expected.pop(pair, None)
             got.pop(pair, None)
     assert got == expected
+
+
+def test_stream_fold_equals_batch_fold(spark, tmp_path):
+    from vantage.streaming import changes as stream
+
+    rng = random.Random(5)
+    state, changes = random_case(rng, n_changes=400)
+    sdf = spark.createDataFrame([(k, v["name"], v["score"]) for k, v in state.items()], STATE_SCHEMA)
+    cdf = spark.createDataFrame(changes, CHANGE_SCHEMA)
+    cdf.repartition(5).write.parquet(str(tmp_path / "src"))          # files in random seq order
+    q = stream.start_change_stream(spark, str(tmp_path / "src"), cdf.schema, stream.fields_of(sdf),
+                                   str(tmp_path / "fold"), str(tmp_path / "ckpt"), files_per_batch=2)
+    q.awaitTermination()
+    assert len([p for p in (tmp_path / "fold").iterdir() if p.name.startswith("batch=")]) >= 2
+    got = {r.key: (r.name, r.score) for r in stream.current_records(spark, sdf, str(tmp_path / "fold")).collect()}
+    expected, _ = replay(state, changes)
+    assert got == {k: (v["name"], v["score"]) for k, v in expected.items()}

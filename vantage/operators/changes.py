@@ -92,20 +92,19 @@ def delete_keys(state: DataFrame, keys: DataFrame, key: list[str] | str = "id")
 
 # -- K1 / M6 KPI match and upsert ------------------------------------------------------------------
 
-def kpi_match(insights: DataFrame, requests: DataFrame, order: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def kpi_match(insights: DataFrame, requests: DataFrame, order: Column | None = None) -> DataFrame:
     """K1: for each (solution_id, kpi_id) request the first listed insight whose name starts with
-    that KPI id before the first " - ". Returns ``(matches, not_found)``.
+    that KPI id before the first " - "; ``insight_id`` is NULL when there is none (the error rows).
 
     Matching is an equi-join on the extracted KPI id; "first listed" is ``min(struct(order, id))``
-    per (solution, KPI), an aggregate, not a scan.
+    per (solution, KPI), an aggregate with a map-side partial step, so a KPI shared by a third of
+    all insights is reduced before the shuffle.
     """
     order = order if order is not None else F.col("id")
     firsts = (insights.select("id", "solution_id", kpi_id(F.col("name")).alias("kpi_id"), order.alias("_o"))
               .groupBy("solution_id", "kpi_id").agg(F.min(F.struct("_o", "id")).alias("_m"))
               .select("solution_id", "kpi_id", F.col("_m.id").alias("insight_id")))
-    matches = requests.join(firsts, ["solution_id", "kpi_id"], "inner")
-    not_found = requests.join(firsts, ["solution_id", "kpi_id"], "left_anti")
-    return matches, not_found
+    return requests.join(firsts, ["solution_id", "kpi_id"], "left")
 
 
 def upsert_by_kpi(insights: DataFrame, bodies: DataFrame, order: Column | None = None,
@@ -113,13 +112,11 @@ def upsert_by_kpi(insights: DataFrame, bodies: DataFrame, order: Column | None =
     """M6: every body (solution_id, kpi_id, name, …) updates its KPI match, or creates an insight
     when there is none. Unlike the reference, a failed update never turns into a duplicate create:
     matching decides, nothing else. Returns the upserted insights with ``action``."""
-    matches, unmatched = kpi_match(insights, bodies.select("solution_id", "kpi_id").distinct(), order)
-    upd = (bodies.join(matches, ["solution_id", "kpi_id"])
-           .select(F.col("insight_id").alias("id"), "solution_id", "name", F.lit("update").alias("action")))
-    new = (bodies.join(unmatched, ["solution_id", "kpi_id"], "left_semi")
-           .select(F.concat(F.lit(id_prefix + "-"), F.col("solution_id"), F.lit("-"), F.col("kpi_id")).alias("id"),
-                   "solution_id", "name", F.lit("create").alias("action")))
-    return upd.unionByName(new)
+    matched = kpi_match(insights, bodies, order)
+    new_id = F.concat(F.lit(id_prefix + "-"), F.col("solution_id"), F.lit("-"), F.col("kpi_id"))
+    return matched.select(
+        F.coalesce(F.col("insight_id"), new_id).alias("id"), "solution_id", "name",
+        F.when(F.col("insight_id").isNull(), F.lit("create")).otherwise(F.lit("update")).alias("action"))
 
 
 # -- M8 change fold -------------------------------------------------------------------------------
@@ -141,6 +138,43 @@ def carry_last(df: DataFrame, key: str, seq: str, marker: Column, out: str, buck
             .drop("_b", "_mk", "_within", "_carry"))
 
 
+def fold_changes(changes: DataFrame, fields: StructType, key: str = "key", payload: str = "payload") -> DataFrame:
+    """Per key: ``_reset`` = latest (seq, op) among create/delete, and per field ``_w_<f>`` =
+    latest (seq, value) among non-delete changes whose payload has that key. Every column is a
+    ``max`` of structs, so folds of separate batches merge exactly with ``merge_folds``."""
+    parsed = _parsed(changes, fields, payload)
+    is_reset = F.col("op").isin(*RESET_OPS)
+    aggs = [F.max(F.when(is_reset, F.struct(F.col("seq").alias("s"), F.col("op").alias("op")))).alias("_reset")]
+    for f in fields.fields:
+        aggs.append(F.max(F.when(F.array_contains("_keys", f.name) & (F.col("op") != "delete"),
+                                 F.struct(F.col("seq").alias("s"), F.col(f"_val.{f.name}").alias("v"))))
+                    .alias(f"_w_{f.name}"))
+    return parsed.groupBy(key).agg(*aggs)
+
+
+def merge_folds(a: DataFrame, b: DataFrame, key: str = "key") -> DataFrame:
+    """Combine two folds (e.g. earlier micro-batches and a new one): the result equals folding the
+    union of their changes, whatever order the batches arrived in."""
+    cols = [c for c in a.columns if c != key]
+    return a.unionByName(b).groupBy(key).agg(*[F.max(c).alias(c) for c in cols])
+
+
+def finalize_fold(state: DataFrame, folded: DataFrame, key: str = "key") -> DataFrame:
+    """Records after the folded changes: with no reset the current record is the base; after a
+    create the record is rebuilt from the create and later changes; after a delete it is gone."""
+    fields = _field_schema(state, key)
+    joined = state.withColumn("_present", F.lit(True)).join(folded, key, "full")
+    reset = F.col("_reset")
+    keep = (reset.isNull() & F.col("_present")) | (reset.isNotNull() & (F.col("_reset.op") == "create"))
+    out_cols = []
+    for f in fields.fields:
+        w = F.col(f"_w_{f.name}")
+        since_reset = w.isNotNull() & (reset.isNull() | (F.col(f"_w_{f.name}.s") >= F.col("_reset.s")))
+        base = F.when(reset.isNull(), F.col(f.name))  # NULL after a create reset
+        out_cols.append(F.when(since_reset, F.col(f"_w_{f.name}.v")).otherwise(base).cast(f.dataType).alias(f.name))
+    return joined.filter(keep).select(key, *out_cols)
+
+
 def apply_changes(state: DataFrame, changes: DataFrame, key: str = "key", payload: str = "payload",
                   bucket_width: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
     """M8: apply an ordered stream of create / update / delete changes to keyed records at once.
@@ -153,28 +187,10 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str = "key", payloa
     rejected. Returns ``(new state, rejects)``.
     """
     fields = _field_schema(state, key)
-    names = [f.name for f in fields.fields]
-    parsed = _parsed(changes, fields, payload)
-    is_reset = F.col("op").isin(*RESET_OPS)
-    aggs = [F.max(F.when(is_reset, F.struct(F.col("seq").alias("s"), F.col("op").alias("op")))).alias("_reset")]
-    for n in names:
-        aggs.append(F.max(F.when(F.array_contains("_keys", n) & (F.col("op") != "delete"),
-                                 F.struct(F.col("seq").alias("s"), F.col(f"_val.{n}").alias("v")))).alias(f"_w_{n}"))
-    folded = parsed.groupBy(key).agg(*aggs)
-    cur = state.withColumn("_present", F.lit(True))
-    joined = cur.join(folded, key, "full")
-    reset = F.col("_reset")
-    keep = (reset.isNull() & F.col("_present")) | (reset.isNotNull() & (F.col("_reset.op") == "create"))
-    out_cols = []
-    for f in fields.fields:
-        w = F.col(f"_w_{f.name}")
-        since_reset = w.isNotNull() & (reset.isNull() | (F.col(f"_w_{f.name}.s") >= F.col("_reset.s")))
-        base = F.when(reset.isNull(), F.col(f.name))  # NULL after a create reset
-        out_cols.append(F.when(since_reset, F.col(f"_w_{f.name}.v")).otherwise(base).cast(f.dataType).alias(f.name))
-    new_state = joined.filter(keep).select(key, *out_cols)
+    new_state = finalize_fold(state, fold_changes(changes, fields, key, payload), key)
 
-    # rejects: updates whose key is not live when they apply
-    marker = F.when(is_reset, F.col("op"))
+    # rejects: updates and deletes whose key is not live when they apply
+    marker = F.when(F.col("op").isin(*RESET_OPS), F.col("op"))
     seqd = carry_last(changes.select(key, "seq", "op", payload), key, "seq", marker, "_prev", bucket_width)
     live_now = seqd.join(state.select(key).withColumn("_present", F.lit(True)), key, "left")
     rejects = (live_now.filter((F.col("op") != "create") &

@@ -115,13 +115,19 @@ def _extract_widgets_sql(spark: SparkSession, src: DataFrame) -> DataFrame:
 def reference_diff(current: DataFrame, new: DataFrame, updated_reports: DataFrame | None = None) -> DataFrame:
     """Per report, insights to add (in the new structure, not referenced yet) and to remove
     (referenced, no longer in the structure). Only reports whose structure was supplied are
-    diffed (``updated_reports``: report ids; default: the reports present in ``new``)."""
+    diffed (``updated_reports``: report ids; default: the reports present in ``new``).
+
+    One full outer join on (report, insight): each input is computed once and shuffled once.
+    """
+    keys = ["report_id", "insight_id"]
     scope = (updated_reports if updated_reports is not None else new).select("report_id").distinct()
-    cur = current.select("report_id", "insight_id").join(scope, "report_id", "left_semi")
-    nxt = new.select("report_id", "insight_id")
-    add = nxt.join(cur, ["report_id", "insight_id"], "left_anti").withColumn("action", F.lit("add"))
-    remove = cur.join(nxt, ["report_id", "insight_id"], "left_anti").withColumn("action", F.lit("remove"))
-    return add.unionByName(remove)
+    cur = (current.select(*keys).join(scope, "report_id", "left_semi").distinct()
+           .withColumn("_cur", F.lit(True)))
+    nxt = new.select(*keys).withColumn("_new", F.lit(True))
+    both = cur.join(nxt, keys, "full")
+    action = (F.when(F.col("_cur").isNull(), F.lit("add"))
+               .when(F.col("_new").isNull(), F.lit("remove")))
+    return both.select(*keys, action.alias("action")).filter(F.col("action").isNotNull())
 
 
 def metadata_references(reports: DataFrame, id_col: str = "report_id", insights_col: str = "insights") -> DataFrame:

@@ -132,8 +132,7 @@ SELECT q.solution_id, q.kpi_id, f.insight_id FROM {KPI_REQUESTS} q LEFT JOIN
 """)
 def kpi_match(spark, sf_dir):
     insights, requests = _kpi_inputs(spark, sf_dir)
-    matches, missing = chg.kpi_match(insights, requests, order=F.col("id").cast("bigint"))
-    return matches.unionByName(missing.withColumn("insight_id", F.lit(None).cast("string")))
+    return chg.kpi_match(insights, requests, order=F.col("id").cast("bigint"))
 
 
 @register("kpi_upsert", f"""
@@ -290,6 +289,25 @@ def apply_changes(spark, sf_dir):
     return state
 
 
+@register("apply_changes_stream", _fold_sql(fx.CHANGES))
+def apply_changes_stream(spark, sf_dir):
+    """M8 over a stream: the change table lands as files in random seq order, Structured Streaming
+    folds two files per micro-batch; the records after the last batch equal the batch fold."""
+    import uuid
+
+    from vantage.session import scratch_path
+    from vantage.streaming import changes as stream
+
+    root = scratch_path(spark, "change-stream", uuid.uuid4().hex)
+    changes = cat.changes(spark, sf_dir)
+    changes.repartition(6).write.parquet(f"{root}/source")
+    state = cat.records(spark, sf_dir)
+    q = stream.start_change_stream(spark, f"{root}/source", changes.schema, stream.fields_of(state),
+                                   f"{root}/fold", f"{root}/checkpoint", files_per_batch=2)
+    q.awaitTermination()
+    return stream.current_records(spark, state, f"{root}/fold")
+
+
 @register("apply_changes_rejects", f"""
 SELECT key, seq, op, payload FROM (
   SELECT c.*, last_value(CASE WHEN op IN ('create', 'delete') THEN op END IGNORE NULLS)
