@@ -4,7 +4,7 @@ import random
 import pytest
 
 from vantage.operators import reports as rep
-from vantage.operators.reports import _widget_ids
+from vantage.functions.jsonwalk import widget_ids as _widget_ids
 
 
 def random_doc(rng, depth=0):

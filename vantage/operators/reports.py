@@ -13,8 +13,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark import cloudpickle
+
+from vantage.functions import jsonwalk
 from vantage.session import scratch_path
 
+# Ship the task-side walker by value: executors then need no installed copy of this package.
+cloudpickle.register_pickle_by_value(jsonwalk)
+
 _RECURSION_CONFS = ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit")
 
 WIDGET_SQL = """
@@ -31,45 +37,6 @@ WHERE try_variant_get(v, '$.type', 'string') = 'widget'
 """
 
 
-def _widget_ids(doc) -> set[str]:
-    """Non-empty insight ids of widget objects anywhere in a parsed JSON document (iterative, so
-    depth is not limited by the Python stack)."""
-    found: set[str] = set()
-    stack = [doc]
-    while stack:
-        node = stack.pop()
-        if isinstance(node, dict):
-            if node.get("type") == "widget" and "widgetData" in node:
-                data = node["widgetData"]
-                iid = data.get("insightId") if isinstance(data, dict) else None
-                if iid:
-                    found.add(str(iid))
-            stack.extend(v for v in node.values() if isinstance(v, (dict, list)))
-        elif isinstance(node, list):
-            stack.extend(v for v in node if isinstance(v, (dict, list)))
-    return found
-
-
-def _widgets_batches(batches):
-    import json
-
-    import pandas as pd
-
-    for pdf in batches:
-        ids, insights = [], []
-        for rid, text in zip(pdf["report_id"], pdf["structure"]):
-            if text is None:
-                continue
-            try:
-                doc = json.loads(text)
-            except ValueError:
-                continue
-            for iid in _widget_ids(doc):
-                ids.append(rid)
-                insights.append(iid)
-        yield pd.DataFrame({"report_id": ids, "insight_id": insights}, dtype=object)
-
-
 def extract_widgets(spark: SparkSession, reports: DataFrame, id_col: str = "report_id",
                     structure_col: str = "structure", method: str = "map") -> DataFrame:
     """Distinct non-empty ``widgetData.insightId`` of every object whose ``type`` is
@@ -86,7 +53,7 @@ def extract_widgets(spark: SparkSession, reports: DataFrame, id_col: str = "repo
     src = reports.select(F.col(id_col).cast("string").alias("report_id"),
                          F.col(structure_col).alias("structure"))
     if method == "map":
-        return src.mapInPandas(_widgets_batches, "report_id string, insight_id string")
+        return src.mapInPandas(jsonwalk.widget_batches, "report_id string, insight_id string")
     if method == "sql":
         return _extract_widgets_sql(spark, src)
     raise ValueError(f"unknown method {method!r}")

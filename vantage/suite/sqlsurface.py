@@ -100,7 +100,7 @@ def export_query_roundtrip(spark, sf_dir):
 # -- SQL text features (X7) -----------------------------------------------------------------------
 
 @register("sql_window", """
-SELECT o_custkey, o_orderkey, o_totalprice, rn FROM (
+SELECT o_custkey, o_orderkey, o_totalprice, CAST(rn AS INTEGER) AS rn FROM (
   SELECT o_custkey, o_orderkey, o_totalprice,
          row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn
   FROM orders) t WHERE rn <= 2
@@ -187,7 +187,7 @@ def sql_scalar(spark, sf_dir):
 
 
 @register("sql_json", """
-SELECT event_type, count(*) AS n, sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS sum_k,
+SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k,
        max(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS max_k
 FROM events GROUP BY event_type
 """)
