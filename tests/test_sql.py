@@ -51,3 +51,26 @@ def test_sql_editor_insight(spark, frames):
             .set_sql("SELECT count(*) AS n FROM '{{ds-1}}' WHERE k >= :lo")
             .add_sql_variable("v", "lo", "Lower", type="number", input_option="text", default_value="2").build())
     assert run_insight(spec, frames.__getitem__).collect()[0].n == 2
+
+
+def test_column_metadata_roundtrip(spark, tmp_path):
+    from vantage.sources import datasets as ds
+
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    with_meta = ds.with_column_metadata(df, {"k": {"unit": "count", "label": "Anzahl"}})
+    path = str(tmp_path / "meta")
+    ds.write_dataset(with_meta, path)
+    meta = ds.column_metadata(ds.read_dataset(spark, path))
+    assert meta == {"k": {"unit": "count", "label": "Anzahl"}, "v": {}}
+    import pytest as _pytest
+    with _pytest.raises(KeyError):
+        ds.with_column_metadata(df, {"missing": {}})
+
+
+def test_source_timestamp_rule(spark):
+    from vantage.sources.datasets import normalized_source_timestamps
+
+    vals = ["2025-01-01", "1-1-1", "2025-01-01T00:00:00Z", "2025-1", "a-b-c", "", "2025--01"]
+    df = spark.createDataFrame([(v,) for v in vals], "source_timestamp string")
+    got = [r.source_timestamp_norm for r in normalized_source_timestamps(df).collect()]
+    assert got == ["2025-01-01T00:00:00Z", "1-1-1T00:00:00Z", "2025-01-01T00:00:00Z", "2025-1", "a-b-c", "", "2025--01"]

@@ -70,6 +70,9 @@ def with_row_numbers(df: DataFrame, order_by: list, name: str = "row_nr") -> Dat
     per-partition row counts (one row per partition) turned into offsets, and each row numbered
     as partition offset + position within the partition.
     """
+    from vantage.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)      # make sure the session has its shared checkpoint folder
     order = _order(order_by)
     ordered = df.orderBy(*order).withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_mid", F.monotonically_increasing_id())

@@ -103,6 +103,15 @@ def metadata_references(reports: DataFrame, id_col: str = "report_id", insights_
             .distinct())
 
 
+def apply_reference_diff(references: DataFrame, diff: DataFrame) -> DataFrame:
+    """W3 add/remove in bulk: (report_id, insight_id) references after the ``add`` and ``remove``
+    rows of a ``reference_diff``; one anti-join and one union, not one call per insight."""
+    keys = ["report_id", "insight_id"]
+    kept = references.select(*keys).join(diff.filter(F.col("action") == "remove").select(*keys), keys, "left_anti")
+    added = diff.filter(F.col("action") == "add").select(*keys)
+    return kept.unionByName(added.join(kept, keys, "left_anti")).distinct()
+
+
 def assemble(blocks: DataFrame) -> DataFrame:
     """Blocks (report_id, pos, block JSON, insight_id) → one row per report with its
     ``structure`` (blocks in ``pos`` order under ``editorState``) and ``insights`` (widget insight

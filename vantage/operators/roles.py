@@ -13,15 +13,25 @@ from pyspark.sql import functions as F
 PAIR = ["resource_id", "principal_id"]
 
 
+def pairs_assign(pairs: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Add many-to-many rows that are not there yet (no duplicates)."""
+    fresh = new.select(*keys).distinct().join(pairs.select(*keys), keys, "left_anti")
+    return pairs.select(*keys).unionByName(fresh)
+
+
+def pairs_unassign(pairs: DataFrame, remove: DataFrame, keys: list[str]) -> DataFrame:
+    """Remove many-to-many rows."""
+    return pairs.join(remove.select(*keys), keys, "left_anti")
+
+
 def tag_assign(resource_tags: DataFrame, assign: DataFrame) -> DataFrame:
-    """T1 assign: many-to-many rows (tag_id, resource_id), no duplicates."""
-    new = assign.select("tag_id", "resource_id").distinct()
-    return resource_tags.unionByName(new.join(resource_tags, ["tag_id", "resource_id"], "left_anti"))
+    """T1 assign: rows (tag_id, resource_id)."""
+    return pairs_assign(resource_tags, assign, ["tag_id", "resource_id"])
 
 
 def tag_unassign(resource_tags: DataFrame, remove: DataFrame) -> DataFrame:
     """T1 unassign."""
-    return resource_tags.join(remove.select("tag_id", "resource_id"), ["tag_id", "resource_id"], "left_anti")
+    return pairs_unassign(resource_tags, remove, ["tag_id", "resource_id"])
 
 
 def resources_by_tags(resources: DataFrame, resource_tags: DataFrame, tag_ids: list[str]) -> DataFrame:

@@ -31,6 +31,16 @@ def report_diff(spark, sf_dir):
     return rep.reference_diff(current, new, reports.select("report_id"))
 
 
+@register("report_refs_update", f"SELECT report_id, insight_id FROM {fx.STRUCTURE_INSIGHTS} s")
+def report_refs_update(spark, sf_dir):
+    """W2 + W3: apply the reference diff to the current references; afterwards they are exactly
+    the insights the structures use."""
+    reports = cat.reports(spark, sf_dir)
+    current = rep.metadata_references(reports, insights_col="current_insights")
+    diff = rep.reference_diff(current, rep.extract_widgets(spark, reports), reports.select("report_id"))
+    return rep.apply_reference_diff(current, diff)
+
+
 @register("report_refs", f"SELECT report_id, insight_id FROM {fx.CURRENT_INSIGHTS} c")
 def report_refs(spark, sf_dir):
     return rep.metadata_references(cat.reports(spark, sf_dir), insights_col="current_insights")
