@@ -48,3 +48,9 @@ def test_validation_order(spark):
     got = {r.rid: r.error for r in out.collect()}
     assert got == {1: None, 2: "http_status", 3: "invalid_json", 4: "http_status", 5: "missing_key:data",
                    6: "missing_key:id", 7: None, 8: "missing_key:id"}
+
+
+def test_deep_pages_use_row_numbers(res):
+    top_k = [r.id for r in lst.page(res, 3, 40, ["id"]).collect()]
+    numbered = [r.id for r in lst.page(res, 3, 40, ["id"], top_k_limit=10).collect()]
+    assert top_k == numbered and len(top_k) == 40

@@ -65,10 +65,20 @@ def partial_update(state: DataFrame, updates: DataFrame, key: str = "key",
     return apply_changes(state, ups.select(key, "seq", "op", payload), key=key, payload=payload)
 
 
+def latest_per_key(df: DataFrame, key: str, value_cols: list[str]) -> DataFrame:
+    """One row per key: the latest by ``seq`` when there is a seq column, else the greatest value.
+    A grouped ``max`` over structs, so duplicates of a hot key are reduced map-side."""
+    order = [F.col("seq")] if "seq" in df.columns else []
+    packed = F.max(F.struct(*order, *[F.col(c) for c in value_cols])).alias("_l")
+    return df.groupBy(key).agg(packed).select(key, *[F.col(f"_l.{c}").alias(c) for c in value_cols])
+
+
 def update_body(state: DataFrame, bodies: DataFrame, key: str = "key", payload: str = "payload") -> DataFrame:
     """M3: the body replaces the record; fields the body leaves out become NULL (there is no read
-    of the current record). Keys without a current record are not created."""
+    of the current record). Keys without a current record are not created. Several bodies for
+    one key: the latest (by ``seq``) wins."""
     fields = _field_schema(state, key)
+    bodies = latest_per_key(bodies, key, [payload])
     body = bodies.withColumn("_val", F.from_json(F.col(payload), fields)).select(key, "_val")
     updated = state.join(body, key, "left")
     return updated.select(key, *[
@@ -77,8 +87,9 @@ def update_body(state: DataFrame, bodies: DataFrame, key: str = "key", payload:
 
 
 def replace_field(state: DataFrame, values: DataFrame, field: str, key: str = "id") -> DataFrame:
-    """M4: one field replaced (e.g. documentation); the others are kept."""
-    v = values.select(F.col(key), F.col(field).alias("_new"), F.lit(True).alias("_has"))
+    """M4: one field replaced (e.g. documentation); the others are kept. Several values for one
+    key: the latest (by ``seq``) wins."""
+    v = latest_per_key(values, key, [field]).select(F.col(key), F.col(field).alias("_new"), F.lit(True).alias("_has"))
     return (state.join(v, key, "left")
             .withColumn(field, F.when(F.col("_has"), F.col("_new")).otherwise(F.col(field)))
             .select(*state.columns))

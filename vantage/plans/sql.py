@@ -79,6 +79,19 @@ def export_query(dataset_id: str) -> str:
     return "FROM '{{" + dataset_id + "}}'"
 
 
+def export(spark: SparkSession, dataset_id: str, out_path: str, resolve: Resolver, sql: str | None = None,
+           datasets: Iterable[str] | None = None, args: list | None = None,
+           named_args: dict | None = None) -> str:
+    """Run ``sql`` (default: the whole dataset) over the listed datasets and write the result
+    as Parquet to ``out_path``. The result is written by the executors; nothing is gathered on
+    the driver. Returns the path."""
+    text = sql or export_query(dataset_id)
+    ids = list(datasets) if datasets is not None else [dataset_id]
+    execute_sql(spark, text, ids, resolve=resolve, args=args, named_args=named_args) \
+        .write.mode("overwrite").parquet(out_path)
+    return out_path
+
+
 # -- SQL variables ------------------------------------------------------------------------------
 
 def _custom_values(variable: dict) -> list[str]:

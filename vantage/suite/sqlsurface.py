@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vantage.plans.builder import InsightBuilder
 from vantage.plans.insight import run_insight
-from vantage.plans.sql import execute_sql, export_query
-from vantage.sources.datasets import read_dataset, write_dataset
+from vantage.plans.sql import execute_sql, export, export_query
+from vantage.sources.datasets import read_dataset
 from vantage.sources.tables import TableResolver
 from vantage.session import scratch_path
 from vantage.suite.registry import register, rounded
@@ -92,8 +92,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
 def export_query_roundtrip(spark, sf_dir):
     """Export (default whole-table query) written as Parquet to the shared folder, read back."""
     out = scratch_path(spark, "exports", uuid.uuid4().hex)
-    result = _sql(spark, sf_dir, export_query("orders"), ["orders"])
-    write_dataset(result, out)
+    export(spark, "orders", out, TableResolver(spark, sf_dir))
     return read_dataset(spark, out)
 
 
