@@ -120,3 +120,20 @@ def test_pivot_fixed_values_and_names(resolve):
            .add_select("amt", aggregate="sum", label="s").add_select("amt", aggregate="max", label="m")
            .set_pivot(rows=["ck"], columns=[{"label": "k", "values": [10]}], values=["s", "m"]).build())
     assert run_insight(two, resolve).columns == ["ck", "10_s", "10_m"]
+
+
+def test_order_by_unselected_column_and_select_all(resolve):
+    spec = (InsightBuilder().add_dataset("o").add_select("ok")
+            .add_order_by("amt", direction="desc").set_limit(3).build())
+    df = run_insight(spec, resolve)
+    assert df.columns == ["ok"] and rows(df) == [(14,), (11,), (10,)]
+    everything = InsightBuilder().add_dataset("c").add_filter("tag", "is_null_or_empty", None).build()
+    out = run_insight(everything, resolve)
+    assert out.columns == ["ck", "seg", "tag"] and sorted(r.ck for r in out.collect()) == [2, 4]
+
+
+def test_order_by_non_key_in_aggregate_is_rejected(resolve):
+    spec = (InsightBuilder().add_dataset("o").add_select("ck").add_select("amt", aggregate="sum", label="s")
+            .add_order_by("ok").build())
+    with pytest.raises(SpecError):
+        run_insight(spec, resolve)

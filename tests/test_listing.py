@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from vantage.operators import listing as lst
 from vantage.operators.validation import validate_records

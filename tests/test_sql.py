@@ -74,3 +74,18 @@ def test_source_timestamp_rule(spark):
     df = spark.createDataFrame([(v,) for v in vals], "source_timestamp string")
     got = [r.source_timestamp_norm for r in normalized_source_timestamps(df).collect()]
     assert got == ["2025-01-01T00:00:00Z", "1-1-1T00:00:00Z", "2025-01-01T00:00:00Z", "2025-1", "a-b-c", "", "2025--01"]
+
+
+def test_bulk_lookups_and_get_or_create(spark):
+    from vantage.sources import datasets as ds
+
+    cat = spark.createDataFrame([("d1", "s", "n1", None, None, "a", None), ("d2", "s", "n2", None, None, "b", None)],
+                                "id string, solution_id string, name string, description string, source string, "
+                                "slug string, documentation string")
+    req = spark.createDataFrame([("d1",), ("d1",), ("zz",)], "id string")
+    assert [r.id for r in ds.lookup_by_id(cat, req).collect()] == ["d1"]
+    assert [r.id for r in ds.missing(cat, req, ["id"]).collect()] == ["zz"]
+    wanted = spark.createDataFrame([("s", "a", "dup", 0), ("s", "c", "late", 2), ("s", "c", "early", 1)],
+                                   "solution_id string, slug string, name string, seq int")
+    out = {(r.slug, r.name, r.created) for r in ds.get_or_create(cat, wanted).collect()}
+    assert out == {("a", "n1", False), ("b", "n2", False), ("c", "early", True)}

@@ -9,11 +9,8 @@ not a million calls.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from vantage.functions.expressions import normalize_source_timestamp
 
@@ -73,13 +70,6 @@ def get_or_create(catalog: DataFrame, wanted: DataFrame, id_prefix: str = "ds",
             .unionByName(created.withColumn("created", F.lit(True))))
 
 
-def columns_table(dataset_id: str, df: DataFrame) -> list[tuple]:
-    """Schema rows ``(dataset_id, column_id, type, metadata-json)`` of one frame (driver-side, from
-    the schema only, never from data)."""
-    return [(dataset_id, f.name, f.dataType.simpleString(), json.dumps(f.metadata or {}))
-            for f in df.schema.fields]
-
-
 def with_column_metadata(df: DataFrame, columns: dict[str, dict]) -> DataFrame:
     """S7 write for one frame: attach metadata to named columns (unknown names are an error)."""
     unknown = set(columns) - set(df.columns)
@@ -95,10 +85,6 @@ def column_metadata(df: DataFrame) -> dict[str, dict]:
     return {f.name: dict(f.metadata or {}) for f in df.schema.fields}
 
 
-def schema_of(df: DataFrame) -> StructType:
-    return df.schema
-
-
 def normalized_source_timestamps(df: DataFrame, col: str = "source_timestamp") -> DataFrame:
     """S8 over a table of datasets: adds ``source_timestamp_norm``."""
     return df.withColumn(f"{col}_norm", normalize_source_timestamp(F.col(col)))
