@@ -137,3 +137,15 @@ def test_order_by_non_key_in_aggregate_is_rejected(resolve):
             .add_order_by("ok").build())
     with pytest.raises(SpecError):
         run_insight(spec, resolve)
+
+
+def test_spec_survives_json_roundtrip(resolve):
+    import json
+
+    spec = (InsightBuilder().add_dataset("c")
+            .add_dataset("o", "left", [join_on("c", "ck", "o", "ck")])
+            .add_select("seg").add_select("amt", "o", "sum", "total")
+            .add_filter("tag", "is_not_null_or_empty", None)
+            .add_order_by("amt", "o", "sum", "desc").set_limit(5).build())
+    again = json.loads(json.dumps(spec))
+    assert rows(run_insight(again, resolve)) == rows(run_insight(spec, resolve)) == [("A", 14.0)]

@@ -105,11 +105,14 @@ def metadata_references(reports: DataFrame, id_col: str = "report_id", insights_
 
 def apply_reference_diff(references: DataFrame, diff: DataFrame) -> DataFrame:
     """W3 add/remove in bulk: (report_id, insight_id) references after the ``add`` and ``remove``
-    rows of a ``reference_diff``; one anti-join and one union, not one call per insight."""
+    rows of a ``reference_diff``. One full outer join, each input computed once; not one call per
+    insight."""
     keys = ["report_id", "insight_id"]
-    kept = references.select(*keys).join(diff.filter(F.col("action") == "remove").select(*keys), keys, "left_anti")
-    added = diff.filter(F.col("action") == "add").select(*keys)
-    return kept.unionByName(added.join(kept, keys, "left_anti")).distinct()
+    ref = references.select(*keys).distinct().withColumn("_ref", F.lit(True))
+    both = ref.join(diff.select(*keys, "action"), keys, "full")
+    keep = ((F.col("_ref") & (F.col("action").isNull() | (F.col("action") != "remove")))
+            | (F.col("action") == "add"))
+    return both.filter(keep).select(*keys)
 
 
 def assemble(blocks: DataFrame) -> DataFrame:

@@ -161,17 +161,16 @@ def _widget_json(block_id: Column, insight_id: Column) -> Column:
                     F.lit('"}, "height": null}'))
 
 
-def report_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One block per line item; report = order. Returned even lines become column groups holding
-    the widget one level down; the first line of open orders is a paragraph that carries
-    ``widgetData`` (not a widget, so its ``insight_id`` is NULL); line 7 is a widget with an empty
-    insight id."""
+def _line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per line item: its report (the order), block position and JSON, the widget's insight id, and
+    the insight the report referenced before its structure was edited (``current_id``)."""
     li = read_table(spark, sf_dir, "lineitem")
     insight = F.when(F.col("l_linenumber") == 7, F.lit("")).otherwise(F.concat(F.lit("ins"), F.col("l_partkey")))
     block_id = F.concat(F.lit("b"), F.col("l_orderkey"), F.lit("_"), F.col("l_linenumber"))
     widget = _widget_json(block_id, insight)
+    paragraph = (F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 1)
     block = (
-        F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 1),
+        F.when(paragraph,
                F.concat(F.lit('{"type": "p", "children": [{"text": "note"}], "widgetData": {"insightId": "'),
                         insight, F.lit('"}}')))
          .when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") % 2 == 0),
@@ -179,33 +178,37 @@ def report_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
                         widget, F.lit("]}]}")))
          .otherwise(widget)
     )
-    paragraph = (F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 1)
+    current = (F.when(F.col("l_quantity") > 25, F.concat(F.lit("ins"), F.col("l_partkey")))
+                .when(F.col("l_quantity") <= 5, F.concat(F.lit("old"), F.col("l_partkey"))))
     return li.select(
         F.concat(F.lit("rep"), F.col("l_orderkey")).alias("report_id"),
         F.col("l_linenumber").alias("pos"),
         block.alias("block"),
         F.when(~paragraph, insight).alias("insight_id"),
+        current.alias("current_id"),
     )
 
 
+def report_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One block per line item; report = order. Returned even lines become column groups holding
+    the widget one level down; the first line of open orders is a paragraph that carries
+    ``widgetData`` (not a widget, so its ``insight_id`` is NULL); line 7 is a widget with an empty
+    insight id."""
+    return _line_blocks(spark, sf_dir).drop("current_id")
+
+
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(report_id, structure JSON, current_insights): one report per order; blocks per report are
-    bounded by the lines of one order. ``current_insights`` is the reference list as it stood before
-    the structure was edited: big lines' insights plus stale ones of small lines."""
-    li = read_table(spark, sf_dir, "lineitem")
-    blocks = report_blocks(spark, sf_dir)
-    structure = (blocks.groupBy("report_id")
-                 .agg(F.sort_array(F.collect_list(F.struct("pos", "block"))).alias("_b"))
-                 .select("report_id",
-                         F.concat(F.lit('{"editorState": ['), F.array_join(F.col("_b.block"), ", "),
-                                  F.lit("]}")).alias("structure")))
-    current = (li.select(F.concat(F.lit("rep"), F.col("l_orderkey")).alias("report_id"),
-                         F.when(F.col("l_quantity") > 25, F.concat(F.lit("ins"), F.col("l_partkey")))
-                          .when(F.col("l_quantity") <= 5, F.concat(F.lit("old"), F.col("l_partkey")))
-                          .alias("insight_id"))
-               .groupBy("report_id")
-               .agg(F.array_sort(F.array_distinct(F.collect_list("insight_id"))).alias("current_insights")))
-    return structure.join(current, "report_id", "left")
+    """(report_id, structure JSON, current_insights): one report per order, built in one grouped
+    aggregation over the line items (blocks per report are bounded by the lines of one order).
+    ``current_insights`` is the reference list as it stood before the structure was edited: big
+    lines' insights plus stale ones of small lines."""
+    per = _line_blocks(spark, sf_dir).groupBy("report_id").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "block"))).alias("_b"),
+        F.array_sort(F.array_distinct(F.collect_list("current_id"))).alias("current_insights"))
+    return per.select(
+        "report_id",
+        F.concat(F.lit('{"editorState": ['), F.array_join(F.col("_b.block"), ", "), F.lit("]}")).alias("structure"),
+        "current_insights")
 
 
 def report_views(spark: SparkSession, sf_dir: str) -> DataFrame:
