@@ -89,3 +89,13 @@ def test_bulk_lookups_and_get_or_create(spark):
                                    "solution_id string, slug string, name string, seq int")
     out = {(r.slug, r.name, r.created) for r in ds.get_or_create(cat, wanted).collect()}
     assert out == {("a", "n1", False), ("b", "n2", False), ("c", "early", True)}
+
+
+def test_multiple_dropdown_binds_an_array(spark, frames):
+    spec = (InsightBuilder().set_mode("sqlEditor")
+            .set_sql("SELECT k FROM '{{ds-1}}' WHERE array_contains(:vs, v) ORDER BY k")
+            .add_sql_variable("v", "vs", "Values", dropdown_option="multiple", custom_values="a,b,c",
+                              default_value="a").build())
+    assert [r.k for r in run_insight(spec, frames.__getitem__, variables={"vs": ["a", "c"]}).collect()] == [1, 3]
+    with pytest.raises(SpecError):
+        run_insight(spec, frames.__getitem__, variables={"vs": ["a", "x"]})
