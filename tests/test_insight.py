@@ -149,3 +149,36 @@ def test_spec_survives_json_roundtrip(resolve):
             .add_order_by("amt", "o", "sum", "desc").set_limit(5).build())
     again = json.loads(json.dumps(spec))
     assert rows(run_insight(again, resolve)) == rows(run_insight(spec, resolve)) == [("A", 14.0)]
+
+
+@pytest.mark.parametrize("build", [
+    # measured side second, keys from both sides, filters on both, HAVING and order on hidden aggregates
+    lambda: (InsightBuilder().add_dataset("c").add_dataset("o", "inner", [join_on("c", "ck", "o", "ck")])
+             .add_select("seg").add_select("ck", "o", label="ock")
+             .add_select("amt", "o", "sum", "total").add_select("*", "o", "count", "n")
+             .add_select("amt", "o", "min", "lo").add_select("ok", "o", "max", "hi")
+             .add_filter("tag", "is_not_null") .add_filter("amt", "greater_than", 1.0, dataset_id="o")
+             .add_filter_defs([where_def("amt", "o", "greater_than", 2.0, aggregate="max")])
+             .add_order_by("ok", "o", "count", "desc").add_order_by("seg")),
+    # measured side first, global aggregate
+    lambda: (InsightBuilder().add_dataset("o").add_dataset("c", "inner", [join_on("o", "ck", "c", "ck")])
+             .add_select("amt", aggregate="sum", label="total").add_select("ok", aggregate="count", label="n")),
+    # global aggregate over an empty join: count is 0, sum is NULL
+    lambda: (InsightBuilder().add_dataset("o").add_dataset("c", "inner", [join_on("o", "ck", "c", "ck")])
+             .add_select("amt", aggregate="sum", label="total").add_select("ok", aggregate="count", label="n")
+             .add_filter("seg", "equals", "none", dataset_id="c")),
+])
+def test_eager_aggregation_equals_plain_plan(resolve, build):
+    spec = build().build()
+    eager = run_insight(spec, resolve, eager_aggregation="always")
+    plain = run_insight(spec, resolve, eager_aggregation="never")
+    assert eager.schema == plain.schema
+    assert rows(eager) == rows(plain)
+    assert "__part_" in eager._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_eager_aggregation_is_skipped_when_not_decomposable(resolve):
+    spec = (InsightBuilder().add_dataset("c").add_dataset("o", "inner", [join_on("c", "ck", "o", "ck")])
+            .add_select("seg").add_select("amt", "o", "avg", "mean").build())
+    out = run_insight(spec, resolve, eager_aggregation="always")
+    assert "__part_" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from vantage.operators.aggregates import aggregate_expr, pivot_frame
 from vantage.operators.filters import conjunction, predicate
 from vantage.operators.joins import join_chain, qualified
-from vantage.plans.spec import DIRECTIONS, ColumnRef, SpecError, column_ref, normalize, validate_limit
+from vantage.plans.spec import DIRECTIONS, JOIN_TYPES, ColumnRef, SpecError, column_ref, normalize, validate_limit
 
 Resolver = Callable[[str], DataFrame]
 
@@ -49,7 +49,12 @@ def _value_expr(ref: ColumnRef, visible: list[str]) -> Column:
     return aggregate_expr(ref.aggregate, col)
 
 
-def plan_query_builder(qb: dict, resolve: Resolver) -> DataFrame:
+def plan_query_builder(qb: dict, resolve: Resolver, eager_aggregation: str = "auto") -> DataFrame:
+    """``eager_aggregation``: ``auto`` pre-aggregates the measured side of a two-dataset inner join
+    when the other side is too large to broadcast (see ``_eager_builder``); ``always`` / ``never``
+    force the choice."""
+    if eager_aggregation not in ("auto", "always", "never"):
+        raise SpecError(f"eager_aggregation must be auto, always or never, not {eager_aggregation!r}")
     datasets = qb["datasets"]
     joined, visible = join_chain(datasets, resolve)
 
@@ -86,7 +91,10 @@ def plan_query_builder(qb: dict, resolve: Resolver) -> DataFrame:
     if pivot.get("enabled"):
         out, out_labels = _plan_pivot(df, selects, pivot, orders, visible)
     elif aggregated:
-        out, out_labels = _plan_aggregate(df, selects, post, orders, visible)
+        build = None
+        if eager_aggregation != "never":
+            build = _eager_builder(datasets, resolve, pre, eager_aggregation)
+        out, out_labels = _plan_aggregate(df, selects, post, orders, visible, build)
     else:
         out, out_labels = _plan_plain(df, selects, orders, visible)
 
@@ -116,17 +124,17 @@ def _plan_plain(df: DataFrame, selects, orders, visible) -> tuple[DataFrame, lis
     return out, [label for _, label in selects]
 
 
-def _plan_aggregate(df: DataFrame, selects, post, orders, visible) -> tuple[DataFrame, list[str]]:
+def _plan_aggregate(df: DataFrame, selects, post, orders, visible, build=None) -> tuple[DataFrame, list[str]]:
     keys = [(ref, label) for ref, label in selects if ref.aggregate is None]
     key_by_ref = {ref.key: label for ref, label in keys}
     agg_names: dict[tuple, str] = {ref.key: label for ref, label in selects if ref.aggregate}
-    agg_exprs = [_value_expr(ref, visible).alias(label) for ref, label in selects if ref.aggregate]
+    agg_items = [(ref, label) for ref, label in selects if ref.aggregate]
 
     def agg_name(ref: ColumnRef) -> str:
         if ref.key not in agg_names:
             name = f"__agg_{len(agg_names)}"
             agg_names[ref.key] = name
-            agg_exprs.append(_value_expr(ref, visible).alias(name))
+            agg_items.append((ref, name))
         return agg_names[ref.key]
 
     having_names = [agg_name(ref) for ref, _, _ in post]
@@ -140,8 +148,11 @@ def _plan_aggregate(df: DataFrame, selects, post, orders, visible) -> tuple[Data
                 raise SpecError(f"order column {ref.column_id!r} is neither selected nor aggregated")
         sort_cols.append(_order_column(F.col(f"`{name}`"), direction))
 
-    key_cols = [_value_expr(ref, visible).alias(label) for ref, label in keys]
-    out = df.groupBy(*key_cols).agg(*agg_exprs) if key_cols else df.agg(*agg_exprs)
+    out = build(keys, agg_items) if build is not None else None
+    if out is None:
+        key_cols = [_value_expr(ref, visible).alias(label) for ref, label in keys]
+        agg_exprs = [_value_expr(ref, visible).alias(name) for ref, name in agg_items]
+        out = df.groupBy(*key_cols).agg(*agg_exprs) if key_cols else df.agg(*agg_exprs)
     if post:
         types = {f.name: f.dataType for f in out.schema.fields}
         out = out.filter(conjunction([
@@ -152,6 +163,90 @@ def _plan_aggregate(df: DataFrame, selects, post, orders, visible) -> tuple[Data
     return out, [label for _, label in selects]
 
 
+_DECOMPOSABLE = {"sum": F.sum, "count": lambda c: F.coalesce(F.sum(c), F.lit(0)), "min": F.min, "max": F.max}
+
+
+def _fits_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst's size estimate of ``df`` is under the broadcast threshold."""
+    spark = df.sparkSession
+    threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return threshold >= 0 and size <= threshold
+
+
+def _side_filter(df: DataFrame, dataset_id: str, pre) -> DataFrame:
+    mine = [(ref, op, v) for ref, op, v in pre if ref.dataset_id == dataset_id]
+    if not mine:
+        return df
+    cols = [F.col(f"`{ref.column_id}`") for ref, _, _ in mine]
+    types = df.select(*cols).schema.fields
+    return df.filter(conjunction([predicate(c, op, v, f.dataType) for c, (_, op, v), f in zip(cols, mine, types)]))
+
+
+def _eager_builder(datasets, resolve: Resolver, pre, mode: str):
+    """Eager aggregation for ``A ⋈ B`` (inner, equi) when every aggregate is a sum, count, min or
+    max over columns of one side (the *measured* side M).
+
+    M is grouped by its join columns and the group keys it owns before the join, so the join (and
+    its shuffle) sees one row per M group instead of every M row; the final aggregation
+    recombines the partial results (sum of sums, sum of counts, min of mins, max of maxes), which
+    is exact for inner joins. Catalyst does not push aggregation below joins by itself. When the
+    other side fits the broadcast threshold the plain plan is already a map-side broadcast join,
+    so ``auto`` keeps it.
+    """
+    def build(keys, aggs):
+        if len(datasets) != 2:
+            return None
+        join = datasets[1].get("join") or {}
+        if JOIN_TYPES.get(join.get("type", "inner")) != "inner" or not join.get("on"):
+            return None
+        measured = {ref.dataset_id for ref, _ in aggs}
+        if len(measured) != 1 or any(ref.aggregate not in _DECOMPOSABLE for ref, _ in aggs):
+            return None
+        m = measured.pop()
+        ids = [d["datasetId"] for d in datasets]
+        other = ids[1] if ids[0] == m else ids[0]
+        pairs = []
+        for entry in join["on"]:
+            left, right = entry.get("left") or {}, entry.get("right") or {}
+            if left.get("datasetId") == m and right.get("datasetId") == other:
+                pairs.append((left["columnId"], right["columnId"]))
+            elif right.get("datasetId") == m and left.get("datasetId") == other:
+                pairs.append((right["columnId"], left["columnId"]))
+            else:
+                return None
+        m_df = _side_filter(resolve(m), m, pre)
+        o_df = _side_filter(resolve(other), other, pre)
+        if mode == "auto":
+            needed = {o for _, o in pairs} | {ref.column_id for ref, _ in keys if ref.dataset_id == other}
+            if _fits_broadcast(o_df.select(*[F.col(f"`{c}`") for c in sorted(needed)])):
+                return None
+        m_keys = []
+        for c in [mc for mc, _ in pairs] + [ref.column_id for ref, _ in keys if ref.dataset_id == m]:
+            if c not in m_keys:
+                m_keys.append(c)
+        partial, final, targets = [], [], []
+        for i, (ref, name) in enumerate(aggs):
+            col = None if ref.column_id == "*" else F.col(f"`{ref.column_id}`")
+            expr = aggregate_expr(ref.aggregate, col)
+            partial.append(expr.alias(f"__part_{i}"))
+            targets.append(expr)
+            final.append((ref, name, f"__part_{i}"))
+        types = m_df.select(*[t.alias(f"t{i}") for i, t in enumerate(targets)]).schema.fields
+        pre_agg = m_df.groupBy(*[F.col(f"`{c}`") for c in m_keys]).agg(*partial)
+        cond = None
+        for mc, oc in pairs:
+            c = qualified(m, mc) == qualified(other, oc)
+            cond = c if cond is None else cond & c
+        joined = pre_agg.alias(m).join(o_df.alias(other), cond, "inner")
+        key_cols = [qualified(ref.dataset_id, ref.column_id).alias(label) for ref, label in keys]
+        finals = [_DECOMPOSABLE[ref.aggregate](F.col(part)).cast(t.dataType).alias(name)
+                  for (ref, name, part), t in zip(final, types)]
+        return joined.groupBy(*key_cols).agg(*finals) if key_cols else joined.agg(*finals)
+
+    return build
+
+
 def _pivot_label(entry) -> tuple[str, list | None]:
     if isinstance(entry, dict):
         return entry.get("label") or entry.get("columnId"), entry.get("values")
@@ -193,11 +288,12 @@ def _plan_pivot(df: DataFrame, selects, pivot, orders, visible) -> tuple[DataFra
     return out, out.columns
 
 
-def run_insight(spec: dict, resolve: Resolver, variables: dict | None = None, spark=None) -> DataFrame:
+def run_insight(spec: dict, resolve: Resolver, variables: dict | None = None, spark=None,
+                eager_aggregation: str = "auto") -> DataFrame:
     """Evaluate an insight (either mode) to a DataFrame. ``variables`` feed sqlEditor mode."""
     query = normalize(spec)
     if query["mode"] == "queryBuilder":
-        return plan_query_builder(query["queryBuilder"], resolve)
+        return plan_query_builder(query["queryBuilder"], resolve, eager_aggregation)
     from vantage.plans.sql import run_sql_editor
 
     return run_sql_editor(query["sqlEditor"], resolve, values=variables, spark=spark)

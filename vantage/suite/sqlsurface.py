@@ -170,10 +170,10 @@ def sql_semi_anti(spark, sf_dir):
 
 
 @register("sql_scalar", """
-SELECT year(o_orderdate) AS yr, upper(substr(o_orderpriority, 3)) AS prio,
+SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, upper(substr(o_orderpriority, 3)) AS prio,
        count(*) AS n, round(sum(o_totalprice) / 1000, 3) AS revenue_k,
-       max(length(concat(o_orderstatus, '-', o_orderpriority))) AS max_len,
-       min(date_diff('day', TIMESTAMP '1990-01-01', o_orderdate)) AS first_day
+       CAST(max(length(concat(o_orderstatus, '-', o_orderpriority))) AS INTEGER) AS max_len,
+       CAST(min(date_diff('day', TIMESTAMP '1990-01-01', o_orderdate)) AS INTEGER) AS first_day
 FROM orders GROUP BY 1, 2
 """)
 def sql_scalar(spark, sf_dir):
