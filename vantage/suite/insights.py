@@ -71,6 +71,32 @@ def insight_revenue_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(run_insight(revenue_by_segment_spec(3), resolver(spark, sf_dir)), 2, "revenue")
 
 
+@register("insight_revenue_eager", """
+SELECT c_mktsegment AS segment, c_nationkey AS nation, round(sum(o_totalprice), 2) AS revenue,
+       count(o_orderkey) AS n_orders, min(o_orderdate) AS first_order, max(o_totalprice) AS top_order
+FROM customer JOIN orders ON c_custkey = o_custkey
+WHERE o_orderstatus <> 'P' AND c_acctbal > 0
+GROUP BY c_mktsegment, c_nationkey HAVING count(o_orderkey) > 20
+""")
+def insight_revenue_eager(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The planner's eager aggregation forced on: orders are grouped by customer before the join
+    (the plan for a customer table too large to broadcast)."""
+    spec = (InsightBuilder()
+            .add_dataset("customer")
+            .add_dataset("orders", "inner", [join_on("customer", "c_custkey", "orders", "o_custkey")])
+            .add_select("c_mktsegment", label="segment").add_select("c_nationkey", label="nation")
+            .add_select("o_totalprice", "orders", "sum", "revenue")
+            .add_select("o_orderkey", "orders", "count", "n_orders")
+            .add_select("o_orderdate", "orders", "min", "first_order")
+            .add_select("o_totalprice", "orders", "max", "top_order")
+            .add_filter("o_orderstatus", "not_equals", "P", dataset_id="orders")
+            .add_filter("c_acctbal", "greater_than", 0)
+            .add_filter_defs([where_def("o_orderkey", "orders", "greater_than", 20, aggregate="count")])
+            .build())
+    out = run_insight(spec, resolver(spark, sf_dir), eager_aggregation="always")
+    return rounded(out, 2, "revenue")
+
+
 # -- filters ------------------------------------------------------------------------------------
 
 def _filter_query(dataset: str, columns: list[str], column: str, operator: str, value=None):
