@@ -74,3 +74,16 @@ def test_diff_assemble_table(spark):
     assert block["children"][1]["children"][0]["children"] == [{"text": "c"}]
     plain = json.loads(rep.table_blocks(rows, has_header=False).collect()[0].block)
     assert plain["children"][0]["children"][0]["type"] == "td"
+
+
+def test_assemble_in_sections_concatenates_to_the_whole(spark):
+    rows = [("r", pos, f'{{"b":{pos}}}', f"i{pos % 4}") for pos in range(1, 24)]
+    blocks = spark.createDataFrame(rows, "report_id string, pos int, block string, insight_id string")
+    whole = rep.assemble(blocks).collect()[0]
+    parts = sorted(rep.assemble(blocks, section_size=5).collect(), key=lambda r: r.section)
+    assert len(parts) == 5
+    assert '{"editorState": [' + ", ".join(p.blocks for p in parts) + "]}" == whole.structure
+    merged = []
+    for p in parts:
+        merged += [i for i in p.insights if i not in merged]
+    assert merged == whole.insights

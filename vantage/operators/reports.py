@@ -115,21 +115,31 @@ def apply_reference_diff(references: DataFrame, diff: DataFrame) -> DataFrame:
     return both.filter(keep).select(*keys)
 
 
-def assemble(blocks: DataFrame) -> DataFrame:
+def assemble(blocks: DataFrame, section_size: int | None = None) -> DataFrame:
     """Blocks (report_id, pos, block JSON, insight_id) → one row per report with its
     ``structure`` (blocks in ``pos`` order under ``editorState``) and ``insights`` (widget insight
     ids, de-duplicated, first-seen order, empty ids left out).
 
-    One report's blocks are gathered into one array; that is bounded by the size of one report
-    document, not by the table. Blocks with equal ``pos`` keep a stable order (by block text).
+    One report's blocks are gathered into one array, so one report must fit in one task. Blocks
+    with equal ``pos`` keep a stable order (by block text). For reports too large for that, pass
+    ``section_size``: blocks are then grouped per (report, section of ``section_size`` positions)
+    and each row holds that section's ``blocks`` (comma-joined, in order) and its ``insights``.
+    Concatenating the sections in ``section`` order gives the ``editorState`` list.
     """
     sorted_blocks = F.sort_array(F.collect_list(F.struct("pos", "block", "insight_id")))
-    per = blocks.groupBy("report_id").agg(sorted_blocks.alias("_b"))
-    ids = F.filter(F.col("_b.insight_id"), lambda x: x.isNotNull() & (x != F.lit("")))
+    keys = ["report_id"]
+    if section_size:
+        blocks = blocks.withColumn("section", F.floor((F.col("pos") - 1) / F.lit(section_size)).cast("int"))
+        keys.append("section")
+    per = blocks.groupBy(*keys).agg(sorted_blocks.alias("_b"))
+    ids = F.array_distinct(F.filter(F.col("_b.insight_id"), lambda x: x.isNotNull() & (x != F.lit(""))))
+    joined = F.array_join(F.col("_b.block"), ", ")
+    if section_size:
+        return per.select(*keys, joined.alias("blocks"), ids.alias("insights"))
     return per.select(
         "report_id",
-        F.concat(F.lit('{"editorState": ['), F.array_join(F.col("_b.block"), ", "), F.lit("]}")).alias("structure"),
-        F.array_distinct(ids).alias("insights"),
+        F.concat(F.lit('{"editorState": ['), joined, F.lit("]}")).alias("structure"),
+        ids.alias("insights"),
     )
 
 

@@ -39,11 +39,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialized intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; a folder is only made up when the session has none,
-    which is the case in local tests, never on a configured cluster.
+    Read from ``spark.checkpoint.dir``. A folder is only made up for a local-mode session that has
+    none (tests); on a cluster an unset value is an error rather than a machine-local folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is not visible to other executors and dies with the machine
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's file system)")
         path = tempfile.mkdtemp(prefix="vantage-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
