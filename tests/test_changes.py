@@ -151,3 +151,19 @@ def test_hot_key_fold_across_many_buckets(spark):
     expected, expected_rejects = replay(state, changes)
     assert {r.key: {"name": r.name, "score": r.score} for r in new.collect()} == expected
     assert sorted(r.seq for r in rejects.collect()) == expected_rejects
+
+
+def test_create_without_seq_creates_each_key_once(spark):
+    state = spark.createDataFrame([("a", "x")], "id string, name string")
+    new = spark.createDataFrame([("b", "q"), ("b", "p"), ("c", "z"), ("c", "z"), ("a", "y")], "id string, name string")
+    out, rejects = chg.create(state, new, "id")
+    assert sorted(tuple(r) for r in out.collect()) == [("a", "x"), ("b", "p"), ("c", "z")]
+    assert sorted((r.id, r.reason) for r in rejects.collect()) == [("a", "exists"), ("b", "duplicate in batch")]
+
+
+def test_role_assign_without_seq_is_deterministic(spark):
+    a = spark.createDataFrame([("r", "p", "viewer")], "resource_id string, principal_id string, role string")
+    new = spark.createDataFrame([("r", "p", "editor"), ("r", "p", "admin"), ("r", "q", "viewer")],
+                                "resource_id string, principal_id string, role string")
+    got = sorted(tuple(r) for r in roles.role_assign(a, new).collect())
+    assert got == [("r", "p", "admin"), ("r", "q", "viewer")]

@@ -43,10 +43,18 @@ def create(state: DataFrame, new: DataFrame, key: list[str] | str) -> tuple[Data
     when present), is rejected."""
     keys = [key] if isinstance(key, str) else list(key)
     cols = state.columns
-    order = F.col("seq") if "seq" in new.columns else F.lit(0)
+    others = [c for c in new.columns if c not in keys]
+    # the first row of a key is the one with the lowest seq; without a seq column, the smallest
+    # row (rows identical in every column are one record and are created once)
+    if "seq" in new.columns:
+        order = F.col("seq")
+    elif others:
+        order = F.struct(*others)
+    else:
+        order = F.lit(0)
     tagged = new.withColumn("_ord", order)
     first = (tagged.groupBy(*keys).agg(F.min("_ord").alias("_ord")))
-    firsts = tagged.join(first, keys + ["_ord"], "left_semi")
+    firsts = tagged.join(first, keys + ["_ord"], "left_semi").dropDuplicates(keys + ["_ord"])
     dup = tagged.join(first, keys + ["_ord"], "left_anti").withColumn("reason", F.lit("duplicate in batch"))
     exists = firsts.join(state.select(*keys), keys, "left_semi").withColumn("reason", F.lit("exists"))
     accepted = firsts.join(state.select(*keys), keys, "left_anti")

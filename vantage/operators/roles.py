@@ -46,8 +46,8 @@ def role_assign(assignments: DataFrame, new: DataFrame) -> DataFrame:
     if "seq" in new.columns:
         new = (new.groupBy(*PAIR).agg(F.max(F.struct("seq", "role")).alias("_l"))
                .select(*PAIR, F.col("_l.role").alias("role")))
-    else:
-        new = new.select(*PAIR, "role").dropDuplicates(PAIR)
+    else:  # no order given: one deterministic role per pair
+        new = new.groupBy(*PAIR).agg(F.min("role").alias("role"))
     return assignments.join(new.select(*PAIR), PAIR, "left_anti").unionByName(new.select(*PAIR, "role"))
 
 
