@@ -99,3 +99,17 @@ def test_multiple_dropdown_binds_an_array(spark, frames):
     assert [r.k for r in run_insight(spec, frames.__getitem__, variables={"vs": ["a", "c"]}).collect()] == [1, 3]
     with pytest.raises(SpecError):
         run_insight(spec, frames.__getitem__, variables={"vs": ["a", "x"]})
+
+
+def test_timeout_cancels_long_query_and_passes_short_one(spark, frames):
+    import time
+
+    from vantage.plans.timeout import run_with_timeout
+
+    long_df = execute_sql(spark, "SELECT sum(id % 7) AS s FROM range(0, 1000000000000, 1, 8)", {})
+    t0 = time.time()
+    with pytest.raises(TimeoutError):
+        run_with_timeout(long_df, lambda d: d.collect(), 1.0)
+    assert time.time() - t0 < 30
+    short = execute_sql(spark, "SELECT count(*) AS n FROM '{{ds-1}}'", frames)
+    assert run_with_timeout(short, lambda d: d.collect(), 60)[0].n == 3
