@@ -1,16 +1,11 @@
-"""Registered queries over the driver tables, each with its DuckDB oracle SQL where one exists.
+"""Registered queries over the driver tables, each with its DuckDB oracle SQL.
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame``; ``ORACLE[name]`` is the same result as SQL over
 the driver tables registered as views. Computed columns carry the same names on both sides.
+Importing the group modules registers their queries.
 """
 
-import importlib
+from vantage.suite.registry import ORACLE, QUERIES
+from vantage.suite import catalog, charts, datasets, insights, reports, sqlsurface  # noqa: F401  (registration)
 
-from vantage.suite.registry import ORACLE, QUERIES  # noqa: F401
-
-for _module in ("insights", "sqlsurface", "charts", "datasets", "catalog", "reports"):
-    try:
-        importlib.import_module(f"vantage.suite.{_module}")
-    except ModuleNotFoundError as exc:  # groups not written yet
-        if exc.name != f"vantage.suite.{_module}":
-            raise
+__all__ = ["ORACLE", "QUERIES"]
