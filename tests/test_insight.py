@@ -182,3 +182,28 @@ def test_eager_aggregation_is_skipped_when_not_decomposable(resolve):
             .add_select("seg").add_select("amt", "o", "avg", "mean").build())
     out = run_insight(spec, resolve, eager_aggregation="always")
     assert "__part_" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_eager_aggregation_on_a_join_chain(spark):
+    from tests.conftest import SF_SMALL
+    from vantage.sources.tables import TableResolver
+
+    spec = (InsightBuilder()
+            .add_dataset("region")
+            .add_dataset("nation", "inner", [join_on("region", "r_regionkey", "nation", "n_regionkey")])
+            .add_dataset("customer", "inner", [join_on("nation", "n_nationkey", "customer", "c_nationkey")])
+            .add_dataset("orders", "inner", [join_on("customer", "c_custkey", "orders", "o_custkey")])
+            .add_select("r_name").add_select("o_orderstatus", "orders", label="status")
+            .add_select("o_totalprice", "orders", "sum", "revenue").add_select("*", "orders", "count", "n")
+            .add_select("o_orderdate", "orders", "max", "last")
+            .add_filter("c_mktsegment", "not_equals", "BUILDING", dataset_id="customer")
+            .add_filter("o_totalprice", "greater_than", 1000, dataset_id="orders")
+            .add_order_by("r_name").add_order_by("o_orderstatus", "orders").build())
+    resolve = TableResolver(spark, SF_SMALL)
+    eager = run_insight(spec, resolve, eager_aggregation="always")
+    plain = run_insight(spec, resolve, eager_aggregation="never")
+    assert "__part_" in eager._jdf.queryExecution().optimizedPlan().toString()
+    assert eager.schema == plain.schema
+    got = [(r.r_name, r.status, round(r.revenue, 2), r.n, r.last) for r in eager.collect()]
+    want = [(r.r_name, r.status, round(r.revenue, 2), r.n, r.last) for r in plain.collect()]
+    assert got == want and len(got) == 15

@@ -184,64 +184,65 @@ def _side_filter(df: DataFrame, dataset_id: str, pre) -> DataFrame:
 
 
 def _eager_builder(datasets, resolve: Resolver, pre, mode: str):
-    """Eager aggregation for ``A ⋈ B`` (inner, equi) when every aggregate is a sum, count, min or
-    max over columns of one side (the *measured* side M).
-
-    M is grouped by its join columns and the group keys it owns before the join, so the join (and
-    its shuffle) sees one row per M group instead of every M row; the final aggregation
-    recombines the partial results (sum of sums, sum of counts, min of mins, max of maxes), which
-    is exact for inner joins. Catalyst does not push aggregation below joins by itself. When the
-    other side fits the broadcast threshold the plain plan is already a map-side broadcast join,
-    so ``auto`` keeps it.
+    """Eager aggregation for an inner equi-join chain when every aggregate is a sum, count, min or
+    max over columns of one dataset (the *measured* dataset M).
+
+    M is grouped by all its join columns and the group keys it owns before it enters the chain,
+    so the joins (and their shuffles) see one row per M group instead of every M row. The final
+    aggregation recombines the partial results (sum of sums, sum of counts, min of mins, max of
+    maxes), which is exact for inner joins. Catalyst does not push aggregation below joins by
+    itself. When every other dataset fits the broadcast threshold, the plain plan is already a
+    chain of map-side broadcast joins, so ``auto`` keeps it.
     """
     def build(keys, aggs):
-        if len(datasets) != 2:
-            return None
-        join = datasets[1].get("join") or {}
-        if JOIN_TYPES.get(join.get("type", "inner")) != "inner" or not join.get("on"):
+        if len(datasets) < 2:
             return None
+        for d in datasets[1:]:
+            join = d.get("join") or {}
+            if JOIN_TYPES.get(join.get("type", "inner")) != "inner" or not join.get("on"):
+                return None
         measured = {ref.dataset_id for ref, _ in aggs}
         if len(measured) != 1 or any(ref.aggregate not in _DECOMPOSABLE for ref, _ in aggs):
             return None
         m = measured.pop()
-        ids = [d["datasetId"] for d in datasets]
-        other = ids[1] if ids[0] == m else ids[0]
-        pairs = []
-        for entry in join["on"]:
-            left, right = entry.get("left") or {}, entry.get("right") or {}
-            if left.get("datasetId") == m and right.get("datasetId") == other:
-                pairs.append((left["columnId"], right["columnId"]))
-            elif right.get("datasetId") == m and left.get("datasetId") == other:
-                pairs.append((right["columnId"], left["columnId"]))
-            else:
-                return None
+        referenced: dict[str, list[str]] = {d["datasetId"]: [] for d in datasets}
+        for d in datasets[1:]:
+            for entry in d["join"]["on"]:
+                for side in ("left", "right"):
+                    ref = entry.get(side) or {}
+                    cols = referenced.get(ref.get("datasetId"))
+                    if cols is not None and ref.get("columnId") not in cols:
+                        cols.append(ref["columnId"])
+        join_cols = list(referenced[m])
+        if not join_cols:
+            return None
+        for ref, _ in keys:
+            if ref.column_id not in referenced[ref.dataset_id]:
+                referenced[ref.dataset_id].append(ref.column_id)
+        others = [d["datasetId"] for d in datasets if d["datasetId"] != m]
+        if mode == "auto" and all(
+                _fits_broadcast(_side_filter(resolve(o), o, pre).select(*[F.col(f"`{c}`") for c in referenced[o]]))
+                for o in others):
+            return None
         m_df = _side_filter(resolve(m), m, pre)
-        o_df = _side_filter(resolve(other), other, pre)
-        if mode == "auto":
-            needed = {o for _, o in pairs} | {ref.column_id for ref, _ in keys if ref.dataset_id == other}
-            if _fits_broadcast(o_df.select(*[F.col(f"`{c}`") for c in sorted(needed)])):
-                return None
-        m_keys = []
-        for c in [mc for mc, _ in pairs] + [ref.column_id for ref, _ in keys if ref.dataset_id == m]:
-            if c not in m_keys:
-                m_keys.append(c)
-        partial, final, targets = [], [], []
-        for i, (ref, name) in enumerate(aggs):
+        partial, targets = [], []
+        for i, (ref, _) in enumerate(aggs):
             col = None if ref.column_id == "*" else F.col(f"`{ref.column_id}`")
             expr = aggregate_expr(ref.aggregate, col)
             partial.append(expr.alias(f"__part_{i}"))
-            targets.append(expr)
-            final.append((ref, name, f"__part_{i}"))
-        types = m_df.select(*[t.alias(f"t{i}") for i, t in enumerate(targets)]).schema.fields
-        pre_agg = m_df.groupBy(*[F.col(f"`{c}`") for c in m_keys]).agg(*partial)
-        cond = None
-        for mc, oc in pairs:
-            c = qualified(m, mc) == qualified(other, oc)
-            cond = c if cond is None else cond & c
-        joined = pre_agg.alias(m).join(o_df.alias(other), cond, "inner")
+            targets.append(expr.alias(f"t{i}"))
+        types = m_df.select(*targets).schema.fields
+        pre_agg = m_df.groupBy(*[F.col(f"`{c}`") for c in referenced[m]]).agg(*partial)
+        joined, visible = join_chain(datasets, lambda ds: pre_agg if ds == m else resolve(ds))
+        rest = [(ref, op, v) for ref, op, v in pre if ref.dataset_id != m]
+        if rest:
+            cols = [qualified(ref.dataset_id, ref.column_id) for ref, _, _ in rest]
+            ftypes = joined.select(*cols).schema.fields
+            joined = joined.filter(conjunction([predicate(c, op, v, f.dataType)
+                                                for c, (_, op, v), f in zip(cols, rest, ftypes)]))
         key_cols = [qualified(ref.dataset_id, ref.column_id).alias(label) for ref, label in keys]
-        finals = [_DECOMPOSABLE[ref.aggregate](F.col(part)).cast(t.dataType).alias(name)
-                  for (ref, name, part), t in zip(final, types)]
+        finals = [_DECOMPOSABLE[ref.aggregate](F.col(f"__part_{i}")).cast(t.dataType).alias(name)
+                  for i, ((ref, name), t) in enumerate(zip(aggs, types))]
         return joined.groupBy(*key_cols).agg(*finals) if key_cols else joined.agg(*finals)
 
     return build
