@@ -179,11 +179,23 @@ def test_eager_aggregation_equals_plain_plan(resolve, build):
 
 def test_eager_aggregation_is_skipped_when_not_decomposable(resolve):
     spec = (InsightBuilder().add_dataset("c").add_dataset("o", "inner", [join_on("c", "ck", "o", "ck")])
-            .add_select("seg").add_select("amt", "o", "avg", "mean").build())
+            .add_select("seg").add_select("amt", "o", "count_distinct", "n").build())
     out = run_insight(spec, resolve, eager_aggregation="always")
     assert "__part_" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_eager_average(resolve):
+    spec = (InsightBuilder().add_dataset("c").add_dataset("o", "inner", [join_on("c", "ck", "o", "ck")])
+            .add_select("seg").add_select("amt", "o", "avg", "mean").add_select("ok", "o", "avg", "mean_k")
+            .add_order_by("seg").build())
+    eager = run_insight(spec, resolve, eager_aggregation="always")
+    assert "__part_" in eager._jdf.queryExecution().optimizedPlan().toString()
+    plain = run_insight(spec, resolve, eager_aggregation="never")
+    assert eager.schema == plain.schema
+    assert [(r.seg, round(r.mean, 9), round(r.mean_k, 9)) for r in eager.collect()] == \
+        [(r.seg, round(r.mean, 9), round(r.mean_k, 9)) for r in plain.collect()]
+
+
 def test_eager_aggregation_on_a_join_chain(spark):
     from tests.conftest import SF_SMALL
     from vantage.sources.tables import TableResolver

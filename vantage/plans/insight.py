@@ -15,6 +15,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from vantage.operators.aggregates import aggregate_expr, pivot_frame
 from vantage.operators.filters import conjunction, predicate
@@ -163,7 +164,24 @@ def _plan_aggregate(df: DataFrame, selects, post, orders, visible, build=None) -
     return out, [label for _, label in selects]
 
 
-_DECOMPOSABLE = {"sum": F.sum, "count": lambda c: F.coalesce(F.sum(c), F.lit(0)), "min": F.min, "max": F.max}
+_DECOMPOSABLE = {"sum": F.sum, "count": lambda c: F.coalesce(F.sum(c), F.lit(0)), "min": F.min, "max": F.max,
+                 "avg": None}
+
+
+def _partials(ref: ColumnRef, i: int) -> list[Column]:
+    """Partial aggregates of one measure over the measured dataset (avg as sum and count)."""
+    col = None if ref.column_id == "*" else F.col(f"`{ref.column_id}`")
+    if ref.aggregate == "avg":
+        return [F.sum(col.cast("double")).alias(f"__part_{i}_s"), F.count(col).alias(f"__part_{i}_c")]
+    return [aggregate_expr(ref.aggregate, col).alias(f"__part_{i}")]
+
+
+def _final(ref: ColumnRef, i: int) -> Column:
+    """Recombination of the partials of one measure after the joins."""
+    if ref.aggregate == "avg":
+        n = F.sum(f"__part_{i}_c")
+        return F.when(n > 0, F.sum(f"__part_{i}_s") / n)
+    return _DECOMPOSABLE[ref.aggregate](F.col(f"__part_{i}"))
 
 
 def _fits_broadcast(df: DataFrame) -> bool:
@@ -184,13 +202,13 @@ def _side_filter(df: DataFrame, dataset_id: str, pre) -> DataFrame:
 
 
 def _eager_builder(datasets, resolve: Resolver, pre, mode: str):
-    """Eager aggregation for an inner equi-join chain when every aggregate is a sum, count, min or
-    max over columns of one dataset (the *measured* dataset M).
+    """Eager aggregation for an inner equi-join chain when every aggregate is a sum, count, min,
+    max or avg over columns of one dataset (the *measured* dataset M).
 
     M is grouped by all its join columns and the group keys it owns before it enters the chain,
     so the joins (and their shuffles) see one row per M group instead of every M row. The final
     aggregation recombines the partial results (sum of sums, sum of counts, min of mins, max of
-    maxes), which is exact for inner joins. Catalyst does not push aggregation below joins by
+    maxes, sum of sums over sum of counts), which is exact for inner joins. Catalyst does not push aggregation below joins by
     itself. When every other dataset fits the broadcast threshold, the plain plan is already a
     chain of map-side broadcast joins, so ``auto`` keeps it.
     """
@@ -225,13 +243,12 @@ def _eager_builder(datasets, resolve: Resolver, pre, mode: str):
                 for o in others):
             return None
         m_df = _side_filter(resolve(m), m, pre)
-        partial, targets = [], []
-        for i, (ref, _) in enumerate(aggs):
-            col = None if ref.column_id == "*" else F.col(f"`{ref.column_id}`")
-            expr = aggregate_expr(ref.aggregate, col)
-            partial.append(expr.alias(f"__part_{i}"))
-            targets.append(expr.alias(f"t{i}"))
+        targets = [aggregate_expr(ref.aggregate, None if ref.column_id == "*" else F.col(f"`{ref.column_id}`"))
+                   .alias(f"t{i}") for i, (ref, _) in enumerate(aggs)]
         types = m_df.select(*targets).schema.fields
+        if any(ref.aggregate == "avg" and isinstance(t.dataType, DecimalType) for (ref, _), t in zip(aggs, types)):
+            return None      # decimal averages keep their exact plain-plan type
+        partial = [p for i, (ref, _) in enumerate(aggs) for p in _partials(ref, i)]
         pre_agg = m_df.groupBy(*[F.col(f"`{c}`") for c in referenced[m]]).agg(*partial)
         joined, visible = join_chain(datasets, lambda ds: pre_agg if ds == m else resolve(ds))
         rest = [(ref, op, v) for ref, op, v in pre if ref.dataset_id != m]
@@ -241,8 +258,7 @@ def _eager_builder(datasets, resolve: Resolver, pre, mode: str):
             joined = joined.filter(conjunction([predicate(c, op, v, f.dataType)
                                                 for c, (_, op, v), f in zip(cols, rest, ftypes)]))
         key_cols = [qualified(ref.dataset_id, ref.column_id).alias(label) for ref, label in keys]
-        finals = [_DECOMPOSABLE[ref.aggregate](F.col(f"__part_{i}")).cast(t.dataType).alias(name)
-                  for i, ((ref, name), t) in enumerate(zip(aggs, types))]
+        finals = [_final(ref, i).cast(t.dataType).alias(name) for i, ((ref, name), t) in enumerate(zip(aggs, types))]
         return joined.groupBy(*key_cols).agg(*finals) if key_cols else joined.agg(*finals)
 
     return build

@@ -73,7 +73,8 @@ def insight_revenue_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("insight_revenue_eager", """
 SELECT c_mktsegment AS segment, c_nationkey AS nation, round(sum(o_totalprice), 2) AS revenue,
-       count(o_orderkey) AS n_orders, min(o_orderdate) AS first_order, max(o_totalprice) AS top_order
+       count(o_orderkey) AS n_orders, min(o_orderdate) AS first_order, max(o_totalprice) AS top_order,
+       round(avg(o_totalprice), 4) AS avg_order
 FROM customer JOIN orders ON c_custkey = o_custkey
 WHERE o_orderstatus <> 'P' AND c_acctbal > 0
 GROUP BY c_mktsegment, c_nationkey HAVING count(o_orderkey) > 20
@@ -89,12 +90,13 @@ def insight_revenue_eager(spark: SparkSession, sf_dir: str) -> DataFrame:
             .add_select("o_orderkey", "orders", "count", "n_orders")
             .add_select("o_orderdate", "orders", "min", "first_order")
             .add_select("o_totalprice", "orders", "max", "top_order")
+            .add_select("o_totalprice", "orders", "avg", "avg_order")
             .add_filter("o_orderstatus", "not_equals", "P", dataset_id="orders")
             .add_filter("c_acctbal", "greater_than", 0)
             .add_filter_defs([where_def("o_orderkey", "orders", "greater_than", 20, aggregate="count")])
             .build())
     out = run_insight(spec, resolver(spark, sf_dir), eager_aggregation="always")
-    return rounded(out, 2, "revenue")
+    return rounded(rounded(out, 2, "revenue"), 4, "avg_order")
 
 
 # -- filters ------------------------------------------------------------------------------------
