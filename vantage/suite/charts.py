@@ -10,7 +10,7 @@ from vantage.plans.insight import run_insight
 from vantage.sources import catalog as cat
 from vantage.sources.tables import TableResolver
 from vantage.suite import fixtures_sql as fx
-from vantage.suite.registry import register, rounded
+from vantage.suite.registry import register, rounded, rounded_ratio
 
 
 def _run(spark, sf_dir, builder: InsightBuilder):
@@ -18,7 +18,7 @@ def _run(spark, sf_dir, builder: InsightBuilder):
 
 
 @register("chart_table", """
-SELECT l_returnflag, count(l_orderkey) AS "Anzahl Positionen", round(avg(l_discount), 4) AS "Rabatt %"
+SELECT l_returnflag, count(l_orderkey) AS "Anzahl Positionen", round(avg(l_discount) + 1e-9, 4) AS "Rabatt %"
 FROM lineitem GROUP BY l_returnflag
 """)
 def chart_table(spark, sf_dir):
@@ -26,7 +26,7 @@ def chart_table(spark, sf_dir):
          .add_select("l_orderkey", aggregate="count", label="Anzahl Positionen")
          .add_select("l_discount", aggregate="avg", label="Rabatt %"))
     out = charts.table_frame(_run(spark, sf_dir, b), ["l_returnflag", "Anzahl Positionen", "Rabatt %"])
-    return out.withColumn("Rabatt %", F.round("Rabatt %", 4))
+    return rounded_ratio(out, 4, "Rabatt %")
 
 
 @register("chart_column_types", f"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vantage.plans.builder import InsightBuilder, join_on, select_def, where_def
 from vantage.plans.insight import run_insight
 from vantage.sources.tables import TableResolver, read_table
-from vantage.suite.registry import register, rounded
+from vantage.suite.registry import register, rounded, rounded_ratio
 
 
 def resolver(spark: SparkSession, sf_dir: str) -> TableResolver:
@@ -74,7 +74,7 @@ def insight_revenue_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("insight_revenue_eager", """
 SELECT c_mktsegment AS segment, c_nationkey AS nation, round(sum(o_totalprice), 2) AS revenue,
        count(o_orderkey) AS n_orders, min(o_orderdate) AS first_order, max(o_totalprice) AS top_order,
-       round(avg(o_totalprice), 4) AS avg_order
+       round(avg(o_totalprice) + 1e-9, 4) AS avg_order
 FROM customer JOIN orders ON c_custkey = o_custkey
 WHERE o_orderstatus <> 'P' AND c_acctbal > 0
 GROUP BY c_mktsegment, c_nationkey HAVING count(o_orderkey) > 20
@@ -96,7 +96,7 @@ def insight_revenue_eager(spark: SparkSession, sf_dir: str) -> DataFrame:
             .add_filter_defs([where_def("o_orderkey", "orders", "greater_than", 20, aggregate="count")])
             .build())
     out = run_insight(spec, resolver(spark, sf_dir), eager_aggregation="always")
-    return rounded(rounded(out, 2, "revenue"), 4, "avg_order")
+    return rounded_ratio(rounded(out, 2, "revenue"), 4, "avg_order")
 
 
 # -- filters ------------------------------------------------------------------------------------
@@ -307,7 +307,7 @@ def join_chain(spark, sf_dir):
 
 @register("agg_global", """
 SELECT round(sum(l_quantity), 2) AS sum_qty, count(l_orderkey) AS n_lines,
-       round(avg(l_extendedprice), 4) AS avg_price, min(l_shipdate) AS first_ship, max(l_discount) AS max_disc
+       round(avg(l_extendedprice) + 1e-9, 4) AS avg_price, min(l_shipdate) AS first_ship, max(l_discount) AS max_disc
 FROM lineitem
 """)
 def agg_global(spark, sf_dir):
@@ -319,7 +319,7 @@ def agg_global(spark, sf_dir):
             .add_select("l_discount", aggregate="max", label="max_disc")
             .build())
     out = run_insight(spec, resolver(spark, sf_dir))
-    return rounded(rounded(out, 2, "sum_qty"), 4, "avg_price")
+    return rounded_ratio(rounded(out, 2, "sum_qty"), 4, "avg_price")
 
 
 @register("agg_count_distinct", """
@@ -336,7 +336,7 @@ def agg_count_distinct(spark, sf_dir):
 
 
 @register("agg_avg_min_max", """
-SELECT l_returnflag, l_linestatus, round(avg(l_quantity), 4) AS avg_qty,
+SELECT l_returnflag, l_linestatus, round(avg(l_quantity) + 1e-9, 4) AS avg_qty,
        min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price, count(*) AS n
 FROM lineitem GROUP BY l_returnflag, l_linestatus
 """)
@@ -348,7 +348,7 @@ def agg_avg_min_max(spark, sf_dir):
             .add_select("l_extendedprice", aggregate="max", label="max_price")
             .add_select("*", aggregate="count", label="n")
             .build())
-    return rounded(run_insight(spec, resolver(spark, sf_dir)), 4, "avg_qty")
+    return rounded_ratio(run_insight(spec, resolver(spark, sf_dir)), 4, "avg_qty")
 
 
 @register("pivot_status", """

@@ -25,3 +25,13 @@ def register(name: str, oracle: str | None = None):
 def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     """Round double results so that summation order does not change the compared value."""
     return df.withColumns({n: F.round(F.col(n), digits) for n in names})
+
+
+# Averages and quotients can land exactly on a rounding tie, where engines disagree (one rounds
+# the shortest decimal form, the other the binary value). Both sides round ``x + NUDGE``: far above
+# float error, far below the rounding step, so both land on the same side.
+NUDGE = 1e-9
+
+
+def rounded_ratio(df: DataFrame, digits: int, *names: str) -> DataFrame:
+    return df.withColumns({n: F.round(F.col(n) + F.lit(NUDGE), digits) for n in names})

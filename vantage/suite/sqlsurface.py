@@ -143,13 +143,13 @@ def sql_rollup(spark, sf_dir):
 @register("sql_cte", """
 WITH per_cust AS (SELECT o_custkey, sum(o_totalprice) AS spent FROM orders GROUP BY o_custkey),
      ranked AS (SELECT c_mktsegment, spent FROM per_cust JOIN customer ON o_custkey = c_custkey)
-SELECT c_mktsegment, count(*) AS n_customers, round(avg(spent), 2) AS avg_spent, round(max(spent), 2) AS max_spent
+SELECT c_mktsegment, count(*) AS n_customers, round(avg(spent) + 1e-9, 2) AS avg_spent, round(max(spent), 2) AS max_spent
 FROM ranked GROUP BY c_mktsegment
 """)
 def sql_cte(spark, sf_dir):
     text = """WITH per_cust AS (SELECT o_custkey, sum(o_totalprice) AS spent FROM '{{orders}}' GROUP BY o_custkey),
                    ranked AS (SELECT c_mktsegment, spent FROM per_cust JOIN '{{customer}}' ON o_custkey = c_custkey)
-              SELECT c_mktsegment, count(*) AS n_customers, round(avg(spent), 2) AS avg_spent,
+              SELECT c_mktsegment, count(*) AS n_customers, round(avg(spent) + 1e-9, 2) AS avg_spent,
                      round(max(spent), 2) AS max_spent
               FROM ranked GROUP BY c_mktsegment"""
     return _sql(spark, sf_dir, text, ["orders", "customer"])
@@ -171,14 +171,14 @@ def sql_semi_anti(spark, sf_dir):
 
 @register("sql_scalar", """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, upper(substr(o_orderpriority, 3)) AS prio,
-       count(*) AS n, round(sum(o_totalprice) / 1000, 3) AS revenue_k,
+       count(*) AS n, round(sum(o_totalprice) / 1000 + 1e-9, 3) AS revenue_k,
        CAST(max(length(concat(o_orderstatus, '-', o_orderpriority))) AS INTEGER) AS max_len,
        CAST(min(date_diff('day', TIMESTAMP '1990-01-01', o_orderdate)) AS INTEGER) AS first_day
 FROM orders GROUP BY 1, 2
 """)
 def sql_scalar(spark, sf_dir):
     text = """SELECT year(o_orderdate) AS yr, upper(substr(o_orderpriority, 3)) AS prio,
-                     count(*) AS n, round(sum(o_totalprice) / 1000, 3) AS revenue_k,
+                     count(*) AS n, round(sum(o_totalprice) / 1000 + 1e-9, 3) AS revenue_k,
                      max(length(concat(o_orderstatus, '-', o_orderpriority))) AS max_len,
                      min(datediff(o_orderdate, TIMESTAMP_NTZ '1990-01-01')) AS first_day
               FROM '{{orders}}' GROUP BY 1, 2"""
