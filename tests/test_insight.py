@@ -219,3 +219,42 @@ def test_eager_aggregation_on_a_join_chain(spark):
     got = [(r.r_name, r.status, round(r.revenue, 2), r.n, r.last) for r in eager.collect()]
     want = [(r.r_name, r.status, round(r.revenue, 2), r.n, r.last) for r in plain.collect()]
     assert got == want and len(got) == 15
+
+
+@pytest.mark.parametrize("how,first", [("left", "c"), ("left", "o"), ("right", "c"), ("right", "o"),
+                                       ("full", "c"), ("semi", "o"), ("anti", "o")])
+def test_eager_aggregation_over_outer_semi_anti_joins(resolve, how, first):
+    second = "o" if first == "c" else "c"
+    b = (InsightBuilder().add_dataset(first).add_dataset(second, how, [join_on(first, "ck", second, "ck")]))
+    if how in ("semi", "anti"):
+        b.add_select("ck", "o", label="k")
+    else:
+        b.add_select("seg", "c")
+    b.add_select("amt", "o", "sum", "total").add_select("ok", "o", "count", "n") \
+        .add_select("amt", "o", "avg", "mean").add_select("ok", "o", "max", "hi")
+    spec = b.build()
+    eager = run_insight(spec, resolve, eager_aggregation="always")
+    plain = run_insight(spec, resolve, eager_aggregation="never")
+    assert "__part_" in eager._jdf.queryExecution().optimizedPlan().toString()
+    assert eager.schema == plain.schema
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(rows(eager), key=key) == sorted(rows(plain), key=key)
+
+
+def test_eager_count_star_over_null_supplied_side_keeps_plain_plan(resolve):
+    spec = (InsightBuilder().add_dataset("c").add_dataset("o", "left", [join_on("c", "ck", "o", "ck")])
+            .add_select("seg").add_select("*", "o", "count", "n").build())
+    out = run_insight(spec, resolve, eager_aggregation="always")
+    assert "__part_" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(rows(out)) == [("A", 3), ("B", 1), ("C", 1)]
+
+
+@pytest.mark.parametrize("operator,value", [("greater_than", 1.5), ("is_null", None)])
+def test_eager_keeps_where_on_null_supplied_side_after_the_join(resolve, operator, value):
+    spec = (InsightBuilder().add_dataset("c").add_dataset("o", "left", [join_on("c", "ck", "o", "ck")])
+            .add_select("seg").add_select("amt", "o", "sum", "total")
+            .add_filter("amt", operator, value, dataset_id="o").build())
+    eager = run_insight(spec, resolve, eager_aggregation="always")
+    plain = run_insight(spec, resolve, eager_aggregation="never")
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(rows(eager), key=key) == sorted(rows(plain), key=key)

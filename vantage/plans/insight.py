@@ -202,27 +202,45 @@ def _side_filter(df: DataFrame, dataset_id: str, pre) -> DataFrame:
 
 
 def _eager_builder(datasets, resolve: Resolver, pre, mode: str):
-    """Eager aggregation for an inner equi-join chain when every aggregate is a sum, count, min,
-    max or avg over columns of one dataset (the *measured* dataset M).
+    """Eager aggregation for an equi-join chain (inner, outer, semi or anti joins) when every
+    aggregate is a sum, count, min, max or avg over columns of one dataset (the *measured*
+    dataset M).
 
     M is grouped by all its join columns and the group keys it owns before it enters the chain,
     so the joins (and their shuffles) see one row per M group instead of every M row. The final
     aggregation recombines the partial results (sum of sums, sum of counts, min of mins, max of
-    maxes, sum of sums over sum of counts), which is exact for inner joins. Catalyst does not push aggregation below joins by
+    maxes, sum of sums over sum of counts). Every join sees M's groups exactly where it would
+    have seen M's rows, so this is exact for all these join types; the one exception, ``count(*)``
+    over a null-supplied M, keeps the plain plan. Catalyst does not push aggregation below joins by
     itself. When every other dataset fits the broadcast threshold, the plain plan is already a
     chain of map-side broadcast joins, so ``auto`` keeps it.
     """
     def build(keys, aggs):
         if len(datasets) < 2:
             return None
+        hows = []
         for d in datasets[1:]:
             join = d.get("join") or {}
-            if JOIN_TYPES.get(join.get("type", "inner")) != "inner" or not join.get("on"):
+            how = JOIN_TYPES.get(join.get("type", "inner"))
+            if how == "cross" or not join.get("on"):
                 return None
+            hows.append(how)
         measured = {ref.dataset_id for ref, _ in aggs}
         if len(measured) != 1 or any(ref.aggregate not in _DECOMPOSABLE for ref, _ in aggs):
             return None
         m = measured.pop()
+        pos = [d["datasetId"] for d in datasets].index(m)
+        # Outer joins can add rows where M is NULL. Sums, counts of a column, min, max and avg
+        # come out the same from NULL partials, but count(*) counts such rows as 1 in the plain
+        # plan and as 0 from partials.
+        null_supplied = any((how == "left" and pos == i) or (how == "right" and pos < i) or
+                            (how == "full" and pos <= i) for i, how in enumerate(hows, start=1))
+        if null_supplied and any(ref.column_id == "*" for ref, _ in aggs):
+            return None
+        # A WHERE on a null-supplied M applies after the join (it also drops the rows the outer
+        # join padded with NULLs); moving it before the join would keep them.
+        if null_supplied and any(ref.dataset_id == m for ref, _, _ in pre):
+            return None
         referenced: dict[str, list[str]] = {d["datasetId"]: [] for d in datasets}
         for d in datasets[1:]:
             for entry in d["join"]["on"]:
