@@ -167,3 +167,16 @@ def test_role_assign_without_seq_is_deterministic(spark):
                                 "resource_id string, principal_id string, role string")
     got = sorted(tuple(r) for r in roles.role_assign(a, new).collect())
     assert got == [("r", "p", "admin"), ("r", "q", "viewer")]
+
+
+def test_dpa_entries_defaults(spark):
+    req = spark.createDataFrame(
+        [("s1", "a", None, None, True, "yes", "c", "t", "staff", "p", "m"),
+         ("s1", "b", "active", False, False, "no", "c", "t", "staff", "p", "m")],
+        "solution_id string, slug string, status string, toggleable boolean, data_processing_confirmed boolean, "
+        "has_personal_data string, data_category string, data_type string, person_group string, purpose string, "
+        "safety_measures string")
+    got = {r.slug: r for r in chg.dpa_entries_from(req).collect()}
+    assert (got["a"].status, got["a"].toggleable) == ("inactive", True)
+    assert (got["b"].status, got["b"].toggleable) == ("active", False)
+    assert got["a"].attributes.activityAmendments[0].personGroup == "staff"

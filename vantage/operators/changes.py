@@ -109,6 +109,31 @@ def delete_keys(state: DataFrame, keys: DataFrame, key: list[str] | str = "id")
     return state.join(keys.select(*ks), ks, "left_anti")
 
 
+# -- M7 nested entries -------------------------------------------------------------------------
+
+# Defaults of a processing-register entry.
+DPA_DEFAULT_STATUS = "inactive"
+DPA_DEFAULT_TOGGLEABLE = True
+
+
+def dpa_entries_from(requests: DataFrame) -> DataFrame:
+    """M7 create in bulk: flat requests → entries keyed (solution_id, slug) with an ``attributes``
+    struct holding one amendment in ``activityAmendments``. Missing status is ``inactive``,
+    missing toggleable is true. Update and delete go through ``replace_field`` / ``delete_keys``
+    like any keyed record."""
+    amendment = F.struct(F.col("data_type").alias("dataType"), F.col("person_group").alias("personGroup"),
+                         F.col("purpose").alias("purpose"), F.col("safety_measures").alias("safetyMeasures"))
+    return requests.select(
+        "solution_id", "slug",
+        F.coalesce(F.col("status"), F.lit(DPA_DEFAULT_STATUS)).alias("status"),
+        F.coalesce(F.col("toggleable"), F.lit(DPA_DEFAULT_TOGGLEABLE)).alias("toggleable"),
+        F.struct(F.col("data_processing_confirmed").alias("dataProcessingConfirmed"),
+                 F.col("has_personal_data").alias("hasPersonalData"),
+                 F.col("data_category").alias("dataCategory"),
+                 F.array(amendment).alias("activityAmendments")).alias("attributes"),
+    )
+
+
 # -- K1 / M6 KPI match and upsert ------------------------------------------------------------------
 
 def kpi_match(insights: DataFrame, requests: DataFrame, order: Column | None = None) -> DataFrame:

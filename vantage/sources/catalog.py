@@ -221,28 +221,32 @@ def report_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dpa_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dpa_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat requests to create processing-register entries, one per supplier. Status and
+    toggleable are left out (NULL) where the defaults apply."""
     s = read_table(spark, sf_dir, "supplier")
-    amendment = F.struct(
-        F.concat(F.lit("type-"), F.col("s_nationkey")).alias("dataType"),
-        F.when(F.col("s_acctbal") < 0, "customers").otherwise("staff").alias("personGroup"),
-        F.lit("reporting").alias("purpose"),
-        F.lit("pseudonymised").alias("safetyMeasures"),
-    )
     return s.select(
         F.concat(F.lit("sol"), F.col("s_nationkey")).alias("solution_id"),
         F.concat(F.lit("s"), F.col("s_suppkey")).alias("slug"),
-        F.when(F.col("s_acctbal") > 5000, "active").otherwise("inactive").alias("status"),
-        (F.col("s_acctbal") >= 0).alias("toggleable"),
-        F.struct(
-            (F.col("s_acctbal") > 1000).alias("dataProcessingConfirmed"),
-            F.when(F.col("s_acctbal") > 2000, "yes").otherwise("no").alias("hasPersonalData"),
-            F.concat(F.lit("cat-"), F.col("s_nationkey")).alias("dataCategory"),
-            F.array(amendment).alias("activityAmendments"),
-        ).alias("attributes"),
+        F.when(F.col("s_acctbal") > 5000, F.lit("active")).alias("status"),
+        F.when(F.col("s_acctbal") < 0, F.lit(False)).alias("toggleable"),
+        (F.col("s_acctbal") > 1000).alias("data_processing_confirmed"),
+        F.when(F.col("s_acctbal") > 2000, "yes").otherwise("no").alias("has_personal_data"),
+        F.concat(F.lit("cat-"), F.col("s_nationkey")).alias("data_category"),
+        F.concat(F.lit("type-"), F.col("s_nationkey")).alias("data_type"),
+        F.when(F.col("s_acctbal") < 0, "customers").otherwise("staff").alias("person_group"),
+        F.lit("reporting").alias("purpose"),
+        F.lit("pseudonymised").alias("safety_measures"),
     )
 
 
+def dpa_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested entries built from ``dpa_requests``."""
+    from vantage.operators.changes import dpa_entries_from
+
+    return dpa_entries_from(dpa_requests(spark, sf_dir))
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records to validate: content type, status and JSON body; every seventh body is cut."""
     e = read_table(spark, sf_dir, "events")
