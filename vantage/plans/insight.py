@@ -185,10 +185,14 @@ def _final(ref: ColumnRef, i: int) -> Column:
 
 
 def _fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate of ``df`` is under the broadcast threshold."""
-    spark = df.sparkSession
-    threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Whether Catalyst's size estimate of ``df`` is under the broadcast threshold. Without access
+    to the estimate (e.g. a Spark Connect session) the answer is yes, which keeps the plain plan."""
+    try:
+        spark = df.sparkSession
+        threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except AttributeError:
+        return True
     return threshold >= 0 and size <= threshold
 
 
