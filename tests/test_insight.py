@@ -258,3 +258,12 @@ def test_eager_keeps_where_on_null_supplied_side_after_the_join(resolve, operato
     plain = run_insight(spec, resolve, eager_aggregation="never")
     key = lambda r: tuple((x is None, x) for x in r)
     assert sorted(rows(eager), key=key) == sorted(rows(plain), key=key)
+
+
+def test_pivot_with_having_is_rejected(resolve):
+    spec = (InsightBuilder().add_dataset("o").add_select("ck").add_select("ok", label="k")
+            .add_select("amt", aggregate="sum", label="s")
+            .add_filter_defs([where_def("amt", "o", "greater_than", 1, aggregate="sum")])
+            .set_pivot(rows=["ck"], columns=["k"], values=["s"]).build())
+    with pytest.raises(SpecError):
+        run_insight(spec, resolve)

@@ -90,6 +90,8 @@ def plan_query_builder(qb: dict, resolve: Resolver, eager_aggregation: str = "au
 
     aggregated = any(r.aggregate for r, _ in selects) or bool(post) or any(r.aggregate for r, _ in orders)
     if pivot.get("enabled"):
+        if post:
+            raise SpecError("filters on aggregates (HAVING) cannot be combined with a pivot")
         out, out_labels = _plan_pivot(df, selects, pivot, orders, visible)
     elif aggregated:
         build = None
