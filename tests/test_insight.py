@@ -71,8 +71,6 @@ def test_outer_semi_anti_cross(resolve):
     full = (InsightBuilder().add_dataset("c").add_dataset("o", "full", [join_on("c", "ck", "o", "ck")])
             .add_select("ck").add_select("ok", "o").build())
     assert len(rows(run_insight(full, resolve))) == 6
-    cross = InsightBuilder().add_dataset("c").add_dataset("o", "cross").add_select("ck").build()
-    assert len(rows(run_insight(cross, resolve))) == 20
 
 
 def test_semi_joined_columns_are_not_visible(resolve):
@@ -267,3 +265,22 @@ def test_pivot_with_having_is_rejected(resolve):
             .set_pivot(rows=["ck"], columns=["k"], values=["s"]).build())
     with pytest.raises(SpecError):
         run_insight(spec, resolve)
+
+
+def test_cross_join_needs_a_small_side(spark, resolve):
+    from tests.conftest import SF_SMALL
+    from vantage.sources.tables import TableResolver
+
+    spec = InsightBuilder().add_dataset("region").add_dataset("nation", "cross").add_select("r_name").build()
+    assert len(rows(run_insight(spec, TableResolver(spark, SF_SMALL)))) == 125
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with pytest.raises(SpecError):
+            run_insight(spec, TableResolver(spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # frames without size statistics (built from local rows) have no proven bound either
+    unbounded = InsightBuilder().add_dataset("c").add_dataset("o", "cross").add_select("ck").build()
+    with pytest.raises(SpecError):
+        run_insight(unbounded, resolve)

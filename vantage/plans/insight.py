@@ -19,7 +19,7 @@ from pyspark.sql.types import DecimalType
 
 from vantage.operators.aggregates import aggregate_expr, pivot_frame
 from vantage.operators.filters import conjunction, predicate
-from vantage.operators.joins import join_chain, qualified
+from vantage.operators.joins import fits_broadcast, join_chain, qualified
 from vantage.plans.spec import DIRECTIONS, JOIN_TYPES, ColumnRef, SpecError, column_ref, normalize, validate_limit
 
 Resolver = Callable[[str], DataFrame]
@@ -186,18 +186,6 @@ def _final(ref: ColumnRef, i: int) -> Column:
     return _DECOMPOSABLE[ref.aggregate](F.col(f"__part_{i}"))
 
 
-def _fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate of ``df`` is under the broadcast threshold. Without access
-    to the estimate (e.g. a Spark Connect session) the answer is yes, which keeps the plain plan."""
-    try:
-        spark = df.sparkSession
-        threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return True
-    return threshold >= 0 and size <= threshold
-
-
 def _side_filter(df: DataFrame, dataset_id: str, pre) -> DataFrame:
     mine = [(ref, op, v) for ref, op, v in pre if ref.dataset_id == dataset_id]
     if not mine:
@@ -263,7 +251,7 @@ def _eager_builder(datasets, resolve: Resolver, pre, mode: str):
                 referenced[ref.dataset_id].append(ref.column_id)
         others = [d["datasetId"] for d in datasets if d["datasetId"] != m]
         if mode == "auto" and all(
-                _fits_broadcast(_side_filter(resolve(o), o, pre).select(*[F.col(f"`{c}`") for c in referenced[o]]))
+                fits_broadcast(_side_filter(resolve(o), o, pre).select(*[F.col(f"`{c}`") for c in referenced[o]]))
                 for o in others):
             return None
         m_df = _side_filter(resolve(m), m, pre)
