@@ -6,7 +6,7 @@ the unpaged DataFrame itself: no page loop. Lookups of many ids at once are one
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantage.functions.expressions import search_match
@@ -100,8 +100,7 @@ def with_row_numbers(df: DataFrame, order_by: list, name: str = "row_nr") -> Dat
 
 
 def _all_before():
-    from pyspark.sql import Window
-
+    # one row per partition of the sorted frame, so an unpartitioned window is bounded
     return Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
