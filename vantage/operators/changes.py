@@ -5,9 +5,10 @@ Records are rows of a keyed table whose other columns are the record's fields. A
 is a JSON object; a field counts as supplied when its *key is present*, so an explicit JSON null
 overrides while an absent key keeps the current value.
 
-Scale notes. Everything here is joins on the record key plus hash aggregations. The fold picks
-each field's winner with ``max(struct(seq, value))``, an aggregate with a map-side partial step,
-so a key that holds a third of all changes is reduced before the shuffle instead of being sorted
+Scale notes. Everything here is joins on the record key plus grouped aggregations. The fold
+picks each field's winner with ``max(struct(seq, value))``, an aggregate with a map-side partial
+step (Spark runs min/max over structs as sort-based aggregation, which spills rather than fails),
+so a key that holds a third of all changes is reduced before the shuffle instead of landing whole
 in one task. The only ordered per-key step, finding the last create/delete before each update for
 the reject list, runs on seq buckets (``carry_last``) so a hot key is split across tasks.
 """
