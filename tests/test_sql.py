@@ -113,3 +113,16 @@ def test_timeout_cancels_long_query_and_passes_short_one(spark, frames):
     assert time.time() - t0 < 30
     short = execute_sql(spark, "SELECT count(*) AS n FROM '{{ds-1}}'", frames)
     assert run_with_timeout(short, lambda d: d.collect(), 60)[0].n == 3
+
+
+def test_dataset_store_roundtrip_and_sql(spark, tmp_path):
+    from vantage.plans.sql import export
+    from vantage.sources.datasets import DatasetStore
+
+    store = DatasetStore(spark, str(tmp_path / "store"))
+    store.write("ds-9", spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"))
+    assert store.read("ds-9").count() == 2
+    out = export(spark, "ds-9", str(tmp_path / "exp"), store, sql="SELECT k FROM '{{ds-9}}' WHERE k > ?", args=[1])
+    assert [r.k for r in spark.read.parquet(out).collect()] == [2]
+    with pytest.raises(ValueError):
+        store.path("../x")

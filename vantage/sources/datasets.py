@@ -88,3 +88,30 @@ def column_metadata(df: DataFrame) -> dict[str, dict]:
 def normalized_source_timestamps(df: DataFrame, col: str = "source_timestamp") -> DataFrame:
     """S8 over a table of datasets: adds ``source_timestamp_norm``."""
     return df.withColumn(f"{col}_norm", normalize_source_timestamp(F.col(col)))
+
+
+class DatasetStore:
+    """Datasets kept as Parquet folders under one root (on a shared file system), addressed by id.
+
+    ``store.write(id, df)`` is the upload (S3), ``store.read(id)`` the download (S1); the store
+    itself is a resolver, so it plugs into ``run_insight``, ``execute_sql`` and ``export``.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def path(self, dataset_id: str) -> str:
+        if not dataset_id or "/" in dataset_id or dataset_id in (".", ".."):
+            raise ValueError(f"invalid dataset id {dataset_id!r}")
+        return f"{self.root}/{dataset_id}"
+
+    def write(self, dataset_id: str, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        path = self.path(dataset_id)
+        write_dataset(df, path, partition_by)
+        return path
+
+    def read(self, dataset_id: str) -> DataFrame:
+        return read_dataset(self.spark, self.path(dataset_id))
+
+    __call__ = read
