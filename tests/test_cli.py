@@ -22,3 +22,14 @@ def test_cli_sql_prints_rows(spark, capsys):
           "--dataset", f"o={SF_SMALL}/orders.parquet", "--named", "s=F"], spark=spark)
     printed = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
     assert printed and printed[0]["n"] > 0
+
+
+def test_cli_sql_over_a_dataset_store(spark, tmp_path, capsys):
+    from vantage.sources.datasets import DatasetStore
+
+    store = DatasetStore(spark, str(tmp_path / "store"))
+    store.write("orders", spark.read.parquet(f"{SF_SMALL}/orders.parquet"))
+    out = str(tmp_path / "out")
+    main(["sql", "SELECT o_orderstatus, count(*) AS n FROM '{{orders}}' GROUP BY o_orderstatus",
+          "--store", str(tmp_path / "store"), "--out", out], spark=spark)
+    assert spark.read.parquet(out).count() == 3

@@ -4,7 +4,8 @@
     python -m vantage sql "SELECT ... FROM '{{orders}}' WHERE x > :lo" --dataset orders=/data/orders \\
         --named lo=10 --out /data/result
 
-Datasets are bound by id (``--dataset id=path``, repeatable). sqlEditor specs take their variable
+Datasets are bound by id (``--dataset id=path``, repeatable) or found by id under ``--store ROOT``
+(a ``DatasetStore``). sqlEditor specs take their variable
 values from ``--var name=value``. The result is written by the executors (``--out``) or, without
 ``--out``, its first rows are printed.
 """
@@ -16,9 +17,9 @@ import json
 import sys
 
 from vantage.plans.insight import run_insight
-from vantage.plans.sql import execute_sql
+from vantage.plans.sql import execute_sql, placeholder_ids
 from vantage.session import get_session
-from vantage.sources.datasets import read_dataset, write_dataset
+from vantage.sources.datasets import DatasetStore, read_dataset, write_dataset
 from vantage.sources.tables import TableResolver
 
 
@@ -37,6 +38,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     parser.add_argument("mode", choices=["insight", "sql"])
     parser.add_argument("source", help="spec JSON file (insight) or SQL text (sql)")
     parser.add_argument("--dataset", action="append", default=[], help="id=parquet_path")
+    parser.add_argument("--store", help="root folder of a DatasetStore; unbound ids are read from there")
     parser.add_argument("--var", action="append", default=[], help="SQL variable name=value (sqlEditor specs)")
     parser.add_argument("--arg", action="append", default=[], help="positional SQL argument (sql mode)")
     parser.add_argument("--named", action="append", default=[], help="named SQL argument name=value (sql mode)")
@@ -46,9 +48,16 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     args = parser.parse_args(argv)
 
     spark = spark or get_session()
-    resolver = TableResolver(spark)
+    bound = TableResolver(spark)
     for ds_id, path in _pairs(args.dataset, "--dataset").items():
-        resolver.bind(ds_id, read_dataset(spark, path))
+        bound.bind(ds_id, read_dataset(spark, path))
+    store = DatasetStore(spark, args.store) if args.store else None
+
+    def resolver(ds_id: str):
+        if ds_id in bound.bindings or store is None:
+            return bound(ds_id)
+        return store(ds_id)
+
     if args.mode == "insight":
         with open(args.source) as fh:
             spec = json.load(fh)
@@ -56,7 +65,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                          eager_aggregation=args.eager_aggregation)
     else:
         named = _pairs(args.named, "--named")
-        df = execute_sql(spark, args.source, list(resolver.bindings), resolve=resolver,
+        df = execute_sql(spark, args.source, placeholder_ids(args.source), resolve=resolver,
                          args=args.arg or None, named_args=named or None)
     if args.out:
         write_dataset(df, args.out)
