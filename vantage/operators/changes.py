@@ -107,7 +107,7 @@ def replace_field(state: DataFrame, values: DataFrame, field: str, key: str = "i
 def delete_keys(state: DataFrame, keys: DataFrame, key: list[str] | str = "id") -> DataFrame:
     """M5: drop records by key."""
     ks = [key] if isinstance(key, str) else list(key)
-    return state.join(keys.select(*ks), ks, "left_anti")
+    return state.join(keys.select(*ks), ks, "left_anti").select(*state.columns)
 
 
 # -- M7 nested entries -------------------------------------------------------------------------

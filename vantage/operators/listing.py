@@ -42,7 +42,7 @@ def list_resources(resources: DataFrame, container_id: str, resource_type: str =
             raise ValueError("tags given without resource_tags")
         tagged = resource_tags.filter(F.col("tag_id").isin(*tag_ids)).select(F.col("resource_id").alias("id"))
         out = out.join(tagged, "id", "left_semi")
-    return out
+    return out.select(*resources.columns)
 
 
 def _order(cols: list[str | Column]) -> list[Column]:
@@ -127,7 +127,7 @@ def filtered_list(df: DataFrame, filters: dict | None = None, text: str | None =
 def solution_datasets(resources: DataFrame, datasets: DataFrame, solution_id: str) -> DataFrame:
     """Every dataset of a solution with its details, one join instead of one call per id."""
     ids = resources.filter((F.col("container_id") == solution_id) & (F.col("resource_type") == "dataset"))
-    return datasets.join(ids.select("id"), "id", "left_semi")
+    return datasets.join(ids.select("id"), "id", "left_semi").select(*datasets.columns)
 
 
 def lookup(entities: DataFrame, requests: DataFrame, key: str = "id") -> DataFrame:

@@ -21,7 +21,7 @@ def pairs_assign(pairs: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame
 
 def pairs_unassign(pairs: DataFrame, remove: DataFrame, keys: list[str]) -> DataFrame:
     """Remove many-to-many rows."""
-    return pairs.join(remove.select(*keys), keys, "left_anti")
+    return pairs.join(remove.select(*keys), keys, "left_anti").select(*pairs.columns)
 
 
 def tag_assign(resource_tags: DataFrame, assign: DataFrame) -> DataFrame:
@@ -37,7 +37,7 @@ def tag_unassign(resource_tags: DataFrame, remove: DataFrame) -> DataFrame:
 def resources_by_tags(resources: DataFrame, resource_tags: DataFrame, tag_ids: list[str]) -> DataFrame:
     """Resources carrying any of the tags."""
     tagged = resource_tags.filter(F.col("tag_id").isin(*tag_ids)).select(F.col("resource_id").alias("id"))
-    return resources.join(tagged, "id", "left_semi")
+    return resources.join(tagged, "id", "left_semi").select(*resources.columns)
 
 
 def role_assign(assignments: DataFrame, new: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def role_assign(assignments: DataFrame, new: DataFrame) -> DataFrame:
 def role_unassign(assignments: DataFrame, remove: DataFrame) -> DataFrame:
     """R2: remove (resource, principal) pairs; with only a principal column, every role of it."""
     keys = [c for c in PAIR if c in remove.columns]
-    return assignments.join(remove.select(*keys).distinct(), keys, "left_anti")
+    return assignments.join(remove.select(*keys).distinct(), keys, "left_anti").select(*assignments.columns)
 
 
 def role_delta(assignments: DataFrame, changes: DataFrame) -> DataFrame:

@@ -32,18 +32,18 @@ def write_dataset(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 def lookup_by_id(catalog: DataFrame, requests: DataFrame, id_col: str = "id") -> DataFrame:
     """S4 in bulk: catalog rows for the requested ids; unknown ids are absent (see ``missing``)."""
-    return catalog.join(requests.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
+    return catalog.join(requests.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi").select(*catalog.columns)
 
 
 def lookup_by_slug(catalog: DataFrame, requests: DataFrame) -> DataFrame:
     """S5 in bulk: catalog rows for requested (solution_id, slug) pairs."""
     keys = requests.select("solution_id", "slug").distinct()
-    return catalog.join(keys, ["solution_id", "slug"], "left_semi")
+    return catalog.join(keys, ["solution_id", "slug"], "left_semi").select(*catalog.columns)
 
 
 def missing(catalog: DataFrame, requests: DataFrame, keys: list[str]) -> DataFrame:
     """Requests with no catalog row (the error rows of a lookup)."""
-    return requests.join(catalog.select(*keys), keys, "left_anti")
+    return requests.join(catalog.select(*keys), keys, "left_anti").select(*requests.columns)
 
 
 def get_or_create(catalog: DataFrame, wanted: DataFrame, id_prefix: str = "ds", separator: str = "|") -> DataFrame:
