@@ -6,7 +6,8 @@ when not selected → pivot → ORDER BY (NULLs last) → LIMIT → projection o
 
 Everything is expressed with DataFrame operators, so Catalyst pushes the WHERE conjuncts into the
 Parquet scans, prunes unused columns, plans partial/final hash aggregation, and turns
-ORDER BY + LIMIT into a top-k (TakeOrderedAndProject).
+ORDER BY + LIMIT into a top-k (TakeOrderedAndProject). One rewrite Catalyst does not make is done
+here: eager aggregation of the measured dataset below the joins (``_eager_builder``).
 """
 
 from __future__ import annotations
@@ -51,9 +52,9 @@ def _value_expr(ref: ColumnRef, visible: list[str]) -> Column:
 
 
 def plan_query_builder(qb: dict, resolve: Resolver, eager_aggregation: str = "auto") -> DataFrame:
-    """``eager_aggregation``: ``auto`` pre-aggregates the measured side of a two-dataset inner join
-    when the other side is too large to broadcast (see ``_eager_builder``); ``always`` / ``never``
-    force the choice."""
+    """``eager_aggregation``: ``auto`` pre-aggregates the measured dataset of a join chain before the
+    joins when some other dataset is too large to broadcast (see ``_eager_builder``); ``always`` /
+    ``never`` force the choice where it is exact."""
     if eager_aggregation not in ("auto", "always", "never"):
         raise SpecError(f"eager_aggregation must be auto, always or never, not {eager_aggregation!r}")
     datasets = qb["datasets"]
@@ -204,9 +205,9 @@ def _eager_builder(datasets, resolve: Resolver, pre, mode: str):
     so the joins (and their shuffles) see one row per M group instead of every M row. The final
     aggregation recombines the partial results (sum of sums, sum of counts, min of mins, max of
     maxes, sum of sums over sum of counts). Every join sees M's groups exactly where it would
-    have seen M's rows, so this is exact for all these join types; the one exception, ``count(*)``
-    over a null-supplied M, keeps the plain plan. Catalyst does not push aggregation below joins by
-    itself. When every other dataset fits the broadcast threshold, the plain plan is already a
+    have seen M's rows, so this is exact for all these join types. Two cases keep the plain plan:
+    ``count(*)`` or a WHERE on M when an outer join can pad M with NULLs. Catalyst does not push
+    aggregation below joins by itself. When every other dataset fits the broadcast threshold, the plain plan is already a
     chain of map-side broadcast joins, so ``auto`` keeps it.
     """
     def build(keys, aggs):
