@@ -195,3 +195,28 @@ def sql_json(spark, sf_dir):
                      max(CAST(get_json_object(props, '$.k') AS BIGINT)) AS max_k
               FROM '{{events}}' GROUP BY event_type"""
     return _sql(spark, sf_dir, text, ["events"])
+
+
+@register("sql_arrays", """
+SELECT o_custkey, list_sort(list(DISTINCT o_orderstatus)) AS statuses,
+       CAST(len(list(DISTINCT o_orderpriority)) AS INTEGER) AS n_priorities,
+       list_contains(list(DISTINCT o_orderstatus), 'F') AS has_finished
+FROM orders GROUP BY o_custkey
+""")
+def sql_arrays(spark, sf_dir):
+    # collect_set per customer holds at most the distinct statuses / priorities (a handful)
+    text = """SELECT o_custkey, array_sort(collect_set(o_orderstatus)) AS statuses,
+                     size(collect_set(o_orderpriority)) AS n_priorities,
+                     array_contains(collect_set(o_orderstatus), 'F') AS has_finished
+              FROM '{{orders}}' GROUP BY o_custkey"""
+    return _sql(spark, sf_dir, text, ["orders"])
+
+
+@register("sql_explode", """
+SELECT part, count(*) AS n FROM (SELECT unnest(string_split(o_orderpriority, '-')) AS part FROM orders) t
+GROUP BY part
+""")
+def sql_explode(spark, sf_dir):
+    text = """SELECT part, count(*) AS n
+              FROM (SELECT explode(split(o_orderpriority, '-')) AS part FROM '{{orders}}') t GROUP BY part"""
+    return _sql(spark, sf_dir, text, ["orders"])
