@@ -220,3 +220,15 @@ def sql_explode(spark, sf_dir):
     text = """SELECT part, count(*) AS n
               FROM (SELECT explode(split(o_orderpriority, '-')) AS part FROM '{{orders}}') t GROUP BY part"""
     return _sql(spark, sf_dir, text, ["orders"])
+
+
+@register("sql_maps", """
+SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k,
+       CAST(max(len(json_keys(props))) AS INTEGER) AS n_keys
+FROM events GROUP BY event_type
+""")
+def sql_maps(spark, sf_dir):
+    text = """SELECT event_type, sum(element_at(m, 'k')) AS sum_k, max(size(map_keys(m))) AS n_keys
+              FROM (SELECT event_type, from_json(props, 'map<string,bigint>') AS m FROM '{{events}}') t
+              GROUP BY event_type"""
+    return _sql(spark, sf_dir, text, ["events"])
