@@ -17,6 +17,12 @@ def widget_extract(spark, sf_dir):
     return rep.extract_widgets(spark, cat.reports(spark, sf_dir))
 
 
+@register("widget_extract_sql", f"SELECT report_id, insight_id FROM {fx.STRUCTURE_INSIGHTS} s")
+def widget_extract_sql(spark, sf_dir):
+    """W1 with built-ins only: recursive CTE over ``variant_explode``."""
+    return rep.extract_widgets(spark, cat.reports(spark, sf_dir), method="sql")
+
+
 @register("report_diff", f"""
 SELECT report_id, insight_id, 'add' AS action FROM
   (SELECT report_id, insight_id FROM {fx.STRUCTURE_INSIGHTS} s EXCEPT SELECT report_id, insight_id FROM {fx.CURRENT_INSIGHTS} c)
