@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = (
@@ -21,21 +23,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class TableResolver:
-    """Maps dataset ids to DataFrames: explicit bindings first, then driver tables by name."""
+    """Maps dataset ids to DataFrames: explicit bindings first, then driver tables by name.
+
+    A binding is a DataFrame or a zero-argument factory; factories run on first use only, so
+    datasets a spec does not name are never opened.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  bindings: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.bindings = dict(bindings or {})
+        self.bindings: dict[str, DataFrame | Callable[[], DataFrame]] = dict(bindings or {})
 
-    def bind(self, dataset_id: str, df: DataFrame) -> "TableResolver":
+    def bind(self, dataset_id: str, df: DataFrame | Callable[[], DataFrame]) -> "TableResolver":
         self.bindings[dataset_id] = df
         return self
 
     def __call__(self, dataset_id: str) -> DataFrame:
         if dataset_id in self.bindings:
-            return self.bindings[dataset_id]
+            bound = self.bindings[dataset_id]
+            if not isinstance(bound, DataFrame):
+                bound = bound()
+                self.bindings[dataset_id] = bound
+            return bound
         if self.sf_dir and dataset_id in DRIVER_TABLES:
             return read_table(self.spark, self.sf_dir, dataset_id)
         raise KeyError(f"dataset {dataset_id!r} is not bound")

@@ -13,25 +13,34 @@ from vantage.suite.registry import register, rounded, rounded_ratio
 
 def resolver(spark: SparkSession, sf_dir: str) -> TableResolver:
     """Driver tables plus datasets derived from them that carry NULLs, empty strings and booleans
-    (the driver tables have none)."""
+    (the driver tables have none). Derived datasets are built only when a spec names them."""
     r = TableResolver(spark, sf_dir)
-    cust = read_table(spark, sf_dir, "customer")
-    r.bind("cust", cust.withColumn(
-        "c_segment",
-        F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None).cast("string"))
-         .when(F.col("c_mktsegment") == "MACHINERY", F.lit(""))
-         .otherwise(F.col("c_mktsegment"))))
-    line = read_table(spark, sf_dir, "lineitem")
-    r.bind("lines", line.withColumn(
-        "l_is_return",
-        F.when(F.col("l_returnflag") == "R", F.lit(True))
-         .when(F.col("l_returnflag") == "N", F.lit(False))))
-    orders = read_table(spark, sf_dir, "orders")
-    r.bind("big_orders", orders.filter(F.col("o_totalprice") > 400000))
-    r.bind("rich_cust", cust.filter(F.col("c_acctbal") > 5000))
-    r.bind("line_returns", line.filter(F.col("l_returnflag") == "R").select(
-        F.col("l_orderkey").alias("r_orderkey"), F.col("l_linenumber").alias("r_linenumber"),
-        F.col("l_quantity").alias("r_quantity")))
+
+    def cust():
+        c = read_table(spark, sf_dir, "customer")
+        return c.withColumn(
+            "c_segment",
+            F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None).cast("string"))
+             .when(F.col("c_mktsegment") == "MACHINERY", F.lit(""))
+             .otherwise(F.col("c_mktsegment")))
+
+    def lines():
+        return read_table(spark, sf_dir, "lineitem").withColumn(
+            "l_is_return",
+            F.when(F.col("l_returnflag") == "R", F.lit(True))
+             .when(F.col("l_returnflag") == "N", F.lit(False)))
+
+    def line_returns():
+        li = read_table(spark, sf_dir, "lineitem")
+        return li.filter(F.col("l_returnflag") == "R").select(
+            F.col("l_orderkey").alias("r_orderkey"), F.col("l_linenumber").alias("r_linenumber"),
+            F.col("l_quantity").alias("r_quantity"))
+
+    r.bind("cust", cust)
+    r.bind("lines", lines)
+    r.bind("big_orders", lambda: read_table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > 400000))
+    r.bind("rich_cust", lambda: read_table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 5000))
+    r.bind("line_returns", line_returns)
     return r
 
 
