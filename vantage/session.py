@@ -16,6 +16,8 @@ _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files are removed once nothing references the checkpointed data any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
