@@ -38,3 +38,18 @@ def test_role_and_tag_edges(spark):
     assert [tuple(r) for r in roles.tag_unassign(assigned, tags).collect()] == [("t2", "r1")]
     res = spark.createDataFrame([("r1", "x"), ("r2", "y")], "id string, name string")
     assert [r.id for r in roles.resources_by_tags(res, assigned, ["t2"]).collect()] == ["r1"]
+
+
+def test_chart_frame_from_config(df):
+    col = lambda label: {"column": {"key": label, "label": label}}
+    assert charts.chart_frame(df, {"type": "table", "series": [col("v"), col("geo")]}).columns == ["v", "geo"]
+    big = charts.chart_frame(df, {"type": "big-number", "measure": {**col("v"), "aggregate": "max"}})
+    assert big.collect()[0].value == 5.0
+    assert charts.chart_frame(df, {"type": "line-chart", "xAxis": col("geo"), "yAxis": col("v"),
+                                   "metric": {"column": None}}).columns == ["x", "y", "series"]
+    assert charts.chart_frame(df, {"type": "pie-chart", "label": col("name"), "measure": col("v")}).count() == 3
+    scatter = charts.chart_frame(df, {"type": "map-chart", "layers": [
+        {"type": "scatter", "geometryColumn": {"key": "geo", "label": "geo"}, "groupColumn": None}]})
+    assert scatter.columns == ["geometry", "label", "value", "group"]
+    with pytest.raises(ValueError):
+        charts.chart_frame(df, {"type": "gauge"})

@@ -66,3 +66,45 @@ def map_frame(df: DataFrame, geometry: str, label: str | None = None, value: str
     if layer_type == "scatter":
         cols.append((_c(group).cast("string") if group else F.lit(None).cast("string")).alias("group"))
     return df.select(*cols)
+
+
+def _role(entry: dict | None) -> str | None:
+    """Result column named by a config role (``{"column": {...}}`` or the column dict itself): its
+    ``label``, which is the select's output name, else its ``key``."""
+    if not isinstance(entry, dict):
+        return None
+    col = entry.get("column", entry) if "column" in entry else entry
+    if not col:
+        return None
+    return col.get("label") or col.get("key")
+
+
+def chart_frame(df: DataFrame, config: dict) -> DataFrame:
+    """The chart-ready frame an insight's visual ``config`` asks for, over the insight result.
+
+    Config types: ``table`` (``series`` in order), ``big-number`` (``measure`` and its
+    ``aggregate``, default sum), ``bar-chart`` / ``line-chart`` (``xAxis``, ``yAxis``, optional
+    ``metric``), ``pie-chart`` (``label``, ``measure``), ``map-chart`` (first layer:
+    ``geometryColumn``, optional ``labelColumn`` / ``valueColumn``, ``groupColumn`` for scatter).
+    Styling keys are ignored.
+    """
+    kind = (config or {}).get("type")
+    if kind == "table":
+        return table_frame(df, [_role(s) for s in config.get("series") or []])
+    if kind == "big-number":
+        measure = config.get("measure") or {}
+        return big_number(df, _role(measure), measure.get("aggregate") or "sum")
+    if kind in ("bar-chart", "line-chart"):
+        frame = bar_frame if kind == "bar-chart" else line_frame
+        return frame(df, _role(config.get("xAxis")), _role(config.get("yAxis")), _role(config.get("metric")))
+    if kind == "pie-chart":
+        return pie_frame(df, _role(config.get("label")), _role(config.get("measure")))
+    if kind == "map-chart":
+        layers = config.get("layers") or []
+        if not layers:
+            raise ValueError("map chart without layers")
+        layer = layers[0]
+        return map_frame(df, _role(layer.get("geometryColumn")), _role(layer.get("labelColumn")),
+                         _role(layer.get("valueColumn")), layer.get("type", "choropleth"),
+                         _role(layer.get("groupColumn")))
+    raise ValueError(f"unknown chart type {kind!r}")

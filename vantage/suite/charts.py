@@ -102,3 +102,21 @@ def chart_scatter(spark, sf_dir):
          .add_select("c_custkey", "customer", "count", "customers"))
     out = charts.map_frame(_run(spark, sf_dir, b), "n_name", None, "customers", "scatter", group="r_name")
     return out.withColumn("value", F.col("value").cast("double"))
+
+
+@register("chart_from_config", """
+SELECT CAST(o_orderpriority AS VARCHAR) AS x, count(o_orderkey) AS y, o_orderstatus AS series
+FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderpriority, o_orderstatus
+""")
+def chart_from_config(spark, sf_dir):
+    """An insight whose visual config asks for a bar chart: spec → result → chart frame."""
+    config = {"type": "bar-chart",
+              "xAxis": {"column": {"key": "o_orderpriority", "label": "priority", "type": "text"}},
+              "yAxis": {"column": {"key": "o_orderkey", "label": "orders", "type": "number"}},
+              "metric": {"column": {"key": "o_orderstatus", "label": "status", "type": "text"}}}
+    spec = (InsightBuilder().add_dataset("orders")
+            .add_select("o_orderpriority", label="priority").add_select("o_orderstatus", label="status")
+            .add_select("o_orderkey", aggregate="count", label="orders")
+            .add_filter("o_totalprice", "greater_than", 100000)
+            .set_config(config).build())
+    return charts.chart_frame(run_insight(spec, TableResolver(spark, sf_dir)), spec["config"])
