@@ -126,3 +126,18 @@ def test_dataset_store_roundtrip_and_sql(spark, tmp_path):
     assert [r.k for r in spark.read.parquet(out).collect()] == [2]
     with pytest.raises(ValueError):
         store.path("../x")
+
+
+def test_date_variable_binds_a_date(spark, frames):
+    import datetime
+
+    from vantage.plans.sql import bind_variables
+
+    var = [{"name": "d", "type": "date", "inputOption": "text", "defaultValue": "2025-01-01", "alwaysRequired": True}]
+    assert bind_variables(var, None) == {"d": datetime.date(2025, 1, 1)}
+    with pytest.raises(SpecError):
+        bind_variables(var, {"d": "1-1-1"})
+    spec = (InsightBuilder().set_mode("sqlEditor")
+            .set_sql("SELECT count(*) AS n FROM '{{ds-1}}' WHERE date_add(:d, k) > DATE '2025-01-02'")
+            .add_sql_variable("v", "d", "Day", type="date", input_option="text", default_value="2025-01-01").build())
+    assert run_insight(spec, frames.__getitem__).collect()[0].n == 2

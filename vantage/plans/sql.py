@@ -9,6 +9,7 @@ binding (``?`` for positional, ``:name`` for named), never through string format
 
 from __future__ import annotations
 
+import datetime
 import re
 import uuid
 from typing import Any, Callable, Iterable
@@ -104,6 +105,13 @@ def _custom_values(variable: dict) -> list[str]:
 def _typed(value: Any, vtype: str):
     if value is None:
         return None
+    if vtype == "date":
+        if isinstance(value, datetime.date):
+            return value
+        try:
+            return datetime.date.fromisoformat(str(value).strip()[:10])
+        except ValueError as exc:
+            raise SpecError(f"not a date: {value!r}") from exc
     if vtype == "number":
         if isinstance(value, (int, float)) and not isinstance(value, bool):
             return value
