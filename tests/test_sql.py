@@ -141,3 +141,13 @@ def test_date_variable_binds_a_date(spark, frames):
             .set_sql("SELECT count(*) AS n FROM '{{ds-1}}' WHERE date_add(:d, k) > DATE '2025-01-02'")
             .add_sql_variable("v", "d", "Day", type="date", input_option="text", default_value="2025-01-01").build())
     assert run_insight(spec, frames.__getitem__).collect()[0].n == 2
+
+
+def test_source_timestamp_parsed_copy(spark):
+    import datetime
+
+    from vantage.sources.datasets import normalized_source_timestamps
+
+    df = spark.createDataFrame([("2025-03-04",), ("2025-03-04T05:06:07Z",), ("a-b-c",)], "source_timestamp string")
+    got = [r.source_timestamp_ts for r in normalized_source_timestamps(df, parsed=True).collect()]
+    assert got == [datetime.datetime(2025, 3, 4), datetime.datetime(2025, 3, 4, 5, 6, 7), None]

@@ -85,9 +85,14 @@ def column_metadata(df: DataFrame) -> dict[str, dict]:
     return {f.name: dict(f.metadata or {}) for f in df.schema.fields}
 
 
-def normalized_source_timestamps(df: DataFrame, col: str = "source_timestamp") -> DataFrame:
-    """S8 over a table of datasets: adds ``source_timestamp_norm``."""
-    return df.withColumn(f"{col}_norm", normalize_source_timestamp(F.col(col)))
+def normalized_source_timestamps(df: DataFrame, col: str = "source_timestamp", parsed: bool = False) -> DataFrame:
+    """S8 over a table of datasets: adds ``<col>_norm``; with ``parsed``, also ``<col>_ts``, the
+    normalized value as ``timestamp_ntz`` (NULL when it is not an ISO timestamp)."""
+    out = df.withColumn(f"{col}_norm", normalize_source_timestamp(F.col(col)))
+    if parsed:
+        ts = F.try_to_timestamp(F.col(f"{col}_norm"), F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        out = out.withColumn(f"{col}_ts", ts.cast("timestamp_ntz"))
+    return out
 
 
 class DatasetStore:
