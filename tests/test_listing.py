@@ -53,3 +53,12 @@ def test_deep_pages_use_row_numbers(res):
     top_k = [r.id for r in lst.page(res, 3, 40, ["id"]).collect()]
     numbered = [r.id for r in lst.page(res, 3, 40, ["id"], top_k_limit=10).collect()]
     assert top_k == numbered and len(top_k) == 40
+
+
+def test_listing_by_tags_and_search(spark, res):
+    tags = spark.createDataFrame([("t1", "3"), ("t2", "9"), ("t1", "12")], "tag_id string, resource_id string")
+    got = lst.list_resources(res, "c0", "dataset", permission=None, tag_ids=["t1", "t2"], resource_tags=tags)
+    assert sorted(r.id for r in got.collect()) == ["3", "9"]
+    assert got.columns == res.columns
+    red = lst.list_resources(res, "c0", "dataset", permission=None, search="red")
+    assert all("Red" in r.name for r in red.collect()) and red.count() > 0
