@@ -151,3 +151,17 @@ def test_source_timestamp_parsed_copy(spark):
     df = spark.createDataFrame([("2025-03-04",), ("2025-03-04T05:06:07Z",), ("a-b-c",)], "source_timestamp string")
     got = [r.source_timestamp_ts for r in normalized_source_timestamps(df, parsed=True).collect()]
     assert got == [datetime.datetime(2025, 3, 4), datetime.datetime(2025, 3, 4, 5, 6, 7), None]
+
+
+def test_write_sorted_within_files(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from vantage.sources.datasets import write_dataset
+
+    df = spark.range(0, 5000, 1, 4).selectExpr("id", "(id * 7919) % 1000 AS k").repartition(2)
+    path = str(tmp_path / "sorted")
+    write_dataset(df, path, sort_within=["k"])
+    for f in (tmp_path / "sorted").glob("*.parquet"):
+        ks = pq.read_table(f).column("k").to_pylist()
+        assert ks == sorted(ks)
+    assert spark.read.parquet(path).count() == 5000
