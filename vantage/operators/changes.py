@@ -230,6 +230,10 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str = "key", payloa
     (at or after the reset) whose payload has that key. Equal to replaying the changes one by one
     in ``seq`` order, where a create on a live key is a reset and updates to absent keys are
     rejected. Returns ``(new state, rejects)``.
+
+    ``seq`` is expected to be unique per key. If two changes of a key share one, the fold still
+    picks deterministically (the greater operation or value wins the struct comparison), but the
+    reject scan orders them arbitrarily.
     """
     fields = _field_schema(state, key)
     new_state = finalize_fold(state, fold_changes(changes, fields, key, payload), key)
