@@ -86,3 +86,31 @@ def test_random_specs_match_duckdb(frames, con, how, filters, keys, aggs, having
     got = run_insight(b.build(), frames.__getitem__, eager_aggregation=eager)
     want = con.execute(sql).fetchall()
     assert _norm([tuple(r) for r in got.collect()]) == _norm(want), sql
+
+
+PIVOT_VALUES = ["F", "O", "P"]
+PIVOT_SQL = {"sum": "sum(CASE WHEN o.st = '{v}' THEN o.amt END)", "count": "count(CASE WHEN o.st = '{v}' THEN o.ok END)",
+             "max": "max(CASE WHEN o.st = '{v}' THEN o.amt END)", "min": "min(CASE WHEN o.st = '{v}' THEN o.amt END)"}
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(row=st.sampled_from([("c", "seg"), ("c", "ck")]),
+       measures=st.lists(st.sampled_from(["sum", "count", "max", "min"]), min_size=1, max_size=2, unique=True),
+       how=st.sampled_from(["inner", "left"]))
+def test_random_pivots_match_duckdb(frames, con, row, measures, how):
+    b = (InsightBuilder().add_dataset("c").add_dataset("o", how, [join_on("c", "ck", "o", "ck")])
+         .add_select(row[1], row[0], label="r").add_select("st", "o", label="status"))
+    for m in measures:
+        b.add_select("ok" if m == "count" else "amt", "o", m, m)
+    b.set_pivot(rows=["r"], columns=[{"label": "status", "values": PIVOT_VALUES}], values=list(measures))
+    got = run_insight(b.build(), frames.__getitem__)
+    cols = []
+    for v in PIVOT_VALUES:
+        for m in measures:
+            name = v if len(measures) == 1 else f"{v}_{m}"
+            cols.append(PIVOT_SQL[m].format(v=v) + f' AS "{name}"')
+    sql = (f"SELECT {row[0]}.{row[1]} AS r, {', '.join(cols)} FROM c "
+           f"{'JOIN' if how == 'inner' else 'LEFT JOIN'} o ON c.ck = o.ck GROUP BY {row[0]}.{row[1]}")
+    res = con.execute(sql)
+    assert got.columns == [d[0] for d in res.description]
+    assert _norm([tuple(r) for r in got.collect()]) == _norm(res.fetchall()), sql

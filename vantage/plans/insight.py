@@ -307,6 +307,17 @@ def _plan_pivot(df: DataFrame, selects, pivot, orders, visible) -> tuple[DataFra
                      *[_source_col(by_label[n], visible).alias(f"__m_{i}") for i, n in enumerate(values)])
     measures = [(n, aggregate_expr(by_label[n].aggregate, F.col(f"__m_{i}"))) for i, n in enumerate(values)]
     out = pivot_frame(base, rows, pcol, measures, pvalues)
+    # Spark leaves a pivot cell NULL when a row has no input for that value; a count is 0 there.
+    counts = [n for n in values if by_label[n].aggregate in ("count", "count_distinct")]
+    if counts:
+        cells = [c for c in out.columns if c not in rows]
+        if len(values) == 1:
+            zero = cells
+        else:   # cells are named <value>_<label>; match the longest label suffix
+            by_len = sorted(values, key=len, reverse=True)
+            zero = [c for c in cells
+                    if next((n for n in by_len if c.endswith(f"_{n}")), None) in counts]
+        out = out.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in zero})
     sort_cols = []
     for ref, direction in orders:
         match = [label for r, label in selects if r.key == ref.key and label in rows]
