@@ -114,3 +114,36 @@ def test_random_pivots_match_duckdb(frames, con, row, measures, how):
     res = con.execute(sql)
     assert got.columns == [d[0] for d in res.description]
     assert _norm([tuple(r) for r in got.collect()]) == _norm(res.fetchall()), sql
+
+
+ORDERABLE = [("o", "amt", "sum"), ("o", "ok", "count"), ("o", "amt", "max"), ("o", "amt", "min")]
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(st.sampled_from(KEYS), min_size=1, max_size=2, unique=True),
+       orders=st.lists(st.tuples(st.sampled_from(ORDERABLE), st.sampled_from(["asc", "desc"])), max_size=2),
+       limit=st.integers(min_value=0, max_value=6),
+       how=st.sampled_from(["inner", "left"]))
+def test_random_order_and_limit_match_duckdb(frames, con, keys, orders, limit, how):
+    b = (InsightBuilder().add_dataset("c").add_dataset("o", how, [join_on("c", "ck", "o", "ck")])
+         .add_select("amt", "o", "sum", "total"))
+    select_sql, group_sql, order_sql = ["sum(o.amt) AS total"], [], []
+    for i, (ds, col) in enumerate(keys):
+        b.add_select(col, ds, label=f"k{i}")
+        select_sql.append(f"{ds}.{col} AS k{i}")
+        group_sql.append(f"{ds}.{col}")
+    for (ds, col, agg), direction in orders:   # aggregates, selected or not
+        b.add_order_by(col, ds, agg, direction)
+        order_sql.append(f"{SQL_AGG[agg].format(f'{ds}.{col}')} {direction.upper()} NULLS LAST")
+    for ds, col in keys:                         # keys make the order total
+        b.add_order_by(col, ds)
+        order_sql.append(f"{ds}.{col} ASC NULLS LAST")
+    b.set_limit(limit)
+    sql = (f"SELECT {', '.join(select_sql)} FROM c {'JOIN' if how == 'inner' else 'LEFT JOIN'} o ON c.ck = o.ck "
+           f"GROUP BY {', '.join(group_sql)} ORDER BY {', '.join(order_sql)} LIMIT {limit}")
+    got = [tuple(r) for r in run_insight(b.build(), frames.__getitem__).collect()]
+    want = con.execute(sql).fetchall()
+    norm = lambda rows: [tuple(None if x is None or (isinstance(x, float) and pd.isna(x))
+                               else (round(float(x), 6) if isinstance(x, (int, float)) else x) for x in r)
+                         for r in rows]
+    assert norm(got) == norm(want), sql
