@@ -23,6 +23,11 @@ FILTERS = [  # (dataset, column, operator, value, SQL)
     ("o", "st", "not_equals", "O", "o.st <> 'O'"),
     ("o", "amt", "less_or_equals", 5, "o.amt <= 5"),
     ("o", "st", "is_not_null_or_empty", None, "(o.st IS NOT NULL AND o.st <> '')"),
+    ("o", "ok", "like", "10%", "CAST(o.ok AS VARCHAR) LIKE '10%'"),
+    ("c", "seg", "not_contains", "B", "NOT contains(c.seg, 'B')"),
+    ("c", "seg", "starts_with", "A", "starts_with(c.seg, 'A')"),
+    ("o", "amt", "greater_or_equals", 4.0, "o.amt >= 4.0"),
+    ("c", "seg", "is_null_or_empty", None, "(c.seg IS NULL OR c.seg = '')"),
 ]
 KEYS = [("c", "seg"), ("o", "st"), ("c", "ck")]
 AGGS = [("o", "amt", "sum"), ("o", "ok", "count"), ("o", "amt", "min"), ("o", "amt", "max"),
