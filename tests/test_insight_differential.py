@@ -152,3 +152,53 @@ def test_random_order_and_limit_match_duckdb(frames, con, keys, orders, limit, h
                                else (round(float(x), 6) if isinstance(x, (int, float)) else x) for x in r)
                          for r in rows]
     assert norm(got) == norm(want), sql
+
+
+REGIONS = pd.DataFrame({"rk": [1, 2, 3], "rname": ["N", "S", "E"]})
+CUST_RK = [1, 2, 1, 2, None, 3]   # region of each customer row
+
+
+@pytest.fixture(scope="module")
+def chain_frames(spark, frames):
+    c = CUST.assign(rk=CUST_RK)
+    return {**frames,
+            "c": spark.createDataFrame(c.astype(object).where(c.notna(), None),
+                                       "ck long, seg string, score double, rk long"),
+            "r": spark.createDataFrame(REGIONS, "rk long, rname string")}
+
+
+@pytest.fixture(scope="module")
+def chain_con():
+    c = duckdb.connect()
+    c.register("c", CUST.assign(rk=pd.array(CUST_RK, dtype="Int64")).astype({"score": "float64"}))
+    c.register("o", ORDERS)
+    c.register("r", REGIONS)
+    return c
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(order=st.sampled_from(["r-c-o", "c-o-r", "o-c-r"]),
+       hows=st.tuples(st.sampled_from(["inner", "left"]), st.sampled_from(["inner", "left"])),
+       key=st.sampled_from([("r", "rname"), ("c", "seg"), ("o", "st")]),
+       aggs=st.lists(st.sampled_from([("o", "amt", "sum"), ("o", "ok", "count"), ("o", "amt", "max"),
+                                      ("o", "amt", "avg")]), min_size=1, max_size=2, unique=True),
+       eager=st.sampled_from(["never", "always"]))
+def test_random_chains_match_duckdb(chain_frames, chain_con, order, hows, key, aggs, eager):
+    conds = {("c", "o"): ("c", "ck", "o", "ck"), ("o", "c"): ("o", "ck", "c", "ck"),
+             ("r", "c"): ("r", "rk", "c", "rk"), ("c", "r"): ("c", "rk", "r", "rk")}
+    seq = order.split("-")
+    b = InsightBuilder().add_dataset(seq[0])
+    sql = f"SELECT {key[0]}.{key[1]} AS k"
+    from_sql = seq[0]
+    for i, ds in enumerate(seq[1:]):
+        left = "c" if ds != "c" else seq[0]            # every step joins on the customer table
+        lds, lcol, rds, rcol = conds[(left, ds)]
+        b.add_dataset(ds, hows[i], [join_on(lds, lcol, rds, rcol)])
+        from_sql += f" {'JOIN' if hows[i] == 'inner' else 'LEFT JOIN'} {ds} ON {lds}.{lcol} = {rds}.{rcol}"
+    b.add_select(key[1], key[0], label="k")
+    for i, (ds, col, agg) in enumerate(aggs):
+        b.add_select(col, ds, agg, f"a{i}")
+        sql += f", {agg}({ds}.{col}) AS a{i}"
+    sql += f" FROM {from_sql} GROUP BY {key[0]}.{key[1]}"
+    got = run_insight(b.build(), chain_frames.__getitem__, eager_aggregation=eager)
+    assert _norm([tuple(r) for r in got.collect()]) == _norm(chain_con.execute(sql).fetchall()), sql
