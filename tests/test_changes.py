@@ -180,3 +180,22 @@ def test_dpa_entries_defaults(spark):
     assert (got["a"].status, got["a"].toggleable) == ("inactive", True)
     assert (got["b"].status, got["b"].toggleable) == ("active", False)
     assert got["a"].attributes.activityAmendments[0].personGroup == "staff"
+
+
+def test_kpi_match_random_against_python(spark):
+    rng = random.Random(21)
+    insights = []
+    for i in range(200):
+        kpi = rng.choice(["K1", "K2", "K3", "K 4", "K-5"])
+        name = kpi if rng.random() < 0.2 else f"{kpi} - {rng.choice(['a', 'b - c', ''])}"
+        insights.append((str(i), rng.choice(["s1", "s2"]), name, rng.randrange(1000)))
+    requests = [(s, k) for s in ("s1", "s2", "s3") for k in ("K1", "K2", "K3", "K 4", "K-5", "K9")]
+    expected = {}
+    for sol, kpi in requests:
+        matches = [(order, iid) for iid, s, name, order in insights if s == sol and name.split(" - ")[0] == kpi]
+        expected[(sol, kpi)] = min(matches)[1] if matches else None
+    ins = spark.createDataFrame(insights, "id string, solution_id string, name string, pos int")
+    req = spark.createDataFrame(requests, "solution_id string, kpi_id string")
+    got = {(r.solution_id, r.kpi_id): r.insight_id
+           for r in chg.kpi_match(ins, req, order=F.struct(F.col("pos"), F.col("id"))).collect()}
+    assert got == expected
