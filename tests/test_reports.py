@@ -87,3 +87,26 @@ def test_assemble_in_sections_concatenates_to_the_whole(spark):
     for p in parts:
         merged += [i for i in p.insights if i not in merged]
     assert merged == whole.insights
+
+
+def test_assemble_random_against_python(spark):
+    rng = random.Random(31)
+    rows = []
+    for r in range(30):
+        for _ in range(rng.randrange(1, 8)):
+            pos = rng.randrange(1, 5)                       # ties on purpose
+            iid = rng.choice(["a", "b", "c", "", None])
+            rows.append((f"r{r}", pos, json.dumps({"b": rng.randrange(100)}), iid))
+    rng.shuffle(rows)
+    blocks = spark.createDataFrame(rows, "report_id string, pos int, block string, insight_id string")
+    got = {r.report_id: (r.structure, list(r.insights)) for r in rep.assemble(blocks).collect()}
+    for rid in {r[0] for r in rows}:
+        # Spark sorts the (pos, block, insight_id) structs with NULL ids first
+        mine = sorted(((p, b, i) for rr, p, b, i in rows if rr == rid),
+                      key=lambda t: (t[0], t[1], (t[2] is not None, t[2] or "")))
+        structure = '{"editorState": [' + ", ".join(b for _, b, _ in mine) + "]}"
+        insights = []
+        for _, _, i in mine:
+            if i and i not in insights:
+                insights.append(i)
+        assert got[rid] == (structure, insights), rid
