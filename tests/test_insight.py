@@ -284,3 +284,15 @@ def test_cross_join_needs_a_small_side(spark, resolve):
     unbounded = InsightBuilder().add_dataset("c").add_dataset("o", "cross").add_select("ck").build()
     with pytest.raises(SpecError):
         run_insight(unbounded, resolve)
+
+
+def test_run_chart_uses_the_spec_config(resolve):
+    from vantage.plans.insight import run_chart
+
+    spec = (InsightBuilder().add_dataset("o").add_select("ck").add_select("amt", aggregate="sum", label="total")
+            .set_config({"type": "pie-chart", "label": {"column": {"key": "ck", "label": "ck"}},
+                         "measure": {"column": {"key": "amt", "label": "total"}}}).build())
+    out = run_chart(spec, resolve)
+    assert out.columns == ["label", "measure"] and out.count() == 4
+    with pytest.raises(SpecError):
+        run_chart(InsightBuilder().add_dataset("o").add_select("ck").build(), resolve)

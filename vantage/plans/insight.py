@@ -338,3 +338,14 @@ def run_insight(spec: dict, resolve: Resolver, variables: dict | None = None, sp
     from vantage.plans.sql import run_sql_editor
 
     return run_sql_editor(query["sqlEditor"], resolve, values=variables, spark=spark)
+
+
+def run_chart(spec: dict, resolve: Resolver, variables: dict | None = None, spark=None,
+              eager_aggregation: str = "auto") -> DataFrame:
+    """The chart-ready frame of an insight: its result shaped by the spec's own visual ``config``."""
+    from vantage.operators.charts import chart_frame
+
+    config = spec.get("config") if isinstance(spec, dict) else None
+    if not config:
+        raise SpecError("the insight has no visual config")
+    return chart_frame(run_insight(spec, resolve, variables, spark, eager_aggregation), config)
