@@ -2,7 +2,8 @@
 
 DataFrames are lazy, so a timeout belongs to the action that runs them. The action's jobs run in
 their own job group, and a timer cancels that group when time is up. Cancelling interrupts the
-running tasks on the executors and frees the cluster; the caller gets ``TimeoutError``.
+running tasks on the executors and frees the cluster; the caller gets ``TimeoutError``. Spark
+Connect sessions, which have no SparkContext, use operation tags instead.
 """
 
 from __future__ import annotations
@@ -22,7 +23,11 @@ def run_with_timeout(df: DataFrame, action: Callable[[DataFrame], T], timeout: f
     ``timeout`` seconds."""
     if timeout <= 0:
         raise ValueError("timeout must be positive")
-    sc = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return _run_with_tag(spark, df, action, timeout)
     group = f"vantage-{uuid.uuid4().hex}"
     fired = threading.Event()
 
@@ -44,3 +49,27 @@ def run_with_timeout(df: DataFrame, action: Callable[[DataFrame], T], timeout: f
         timer.cancel()
         for prop in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
             sc.setLocalProperty(prop, None)
+
+
+def _run_with_tag(spark, df: DataFrame, action: Callable[[DataFrame], T], timeout: float) -> T:
+    """Spark Connect: tag the operations of this thread and interrupt the tag when time is up."""
+    tag = f"vantage-{uuid.uuid4().hex}"
+    fired = threading.Event()
+
+    def cancel() -> None:
+        fired.set()
+        spark.interruptTag(tag)
+
+    spark.addTag(tag)
+    timer = threading.Timer(timeout, cancel)
+    timer.daemon = True
+    timer.start()
+    try:
+        return action(df)
+    except Exception as exc:
+        if fired.is_set():
+            raise TimeoutError(f"query exceeded {timeout} s and was interrupted") from exc
+        raise
+    finally:
+        timer.cancel()
+        spark.removeTag(tag)
