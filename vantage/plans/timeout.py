@@ -1,9 +1,10 @@
 """Advisory timeout for running a query (the SQL call's ``timeout``).
 
 DataFrames are lazy, so a timeout belongs to the action that runs them. The action's jobs run in
-their own job group, and a timer cancels that group when time is up. Cancelling interrupts the
-running tasks on the executors and frees the cluster; the caller gets ``TimeoutError``. Spark
-Connect sessions, which have no SparkContext, use operation tags instead.
+their own job group; once time is up, a watcher cancels that group, and keeps cancelling it until
+the action returns, so a job submitted just after the deadline is caught as well. Cancelling
+interrupts the running tasks on the executors and frees the cluster; the caller gets
+``TimeoutError``. Spark Connect sessions, which have no SparkContext, use operation tags instead.
 """
 
 from __future__ import annotations
@@ -16,6 +17,34 @@ from pyspark.sql import DataFrame
 
 T = TypeVar("T")
 
+_RECANCEL_SECONDS = 0.5
+
+
+def _watch(timeout: float, cancel: Callable[[], None], done: threading.Event, fired: threading.Event) -> None:
+    if done.wait(timeout):
+        return
+    fired.set()
+    while not done.is_set():
+        cancel()
+        done.wait(_RECANCEL_SECONDS)
+
+
+def _run(action: Callable[[DataFrame], T], df: DataFrame, timeout: float, cancel: Callable[[], None],
+         description: str) -> T:
+    done, fired = threading.Event(), threading.Event()
+    watcher = threading.Thread(target=_watch, args=(timeout, cancel, done, fired), daemon=True)
+    watcher.start()
+    try:
+        result = action(df)
+    except Exception as exc:
+        if fired.is_set():
+            raise TimeoutError(f"{description} exceeded {timeout} s and was cancelled") from exc
+        raise
+    finally:
+        done.set()
+        watcher.join()
+    return result   # finished before a cancellation reached it: the result is complete
+
 
 def run_with_timeout(df: DataFrame, action: Callable[[DataFrame], T], timeout: float,
                      description: str = "vantage query") -> T:
@@ -27,49 +56,22 @@ def run_with_timeout(df: DataFrame, action: Callable[[DataFrame], T], timeout: f
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
-        return _run_with_tag(spark, df, action, timeout)
+        return _run_with_tag(spark, df, action, timeout, description)
     group = f"vantage-{uuid.uuid4().hex}"
-    fired = threading.Event()
-
-    def cancel() -> None:
-        fired.set()
-        sc.cancelJobGroup(group)
-
     sc.setJobGroup(group, description, interruptOnCancel=True)
-    timer = threading.Timer(timeout, cancel)
-    timer.daemon = True
-    timer.start()
     try:
-        return action(df)
-    except Exception as exc:
-        if fired.is_set():
-            raise TimeoutError(f"{description} exceeded {timeout} s and was cancelled") from exc
-        raise
+        return _run(action, df, timeout, lambda: sc.cancelJobGroup(group), description)
     finally:
-        timer.cancel()
         for prop in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
             sc.setLocalProperty(prop, None)
 
 
-def _run_with_tag(spark, df: DataFrame, action: Callable[[DataFrame], T], timeout: float) -> T:
+def _run_with_tag(spark, df: DataFrame, action: Callable[[DataFrame], T], timeout: float,
+                  description: str) -> T:
     """Spark Connect: tag the operations of this thread and interrupt the tag when time is up."""
     tag = f"vantage-{uuid.uuid4().hex}"
-    fired = threading.Event()
-
-    def cancel() -> None:
-        fired.set()
-        spark.interruptTag(tag)
-
     spark.addTag(tag)
-    timer = threading.Timer(timeout, cancel)
-    timer.daemon = True
-    timer.start()
     try:
-        return action(df)
-    except Exception as exc:
-        if fired.is_set():
-            raise TimeoutError(f"query exceeded {timeout} s and was interrupted") from exc
-        raise
+        return _run(action, df, timeout, lambda: spark.interruptTag(tag), description)
     finally:
-        timer.cancel()
         spark.removeTag(tag)
