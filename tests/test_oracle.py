@@ -3,12 +3,10 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from scripts.compare_oracle import digest
 from tests.conftest import SF_ORACLE
 from vantage.sources.tables import DRIVER_TABLES, table_path
-
-ORACLE = entry.oracle_sql()
+from vantage.suite import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -20,12 +18,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF_ORACLE)
+    df = QUERIES[name](spark, SF_ORACLE)
     srows = [tuple(r) for r in df.collect()]
     res = con.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
