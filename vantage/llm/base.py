@@ -69,3 +69,29 @@ def number_rows(df: DataFrame, key: str, name: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     return local.join(F.broadcast(bases), "part").select(key, (F.col("base") + F.col("at")).alias("rank"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the session's Python workers, wherever they start.
+
+    The package goes to the executors as a zip, as ``--py-files`` would send it; once per session.
+    """
+    import os
+    import tempfile
+    import zipfile
+
+    import vantage
+
+    context = spark.sparkContext
+    if getattr(context, "_vantage_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(vantage.__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="vantage-"), "vantage.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.join("vantage", os.path.relpath(path, root)))
+    context.addPyFile(target)
+    context._vantage_shipped = True

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantage.llm import line_dedup, token_files
+from vantage.llm import jaccard_join, line_dedup, sentencepiece_bpe, token_files, window_dedup
 from vantage.llm.base import read_documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,25 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op5_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = window_dedup.dedup_windows(read_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(read_documents(spark, sf_dir))
+
+
+@query
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    return sentencepiece_bpe.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
 @query
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers

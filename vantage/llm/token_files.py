@@ -19,6 +19,8 @@ from urllib.parse import urlsplit
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vantage.llm.base import ship
+
 _MANIFEST = "shard long, name string, n_docs long, n_null long, n_tokens long, width int"
 
 
@@ -54,17 +56,67 @@ def _mapped(uri: str, dtype: str):
         return np.frombuffer(file.read_buffer(), dtype)
 
 
-def word_encoder(tokenizer_path: str):
-    """Encoder for tokenizers that drop white space and never join words: each distinct word is encoded once."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
-    from tokenizers import Tokenizer
+class WordEncoder:
+    """Encodes distinct words for a tokenizer that drops white space and splits words by a pattern.
 
-    from vantage.llm.unit_cache import UnitCache
+    A new word is cut into the tokenizer's own pieces, and distinct pieces are encoded many at a
+    time: the word-end suffix of the vocabulary tells where each piece's ids end. Words with
+    characters beyond Latin, and tokenizers without such a pattern or suffix, are encoded word by word.
+    """
 
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    cache = UnitCache(lambda units: [e.ids for e in tokenizer.encode_batch_fast(
-        [u.decode() for u in units], add_special_tokens=False)])
-    return tokenizer, cache
+    def __init__(self, path: str, limit: int = 500_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
+        import json
+
+        import regex
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        pattern = steps[0].get("pattern", {}).get("Regex") if steps[0].get("invert") else None
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.pattern = regex.compile(pattern) if pattern and suffix else None
+        self.last = {i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)}
+        self.special = [t["content"] for t in spec.get("added_tokens", [])]
+        self.normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
+        self.pieces: dict[str, list[int]] = {}
+        self.limit = limit
+
+    def _alone(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        for a in range(0, len(pieces), 500):
+            part = pieces[a:a + 500]
+            found, own = [], []
+            for i in self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids:
+                own.append(i)
+                if i in self.last:
+                    found.append(own)
+                    own = []
+            self.pieces.update(zip(part, found if len(found) == len(part) and not own else self._alone(part)))
+
+    def __call__(self, words: list[bytes]) -> list[list[int]]:
+        texts = [w.decode() for w in words]
+        if self.pattern is None:
+            return self._alone(texts)
+        cut: list = [None] * len(texts)
+        for i, text in enumerate(texts):
+            if text.isascii():
+                if not ("<" in text and any(x in text for x in self.special)):
+                    cut[i] = self.pattern.findall(text.lower())
+            elif max(text) < "\u0250":
+                cut[i] = self.pattern.findall(self.normal(text))
+        if len(self.pieces) > self.limit:
+            self.pieces.clear()
+        self._learn(list({p for own in cut if own for p in own if p not in self.pieces}))
+        rest = [i for i, own in enumerate(cut) if own is None]
+        out: list = [None if own is None else [x for p in own for x in self.pieces[p]] for own in cut]
+        for i, ids in zip(rest, self._alone([texts[i] for i in rest])):
+            out[i] = ids
+        return out
 
 
 def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -79,6 +131,7 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
+    ship(spark)
     width = 2 if max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
 
     def encode(batches: Iterator) -> Iterator:
@@ -88,9 +141,10 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
         import pyarrow as pa
         from pyspark import TaskContext
 
-        from vantage.llm.unit_cache import text_slices
+        from vantage.llm.unit_cache import UnitCache, text_slices
 
-        tokenizer, cache = word_encoder(tokenizer_path)
+        encoder = WordEncoder(tokenizer_path)
+        cache = UnitCache(encoder)
         shard = TaskContext.get().partitionId()
         name = f"shard-{shard:06d}-{uuid.uuid4().hex[:8]}"
         n_docs = n_null = n_tokens = 0
@@ -109,7 +163,7 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
             ids, lens = cache(words)
             ends = np.concatenate(([0], np.cumsum(lens)))[np.cumsum(counts)]  # where each document's ids end
             if whole is not None:
-                alone = tokenizer.encode(part.column(1)[whole].as_py(), add_special_tokens=False).ids
+                alone = encoder.tokenizer.encode(part.column(1)[whole].as_py(), add_special_tokens=False).ids
                 if alone != ids[(ends[whole - 1] if whole else 0):ends[whole]].tolist():
                     raise ValueError(f"{tokenizer_path} does not encode words independently")
             n = np.diff(ends, prepend=0) + 1
@@ -185,5 +239,6 @@ def read_token_files(spark: SparkSession, out_dir: str, with_ids: bool = False)
                         names.append("ids")
                     yield pa.RecordBatch.from_arrays(columns, names)
 
+    ship(spark)
     manifest = read_manifest(spark, out_dir)
     return manifest.repartition(max(1, manifest.count())).mapInArrow(read, schema)

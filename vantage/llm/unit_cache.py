@@ -11,7 +11,7 @@ import numpy as np
 
 
 class UnitCache:
-    def __init__(self, encode: Callable[[list], list[list[int]]], limit: int = 300_000):
+    def __init__(self, encode: Callable[[list], list[list[int]]], limit: int = 500_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
