@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vantage.session import scratch_path
@@ -52,23 +52,21 @@ def blank(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def number_rows(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Distinct non-null values of ``key`` with ``rank`` 0, 1, 2 … in ascending order.
+def number_rows(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The distinct rows of ``df`` with ``rank`` 0, 1, 2 … in ascending order of ``keys``.
 
     A range-partitioned sort numbers each partition by itself; the partitions' bases are prefix
-    sums over one row per partition. No task sees all keys.
+    sums over one row per partition. No task sees all rows.
     """
-    ids = df.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
-    local = ids.sort(key).select(
-        F.col(key), F.spark_partition_id().alias("part"),
+    local = df.distinct().sort(*keys).select(
+        "*", F.spark_partition_id().alias("part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("at"))
     local = written(local, name)
-    sizes = local.groupBy("part").agg((F.max("at") + 1).alias("n"))
-    from pyspark.sql import Window
-
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return local.join(F.broadcast(bases), "part").select(key, (F.col("base") + F.col("at")).alias("rank"))
+    bases = local.groupBy("part").agg((F.max("at") + 1).alias("size")).select(
+        "part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
+    # one row per partition of the sort: bounded by the partition count
+    return local.join(F.broadcast(bases), "part").withColumn("rank", F.col("base") + F.col("at")).drop("part", "at", "base")
 
 
 def ship(spark: SparkSession) -> None:

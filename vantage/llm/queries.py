@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantage.llm import jaccard_join, line_dedup, sentencepiece_bpe, token_files, window_dedup
+from vantage.llm import fingerprints, jaccard_join, line_dedup, quality_fm, sentencepiece_bpe, token_files, window_dedup
 from vantage.llm.base import read_documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,20 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.fingerprint_with_edits(read_documents(spark, sf_dir))
+    return found.select("doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+                        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query
+def op4_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    model = quality_fm.quality_model(docs, read_documents(spark, sf_dir, "labels"))
+    return quality_fm.score(docs, model).select("doc_id", quality_fm.held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op5_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = window_dedup.dedup_windows(read_documents(spark, sf_dir))
