@@ -1,17 +1,63 @@
-"""Corpus pipeline: the stages in order, each over all its predecessor kept."""
+"""Corpus pipeline: the stages in order, each over all its predecessor kept.
+
+Quality classifier (rejected documents go), line dedup, n-gram Jaccard join (the smallest document
+of each group stays), mixing to target weights (documents repeat by their rates; the budget is the
+least that drops none), SentencePiece encoding (the last stage's rows).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vantage.llm import jaccard_join, line_dedup, mixing, quality_fm, sentencepiece_bpe
+from vantage.llm.base import read_documents, row_struct, written
+from vantage.llm.queries import MIX_TARGETS, mixing_labels
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine, learned from labels.quality, does not reject."""
+    model = quality_fm.quality_model(docs, read_documents(spark, sf_dir, "labels"))
+    return quality_fm.score(docs, model).where("predicted = 1").drop("score", "predicted")
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that stand in an earlier one; n_chars counts what is left."""
+    kept = line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return kept.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked ones: the one with the smallest doc_id."""
+    kept = (jaccard_join.link_components(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id")))
+            .select(F.col("doc_id").alias("kept")).distinct())
+    rows = docs.select(F.col("doc_id").cast("long").alias("key"), row_struct(docs).alias("row"))
+    return rows.join(kept, F.col("key").eqNullSafe(F.col("kept")), "left_semi").select("row.*")
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated by rates that bring the domains' tokens to their target shares."""
+    return mixing.resample(docs, mixing.mix(docs, mixing_labels(spark, sf_dir), MIX_TARGETS, budget="cover"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    import public_tokenizers
+
+    encoded = sentencepiece_bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"),
+                                                 public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select("doc_id", "lang", "source", "n_tokens", "ids_crc32", "parity", "ids")
+
 
-from vantage.llm.base import read_documents, written
+STAGES = [("quality_classifier", quality), ("line_dedup", lines), ("ngram_jaccard_join", near_duplicates),
+          ("mixing", mixture), ("sentencepiece", encode)]
 
-STAGES: list = []
+#: The classifier, the fitted rates and the tokenizer cannot be written in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantage.llm import fingerprints, jaccard_join, line_dedup, quality_fm, sentencepiece_bpe, token_files, window_dedup
+from vantage.llm import (fingerprints, jaccard_join, line_dedup, mixing, quality_fm, sentencepiece_bpe, token_files,
+                         vector_search, window_dedup)
 from vantage.llm.base import read_documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,21 @@ def query(fn):
     return fn
 
 
+#: Token shares of the mixture's domains.
+MIX_TARGETS = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
+
+
+def mixing_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled table of the domain classifier: the labelled documents' languages."""
+    labelled = read_documents(spark, sf_dir, "labels").select("doc_id").distinct()
+    return read_documents(spark, sf_dir).select("doc_id", F.col("lang").alias("domain")).join(labelled, "doc_id")
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_documents(spark, sf_dir), mixing_labels(spark, sf_dir), MIX_TARGETS).drop("body")
+
+
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(read_documents(spark, sf_dir))
@@ -59,6 +75,11 @@ def op5_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+@query
+def op6_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(read_documents(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(read_documents(spark, sf_dir))
