@@ -213,6 +213,18 @@ class Codec:
         return text[1:] if self.model.add_dummy_prefix and text[:1] == " " else text
 
 
+_kept: dict[tuple, Codec] = {}
+
+
+def worker_codec(path: str, threads: int, verify: bool) -> Codec:
+    """The codec of this Python worker; Spark uses a worker for many tasks."""
+    key = (path, threads, verify)
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = Codec(path, threads, verify)
+    return _kept[key]
+
+
 def encode_documents(docs: DataFrame, model_path: str, threads: int = 2, verify: bool = True,
                      with_ids: bool = True) -> DataFrame:
     """Encode every text and decode it again.
@@ -232,9 +244,10 @@ def encode_documents(docs: DataFrame, model_path: str, threads: int = 2, verify:
         import numpy as np
         import pyarrow as pa
 
+        from vantage.llm.sentencepiece_bpe import worker_codec
         from vantage.llm.unit_cache import text_slices
 
-        codec = Codec(model_path, threads, verify)
+        codec = worker_codec(model_path, threads, verify)
         for part in text_slices(batches, "text"):
             texts = [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()]
             ids, counts, agreed = codec.encode(texts)

@@ -119,6 +119,20 @@ class WordEncoder:
         return out
 
 
+_kept: dict[str, tuple] = {}
+
+
+def worker_encoder(path: str) -> tuple:
+    """The encoder and its word cache of this Python worker; Spark uses a worker for many tasks."""
+    from vantage.llm.unit_cache import UnitCache
+
+    if path not in _kept:
+        _kept.clear()
+        encoder = WordEncoder(path)
+        _kept[path] = encoder, UnitCache(encoder)
+    return _kept[path]
+
+
 def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id: int) -> DataFrame:
     """Encode every text, append ``end_id``, write the shards below ``out_dir``; returns the manifest.
 
@@ -141,10 +155,10 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
         import pyarrow as pa
         from pyspark import TaskContext
 
-        from vantage.llm.unit_cache import UnitCache, text_slices
+        from vantage.llm.token_files import worker_encoder
+        from vantage.llm.unit_cache import text_slices
 
-        encoder = WordEncoder(tokenizer_path)
-        cache = UnitCache(encoder)
+        encoder, cache = worker_encoder(tokenizer_path)
         shard = TaskContext.get().partitionId()
         name = f"shard-{shard:06d}-{uuid.uuid4().hex[:8]}"
         n_docs = n_null = n_tokens = 0
