@@ -145,7 +145,7 @@ def _hub_pairs(posts: DataFrame, goodness, percent: int) -> DataFrame:
             .distinct())
 
 
-def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_bytes: int = 12 << 20) -> DataFrame:
+def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_bytes: int = 8 << 20) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) for every row of ``docs``.
 
     Two rows link when 100 * shared >= percent * union over their distinct ``size``-word shingles
