@@ -38,7 +38,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return _tables[base, size]
 
 
-def word_hashes(words: list[bytes], step: int = 100_000) -> np.ndarray:
+def word_hashes(words: list[bytes], step: int = 50_000) -> np.ndarray:
     """A 64-bit hash for each word, from prefix sums over the joined bytes."""
     out = np.zeros(len(words), np.uint64)
     for a in range(0, len(words), step):

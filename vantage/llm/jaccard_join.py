@@ -43,7 +43,7 @@ class _Chunk:
             own = text.lower().split()  # of bytes: A-Z only, ASCII blanks only
             counts[i] = len(own)
             words += own
-            if len(words) >= 100_000:
+            if len(words) >= 50_000:
                 parts.append(word_hashes(words))
                 words = []
         if words:
@@ -145,7 +145,7 @@ def _hub_pairs(posts: DataFrame, goodness, percent: int) -> DataFrame:
             .distinct())
 
 
-def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_bytes: int = 8 << 20) -> DataFrame:
+def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) for every row of ``docs``.
 
     Two rows link when 100 * shared >= percent * union over their distinct ``size``-word shingles

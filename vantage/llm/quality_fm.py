@@ -185,7 +185,7 @@ def score(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.3)
 
         own = FactorisationMachine(*shared.value)
         cache: dict[str, int] = {}
-        for part in text_slices(batches, "text", 2 << 20):
+        for part in text_slices(batches, "text", 1 << 20):
             texts = [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()]
             p = 1 / (1 + np.exp(-own.logits(*_flat(texts, cache)).astype(np.float64)))
             yield pa.RecordBatch.from_arrays(part.columns + [pa.array(p), pa.array((p >= threshold).astype(np.int32))],

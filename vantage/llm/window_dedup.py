@@ -47,7 +47,7 @@ class _Chunk:
         return out
 
 
-def _groups(words: list[list[bytes]], most: int = 100_000):
+def _groups(words: list[list[bytes]], most: int = 50_000):
     held: list[bytes] = []
     for own in words:
         held += own
@@ -58,7 +58,7 @@ def _groups(words: list[list[bytes]], most: int = 100_000):
         yield held
 
 
-def dedup_windows(docs: DataFrame, size: int = 20, chunk_bytes: int = 8 << 20) -> DataFrame:
+def dedup_windows(docs: DataFrame, size: int = 20, chunk_bytes: int = 4 << 20) -> DataFrame:
     """Remove every word covered by a window of ``size`` words that also starts earlier.
 
     Earlier is a smaller ``doc_id``, or an earlier start in the same document; windows are judged on
