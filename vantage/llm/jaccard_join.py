@@ -11,8 +11,8 @@ of each, under any token order that is the same for all documents. Two orders ar
 rising frequency (the number of chunks that hold the token), with ties broken by different hashes.
 Candidates share a prefix token in both; then the intersection is counted.
 
-Groups are linked through hubs first: every prefix token proposes pairs of its hub (the class with
-the largest share of repeated tokens, later a random one) with its other classes. Only pairs whose
+Groups are linked through hubs first: every prefix token has a hub (the class with the largest share
+of repeated tokens, later a random one), and each class is paired with the best hub it meets. Only pairs whose
 classes are not connected by then are proposed exhaustively, so no link between components is lost
 and a large group of near copies costs links in proportion to its size.
 """
@@ -139,10 +139,10 @@ def _near(percent: int):
 def _hub_pairs(posts: DataFrame, goodness, percent: int) -> DataFrame:
     hubs = written(posts.groupBy("token").agg(F.max(F.struct(goodness.alias("good"), "cls", "comp", "n")).alias("hub"),
                                               F.min("comp").alias("low"), F.max("comp").alias("high"))
-                   .where("low <> high").select("token", "hub.cls", "hub.comp", "hub.n"), "shingle-hubs")
-    return (posts.alias("x").join(hubs.alias("y"), "token").where(F.col("x.comp") != F.col("y.comp"))
-            .where(_near(percent)).select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
-            .distinct())
+                   .where("low <> high").select("token", "hub.good", "hub.cls", "hub.comp", "hub.n"), "shingle-hubs")
+    met = (posts.alias("x").join(hubs.alias("y"), "token").where(F.col("x.comp") != F.col("y.comp")).where(_near(percent))
+           .groupBy(F.col("x.cls").alias("x")).agg(F.max(F.struct("y.good", "y.cls")).alias("y")))
+    return met.select(F.least("x", "y.cls").alias("a"), F.greatest("x", "y.cls").alias("b")).distinct()
 
 
 def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_bytes: int = 4 << 20) -> DataFrame:
@@ -160,11 +160,12 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_byt
     nodes = _nodes(docs, size, percent, chunk_bytes)
     sets = written(nodes.where("core IS NOT NULL").dropDuplicates(["cls"]).select("cls", "n", "core", "pre1", "pre2"),
                    "shingle-sets")
-    base = written(sets.select("cls", "n", (F.size("core") / F.col("n")).alias("share"), F.explode("pre1").alias("token")),
+    base = written(sets.select("cls", "n", F.size("core").alias("k"), (F.size("core") / F.col("n")).alias("share"),
+                              F.posexplode("pre1").alias("at", "token")),
                    "shingle-posts")
     posts = base.withColumn("comp", F.col("cls"))
     links = None
-    for goodness in (F.col("share"), F.xxhash64("cls")):
+    for goodness in (F.col("share"), F.xxhash64("cls"), F.xxhash64("cls", F.lit(1))):
         found = written(_verified(written(_hub_pairs(posts, goodness, percent), "hub-pairs"), sets, percent), "links")
         links = found if links is None else links.unionByName(found)
         components = written(connected_components(links), "link-components")
@@ -174,6 +175,9 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_byt
     rest = written(posts.join(open_tokens.select("token"), "token", "left_semi"), "open-posts")
     pairs = (rest.alias("x").join(rest.alias("y"), "token")
              .where((F.col("x.cls") < F.col("y.cls")) & (F.col("x.comp") != F.col("y.comp"))).where(_near(percent))
+             # at the first token two linked classes share, enough of both must be left
+             .where((100 + percent) * F.least(F.col("x.k") - F.col("x.at"), F.col("y.k") - F.col("y.at"))
+                    >= percent * (F.col("x.n") + F.col("y.n")))
              .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
     found = written(_verified(written(pairs, "open-pairs"), sets, percent), "links")
     components = written(connected_components(links.unionByName(found)), "link-components")
