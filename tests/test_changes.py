@@ -1,6 +1,8 @@
 import json
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from vantage.operators import changes as chg
@@ -161,12 +163,21 @@ def test_create_without_seq_creates_each_key_once(spark):
     assert sorted((r.id, r.reason) for r in rejects.collect()) == [("a", "exists"), ("b", "duplicate in batch")]
 
 
-def test_role_assign_without_seq_is_deterministic(spark):
-    a = spark.createDataFrame([("r", "p", "viewer")], "resource_id string, principal_id string, role string")
-    new = spark.createDataFrame([("r", "p", "editor"), ("r", "p", "admin"), ("r", "q", "viewer")],
-                                "resource_id string, principal_id string, role string")
-    got = sorted(tuple(r) for r in roles.role_assign(a, new).collect())
-    assert got == [("r", "p", "admin"), ("r", "q", "viewer")]
+def test_role_assign_without_seq(spark):
+    a = spark.createDataFrame([("r1", "p1", "viewer")], "resource_id string, principal_id string, role string")
+    one = spark.createDataFrame([("r1", "p1", "editor"), ("r1", "p1", "editor")], a.schema)
+    assert [tuple(r) for r in roles.role_assign(a, one).collect()] == [("r1", "p1", "editor")]
+    two = spark.createDataFrame([("r1", "p1", "viewer"), ("r1", "p1", "admin")], a.schema)
+    with pytest.raises(Exception, match="several roles"):
+        roles.role_assign(a, two).collect()
+
+
+def test_create_ties_and_null_keys(spark):
+    state = spark.createDataFrame([], "id string, v string")
+    new = spark.createDataFrame([("a", "y", 0), ("a", "x", 0), (None, "n", 1)], "id string, v string, seq int")
+    after, rejects = chg.create(state, new, "id")
+    assert [tuple(r) for r in after.collect()] == [("a", "x")]
+    assert sorted((r.v, r.reason) for r in rejects.collect()) == [("n", "null key"), ("y", "duplicate in batch")]
 
 
 def test_dpa_entries_defaults(spark):

@@ -15,6 +15,9 @@ the reject list, runs on seq buckets (``carry_last``) so a hot key is split acro
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -41,14 +44,15 @@ def _parsed(changes: DataFrame, fields: StructType, payload: str = "payload") ->
 def create(state: DataFrame, new: DataFrame, key: list[str] | str) -> tuple[DataFrame, DataFrame]:
     """M1: add records whose key does not exist yet. Returns ``(state ∪ accepted, rejects)``;
     a key already present, or repeated inside the batch after its first occurrence (by ``seq``
-    when present), is rejected."""
+    when present, then by the other columns), is rejected, and so is a row with a NULL in its key.
+    Rows identical in every column are one record."""
     keys = [key] if isinstance(key, str) else list(key)
     cols = state.columns
     others = [c for c in new.columns if c not in keys]
     # the first row of a key is the one with the lowest seq; without a seq column, the smallest
     # row (rows identical in every column are one record and are created once)
     if "seq" in new.columns:
-        order = F.col("seq")
+        order = F.struct("seq", *[c for c in others if c != "seq"])
     elif others:
         order = F.struct(*others)
     else:
@@ -56,7 +60,9 @@ def create(state: DataFrame, new: DataFrame, key: list[str] | str) -> tuple[Data
     tagged = new.withColumn("_ord", order)
     first = (tagged.groupBy(*keys).agg(F.min("_ord").alias("_ord")))
     firsts = tagged.join(first, keys + ["_ord"], "left_semi").dropDuplicates(keys + ["_ord"])
-    dup = tagged.join(first, keys + ["_ord"], "left_anti").withColumn("reason", F.lit("duplicate in batch"))
+    dup = tagged.join(first, keys + ["_ord"], "left_anti").withColumn(
+        "reason", F.when(reduce(or_, [F.col(k).isNull() for k in keys]), F.lit("null key"))
+        .otherwise(F.lit("duplicate in batch")))
     exists = firsts.join(state.select(*keys), keys, "left_semi").withColumn("reason", F.lit("exists"))
     accepted = firsts.join(state.select(*keys), keys, "left_anti")
     rejects = dup.unionByName(exists).drop("_ord")

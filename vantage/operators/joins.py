@@ -19,13 +19,13 @@ from vantage.plans.spec import JOIN_TYPES, SpecError
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Catalyst's size estimate of ``df`` is under the broadcast threshold. Without access
-    to the estimate (e.g. a Spark Connect session) the answer is yes."""
+    to the estimate (e.g. a Spark Connect session) the answer is no."""
     try:
         spark = df.sparkSession
         threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
-        return True
+        return False
     return threshold >= 0 and size <= threshold
 
 

@@ -89,7 +89,9 @@ def reference_diff(current: DataFrame, new: DataFrame, updated_reports: DataFram
     scope = (updated_reports if updated_reports is not None else new).select("report_id").distinct()
     cur = (current.select(*keys).join(scope, "report_id", "left_semi").distinct()
            .withColumn("_cur", F.lit(True)))
-    nxt = new.select(*keys).withColumn("_new", F.lit(True))
+    nxt = (new.select(*keys).join(scope, "report_id", "left_semi").distinct()
+           .withColumn("_new", F.lit(True))) if updated_reports is not None else (
+        new.select(*keys).distinct().withColumn("_new", F.lit(True)))
     both = cur.join(nxt, keys, "full")
     action = (F.when(F.col("_cur").isNull(), F.lit("add"))
                .when(F.col("_new").isNull(), F.lit("remove")))

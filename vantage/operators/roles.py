@@ -42,12 +42,15 @@ def resources_by_tags(resources: DataFrame, resource_tags: DataFrame, tag_ids: l
 
 def role_assign(assignments: DataFrame, new: DataFrame) -> DataFrame:
     """Add or replace: an assignment on an existing (resource, principal) replaces its role.
-    Inside the batch the last row by ``seq`` wins when a seq column is present."""
+    Inside the batch the last row by ``seq`` wins when a seq column is present; without one, a pair
+    with different roles is an error when the plan runs."""
     if "seq" in new.columns:
         new = (new.groupBy(*PAIR).agg(F.max(F.struct("seq", "role")).alias("_l"))
                .select(*PAIR, F.col("_l.role").alias("role")))
-    else:  # no order given: one deterministic role per pair
-        new = new.groupBy(*PAIR).agg(F.min("role").alias("role"))
+    else:  # no order given: nothing says which of several roles is meant
+        new = new.groupBy(*PAIR).agg(F.min("role").alias("role"), F.max("role").alias("_other")).select(
+            *PAIR, F.when(F.col("role").eqNullSafe(F.col("_other")), F.col("role")).otherwise(
+                F.raise_error(F.lit("a principal has several roles and there is no seq column"))).alias("role"))
     return assignments.join(new.select(*PAIR), PAIR, "left_anti").unionByName(new.select(*PAIR, "role"))
 
 

@@ -21,7 +21,7 @@ def _missing_key(body: Column, keys: tuple[str, ...]) -> Column:
     for k in keys:
         node = F.get_json_object(body, path) if path != "$" else body
         checks.append((k, F.coalesce(F.array_contains(F.json_object_keys(node), k), F.lit(False))))
-        path = f"{path}.{k}"
+        path = f"{path}['{k}']"  # quoted: a key may hold a dot
     # the first failing key wins: build from the last check backwards
     for k, present in reversed(checks):
         result = F.when(~present, F.lit(k)).otherwise(result)
@@ -34,7 +34,7 @@ def validate_records(df: DataFrame, content_type: str = "content_type", status:
     """Adds ``ok`` and ``error``: ``http_status`` (unexpected status), ``invalid_json``,
     ``missing_key:<key>``, or NULL. Non-JSON content with an expected status is valid and empty."""
     is_json = F.coalesce(F.col(content_type).contains(JSON_CONTENT_TYPE), F.lit(False))
-    status_ok = F.col(status).isin(*expected)
+    status_ok = F.coalesce(F.col(status).isin(*expected), F.lit(False))  # no status is not an expected one
     parsed_ok = F.try_parse_json(F.col(body)).isNotNull()
     missing = _missing_key(F.col(body), tuple(required_keys)) if required_keys else F.lit(None).cast("string")
     error = (F.when(~is_json, F.when(status_ok, F.lit(None)).otherwise(F.lit("http_status")))
