@@ -129,7 +129,7 @@ def worker_encoder(path: str) -> tuple:
     if path not in _kept:
         _kept.clear()
         encoder = WordEncoder(path)
-        _kept[path] = encoder, UnitCache(encoder)
+        _kept[path] = encoder, UnitCache(encoder, 600_000)
     return _kept[path]
 
 
