@@ -11,8 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from vantage.llm import (fingerprints, jaccard_join, line_dedup, mixing, quality_fm, sentencepiece_bpe, token_files,
-                         vector_search, window_dedup)
+from vantage.llm import (fingerprints, jaccard_join, line_dedup, mixing, quality_fm, sentencepiece_bpe, suffix_arrays,
+                         suffix_dedup, token_files, vector_search, window_dedup)
 from vantage.llm.base import scratch
 
 BASE = " ".join(f"word{i}" for i in range(60))
@@ -81,6 +81,49 @@ def test_window_dedup(docs, empty, chunk_bytes):
         assert window_dedup.dedup_windows(empty).count() == 0
 
 
+@pytest.mark.parametrize("chunk_bytes, hot", [(400, 200), (400, 3), (1 << 20, 200)])
+def test_suffix_dedup(spark, docs, empty, chunk_bytes, hot, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_HOT", hot)
+    rng = np.random.default_rng(hot)
+    texts = [r for r in ordered() if r[0] != 13]
+    passage = "".join(chr(c) for c in rng.integers(97, 123, 700))
+    for i in range(40):  # passages of many lengths, periodic texts, characters of several bytes
+        a, n = (int(x) for x in rng.integers(0, 500, 2))
+        own = "".join(chr(c) for c in rng.integers(97, 123, 60))
+        texts.append((100 + i, own + passage[a:a + n] + own[::-1] + ("ab\0" * n)[:n // 3] + "é\u4e16" * (n // 40)))
+    texts.sort(key=lambda r: (r[0] is None, r[0] or 0))
+    seen, want = set(), []
+    for d, t in texts:
+        data = (t or "").encode()
+        gone = np.zeros(len(data) + 2, np.int8)
+        for i in range(len(data) - 99):
+            if data[i:i + 100] in seen:
+                gone[i + 1:i + 101] = 1
+            seen.add(data[i:i + 100])
+        kept = bytes(b for b, g in zip(data, gone[1:]) if not g)
+        want.append((str(d), len(data), int(gone.sum()), int((np.diff(gone) == 1).sum()), kept))
+    frame = spark.createDataFrame(texts, "doc_id long, text string").withColumn("kept", F.lit(1)).repartition(3)
+    got = suffix_dedup.dedup_substrings(frame, chunk_bytes=chunk_bytes).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in got) == sorted(want)
+    assert all(sum(s.end - s.start for s in r.spans) == r.n_removed for r in got)
+    if hot == 3:
+        assert suffix_dedup.dedup_substrings(empty).count() == 0
+
+
+def test_merged_transforms():
+    rng = np.random.default_rng(7)
+    for size in (16, 48, 50, 100):
+        base = rng.integers(0, 3, 400).astype(np.uint8)
+        shards = [base[a:a + n] for a, n in rng.integers(0, 300, (6, 2))] + [base[:0], base[:size], base]
+        classes, names = suffix_arrays.merged_classes(shards, size), {}
+        at = 0
+        for own in shards:
+            for i in range(len(own) - size + 1):
+                assert names.setdefault(own[i:i + size].tobytes(), classes[at + i]) == classes[at + i]
+            at += len(own)
+        assert len(set(names.values())) == len(names)
+
+
 def components(rows):
     sets = []
     for d, t in rows:

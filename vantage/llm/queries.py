@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantage.llm import (fingerprints, jaccard_join, line_dedup, mixing, quality_fm, sentencepiece_bpe, token_files,
-                         vector_search, window_dedup)
+from vantage.llm import (fingerprints, jaccard_join, line_dedup, mixing, quality_fm, sentencepiece_bpe, suffix_dedup,
+                         token_files, vector_search, window_dedup)
 from vantage.llm.base import read_documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,13 @@ def op6_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.search(read_documents(spark, sf_dir, "embeddings"))
 
 
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.dedup_substrings(read_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 @query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(read_documents(spark, sf_dir))
