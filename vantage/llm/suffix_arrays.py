@@ -46,16 +46,15 @@ def gram_ranks(data: np.ndarray, left: np.ndarray, step: int) -> np.ndarray:
     return rank
 
 
-def transform(grams: np.ndarray, step: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The suffix order of one string by the first ``size`` bytes, and each suffix's rank (equal: the same)."""
-    n = len(grams)
-    left = np.arange(n, 0, -1)
-    rank, depth = dense(grams), step
+def suffix_ranks(grams: np.ndarray, step: int, size: int) -> np.ndarray:
+    """Each suffix's rank in one string by the first ``size`` bytes (equal ones: the same)."""
+    left = np.arange(len(grams), 0, -1)
+    rank, depth, most = grams, step, int(grams.max(initial=0)) + 2
     while depth < size:
         by = min(depth, size - depth)
-        rank = dense(rank * (n + 1) + ahead(rank, left, by))
+        rank, most = dense(rank * most + ahead(rank, left, by)), len(grams) + 2
         depth += by
-    return np.argsort(rank, kind="stable"), rank
+    return rank
 
 
 def merged_classes(shards: list[np.ndarray], size: int) -> np.ndarray:
@@ -82,7 +81,7 @@ def merged_classes(shards: list[np.ndarray], size: int) -> np.ndarray:
     grams = gram_ranks(np.concatenate(closed), left, step)
     suffix = np.empty(total, np.int64)  # shard by shard, in suffix order: the suffix's position
     for a, n in zip((np.cumsum(sizes) - sizes).tolist(), sizes.tolist()):
-        suffix[a:a + n] = a + transform(grams[a:a + n], step, size)[0]
+        suffix[a:a + n] = a + np.argsort(suffix_ranks(grams[a:a + n], step, size), kind="stable")
     before = np.where(suffix - start >= step, grams[np.maximum(suffix - step, 0)], -1)
     tails = suffix[left[suffix] <= step]  # no suffix stands ``step`` bytes after these
     interleave, block = shard.copy(), np.zeros(total, np.int64)

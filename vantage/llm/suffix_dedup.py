@@ -1,6 +1,7 @@
 """Suffix-array deduplication of byte strings: shard Burrows-Wheeler transforms merged by interleave refinement.
 
-Documents are cut into chunk files. Pass 1 takes each chunk's anchors, the smallest hash of
+Documents are cut into chunk files. A text that an earlier document has whole is known by its digest
+and removed whole; the passes below work on the other texts. Pass 1 takes each chunk's anchors, the smallest hash of
 ``_GRAM`` bytes in every ``_INNER`` bytes, and counts in how many chunks each stands. Equal strings
 hold equal anchors, so a string with an anchor that stands once in the whole table cannot repeat:
 it takes no part any more. Pass 2 puts what is left of a chunk in suffix order, keeps the first of
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.base import scratch
+from vantage.llm.base import scratch, written
 from vantage.llm.chunks import _LAST, bucket_bits, by_chunk, count_chunks, load_chunk, path_of, received, write_chunks
 
 _GRAM, _INNER = 24, 50
@@ -35,15 +36,57 @@ def _sliding(values, width: int, pick):
     return pick(out[:-rest], out[rest:]) if rest else out
 
 
+def _texts(address: str) -> tuple[list[int], list[bytes], dict[int, bytes]]:
+    """Ids and texts of a chunk, whole copies of earlier documents as empty; and those copies' texts.
+
+    The address is the chunk's path, ``#`` and the places of the copies.
+    """
+    path, _, places = address.rpartition("#")
+    ids, texts = load_chunk(path)
+    copies = {int(i): texts[int(i)] for i in places.split(",") if i}
+    return ids, [b"" if i in copies else t for i, t in enumerate(texts)], copies
+
+
+def _without_copies(manifest: DataFrame, size: int) -> DataFrame:
+    """The manifest with each chunk's address: the places of texts that an earlier document has whole.
+
+    All strings of such a text start earlier, so it needs no search. One row of digests per text is
+    shuffled, no text; a group of copies is reduced to its first before the shuffle.
+    """
+
+    def digests(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, texts = load_chunk(row["path"])
+                at = [i for i, t in enumerate(texts) if len(t) >= size]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["chunk"]] * len(at), pa.string()), pa.array(at, pa.int32()),
+                     pa.array([ids[i] for i in at], pa.int64()),
+                     pa.array([hashlib.sha256(texts[i]).digest() for i in at], pa.binary())],
+                    ["chunk", "place", "doc", "digest"])
+
+    rows = manifest.select("chunk", "path").mapInArrow(digests, "chunk string, place int, doc long, digest binary")
+    rows = written(rows, "suffix-digests")
+    firsts = rows.groupBy("digest").agg(F.min(F.struct("doc", "chunk", "place")).alias("first")).select("first.*")
+    copies = rows.join(firsts, ["chunk", "place"], "left_anti").groupBy("chunk").agg(
+        F.array_join(F.collect_list("place"), ",").alias("copies"))  # bounded by a chunk's documents
+    return written(manifest.join(copies, "chunk", "left").select(
+        "chunk", F.concat("path", F.lit("#"), F.coalesce("copies", F.lit(""))).alias("path"), "n_bytes"), "suffix-manifest")
+
+
 class _Chunk:
     """The bytes of a chunk's documents and the anchors of every ``_INNER`` bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, address: str):
         import numpy as np
 
         from vantage.llm.hashing import window_hashes
 
-        self.ids, texts = load_chunk(path)
+        self.ids, texts, _ = _texts(address)
         self.lens = np.fromiter(map(len, texts), np.int64, len(texts))
         self.ends = np.cumsum(self.lens)
         self.data = np.frombuffer(b"".join(texts), np.uint8)
@@ -123,6 +166,7 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
     spark = docs.sparkSession
     manifest = write_chunks(docs, "suffix-chunks", chunk_bytes)
     n_chunks, n_bytes = manifest.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    manifest = _without_copies(manifest, size)
     bits = bucket_bits(n_bytes * 2 / (_INNER - _GRAM + 2))
     piece_bits = bucket_bits(n_bytes, 2 << 20)
 
@@ -134,7 +178,7 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
         import pyarrow as pa
 
         from vantage.llm.hashing import window_hashes
-        from vantage.llm.suffix_arrays import gram_ranks, transform
+        from vantage.llm.suffix_arrays import gram_ranks, suffix_ranks
 
         own = _Chunk(path_of(table))
         codes = received(table, "count")
@@ -154,7 +198,7 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
                 text = own.data[kept]
                 grams = gram_ranks(text, np.arange(len(text), 0, -1), step)
                 # each suffix's rank by ``size`` bytes; the smallest position of a rank is its first
-                rank = transform(grams, step, size)[1][compact]
+                rank = suffix_ranks(grams, step, size)[compact]
                 at = np.unique(rank, return_index=True)[1]
                 again = np.ones(len(open_), bool)
                 again[at] = False
@@ -221,7 +265,7 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
         import numpy as np
         import pyarrow as pa
 
-        ids, texts = load_chunk(path_of(table))
+        ids, texts, copies = _texts(path_of(table))
         a, b, starts, lens = (np.frombuffer(x, np.int64) for x in next(
             x for x in table.column("state").to_pylist() if x is not None))
         count = lens - size + 1
@@ -236,8 +280,13 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
         out = np.cumsum(cover)[:total] > 0
         data = np.frombuffer(b"".join(texts), np.uint8)
         kept, removed, spans, end = [], [], [], 0
-        for text in texts:
+        for i, text in enumerate(texts):
             start, end = end, end + len(text)
+            if i in copies:
+                removed.append(len(copies[i]))
+                kept.append(b"")
+                spans.append([{"start": 0, "end": len(copies[i])}])
+                continue
             mask = out[start:end]
             n = int(mask.sum())
             removed.append(n)
@@ -245,7 +294,7 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
             spans.append([{"start": int(x), "end": int(y)} for x, y in zip(*_ranges(mask))] if n else [])
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table({"doc_id": pa.array([None if i == _LAST else i for i in ids], pa.int64()),
-                         "kept": pa.array(kept, pa.binary()), "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
+                         "kept": pa.array(kept, pa.binary()), "n_bytes": pa.array([len(copies.get(i, t)) for i, t in enumerate(texts)], pa.int64()),
                          "n_removed": pa.array(removed, pa.int64()), "spans": pa.array(spans, kind)})
 
     folder = scratch(spark, "suffix-answers")
