@@ -210,3 +210,22 @@ def test_kpi_match_random_against_python(spark):
     got = {(r.solution_id, r.kpi_id): r.insight_id
            for r in chg.kpi_match(ins, req, order=F.struct(F.col("pos"), F.col("id"))).collect()}
     assert got == expected
+
+
+def test_faulty_changes_are_rejected_and_change_nothing(spark):
+    state = spark.createDataFrame([("a", 5, "x"), ("b", 6, "y")], "key string, score long, name string")
+    rows = [("a", 1, "update", '{"score":"abc"}'), ("a", 2, "update", '{"name":"trunc'), ("a", 3, "frobnicate", '{"score":1}'),
+            ("a", 4, None, "{}"), ("b", 5, "update", '{"score":null}'), ("b", 6, "update", "[1]"), ("b", 7, "update", None),
+            ("c", 8, "create", '{"score":7,"name":[]}'), ("d", 9, "create", '{"score":8}'), ("e", 10, "delete", "junk")]
+    changes = spark.createDataFrame(rows, "key string, seq long, op string, payload string")
+    new, rejects = chg.apply_changes(state, changes)
+    assert sorted(map(tuple, new.collect())) == [("a", 5, "x"), ("b", None, "y"), ("c", 7, "[]"), ("d", 8, None)]
+    assert sorted((r.seq, r.reason) for r in rejects.collect()) == [
+        (1, "bad value"), (2, "bad payload"), (3, "unknown op"), (4, "unknown op"), (6, "bad payload"), (10, "absent key")]
+
+
+def test_update_body_sets_the_fields_it_holds(spark):
+    state = spark.createDataFrame([("a", 5, "x"), ("b", 6, "y"), ("c", 7, "z")], "key string, score long, name string")
+    bodies = spark.createDataFrame([("a", '{"name":"new"}'), ("b", '{"score":null}'), ("c", '{"score":"no"}'), ("d", "{}")],
+                                   "key string, payload string")
+    assert sorted(map(tuple, chg.update_body(state, bodies).collect())) == [("a", 5, "new"), ("b", None, "y"), ("c", 7, "z")]

@@ -25,6 +25,7 @@ from pyspark.sql.types import StructType
 from vantage.functions.expressions import kpi_id
 
 RESET_OPS = ("create", "delete")
+OPS = (*RESET_OPS, "update")
 
 
 def _field_schema(state: DataFrame, key: str) -> StructType:
@@ -39,6 +40,16 @@ def _parsed(changes: DataFrame, fields: StructType, payload: str = "payload") ->
     })
 
 
+def change_fault(fields: StructType, payload: str = "payload") -> Column:
+    """Why a parsed change (``_parsed``) cannot be applied: ``bad payload`` (not a JSON object),
+    ``bad value`` (a supplied value that its field's type cannot hold), or NULL. A NULL payload
+    supplies no fields."""
+    unread = [F.array_contains("_keys", f.name) & F.col(f"_val.`{f.name}`").isNull()
+              & F.get_json_object(F.col(payload), f"$['{f.name}']").isNotNull() for f in fields.fields]
+    fault = F.when(F.col(payload).isNotNull() & F.col("_keys").isNull(), F.lit("bad payload"))
+    return fault.when(reduce(or_, unread), F.lit("bad value")) if unread else fault
+
+
 # -- M1 create ------------------------------------------------------------------------------------
 
 def create(state: DataFrame, new: DataFrame, key: list[str] | str) -> tuple[DataFrame, DataFrame]:
@@ -89,15 +100,17 @@ def latest_per_key(df: DataFrame, key: str, value_cols: list[str]) -> DataFrame:
 
 
 def update_body(state: DataFrame, bodies: DataFrame, key: str = "key", payload: str = "payload") -> DataFrame:
-    """M3: the body replaces the record; fields the body leaves out become NULL (there is no read
-    of the current record). Keys without a current record are not created. Several bodies for
-    one key: the latest (by ``seq``) wins."""
+    """M3: the fields whose key the body holds are set (an explicit null too), the others keep their
+    value. Keys without a current record are not created. Several bodies for one key: the latest
+    (by ``seq``) wins. A body that is no JSON object, or holds a value its field cannot take,
+    changes nothing; ``change_fault`` names those."""
     fields = _field_schema(state, key)
     bodies = latest_per_key(bodies, key, [payload])
-    body = bodies.withColumn("_val", F.from_json(F.col(payload), fields)).select(key, "_val")
+    body = (_parsed(bodies, fields, payload).filter(change_fault(fields, payload).isNull())
+            .select(key, "_keys", "_val"))
     updated = state.join(body, key, "left")
     return updated.select(key, *[
-        F.when(F.col("_val").isNotNull(), F.col(f"_val.{f.name}")).otherwise(F.col(f.name)).alias(f.name)
+        F.when(F.array_contains("_keys", f.name), F.col(f"_val.{f.name}")).otherwise(F.col(f.name)).alias(f.name)
         for f in fields.fields])
 
 
@@ -237,11 +250,19 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str = "key", payloa
     in ``seq`` order, where a create on a live key is a reset and updates to absent keys are
     rejected. Returns ``(new state, rejects)``.
 
+    A change with an operation other than create, update or delete, and a create or update whose
+    payload ``change_fault`` finds fault with, is rejected with that reason and has no effect.
+
     ``seq`` is expected to be unique per key. If two changes of a key share one, the fold still
     picks deterministically (the greater operation or value wins the struct comparison), but the
     reject scan orders them arbitrarily.
     """
     fields = _field_schema(state, key)
+    fault = (F.when(F.col("op").isNull() | ~F.col("op").isin(*OPS), F.lit("unknown op"))
+             .when(F.col("op") != "delete", change_fault(fields, payload)))
+    checked = _parsed(changes, fields, payload).withColumn("_fault", fault)
+    faulty = checked.filter(F.col("_fault").isNotNull()).select(key, "seq", "op", payload, F.col("_fault").alias("reason"))
+    changes = checked.filter(F.col("_fault").isNull()).select(*changes.columns)
     new_state = finalize_fold(state, fold_changes(changes, fields, key, payload), key)
 
     # rejects: updates and deletes whose key is not live when they apply
@@ -252,4 +273,4 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: str = "key", payloa
                                (F.col("_prev").isNull() & F.col("_present").isNull() |
                                 (F.col("_prev") == "delete")))
                .select(key, "seq", "op", payload, F.lit("absent key").alias("reason")))
-    return new_state, rejects
+    return new_state, rejects.unionByName(faulty)

@@ -217,14 +217,13 @@ def partial_update(spark, sf_dir):
 
 
 @register("update_body", f"""
-SELECT r.key, CASE WHEN b.key IS NULL THEN r.name ELSE b.name END AS name,
-       CASE WHEN b.key IS NULL THEN r.score END AS score, CASE WHEN b.key IS NULL THEN r.tier END AS tier
+SELECT r.key, CASE WHEN b.key IS NULL THEN r.name ELSE b.name END AS name, r.score, r.tier
 FROM {fx.RECORDS} r LEFT JOIN
   (SELECT 'k' || c_custkey AS key, upper(c_name) AS name FROM customer WHERE c_mktsegment = 'AUTOMOBILE') b
   ON r.key = b.key
 """)
 def update_body(spark, sf_dir):
-    """M3: bodies replace whole records (fields not in the body become NULL)."""
+    """M3: the fields that a body holds are set, the others keep their value."""
     c = read_table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "AUTOMOBILE")
     bodies = c.select(F.concat(F.lit("k"), F.col("c_custkey")).alias("key"),
                       F.to_json(F.struct(F.upper("c_name").alias("name"))).alias("payload"))
