@@ -12,8 +12,10 @@ manifest. Only shards listed in the manifest count, so files of lost or repeated
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -79,6 +81,7 @@ class WordEncoder:
         suffix = spec["model"].get("end_of_word_suffix")
         self.pattern = regex.compile(pattern) if pattern and suffix else None
         self.last = {i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)}
+        self.beyond = re.compile("[^\x00-\u024f]").search  # a character beyond Latin
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
         self.pieces: dict[str, list[int]] = {}
@@ -107,13 +110,15 @@ class WordEncoder:
             if text.isascii():
                 if not ("<" in text and any(x in text for x in self.special)):
                     cut[i] = self.pattern.findall(text.lower())
-            elif max(text) < "\u0250":
+            elif not self.beyond(text):
                 cut[i] = self.pattern.findall(self.normal(text))
         if len(self.pieces) > self.limit:
             self.pieces.clear()
-        self._learn(list({p for own in cut if own for p in own if p not in self.pieces}))
+        pieces = self.pieces
+        self._learn(list(set(chain.from_iterable(own for own in cut if own)) - pieces.keys()))
+        out: list = [None if own is None else pieces[own[0]] if len(own) == 1 else
+                     list(chain.from_iterable(map(pieces.__getitem__, own))) for own in cut]
         rest = [i for i, own in enumerate(cut) if own is None]
-        out: list = [None if own is None else [x for p in own for x in self.pieces[p]] for own in cut]
         for i, ids in zip(rest, self._alone([texts[i] for i in rest])):
             out[i] = ids
         return out

@@ -6,6 +6,7 @@ Used inside tasks. The cache is emptied when it holds ``limit`` units, so its me
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from itertools import chain
 
 import numpy as np
 
@@ -23,16 +24,17 @@ class UnitCache:
         self.used = 0
 
     def _add(self, units: list) -> None:
-        for ids, unit in zip(self.encode(units), units):
-            n, k = len(ids), len(self.at)
-            if k >= len(self.starts):
-                self.starts, self.lens = np.resize(self.starts, 2 * k), np.resize(self.lens, 2 * k)
-            while self.used + n > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.used:self.used + n] = ids
-            self.starts[k], self.lens[k] = self.used, n
-            self.used += n
-            self.at[unit] = k
+        found = self.encode(units)
+        lens = np.fromiter(map(len, found), np.int64, len(found))
+        k, n, total = len(self.at), len(found), int(lens.sum())
+        while k + n > len(self.starts):
+            self.starts, self.lens = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lens, 2 * len(self.lens))
+        while self.used + total > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.starts[k:k + n], self.lens[k:k + n] = self.used + np.cumsum(lens) - lens, lens
+        self.used += total
+        self.at.update(zip(units, range(k, k + n)))
 
     def __call__(self, units: list) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all units one after another, and how many each unit has."""
