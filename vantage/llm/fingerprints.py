@@ -47,23 +47,29 @@ def fingerprints(texts: DataFrame, keys: list[str], words: DataFrame) -> DataFra
     """``keys`` and ``marks``, the signatures of each row's ``text`` (32-bit, null where a subset is empty).
 
     Rows of ``texts`` must differ in ``keys``. No shuffle if they are already partitioned by some of them.
+    Two subsets share one 64-bit sum (XOR): one takes the upper half of the term hashes, one the lower.
     """
     # the term list is bounded by the band, and its size is checked; a longer one is joined by shuffle
     if words.count() <= _BROADCAST_TERMS:
         words = F.broadcast(words)
-    every = distinct_terms(blank(F.col("text")))
-    rows = texts.select(*keys, every.alias("every"))
-    rows = rows.select(*keys, F.xxhash64(F.sort_array("every")).alias("whole"), F.explode_outer("every").alias("term"))
-
-    def of(condition: Column) -> Column:
-        return F.bit_xor(F.when(condition, F.col("term")))
-
-    signs = [of(F.col("mask").isNotNull())] + [
-        of(F.col("mask").bitwiseAND(F.lit(1 << k)) != 0) for k in range(sum(times for _, times in SUBSETS))]
-    names = [f"sign{k}" for k in range(len(signs))]
-    held = rows.join(words, "term", "left").groupBy(*keys, "whole").agg(*[x.alias(n) for x, n in zip(signs, names)])
-    marks = [F.hash(F.coalesce(names[0], "whole"))] + [F.when(F.col(n).isNotNull(), F.hash(n)) for n in names[1:]]
-    return held.select(*keys, F.array(*marks).alias("marks"))
+    rows = texts.select(*keys, F.explode_outer(distinct_terms(blank(F.col("text")))).alias("term"))
+    mask, term = F.coalesce("mask", F.lit(0).cast("long")), F.col("term")
+    count = sum(times for _, times in SUBSETS)
+
+    def half(bit: int, part: int) -> Column:
+        return F.when(mask.bitwiseAND(F.lit(1 << bit)) != 0, term.bitwiseAND(F.lit(part))).otherwise(F.lit(0).cast("long"))
+
+    sums = [F.bit_xor(half(k, -(1 << 32)).bitwiseOR(half(k + 1, 0xFFFFFFFF))).alias(f"sum{k}") for k in range(0, count, 2)]
+    held = rows.join(words, "term", "left").groupBy(*keys).agg(
+        F.bit_xor("term").alias("whole"), F.bit_xor(F.when(F.col("mask").isNotNull(), term)).alias("known"),
+        F.bit_or(mask).alias("any"), *sums)
+
+    def sign(k: int) -> Column:
+        own = F.col(f"sum{k - k % 2}")
+        return F.when(F.col("any").bitwiseAND(F.lit(1 << k)) != 0,
+                      F.hash(own.bitwiseAND(F.lit(0xFFFFFFFF)) if k % 2 else F.shiftrightunsigned(own, 32)))
+
+    return held.select(*keys, F.array(F.hash(F.coalesce("known", "whole")), *[sign(k) for k in range(count)]).alias("marks"))
 
 
 def likeness(a: str, b: str) -> Column:
