@@ -84,43 +84,52 @@ def fingerprint_text(marks: str) -> Column:
                                                                 F.lit("-"))), ".")
 
 
-def fingerprint_with_edits(docs: DataFrame, low: float = 0.001, high: float = 0.1) -> DataFrame:
+def fingerprint_with_edits(docs: DataFrame, low: float = 0.001, high: float = 0.1, with_text: bool = True) -> DataFrame:
     """Fingerprints of every text and of its edited copy.
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many (or
     all) of the next document in ascending ``doc_id`` (after the last: the first). Returns ``doc_id``,
-    ``n_chars``, ``edited`` (text), ``fingerprint``, ``edited_fingerprint``, ``near_edited`` and
-    ``near_next``; other columns are left out. A null text is empty. Null ids come first; rows that
-    share an id are ordered by a hash of their text, and equal rows are one document. A single
-    document is its own next one. An empty table gives an empty result.
+    ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``, ``near_edited``,
+    ``near_next`` and, ``with_text``, ``edited`` (the text, at the price of one more shuffle of all
+    texts); other columns are left out. A null text is empty. Null ids (and the smallest 64-bit
+    number, which counts as one) come first; rows that share an id are ordered by a hash of their
+    text, and equal rows are one document. A single document is its own next one. An empty table
+    gives an empty result.
     """
     words = lexicon(docs, low, high)
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k1"),
-                        F.xxhash64(blank(F.col("text"))).alias("k2"),
-                        F.col("doc_id").cast("long").alias("doc_id"), blank(F.col("text")).alias("text"))
+    none = F.lit(-(1 << 63))
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), none).alias("k1"),
+                        F.xxhash64(blank(F.col("text"))).alias("k2"), blank(F.col("text")).alias("text"))
     order = written(number_rows(keyed.select("k1", "k2", F.length("text").alias("n")), ["k1", "k2"], "document-order"),
                     "document-order")
     n = order.count()
     back = order.select(F.pmod(F.col("rank") + 1, F.lit(max(n, 1))).alias("rank"), F.col("k1").alias("prev1"),
                         F.col("k2").alias("prev2"), F.col("n").alias("prev_n"))
     links = written(order.select("k1", "k2", "rank").join(back, "rank").drop("rank"), "document-links")
-    # every text is shuffled once by its key; only the part that the document before takes moves on
+    # every text is shuffled once by its key (both joins below use the same exchange); only the part
+    # that the document before takes moves on
     placed = keyed.dropDuplicates(["k1", "k2"]) if n != docs.count() else keyed
     tails = placed.join(links, ["k1", "k2"]).select(
-        F.col("prev1").alias("k1"), F.col("prev2").alias("k2"), F.col("k1").alias("next1"), F.col("k2").alias("next2"),
+        F.col("prev1").alias("k1"), F.col("prev2").alias("k2"),
         F.substring("text", F.lit(1), F.floor(F.col("prev_n") / 2).cast("int")).alias("tail"))
     n_chars = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), (n_chars - F.floor(n_chars / 2)).cast("int")), F.col("tail"))
-    pairs = placed.join(tails, ["k1", "k2"]).select("k1", "k2", "next1", "next2", "doc_id", "text", edited.alias("edited"))
+    pairs = placed.join(tails, ["k1", "k2"]).select("k1", "k2", "text", edited.alias("edited"))
     each = pairs.select("k1", "k2", F.explode(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("x"))
     each = each.select("k1", "k2", "x.kind", "x.text")
-    marks = written(fingerprints(each, ["k1", "k2", "kind"], words), "document-marks")
-    plain = marks.where("kind = 0").select("k1", "k2", "marks")
-    changed = marks.where("kind = 1").select("k1", "k2", F.col("marks").alias("edited_marks"))
-    texts = pairs.select("k1", "k2", "next1", "next2", "doc_id", n_chars.cast("long").alias("n_chars"), "edited")
-    after = plain.select(F.col("k1").alias("next1"), F.col("k2").alias("next2"), F.col("marks").alias("next_marks"))
-    return (texts.join(plain, ["k1", "k2"]).join(changed, ["k1", "k2"]).join(after, ["next1", "next2"])
-            .select("doc_id", "n_chars", "edited", fingerprint_text("marks").alias("fingerprint"),
-                    fingerprint_text("edited_marks").alias("edited_fingerprint"),
-                    likeness("marks", "edited_marks").alias("near_edited"), likeness("marks", "next_marks").alias("near_next")))
+    each = each.select("k1", "k2", "kind", "text", F.length("text").cast("long").alias("size"),
+                       F.unhex(F.sha2("text", 256)).alias("digest"))
+    marks = written(fingerprints(each, ["k1", "k2", "kind", "size", "digest"], words), "document-marks")
+    plain = marks.where("kind = 0").select("k1", "k2", F.col("size").alias("n_chars"), "marks")
+    changed = marks.where("kind = 1").select("k1", "k2", F.lower(F.hex("digest")).alias("edited_sha256"),
+                                             F.col("marks").alias("edited_marks"))
+    after = plain.join(links, ["k1", "k2"]).select(F.col("prev1").alias("k1"), F.col("prev2").alias("k2"),
+                                                   F.col("marks").alias("next_marks"))
+    found = plain.join(changed, ["k1", "k2"]).join(after, ["k1", "k2"])
+    columns = [F.nullif(F.col("k1"), none).alias("doc_id"), "n_chars", "edited_sha256", fingerprint_text("marks").alias("fingerprint"),
+               fingerprint_text("edited_marks").alias("edited_fingerprint"),
+               likeness("marks", "edited_marks").alias("near_edited"), likeness("marks", "next_marks").alias("near_next")]
+    if with_text:
+        found, columns = found.join(pairs.select("k1", "k2", "edited"), ["k1", "k2"]), columns + ["edited"]
+    return found.select(*columns)

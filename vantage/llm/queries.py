@@ -57,9 +57,7 @@ FROM marked GROUP BY doc_id
 
 @query
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fingerprints.fingerprint_with_edits(read_documents(spark, sf_dir))
-    return found.select("doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"),
-                        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return fingerprints.fingerprint_with_edits(read_documents(spark, sf_dir), with_text=False)
 
 
 @query
