@@ -149,115 +149,6 @@ def test_spec_survives_json_roundtrip(resolve):
     assert rows(run_insight(again, resolve)) == rows(run_insight(spec, resolve)) == [("A", 14.0)]
 
 
-@pytest.mark.parametrize("build", [
-    # measured side second, keys from both sides, filters on both, HAVING and order on hidden aggregates
-    lambda: (InsightBuilder().add_dataset("c").add_dataset("o", "inner", [join_on("c", "ck", "o", "ck")])
-             .add_select("seg").add_select("ck", "o", label="ock")
-             .add_select("amt", "o", "sum", "total").add_select("*", "o", "count", "n")
-             .add_select("amt", "o", "min", "lo").add_select("ok", "o", "max", "hi")
-             .add_filter("tag", "is_not_null") .add_filter("amt", "greater_than", 1.0, dataset_id="o")
-             .add_filter_defs([where_def("amt", "o", "greater_than", 2.0, aggregate="max")])
-             .add_order_by("ok", "o", "count", "desc").add_order_by("seg")),
-    # measured side first, global aggregate
-    lambda: (InsightBuilder().add_dataset("o").add_dataset("c", "inner", [join_on("o", "ck", "c", "ck")])
-             .add_select("amt", aggregate="sum", label="total").add_select("ok", aggregate="count", label="n")),
-    # global aggregate over an empty join: count is 0, sum is NULL
-    lambda: (InsightBuilder().add_dataset("o").add_dataset("c", "inner", [join_on("o", "ck", "c", "ck")])
-             .add_select("amt", aggregate="sum", label="total").add_select("ok", aggregate="count", label="n")
-             .add_filter("seg", "equals", "none", dataset_id="c")),
-])
-def test_eager_aggregation_equals_plain_plan(resolve, build):
-    spec = build().build()
-    eager = run_insight(spec, resolve, eager_aggregation="always")
-    plain = run_insight(spec, resolve, eager_aggregation="never")
-    assert eager.schema == plain.schema
-    assert rows(eager) == rows(plain)
-    assert "__part_" in eager._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_eager_aggregation_is_skipped_when_not_decomposable(resolve):
-    spec = (InsightBuilder().add_dataset("c").add_dataset("o", "inner", [join_on("c", "ck", "o", "ck")])
-            .add_select("seg").add_select("amt", "o", "count_distinct", "n").build())
-    out = run_insight(spec, resolve, eager_aggregation="always")
-    assert "__part_" not in out._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_eager_average(resolve):
-    spec = (InsightBuilder().add_dataset("c").add_dataset("o", "inner", [join_on("c", "ck", "o", "ck")])
-            .add_select("seg").add_select("amt", "o", "avg", "mean").add_select("ok", "o", "avg", "mean_k")
-            .add_order_by("seg").build())
-    eager = run_insight(spec, resolve, eager_aggregation="always")
-    assert "__part_" in eager._jdf.queryExecution().optimizedPlan().toString()
-    plain = run_insight(spec, resolve, eager_aggregation="never")
-    assert eager.schema == plain.schema
-    assert [(r.seg, round(r.mean, 9), round(r.mean_k, 9)) for r in eager.collect()] == \
-        [(r.seg, round(r.mean, 9), round(r.mean_k, 9)) for r in plain.collect()]
-
-
-def test_eager_aggregation_on_a_join_chain(spark):
-    from tests.conftest import SF_SMALL
-    from vantage.sources.tables import TableResolver
-
-    spec = (InsightBuilder()
-            .add_dataset("region")
-            .add_dataset("nation", "inner", [join_on("region", "r_regionkey", "nation", "n_regionkey")])
-            .add_dataset("customer", "inner", [join_on("nation", "n_nationkey", "customer", "c_nationkey")])
-            .add_dataset("orders", "inner", [join_on("customer", "c_custkey", "orders", "o_custkey")])
-            .add_select("r_name").add_select("o_orderstatus", "orders", label="status")
-            .add_select("o_totalprice", "orders", "sum", "revenue").add_select("*", "orders", "count", "n")
-            .add_select("o_orderdate", "orders", "max", "last")
-            .add_filter("c_mktsegment", "not_equals", "BUILDING", dataset_id="customer")
-            .add_filter("o_totalprice", "greater_than", 1000, dataset_id="orders")
-            .add_order_by("r_name").add_order_by("o_orderstatus", "orders").build())
-    resolve = TableResolver(spark, SF_SMALL)
-    eager = run_insight(spec, resolve, eager_aggregation="always")
-    plain = run_insight(spec, resolve, eager_aggregation="never")
-    assert "__part_" in eager._jdf.queryExecution().optimizedPlan().toString()
-    assert eager.schema == plain.schema
-    got = [(r.r_name, r.status, round(r.revenue, 2), r.n, r.last) for r in eager.collect()]
-    want = [(r.r_name, r.status, round(r.revenue, 2), r.n, r.last) for r in plain.collect()]
-    assert got == want and len(got) == 15
-
-
-@pytest.mark.parametrize("how,first", [("left", "c"), ("left", "o"), ("right", "c"), ("right", "o"),
-                                       ("full", "c"), ("semi", "o"), ("anti", "o")])
-def test_eager_aggregation_over_outer_semi_anti_joins(resolve, how, first):
-    second = "o" if first == "c" else "c"
-    b = (InsightBuilder().add_dataset(first).add_dataset(second, how, [join_on(first, "ck", second, "ck")]))
-    if how in ("semi", "anti"):
-        b.add_select("ck", "o", label="k")
-    else:
-        b.add_select("seg", "c")
-    b.add_select("amt", "o", "sum", "total").add_select("ok", "o", "count", "n") \
-        .add_select("amt", "o", "avg", "mean").add_select("ok", "o", "max", "hi")
-    spec = b.build()
-    eager = run_insight(spec, resolve, eager_aggregation="always")
-    plain = run_insight(spec, resolve, eager_aggregation="never")
-    assert "__part_" in eager._jdf.queryExecution().optimizedPlan().toString()
-    assert eager.schema == plain.schema
-    key = lambda r: tuple((x is None, x) for x in r)
-    assert sorted(rows(eager), key=key) == sorted(rows(plain), key=key)
-
-
-def test_eager_count_star_over_null_supplied_side_keeps_plain_plan(resolve):
-    spec = (InsightBuilder().add_dataset("c").add_dataset("o", "left", [join_on("c", "ck", "o", "ck")])
-            .add_select("seg").add_select("*", "o", "count", "n").build())
-    out = run_insight(spec, resolve, eager_aggregation="always")
-    assert "__part_" not in out._jdf.queryExecution().optimizedPlan().toString()
-    assert sorted(rows(out)) == [("A", 3), ("B", 1), ("C", 1)]
-
-
-@pytest.mark.parametrize("operator,value", [("greater_than", 1.5), ("is_null", None)])
-def test_eager_keeps_where_on_null_supplied_side_after_the_join(resolve, operator, value):
-    spec = (InsightBuilder().add_dataset("c").add_dataset("o", "left", [join_on("c", "ck", "o", "ck")])
-            .add_select("seg").add_select("amt", "o", "sum", "total")
-            .add_filter("amt", operator, value, dataset_id="o").build())
-    eager = run_insight(spec, resolve, eager_aggregation="always")
-    plain = run_insight(spec, resolve, eager_aggregation="never")
-    key = lambda r: tuple((x is None, x) for x in r)
-    assert sorted(rows(eager), key=key) == sorted(rows(plain), key=key)
-
-
 def test_pivot_with_having_is_rejected(resolve):
     spec = (InsightBuilder().add_dataset("o").add_select("ck").add_select("ok", label="k")
             .add_select("amt", aggregate="sum", label="s")
@@ -267,23 +158,20 @@ def test_pivot_with_having_is_rejected(resolve):
         run_insight(spec, resolve)
 
 
-def test_cross_join_needs_a_small_side(spark, resolve):
-    from tests.conftest import SF_SMALL
-    from vantage.sources.tables import TableResolver
-
-    spec = InsightBuilder().add_dataset("region").add_dataset("nation", "cross").add_select("r_name").build()
-    assert len(rows(run_insight(spec, TableResolver(spark, SF_SMALL)))) == 125
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_cross_join_needs_the_flag_at_any_size(spark, resolve, threshold):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
+        plain = InsightBuilder().add_dataset("c").add_dataset("o", "cross").add_select("ck").build()
         with pytest.raises(SpecError):
-            run_insight(spec, TableResolver(spark, SF_SMALL))
+            run_insight(plain, resolve)
+        product = (InsightBuilder().add_dataset("c").add_dataset("o", "cross", allow_product=True)
+                   .add_select("ck").add_select("ok", "o").build())
+        n = len(rows(run_insight(product, resolve)))
+        assert n == resolve("c").count() * resolve("o").count() and n > 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    # frames without size statistics (built from local rows) have no proven bound either
-    unbounded = InsightBuilder().add_dataset("c").add_dataset("o", "cross").add_select("ck").build()
-    with pytest.raises(SpecError):
-        run_insight(unbounded, resolve)
 
 
 def test_run_chart_uses_the_spec_config(resolve):

@@ -65,9 +65,8 @@ def _norm(rows):
        filters=st.lists(st.sampled_from(FILTERS), max_size=2, unique=True),
        keys=st.lists(st.sampled_from(KEYS), min_size=1, max_size=2, unique=True),
        aggs=st.lists(st.sampled_from(AGGS), min_size=1, max_size=3, unique=True),
-       having=st.booleans(),
-       eager=st.sampled_from(["never", "always"]))
-def test_random_specs_match_duckdb(frames, con, how, filters, keys, aggs, having, eager):
+       having=st.booleans())
+def test_random_specs_match_duckdb(frames, con, how, filters, keys, aggs, having):
     b = InsightBuilder().add_dataset("c").add_dataset("o", how, [join_on("c", "ck", "o", "ck")])
     select_sql, group_sql = [], []
     for i, (ds, col) in enumerate(keys):
@@ -88,7 +87,7 @@ def test_random_specs_match_duckdb(frames, con, how, filters, keys, aggs, having
     sql = (f"SELECT {', '.join(select_sql)} FROM c {'JOIN' if how == 'inner' else 'LEFT JOIN'} o ON c.ck = o.ck"
            + (f" WHERE {' AND '.join(where_sql)}" if where_sql else "")
            + f" GROUP BY {', '.join(group_sql)}{having_sql}")
-    got = run_insight(b.build(), frames.__getitem__, eager_aggregation=eager)
+    got = run_insight(b.build(), frames.__getitem__)
     want = con.execute(sql).fetchall()
     assert _norm([tuple(r) for r in got.collect()]) == _norm(want), sql
 
@@ -181,9 +180,8 @@ def chain_con():
        hows=st.tuples(st.sampled_from(["inner", "left"]), st.sampled_from(["inner", "left"])),
        key=st.sampled_from([("r", "rname"), ("c", "seg"), ("o", "st")]),
        aggs=st.lists(st.sampled_from([("o", "amt", "sum"), ("o", "ok", "count"), ("o", "amt", "max"),
-                                      ("o", "amt", "avg")]), min_size=1, max_size=2, unique=True),
-       eager=st.sampled_from(["never", "always"]))
-def test_random_chains_match_duckdb(chain_frames, chain_con, order, hows, key, aggs, eager):
+                                      ("o", "amt", "avg")]), min_size=1, max_size=2, unique=True))
+def test_random_chains_match_duckdb(chain_frames, chain_con, order, hows, key, aggs):
     conds = {("c", "o"): ("c", "ck", "o", "ck"), ("o", "c"): ("o", "ck", "c", "ck"),
              ("r", "c"): ("r", "rk", "c", "rk"), ("c", "r"): ("c", "rk", "r", "rk")}
     seq = order.split("-")
@@ -200,5 +198,5 @@ def test_random_chains_match_duckdb(chain_frames, chain_con, order, hows, key, a
         b.add_select(col, ds, agg, f"a{i}")
         sql += f", {agg}({ds}.{col}) AS a{i}"
     sql += f" FROM {from_sql} GROUP BY {key[0]}.{key[1]}"
-    got = run_insight(b.build(), chain_frames.__getitem__, eager_aggregation=eager)
+    got = run_insight(b.build(), chain_frames.__getitem__)
     assert _norm([tuple(r) for r in got.collect()]) == _norm(chain_con.execute(sql).fetchall()), sql

@@ -49,10 +49,10 @@ def test_validation_order(spark):
                    6: "missing_key:id", 7: None, 8: "missing_key:id"}
 
 
-def test_deep_pages_use_row_numbers(res):
-    top_k = [r.id for r in lst.page(res, 3, 40, ["id"]).collect()]
-    numbered = [r.id for r in lst.page(res, 3, 40, ["id"], top_k_limit=10).collect()]
-    assert top_k == numbered and len(top_k) == 40
+def test_pages_agree_with_bulk_page_numbers(res):
+    one = [r.id for r in lst.page(res, 3, 40, ["id"]).collect()]
+    bulk = sorted(r.id for r in lst.with_page_numbers(res, 40, ["id"]).filter("page = 3").collect())
+    assert sorted(one) == bulk and len(one) == 40
 
 
 def test_listing_by_tags_and_search(spark, res):

@@ -42,7 +42,6 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     parser.add_argument("--var", action="append", default=[], help="SQL variable name=value (sqlEditor specs)")
     parser.add_argument("--arg", action="append", default=[], help="positional SQL argument (sql mode)")
     parser.add_argument("--named", action="append", default=[], help="named SQL argument name=value (sql mode)")
-    parser.add_argument("--eager-aggregation", default="auto", choices=["auto", "always", "never"])
     parser.add_argument("--out", help="write the result here as Parquet")
     parser.add_argument("--show", type=int, default=20, help="rows to print when there is no --out")
     args = parser.parse_args(argv)
@@ -61,8 +60,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if args.mode == "insight":
         with open(args.source) as fh:
             spec = json.load(fh)
-        df = run_insight(spec, resolver, variables=_pairs(args.var, "--var") or None, spark=spark,
-                         eager_aggregation=args.eager_aggregation)
+        df = run_insight(spec, resolver, variables=_pairs(args.var, "--var") or None, spark=spark)
     else:
         named = _pairs(args.named, "--named")
         df = execute_sql(spark, args.source, placeholder_ids(args.source), resolve=resolver,

@@ -3,8 +3,8 @@
 Each dataset is aliased by its id so that ``dataset.column`` references resolve after joins. The
 physical strategy (broadcast hash, shuffled hash, sort-merge) is left to Catalyst and AQE: a side
 is broadcast only when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``, which
-is a checked bound, and equi-joins otherwise shuffle on their keys. A cross join is planned only
-when one side passes that check (and is broadcast); two large sides are refused.
+is a checked bound, and equi-joins otherwise shuffle on their keys. A cross join emits every pair,
+so it needs ``"allowProduct": true`` in its join entry, whatever the sizes.
 """
 
 from __future__ import annotations
@@ -17,18 +17,6 @@ from pyspark.sql import functions as F
 from vantage.plans.spec import JOIN_TYPES, SpecError
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate of ``df`` is under the broadcast threshold. Without access
-    to the estimate (e.g. a Spark Connect session) the answer is no."""
-    try:
-        spark = df.sparkSession
-        threshold = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return False
-    return threshold >= 0 and size <= threshold
-
-
 def qualified(dataset_id: str, column_id: str) -> Column:
     return F.col(f"`{dataset_id}`.`{column_id}`")
 
@@ -73,13 +61,9 @@ def join_chain(datasets: list[dict], resolve: Callable[[str], DataFrame]) -> tup
         if how == "cross":
             if on:
                 raise SpecError("a cross join takes no conditions")
-            # every pair is emitted: only with one side measured small enough to broadcast
-            if fits_broadcast(right):
-                df = df.crossJoin(F.broadcast(right))
-            elif fits_broadcast(df):
-                df = F.broadcast(df).crossJoin(right)
-            else:
-                raise SpecError(f"cross join with {ds!r}: neither side is small enough to broadcast")
+            if join.get("allowProduct") is not True:
+                raise SpecError(f"cross join with {ds!r} emits every pair; its join entry must say allowProduct: true")
+            df = df.crossJoin(right)
         else:
             if not on:
                 raise SpecError(f"join of {ds!r} has no condition; use type 'cross' for a product")

@@ -49,25 +49,19 @@ def _order(cols: list[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in cols]
 
 
-# Above this many rows before the end of the page, a page is no longer taken as a top-k (whose
-# k rows meet in one task) but from distributed row numbers.
-TOP_K_PAGE_LIMIT = 1_000_000
+def page(df: DataFrame, page_nr: int = 1, size: int = 100, order_by: list | None = None) -> DataFrame:
+    """One 1-based page of an ordered listing: ``orderBy.offset.limit``, whatever the page number.
 
-
-def page(df: DataFrame, page_nr: int = 1, size: int = 100, order_by: list | None = None,
-         top_k_limit: int = TOP_K_PAGE_LIMIT) -> DataFrame:
-    """One 1-based page of an ordered listing. Early pages are ``orderBy.offset.limit``, which
-    Spark plans as a top-k of ``page_nr * size`` rows: one pass, no full sort. Deep pages (k above
-    ``top_k_limit``) are cut from ``with_row_numbers`` instead, so no task holds k rows."""
+    Lazy; Spark plans it as a top-k of ``page_nr * size`` rows and falls back to a sort beyond
+    ``spark.sql.execution.topKSortFallbackThreshold``. Rows that tie are ordered by ``id``. Many or
+    deep pages of a large listing come from ``with_page_numbers`` in one pass instead.
+    """
     if page_nr < 1 or size < 1:
         raise ValueError("page and size are 1-based and positive")
-    order_by = order_by or ["id"]
-    if page_nr * size <= top_k_limit:
-        return df.orderBy(*_order(order_by)).offset((page_nr - 1) * size).limit(size)
-    lo = (page_nr - 1) * size
-    numbered = with_row_numbers(df, order_by, "_rn")
-    return (numbered.filter((F.col("_rn") > lo) & (F.col("_rn") <= lo + size))
-            .orderBy("_rn").drop("_rn"))
+    order_by = list(order_by or ["id"])
+    if "id" in df.columns and "id" not in [c for c in order_by if isinstance(c, str)]:
+        order_by.append("id")
+    return df.orderBy(*_order(order_by)).offset((page_nr - 1) * size).limit(size)
 
 
 def total(df: DataFrame) -> DataFrame:

@@ -64,8 +64,12 @@ class InsightBuilder:
     def _first_dataset(self) -> str:
         return self._datasets[0]["datasetId"] if self._datasets else ""
 
-    def add_dataset(self, dataset_id: str, join_type: str = "inner", join_on: list | None = None):
-        self._datasets.append({"datasetId": dataset_id, "join": {"type": join_type, "on": list(join_on or [])}})
+    def add_dataset(self, dataset_id: str, join_type: str = "inner", join_on: list | None = None,
+                    allow_product: bool = False):
+        join = {"type": join_type, "on": list(join_on or [])}
+        if allow_product:  # a cross join is planned only with it
+            join["allowProduct"] = True
+        self._datasets.append({"datasetId": dataset_id, "join": join})
         return self
 
     def add_select(self, column_id: str, dataset_id: str | None = None, aggregate: str | None = None,

@@ -6,8 +6,8 @@ when not selected → pivot → ORDER BY (NULLs last) → LIMIT → projection o
 
 Everything is expressed with DataFrame operators, so Catalyst pushes the WHERE conjuncts into the
 Parquet scans, prunes unused columns, plans partial/final hash aggregation, and turns
-ORDER BY + LIMIT into a top-k (TakeOrderedAndProject). One rewrite Catalyst does not make is done
-here: eager aggregation of the measured dataset below the joins (``_eager_builder``).
+ORDER BY + LIMIT into a top-k (TakeOrderedAndProject). The plan's shape depends on the spec alone,
+not on the size of its datasets.
 """
 
 from __future__ import annotations
@@ -16,12 +16,11 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 from vantage.operators.aggregates import aggregate_expr, pivot_frame
 from vantage.operators.filters import conjunction, predicate
-from vantage.operators.joins import fits_broadcast, join_chain, qualified
-from vantage.plans.spec import DIRECTIONS, JOIN_TYPES, ColumnRef, SpecError, column_ref, normalize, validate_limit
+from vantage.operators.joins import join_chain, qualified
+from vantage.plans.spec import DIRECTIONS, ColumnRef, SpecError, column_ref, normalize, validate_limit
 
 Resolver = Callable[[str], DataFrame]
 
@@ -51,12 +50,7 @@ def _value_expr(ref: ColumnRef, visible: list[str]) -> Column:
     return aggregate_expr(ref.aggregate, col)
 
 
-def plan_query_builder(qb: dict, resolve: Resolver, eager_aggregation: str = "auto") -> DataFrame:
-    """``eager_aggregation``: ``auto`` pre-aggregates the measured dataset of a join chain before the
-    joins when some other dataset is too large to broadcast (see ``_eager_builder``); ``always`` /
-    ``never`` force the choice where it is exact."""
-    if eager_aggregation not in ("auto", "always", "never"):
-        raise SpecError(f"eager_aggregation must be auto, always or never, not {eager_aggregation!r}")
+def plan_query_builder(qb: dict, resolve: Resolver) -> DataFrame:
     datasets = qb["datasets"]
     joined, visible = join_chain(datasets, resolve)
 
@@ -95,10 +89,7 @@ def plan_query_builder(qb: dict, resolve: Resolver, eager_aggregation: str = "au
             raise SpecError("filters on aggregates (HAVING) cannot be combined with a pivot")
         out, out_labels = _plan_pivot(df, selects, pivot, orders, visible)
     elif aggregated:
-        build = None
-        if eager_aggregation != "never":
-            build = _eager_builder(datasets, resolve, pre, eager_aggregation)
-        out, out_labels = _plan_aggregate(df, selects, post, orders, visible, build)
+        out, out_labels = _plan_aggregate(df, selects, post, orders, visible)
     else:
         out, out_labels = _plan_plain(df, selects, orders, visible)
 
@@ -128,7 +119,7 @@ def _plan_plain(df: DataFrame, selects, orders, visible) -> tuple[DataFrame, lis
     return out, [label for _, label in selects]
 
 
-def _plan_aggregate(df: DataFrame, selects, post, orders, visible, build=None) -> tuple[DataFrame, list[str]]:
+def _plan_aggregate(df: DataFrame, selects, post, orders, visible) -> tuple[DataFrame, list[str]]:
     keys = [(ref, label) for ref, label in selects if ref.aggregate is None]
     key_by_ref = {ref.key: label for ref, label in keys}
     agg_names: dict[tuple, str] = {ref.key: label for ref, label in selects if ref.aggregate}
@@ -152,11 +143,9 @@ def _plan_aggregate(df: DataFrame, selects, post, orders, visible, build=None) -
                 raise SpecError(f"order column {ref.column_id!r} is neither selected nor aggregated")
         sort_cols.append(_order_column(F.col(f"`{name}`"), direction))
 
-    out = build(keys, agg_items) if build is not None else None
-    if out is None:
-        key_cols = [_value_expr(ref, visible).alias(label) for ref, label in keys]
-        agg_exprs = [_value_expr(ref, visible).alias(name) for ref, name in agg_items]
-        out = df.groupBy(*key_cols).agg(*agg_exprs) if key_cols else df.agg(*agg_exprs)
+    key_cols = [_value_expr(ref, visible).alias(label) for ref, label in keys]
+    agg_exprs = [_value_expr(ref, visible).alias(name) for ref, name in agg_items]
+    out = df.groupBy(*key_cols).agg(*agg_exprs) if key_cols else df.agg(*agg_exprs)
     if post:
         types = {f.name: f.dataType for f in out.schema.fields}
         out = out.filter(conjunction([
@@ -167,116 +156,6 @@ def _plan_aggregate(df: DataFrame, selects, post, orders, visible, build=None) -
     return out, [label for _, label in selects]
 
 
-_DECOMPOSABLE = {"sum": F.sum, "count": lambda c: F.coalesce(F.sum(c), F.lit(0)), "min": F.min, "max": F.max,
-                 "avg": None}
-
-
-def _partials(ref: ColumnRef, i: int) -> list[Column]:
-    """Partial aggregates of one measure over the measured dataset (avg as sum and count)."""
-    col = None if ref.column_id == "*" else F.col(f"`{ref.column_id}`")
-    if ref.aggregate == "avg":
-        return [F.sum(col.cast("double")).alias(f"__part_{i}_s"), F.count(col).alias(f"__part_{i}_c")]
-    return [aggregate_expr(ref.aggregate, col).alias(f"__part_{i}")]
-
-
-def _final(ref: ColumnRef, i: int) -> Column:
-    """Recombination of the partials of one measure after the joins."""
-    if ref.aggregate == "avg":
-        n = F.sum(f"__part_{i}_c")
-        return F.when(n > 0, F.sum(f"__part_{i}_s") / n)
-    return _DECOMPOSABLE[ref.aggregate](F.col(f"__part_{i}"))
-
-
-def _side_filter(df: DataFrame, dataset_id: str, pre) -> DataFrame:
-    mine = [(ref, op, v) for ref, op, v in pre if ref.dataset_id == dataset_id]
-    if not mine:
-        return df
-    cols = [F.col(f"`{ref.column_id}`") for ref, _, _ in mine]
-    types = df.select(*cols).schema.fields
-    return df.filter(conjunction([predicate(c, op, v, f.dataType) for c, (_, op, v), f in zip(cols, mine, types)]))
-
-
-def _eager_builder(datasets, resolve: Resolver, pre, mode: str):
-    """Eager aggregation for an equi-join chain (inner, outer, semi or anti joins) when every
-    aggregate is a sum, count, min, max or avg over columns of one dataset (the *measured*
-    dataset M).
-
-    M is grouped by all its join columns and the group keys it owns before it enters the chain,
-    so the joins (and their shuffles) see one row per M group instead of every M row. The final
-    aggregation recombines the partial results (sum of sums, sum of counts, min of mins, max of
-    maxes, sum of sums over sum of counts). Every join sees M's groups exactly where it would
-    have seen M's rows, so this is exact for all these join types. Two cases keep the plain plan:
-    ``count(*)`` or a WHERE on M when an outer join can pad M with NULLs. Catalyst does not push
-    aggregation below joins by itself. When every other dataset fits the broadcast threshold, the plain plan is already a
-    chain of map-side broadcast joins, so ``auto`` keeps it.
-    """
-    def build(keys, aggs):
-        if len(datasets) < 2:
-            return None
-        hows = []
-        for d in datasets[1:]:
-            join = d.get("join") or {}
-            how = JOIN_TYPES.get(join.get("type", "inner"))
-            if how == "cross" or not join.get("on"):
-                return None
-            hows.append(how)
-        measured = {ref.dataset_id for ref, _ in aggs}
-        if len(measured) != 1 or any(ref.aggregate not in _DECOMPOSABLE for ref, _ in aggs):
-            return None
-        m = measured.pop()
-        pos = [d["datasetId"] for d in datasets].index(m)
-        # Outer joins can add rows where M is NULL. Sums, counts of a column, min, max and avg
-        # come out the same from NULL partials, but count(*) counts such rows as 1 in the plain
-        # plan and as 0 from partials.
-        null_supplied = any((how == "left" and pos == i) or (how == "right" and pos < i) or
-                            (how == "full" and pos <= i) for i, how in enumerate(hows, start=1))
-        if null_supplied and any(ref.column_id == "*" for ref, _ in aggs):
-            return None
-        # A WHERE on a null-supplied M applies after the join (it also drops the rows the outer
-        # join padded with NULLs); moving it before the join would keep them.
-        if null_supplied and any(ref.dataset_id == m for ref, _, _ in pre):
-            return None
-        referenced: dict[str, list[str]] = {d["datasetId"]: [] for d in datasets}
-        for d in datasets[1:]:
-            for entry in d["join"]["on"]:
-                for side in ("left", "right"):
-                    ref = entry.get(side) or {}
-                    cols = referenced.get(ref.get("datasetId"))
-                    if cols is not None and ref.get("columnId") not in cols:
-                        cols.append(ref["columnId"])
-        join_cols = list(referenced[m])
-        if not join_cols:
-            return None
-        for ref, _ in keys:
-            if ref.column_id not in referenced[ref.dataset_id]:
-                referenced[ref.dataset_id].append(ref.column_id)
-        others = [d["datasetId"] for d in datasets if d["datasetId"] != m]
-        if mode == "auto" and all(
-                fits_broadcast(_side_filter(resolve(o), o, pre).select(*[F.col(f"`{c}`") for c in referenced[o]]))
-                for o in others):
-            return None
-        m_df = _side_filter(resolve(m), m, pre)
-        targets = [aggregate_expr(ref.aggregate, None if ref.column_id == "*" else F.col(f"`{ref.column_id}`"))
-                   .alias(f"t{i}") for i, (ref, _) in enumerate(aggs)]
-        types = m_df.select(*targets).schema.fields
-        if any(ref.aggregate == "avg" and isinstance(t.dataType, DecimalType) for (ref, _), t in zip(aggs, types)):
-            return None      # decimal averages keep their exact plain-plan type
-        partial = [p for i, (ref, _) in enumerate(aggs) for p in _partials(ref, i)]
-        pre_agg = m_df.groupBy(*[F.col(f"`{c}`") for c in referenced[m]]).agg(*partial)
-        joined, visible = join_chain(datasets, lambda ds: pre_agg if ds == m else resolve(ds))
-        rest = [(ref, op, v) for ref, op, v in pre if ref.dataset_id != m]
-        if rest:
-            cols = [qualified(ref.dataset_id, ref.column_id) for ref, _, _ in rest]
-            ftypes = joined.select(*cols).schema.fields
-            joined = joined.filter(conjunction([predicate(c, op, v, f.dataType)
-                                                for c, (_, op, v), f in zip(cols, rest, ftypes)]))
-        key_cols = [qualified(ref.dataset_id, ref.column_id).alias(label) for ref, label in keys]
-        finals = [_final(ref, i).cast(t.dataType).alias(name) for i, ((ref, name), t) in enumerate(zip(aggs, types))]
-        return joined.groupBy(*key_cols).agg(*finals) if key_cols else joined.agg(*finals)
-
-    return build
-
-
 def _pivot_label(entry) -> tuple[str, list | None]:
     if isinstance(entry, dict):
         return entry.get("label") or entry.get("columnId"), entry.get("values")
@@ -329,23 +208,21 @@ def _plan_pivot(df: DataFrame, selects, pivot, orders, visible) -> tuple[DataFra
     return out, out.columns
 
 
-def run_insight(spec: dict, resolve: Resolver, variables: dict | None = None, spark=None,
-                eager_aggregation: str = "auto") -> DataFrame:
+def run_insight(spec: dict, resolve: Resolver, variables: dict | None = None, spark=None) -> DataFrame:
     """Evaluate an insight (either mode) to a DataFrame. ``variables`` feed sqlEditor mode."""
     query = normalize(spec)
     if query["mode"] == "queryBuilder":
-        return plan_query_builder(query["queryBuilder"], resolve, eager_aggregation)
+        return plan_query_builder(query["queryBuilder"], resolve)
     from vantage.plans.sql import run_sql_editor
 
     return run_sql_editor(query["sqlEditor"], resolve, values=variables, spark=spark)
 
 
-def run_chart(spec: dict, resolve: Resolver, variables: dict | None = None, spark=None,
-              eager_aggregation: str = "auto") -> DataFrame:
+def run_chart(spec: dict, resolve: Resolver, variables: dict | None = None, spark=None) -> DataFrame:
     """The chart-ready frame of an insight: its result shaped by the spec's own visual ``config``."""
     from vantage.operators.charts import chart_frame
 
     config = spec.get("config") if isinstance(spec, dict) else None
     if not config:
         raise SpecError("the insight has no visual config")
-    return chart_frame(run_insight(spec, resolve, variables, spark, eager_aggregation), config)
+    return chart_frame(run_insight(spec, resolve, variables, spark), config)

@@ -28,9 +28,12 @@ def write_dataset(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
     ``partition_by`` gives folder-level pruning on low-cardinality columns. ``sort_within`` sorts
     each output file by the columns queries usually filter on, which keeps Parquet row-group
-    min/max statistics tight, so pushed-down filters skip most row groups. It is a per-task sort,
-    with no shuffle.
+    min/max statistics tight, so pushed-down filters skip most row groups. It is a per-task sort.
+    Rows are rebalanced on ``partition_by`` first, so a value's rows do not scatter over one file
+    per task, and adaptive execution splits a value that holds more than a task's share.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*(partition_by or []), *sort_within)
     writer = df.write.mode("overwrite")
@@ -58,7 +61,7 @@ def missing(catalog: DataFrame, requests: DataFrame, keys: list[str]) -> DataFra
 def get_or_create(catalog: DataFrame, wanted: DataFrame, id_prefix: str = "ds", separator: str = "|") -> DataFrame:
     """S6 in bulk: the id per wanted (solution_id, slug); an existing registration wins, otherwise a
     new row is created. Several wanted rows for one key inside the batch create one dataset: the
-    first by ``seq`` (or by name when there is no seq column).
+    first by ``seq`` (or by name when there is no seq column), ties by the other columns.
 
     Returns ``catalog ∪ created`` with a ``created`` flag.
     """
@@ -68,7 +71,7 @@ def get_or_create(catalog: DataFrame, wanted: DataFrame, id_prefix: str = "ds",
     # min_by over a grouped aggregate: partial aggregation reduces a hot key map-side, where a
     # row_number window would pull all of its rows into one task.
     first = (wanted.groupBy(*key)
-             .agg(F.min_by(F.struct(*rest), order).alias("_first"))
+             .agg(F.min_by(F.struct(*rest), F.struct(order.alias("_order"), *rest)).alias("_first"))
              .select(*key, "_first.*"))
     new = first.join(catalog.select(*key), key, "left_anti")
     created = new.select(

@@ -89,8 +89,7 @@ WHERE o_orderstatus <> 'P' AND c_acctbal > 0
 GROUP BY c_mktsegment, c_nationkey HAVING count(o_orderkey) > 20
 """)
 def insight_revenue_eager(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The planner's eager aggregation forced on: orders are grouped by customer before the join
-    (the plan for a customer table too large to broadcast)."""
+    """Five aggregates of one measured dataset over a join, two keys, and a filter on a count."""
     spec = (InsightBuilder()
             .add_dataset("customer")
             .add_dataset("orders", "inner", [join_on("customer", "c_custkey", "orders", "o_custkey")])
@@ -104,7 +103,7 @@ def insight_revenue_eager(spark: SparkSession, sf_dir: str) -> DataFrame:
             .add_filter("c_acctbal", "greater_than", 0)
             .add_filter_defs([where_def("o_orderkey", "orders", "greater_than", 20, aggregate="count")])
             .build())
-    out = run_insight(spec, resolver(spark, sf_dir), eager_aggregation="always")
+    out = run_insight(spec, resolver(spark, sf_dir))
     return rounded_ratio(rounded(out, 2, "revenue"), 4, "avg_order")
 
 
@@ -273,7 +272,8 @@ SELECT r_name, n_name FROM region CROSS JOIN nation
 """)
 def join_cross(spark, sf_dir):
     # region has five rows by definition of the schema, so the product is bounded by 5 x nation.
-    spec = _join_spec("region", "nation", "cross", [], [("region", "r_name"), ("nation", "n_name")])
+    b = InsightBuilder().add_dataset("region").add_dataset("nation", "cross", allow_product=True)
+    spec = b.add_select("r_name", "region").add_select("n_name", "nation").build()
     return run_insight(spec, resolver(spark, sf_dir))
 
 
