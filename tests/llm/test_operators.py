@@ -170,6 +170,10 @@ def test_fingerprints(docs, empty):
     assert by[1].fingerprint == by[2].fingerprint and by[1].near_next == 1
     assert by[4].fingerprint == by[5].fingerprint
     assert len(found) == len(TEXTS)
+    assert all(r.edited_sha256 == sha(r.edited) for r in found)
+    bare = fingerprints.fingerprint_with_edits(docs, low=0.01, high=0.5, with_text=False)
+    assert sorted(map(str, bare.collect())) == sorted(str(r) for r in map(lambda r: type(r)(**{
+        c: r[c] for c in bare.columns}), found))
     assert fingerprints.fingerprint_with_edits(empty).count() == 0
 
 
