@@ -241,6 +241,40 @@ def test_vector_search(spark):
     assert vector_search.search(vectors.limit(0)).count() == 0
 
 
+def brute_force(rows, top=10, every=100):
+    """Ids of the nearest of each query by distance and id; of rows sharing an id the nearest counts."""
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
+    best = {}
+    for q in sorted({i for i in ids.tolist() if i % every == 0}):
+        d = np.min([((x - x[i]) ** 2).sum(1) for i in np.flatnonzero(ids == q)], axis=0)
+        own = {}
+        for i, far in zip(ids.tolist(), d.tolist()):
+            if i != q:
+                own[i] = min(far, own.get(i, np.inf))
+        best[q] = [i for _, i in sorted((far, i) for i, far in own.items())[:top]]
+    return best
+
+
+def vectors_found(spark, rows, **options):
+    got = defaultdict(list)
+    table = spark.createDataFrame([(i, list(map(float, v))) for i, v in rows], "vec_id long, embedding array<double>")
+    for r in vector_search.search(table, **options).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    return got
+
+
+@pytest.mark.parametrize("list_rows", [2, 8])
+def test_vector_search_many_lists_and_equal_vectors(spark, list_rows):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(1800, 8))
+    x[rng.permutation(1800)[:600]] = x[0]  # id 0 is a query of the group
+    best = brute_force(list(enumerate(x)), every=25)
+    got = vectors_found(spark, enumerate(x), every=25, list_rows=list_rows)
+    assert got.keys() == best.keys() and all(len(own) == 10 for own in got.values())
+    assert all(got[q] == best[q] for q in best if (x[q] == x[0]).all())
+    assert np.mean([len(set(got[q]) & set(best[q])) / 10 for q in best]) >= 0.9
+
+
 def test_mixing_meets_targets(spark, docs, empty):
     source = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     labelled = source.select("doc_id", F.col("lang").alias("domain"))
