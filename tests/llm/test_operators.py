@@ -275,6 +275,20 @@ def test_vector_search_many_lists_and_equal_vectors(spark, list_rows):
     assert np.mean([len(set(got[q]) & set(best[q])) / 10 for q in best]) >= 0.9
 
 
+@pytest.mark.parametrize("block_rows", [64, 4096])
+def test_vector_search_repeated_ids(spark, block_rows):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4) + 5) for i in range(100)]
+    rows[0] = (0, np.full(4, 5.0))
+    rows += [(7, np.full(4, 5.0) + rng.normal(size=4) * 1e-3) for _ in range(60)]  # one id fills the query's list
+    rows += [(9, np.full(4, 5.01))] * 30
+    for list_rows in (8, 1000):
+        got = vectors_found(spark, rows, list_rows=list_rows, block_rows=block_rows)
+        assert len(got[0]) == 10 and got[0][:2] == [7, 9]
+        if list_rows == 1000:
+            assert got == brute_force(rows)
+
+
 def test_mixing_meets_targets(spark, docs, empty):
     source = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     labelled = source.select("doc_id", F.col("lang").alias("domain"))
