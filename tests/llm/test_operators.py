@@ -158,6 +158,26 @@ def test_jaccard_join(spark, docs, empty, chunk_bytes):
         assert jaccard_join.link_components(empty).count() == 0
 
 
+@pytest.mark.parametrize("block_rows", [3, 128])
+def test_jaccard_join_links(spark, docs, empty, block_rows):
+    rng = np.random.default_rng(block_rows)
+    rows = list(TEXTS)
+    for i in range(60):
+        words = BASE.split()
+        for at in rng.integers(0, 60, rng.integers(0, 3)):
+            words[at] = f"new{rng.integers(0, 6)}"
+        rows.append((100 + i, " ".join(words[:rng.integers(50, 61)])))
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+            for w in ((t or "").encode().lower().split() for _, t in rows)]
+    want = sorted((str(d), sum(100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets) if a and b and i != j))
+                  for i, ((d, _), a) in enumerate(zip(rows, sets)))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.link_components(table, with_links=True, block_rows=block_rows)
+    assert sorted((str(r.doc_id), r.n_links) for r in got.collect()) == want
+    assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in got.collect()) == components(rows)
+    assert jaccard_join.link_components(empty, with_links=True).count() == 0
+
+
 def test_fingerprints(docs, empty):
     found = fingerprints.fingerprint_with_edits(docs, low=0.01, high=0.5).collect()
     rows = sorted({(d, t or "") for d, t in TEXTS if d not in (None, 13)})

@@ -15,6 +15,10 @@ Groups are linked through hubs first: every prefix token has a hub (the class wi
 of repeated tokens, later a random one), and each class is paired with the best hub it meets. Only pairs whose
 classes are not connected by then are proposed exhaustively, so no link between components is lost
 and a large group of near copies costs links in proportion to its size.
+
+The links of each document are counted over all pairs of classes of a component, as every link is
+inside one. Components are cut into blocks of classes; a task compares two blocks and returns counts,
+not pairs. This takes comparisons in proportion to the square of a component's classes.
 """
 
 from __future__ import annotations
@@ -145,13 +149,72 @@ def _hub_pairs(posts: DataFrame, goodness, percent: int) -> DataFrame:
     return met.select(F.least("x", "y.cls").alias("a"), F.greatest("x", "y.cls").alias("b")).distinct()
 
 
-def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_bytes: int = 4 << 20) -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id) for every row of ``docs``.
+def _linked_rows(sets: DataFrame, percent: int, block_rows: int, block_tokens: int) -> DataFrame:
+    """(cls, linked): documents of other classes of its component each class links with; ``sets`` has cls, n, core, comp, rows.
+
+    Every pair of classes of a component meets in one task: that of their two blocks.
+    """
+    sizes = sets.groupBy("comp").agg(F.count("*").alias("classes"), F.ceil(F.greatest(
+        F.count("*") / block_rows, F.sum(F.size("core")) / block_tokens)).cast("int").alias("blocks")).where("classes > 1")
+    total = sizes.agg(F.coalesce(F.sum(F.when(F.col("blocks") == 1, F.col("classes"))), F.lit(0))).first()[0]
+    packs = F.lit(-(-total // block_rows) or 1)  # components of one block share tasks
+    placed = sets.join(sizes, "comp").withColumn("block", F.when(
+        F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), packs)).otherwise(F.pmod(F.xxhash64("cls"), F.col("blocks"))).cast("int"))
+    others = F.when(F.col("blocks") == 1, F.array("block")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    met = (placed.withColumn("other", F.explode(others))
+           .select(F.when(F.col("blocks") > 1, F.col("comp")).otherwise("").alias("part"), F.least("block", "other").alias("i"),
+                   F.greatest("block", "other").alias("j"), "block", "cls", "n", "core", "rows"))
+
+    def count(table):
+        import numpy as np
+        import pyarrow as pa
+
+        cls = table.column("cls").combine_chunks()
+        n, rows, block, i, j = (table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("n", "rows", "block", "i", "j"))
+        core = table.column("core").combine_chunks()
+        lens = np.asarray(core.value_lengths())
+        column = np.unique(core.flatten().to_numpy(), return_inverse=True)[1]
+        doc = np.repeat(np.arange(len(n)), lens)
+        order = np.argsort(column, kind="stable")
+        column, doc = column[order], doc[order]
+        x = np.flatnonzero(block == i)
+        y = x if i[0] == j[0] else np.flatnonzero(block == j)
+        at_x, at_y = np.full(len(n), -1), np.full(len(n), -1)
+        at_x[x], at_y[y] = np.arange(len(x)), np.arange(len(y))
+        shared = np.zeros((len(x), len(y)), np.int64)
+        width = 2048  # columns at a time
+        for a in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            low, high = np.searchsorted(column, (a, a + width))
+            sides = []
+            for at, m in ((at_x, len(x)), (at_y, len(y))):
+                own = at[doc[low:high]]
+                held = np.zeros((m, width), np.float32)
+                held[own[own >= 0], column[low:high][own >= 0] - a] = 1
+                sides.append(held)
+            shared += (sides[0] @ sides[1].T).astype(np.int64)
+        links = 100 * shared >= percent * (n[x][:, None] + n[y] - shared)
+        linked = np.zeros(len(n), np.int64)
+        if y is x:
+            np.fill_diagonal(links, False)
+        else:
+            linked[y] = links.T @ rows[x]
+        linked[x] = links @ rows[y]
+        some = np.flatnonzero(linked)
+        return pa.table({"cls": cls.take(pa.array(some)), "linked": pa.array(linked[some], pa.int64())})
+
+    found = met.groupBy("part", "i", "j").applyInArrow(count, "cls string, linked long")
+    return found.groupBy("cls").agg(F.sum("linked").alias("linked"))
+
+
+def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_bytes: int = 4 << 20, with_links: bool = False,
+                    block_rows: int = 128, block_tokens: int = 250_000) -> DataFrame:
+    """(doc_id, n_shingles, class_id, component_id) for every row of ``docs``; ``with_links`` adds n_links.
 
     Two rows link when 100 * shared >= percent * union over their distinct ``size``-word shingles
     (words without ASCII blanks, A-Z lower-cased; a shorter text is one shingle). ``component_id`` is
     the smallest ``doc_id`` reachable by links, itself included; ``class_id`` names rows whose links
-    are the same by construction (null: too few repeated shingles to link with anything).
+    are the same by construction (null: too few repeated shingles to link with anything). ``n_links``
+    is the number of other rows that the row links with, those of its own class included.
 
     A null or blank text has no shingles and links with nothing. Rows with a null id take part and
     get the smallest id they reach, or null. Rows sharing an id are separate documents. Other columns
@@ -192,6 +255,13 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_byt
     named = label.join(lowest, "cls")
     of = written(named.groupBy("comp").agg(F.min("low").alias("component_id")), "component-lowest")
     of = written(label.join(of, "comp").select("cls", "component_id"), "class-lowest")
-    return (nodes.select("doc_id", "n", "cls").join(of, "cls", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"),
-                    F.coalesce("component_id", "doc_id").alias("component_id")))
+    columns = ["doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"),
+               F.coalesce("component_id", "doc_id").alias("component_id")]
+    if with_links:
+        rows = written(nodes.where("cls IS NOT NULL").groupBy("cls").agg(F.count("*").alias("rows")), "class-rows")
+        linked = _linked_rows(sets.select("cls", "n", "core").join(label, "cls").join(rows, "cls"), percent, block_rows, block_tokens)
+        own = alone.join(rows, "cls").select("cls", (F.col("rows") - 1).alias("linked"))
+        links = written(linked.unionByName(own).groupBy("cls").agg(F.sum("linked").alias("linked")), "class-links")
+        of = of.join(links, "cls", "left")
+        columns.append(F.coalesce("linked", F.lit(0)).cast("long").alias("n_links"))
+    return nodes.select("doc_id", "n", "cls").join(of, "cls", "left").select(*columns)

@@ -87,7 +87,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.link_components(read_documents(spark, sf_dir))
+    return jaccard_join.link_components(read_documents(spark, sf_dir), with_links=True)
 
 
 @query
