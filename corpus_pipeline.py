@@ -1,8 +1,8 @@
 """Corpus pipeline: the stages in order, each over all its predecessor kept.
 
 Quality classifier (rejected documents go), line dedup, n-gram Jaccard join (the smallest document
-of each group stays), mixing to target weights (documents repeat by their rates; the budget is the
-least that drops none), SentencePiece encoding (the last stage's rows).
+of each group stays), mixing to target weights (documents repeat by their rates, none below one; the
+budget is as large as that needs), SentencePiece encoding (the last stage's rows).
 """
 
 from __future__ import annotations

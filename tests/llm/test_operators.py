@@ -323,3 +323,19 @@ def test_mixing_meets_targets(spark, docs, empty):
     assert mixing.resample(source, covered).select("doc_id").distinct().count() == source.count()
     assert mixing.mix(docs, labelled, targets).count() == len(TEXTS)
     assert mixing.mix(empty, labelled, targets).count() == 0
+
+
+def test_mixing_cover_drops_none_of_soft_documents(spark):
+    soft = [(1.0, 0.0), (0.9, 0.1), (0.2, 0.8), (0.02, 0.98)] * 50
+    source = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id long, text string")
+    odds = spark.createDataFrame([(i, 10 + i % 7, *p) for i, p in enumerate(soft)], "doc_id long, tokens long, p0 double, p1 double")
+    table = source.select("doc_id", F.xxhash64("text").alias("body")).join(odds, "doc_id")
+    rates = mixing.fit_rates(table, [0.2, 0.8], "cover")
+    rows = rates.collect()
+    mass = [sum(r.tokens * r.rate * r[p] for r in rows) for p in ("p0", "p1")]
+    assert min(r.rate for r in rows) >= 1
+    assert abs(mass[0] / sum(mass) - 0.2) < 1e-3
+    assert mixing.resample(source, rates).select("doc_id").distinct().count() == 200
+    same = mixing.fit_rates(table.withColumns({"p0": F.lit(0.5), "p1": F.lit(0.5)}), [0.9, 0.1], "cover").agg(
+        F.min("rate"), F.max("rate")).first()  # no rates meet this
+    assert same[0] >= 1 and same[1] < 20

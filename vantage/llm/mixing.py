@@ -72,11 +72,14 @@ def posteriors(docs: DataFrame, model: tuple[DataFrame, list[float], list[float]
 
 def fit_rates(table: DataFrame, weights: list[float], budget: str | float = "tokens", steps: int = 60,
               tolerance: float = 1e-6, every: int = 8) -> DataFrame:
-    """``table`` (doc_id, body, tokens, p0 …) with ``rate`` >= 0.
+    """``table`` (doc_id, body, tokens, p0 …) with ``rate`` >= 0, or >= 1 with the budget ``"cover"``.
 
     Targets are ``weights`` (scaled to sum to one over the domains that have tokens) times the budget:
-    a number of tokens, ``"tokens"`` (as many as there are) or ``"cover"`` (the least that gives no
-    domain less than it has). Stops when all domains are within ``tolerance`` of the budget.
+    a number of tokens, ``"tokens"`` (as many as there are) or ``"cover"``: no document falls below
+    rate one. It starts with the least that gives no domain less than it has; soft documents repeated
+    for one domain add tokens to others, and while that brings the targets closer by a fifth or more
+    a step, the budget rises so that no domain has to give any back. Targets that no rates meet are
+    met as closely as the steps allow. Stops when all domains are within ``tolerance`` of the budget.
     """
     n = len(weights)
 
@@ -96,12 +99,21 @@ def fit_rates(table: DataFrame, weights: list[float], budget: str | float = "tok
     target = [s * amount for s in share]
     rate: Column = F.col("rate")
     now = have
+    cover = budget == "cover"
+    least, counted = (1.0, live) if cover else (0.0, range(n))
+    off = float("inf")
     for step in range(1, steps + 1):
+        if cover:
+            needed = max(now[k] / share[k] for k in live)
+            before, off = off, max(needed * share[k] - now[k] for k in live) / needed
+            cover = off <= 0.8 * before
+            amount = max(amount, needed) if cover else amount
+            target = [s * amount for s in share]
         gap = [(now[k] - target[k]) / have[k] if have[k] > 0 else 0.0 for k in range(n)]
-        if max(abs(now[k] - target[k]) for k in range(n)) <= tolerance * amount:
+        if max(abs(now[k] - target[k]) for k in counted) <= tolerance * amount:
             break
         slope = sum((F.col(f"p{k}") * F.lit(gap[k]) for k in range(1, n)), F.col("p0") * F.lit(gap[0]))
-        rate = F.greatest(F.lit(0.0), rate - slope)
+        rate = F.greatest(F.lit(least), rate - slope)
         if step % every == 0:  # keeps the expression short
             state = written(state.withColumn("rate", rate), "mixing-rates")
             rate = F.col("rate")
