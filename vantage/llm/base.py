@@ -69,6 +69,20 @@ def number_rows(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return local.join(F.broadcast(bases), "part").withColumn("rank", F.col("base") + F.col("at")).drop("part", "at", "base")
 
 
+def with_classes(rows: DataFrame, classes: DataFrame, key: str, share: int = 1000) -> DataFrame:
+    """``rows`` with the columns of their class; ``classes`` has ``key``, ``n`` (the rows of the class) and others.
+
+    A class with over one ``share``-th of all rows would put them into one task. There are fewer than
+    ``share`` such classes, so they are broadcast; the rows of the others are joined by shuffle.
+    """
+    others = [c for c in classes.columns if c not in (key, "n")]
+    least = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // share
+    large = F.broadcast(classes.where(F.col("n") > least).select(key, F.struct(*others).alias("_large")))
+    marked = rows.join(large, key, "left")
+    rest = marked.where(F.col("_large").isNull()).drop("_large").join(classes.where(F.col("n") <= least).drop("n"), key)
+    return marked.where(F.col("_large").isNotNull()).select(*rows.columns, "_large.*").unionByName(rest.select(*rows.columns, *others))
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the session's Python workers, wherever they start.
 

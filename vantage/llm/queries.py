@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantage.llm import (fingerprints, jaccard_join, line_dedup, mixing, quality_fm, sentencepiece_bpe, suffix_dedup,
-                         token_files, vector_search, window_dedup)
+from vantage.llm import (fingerprints, jaccard_join, line_dedup, mixing, quality_fm, sentencepiece_bpe,
+                         simhash_dedup, spelling_variants, suffix_dedup, token_files, vector_search, window_dedup)
 from vantage.llm.base import read_documents, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write_token_files(read_documents(spark, sf_dir), out,
                                   public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_files.read_token_files(spark, out)
+
+
+@query
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.link_components(read_documents(spark, sf_dir))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variant_groups(read_documents(spark, sf_dir))
