@@ -52,6 +52,19 @@ def blank(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def slices(data: bytes, step: int):
+    """The text in pieces of about ``step`` bytes, cut before ASCII blanks."""
+    import re
+
+    blank = re.compile(rb"[ \t-\r]")
+    a = 0
+    while a < len(data):
+        cut = blank.search(data, a + step) if a + step < len(data) else None
+        b = cut.start() if cut else len(data)
+        yield data[a:b]
+        a = b
+
+
 def number_rows(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """The distinct rows of ``df`` with ``rank`` 0, 1, 2 … in ascending order of ``keys``.
 

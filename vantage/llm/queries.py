@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantage.llm import (fingerprints, jaccard_join, line_dedup, mixing, quality_fm, sentencepiece_bpe,
+from vantage.llm import (collocations, fingerprints, jaccard_join, line_dedup, mixing, quality_fm, sentencepiece_bpe,
                          simhash_dedup, spelling_variants, suffix_dedup, token_files, vector_search, window_dedup)
 from vantage.llm.base import read_documents, scratch
 
@@ -108,6 +108,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, out)
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_phrases(read_documents(spark, sf_dir))
+
+
 @query
 def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.link_components(read_documents(spark, sf_dir))
