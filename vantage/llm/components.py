@@ -12,7 +12,7 @@ def _star(edges: DataFrame, large: bool, name: str) -> DataFrame:
     """Link each node's larger (smaller) neighbours and itself to its smallest neighbour."""
     pairs = (edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large
              else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
-    pairs = written(pairs.distinct(), name)
+    # written, so that the join below has a plain shuffle on both sides that Spark can split
     least = written(pairs.groupBy("a").agg(F.min("b").alias("low"))
                     .select("a", F.least("a", "low").alias("low")), name)
     joined = pairs.join(least, "a")

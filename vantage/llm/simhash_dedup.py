@@ -8,10 +8,10 @@ up the values of a small Hamming ball around it. Of two classes the one with the
 the other up, so a pair meets once; what meets is compared over all 64 bits.
 
 Only connection matters, so no group of near copies is compared pair by pair. First every table entry
-has a hub (its smallest fingerprint) that all who meet there are compared with: links in proportion to
-rows. Only entries where classes of different components still meet are compared exhaustively, and
-their links are reported between components. An entry with many classes is cut into blocks; a task
-compares two blocks.
+has a hub (its smallest fingerprint) that all who meet there are compared with, and each class stands
+for the smallest hub it is near: links in proportion to rows. Only entries where classes that stand for
+different ones still meet are compared exhaustively, and their links are reported between those.
+An entry with many classes is cut into blocks; a task compares two blocks.
 """
 
 from __future__ import annotations
@@ -22,26 +22,13 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.base import ship, with_classes, written
+from vantage.llm.base import ship, slices, with_classes, written
 from vantage.llm.components import connected_components
 
 _SLICE = 1 << 22  # bytes of a text that are cut into words at a time
 _SEED = 42
 
 
-def word_slices(data: bytes, step: int = _SLICE) -> Iterator[list[bytes]]:
-    """The words of a text (between ASCII blanks) in order, a bounded list at a time."""
-    import re
-
-    blank = re.compile(rb"[ \t-\r]")
-    a = 0
-    while a < len(data):
-        cut = blank.search(data, a + step) if a + step < len(data) else None
-        b = cut.start() if cut else len(data)
-        yield data[a:b].split()  # of bytes: ASCII blanks only
-        a = b
-
-
 def shingle_hashes(data: bytes, size: int, step: int = _SLICE) -> Iterator:
     """XXH64 of every ``size``-word shingle of a lower-cased text, repeats included, in arrays of bounded size."""
     import numpy as np
@@ -50,8 +37,8 @@ def shingle_hashes(data: bytes, size: int, step: int = _SLICE) -> Iterator:
     digest = xxhash.xxh64_intdigest
     held: list[bytes] = []
     sent = False
-    for words in word_slices(data, step):
-        held += words
+    for part in slices(data, step):
+        held += part.split()  # of bytes: ASCII blanks only
         if len(held) < size:
             continue
         joined = b" ".join(held)
@@ -136,7 +123,7 @@ def _meetings(classes: DataFrame, distance: int, segments: int) -> DataFrame:
 
 
 def _component_links(met: DataFrame, distance: int, block_rows: int, pack_rows: int) -> DataFrame:
-    """Distinct (a, b): components of which two classes that meet are near. ``met`` has seg, value, fp, home, comp."""
+    """Distinct (a, b): ``comp`` values of which two classes that meet are near. ``met`` has seg, value, fp, home, comp."""
     sizes = met.groupBy("seg", "value").agg(F.count("*").alias("rows"), F.max("home").alias("known"),
                                             F.min("comp").alias("low"), F.max("comp").alias("high"))
     sizes = written(sizes.where("known and low <> high")
@@ -209,13 +196,17 @@ def link_components(docs: DataFrame, size: int = 4, distance: int = 4, segments:
 
     hubs = met.where("home").groupBy("seg", "value").agg(F.min("fp").alias("hub"))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= distance
-    links = written(met.join(hubs, ["seg", "value"]).where((F.col("fp") != F.col("hub")) & near)
-                    .select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct(), "simhash-links")
+    own = (met.join(hubs, ["seg", "value"]).where((F.col("hub") < F.col("fp")) & near)
+           .groupBy("fp").agg(F.min("hub").alias("hub")))
+    own = written(own, "simhash-hubs")
+    # a class stands for the smallest hub it is near, and that one for its own
+    comp = own.join(own.select(F.col("fp").alias("hub"), F.col("hub").alias("next")), "hub", "left").select(
+        "fp", F.coalesce("next", "hub").alias("comp"))
+    comp = written(comp, "simhash-comps")
+    known = met.join(comp, "fp", "left").select("seg", "value", "fp", "home", F.coalesce("comp", "fp").alias("comp"))
+    links = comp.select(F.col("fp").alias("a"), F.col("comp").alias("b")).unionByName(
+        _component_links(written(known, "simhash-known"), distance, block_rows, pack_rows))
     label = written(connected_components(links, "simhash-components"), "simhash-labels")
-    known = (met.join(label, F.col("fp") == F.col("node"), "left")
-             .select("seg", "value", "fp", "home", F.coalesce("component", "fp").alias("comp")))
-    links = links.unionByName(_component_links(written(known, "simhash-met"), distance, block_rows, pack_rows))
-    label = written(connected_components(written(links, "simhash-links"), "simhash-components"), "simhash-labels")
 
     named = classes.join(label, F.col("fp") == F.col("node"), "left").select("fp", "low", "n", F.coalesce("component", "fp").alias("comp"))
     named = written(named, "simhash-named")
