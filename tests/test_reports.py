@@ -110,3 +110,41 @@ def test_assemble_random_against_python(spark):
             if i and i not in insights:
                 insights.append(i)
         assert got[rid] == (structure, insights), rid
+
+
+def test_widget_walk_goes_on_with_documents_that_are_still_open(spark):
+    """Documents of very different depth: each is followed to its end, in the round it takes."""
+    def nested(depth):
+        doc = {"type": "widget", "widgetData": {"insightId": f"at{depth}"}}
+        for i in range(depth):
+            doc = [doc] if i % 2 else {"children": doc, "type": "widget", "widgetData": {"insightId": f"w{i}"}}
+        return doc
+    depths = [0, 1, 7, 8, 9, 30, 120]
+    df = spark.createDataFrame([(f"r{d}", json.dumps(nested(d))) for d in depths], "report_id string, structure string")
+    got = {(r.report_id, r.insight_id) for r in rep.extract_widgets(spark, df, method="sql").collect()}
+    assert got == {(f"r{d}", iid) for d in depths for iid in walk(nested(d), set())}
+    plan = rep.extract_widgets(spark, df, method="sql")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_sections_concatenate_to_the_whole(spark):
+    rng = random.Random(8)
+    rows = [(f"r{r}", pos, f'{{"b":{pos}}}', rng.choice(["a", "b", "c", "d", "", None])) for r in range(4) for pos in range(1, 30 * r + 2)]
+    blocks = spark.createDataFrame(rows, "report_id string, pos int, block string, insight_id string")
+    whole = {r.report_id: r for r in rep.assemble(blocks).collect()}
+    parts = rep.assemble_sections(blocks, section_size=7).collect()
+    for rid, row in whole.items():
+        mine = sorted((p for p in parts if p.report_id == rid), key=lambda p: p.section)
+        assert '{"editorState": [' + ", ".join(p.blocks for p in mine) + "]}" == row.structure
+        assert [i for p in mine for i in p.insights] == list(row.insights)
+
+
+def test_table_sections_concatenate_to_the_block(spark):
+    rows = [(t, n, [f"{t}{n}", 'q"uote']) for t in range(3) for n in range(5, 5 + 9 * t + 1)]
+    df = spark.createDataFrame(rows, "table_id int, row_nr int, cells array<string>")
+    for header in (True, False):
+        blocks = {r.table_id: r.block for r in rep.table_blocks(df, has_header=header).collect()}
+        parts = rep.table_sections(df, has_header=header, section_size=4).collect()
+        for t, block in blocks.items():
+            mine = ",".join(p.rows for p in sorted((p for p in parts if p.table_id == t), key=lambda p: p.section))
+            assert block == f'{{"type":"table","id":"t{t}","children":[{mine}]}}'

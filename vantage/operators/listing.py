@@ -128,3 +128,29 @@ def lookup(entities: DataFrame, requests: DataFrame, key: str = "id") -> DataFra
     """Requests left-joined with the entity table; ``found`` marks the misses."""
     ents = entities.withColumn("found", F.lit(True))
     return requests.join(ents, key, "left").withColumn("found", F.coalesce(F.col("found"), F.lit(False)))
+
+
+# -- C7 over all entity types -----------------------------------------------------------------------
+
+ENTITY_KEY = ["entity_type", "key"]
+
+
+def entity_index(entities: DataFrame, table: str, path: str, buckets: int = 200) -> DataFrame:
+    """The catalog's entities (entity_type, key, and what a lookup returns), stored bucketed and sorted by their key.
+
+    Insights by id and by slug, reports, views, solutions, tags and groups are rows of one table, told apart
+    by ``entity_type``. ``table`` is an external table over ``path`` (a shared folder); a later session can
+    read it again by that name if its catalog is kept. Take about one bucket per 200 MB of catalog.
+    """
+    spark = entities.sparkSession
+    (entities.write.format("parquet").bucketBy(buckets, *ENTITY_KEY).sortBy(*ENTITY_KEY)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
+def lookup_entities(index: DataFrame, requests: DataFrame) -> DataFrame:
+    """C7 in bulk over all types: each distinct (entity_type, key) request with its entity, if there is one; ``found``
+    marks the misses. With an ``entity_index`` only the requests are shuffled; the catalog is read bucket by bucket."""
+    wanted = requests.select(*ENTITY_KEY).distinct()
+    held = index.withColumn("found", F.lit(True))
+    return wanted.join(held, ENTITY_KEY, "left").withColumn("found", F.coalesce("found", F.lit(False)))

@@ -2,8 +2,8 @@
 table blocks.
 
 Report structures are JSON trees. Widget extraction walks each report's tree inside the task
-that reads it (``mapInPandas``), or, with built-ins only, with a recursive CTE over
-``variant_explode``. Everything else is joins and grouped aggregation keyed by report.
+that reads it (``mapInPandas``), or, with built-ins only, level by level over VARIANT arrays
+inside the row. Everything else is joins and grouped aggregation keyed by report.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantage.functions import jsonwalk
@@ -20,22 +20,6 @@ from vantage.session import scratch_path
 # Ship the task-side walker by value: executors then need no installed copy of this package.
 cloudpickle.register_pickle_by_value(jsonwalk)
 
-_RECURSION_CONFS = ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit")
-
-WIDGET_SQL = """
-WITH RECURSIVE nodes(report_id, v) AS (
-  SELECT report_id, try_parse_json(structure) FROM {reports} WHERE structure IS NOT NULL
-  UNION ALL
-  SELECT n.report_id, e.value FROM nodes n, LATERAL variant_explode(n.v) e
-)
-SELECT DISTINCT report_id, try_variant_get(v, '$.widgetData.insightId', 'string') AS insight_id
-FROM nodes
-WHERE try_variant_get(v, '$.type', 'string') = 'widget'
-  AND variant_get(v, '$.widgetData') IS NOT NULL
-  AND try_variant_get(v, '$.widgetData.insightId', 'string') <> ''
-"""
-
-
 def extract_widgets(spark: SparkSession, reports: DataFrame, id_col: str = "report_id",
                     structure_col: str = "structure", method: str = "map") -> DataFrame:
     """Distinct non-empty ``widgetData.insightId`` of every object whose ``type`` is
@@ -46,36 +30,53 @@ def extract_widgets(spark: SparkSession, reports: DataFrame, id_col: str = "repo
     Memory per task is one batch of documents. ``report_id`` is the key of the reports table, so
     de-duplication within a report is enough for set semantics.
 
-    ``method="sql"``: the same with built-ins only, a recursive CTE over ``variant_explode``
-    (one job per tree level).
+    ``method="sql"``: the same with built-ins only (``_walk_levels``).
     """
     src = reports.select(F.col(id_col).cast("string").alias("report_id"),
                          F.col(structure_col).alias("structure"))
     if method == "map":
         return src.mapInPandas(jsonwalk.widget_batches, "report_id string, insight_id string")
     if method == "sql":
-        return _extract_widgets_sql(spark, src)
+        return _walk_levels(spark, src)
     raise ValueError(f"unknown method {method!r}")
 
 
-def _extract_widgets_sql(spark: SparkSession, src: DataFrame) -> DataFrame:
-    """Spark stops recursive CTEs at 100 levels / 1,000,000 rows by default; a catalog of reports
-    has more nodes than that, so both limits are lifted while the query runs. They are read when
-    the query executes, so the result is written to the shared checkpoint folder before they are
-    restored."""
-    saved = {k: spark.conf.get(k, None) for k in _RECURSION_CONFS}
-    for k in _RECURSION_CONFS:
-        spark.conf.set(k, "-1")
-    try:
+def _level(frontier: Column) -> tuple[Column, Column]:
+    """The insight ids of the widgets among an array of nodes, and the nodes one level below."""
+    widgets = F.filter(frontier, lambda v: (F.try_variant_get(v, "$.type", "string") == "widget")
+                       & F.try_variant_get(v, "$.widgetData", "variant").isNotNull())
+    ids = F.filter(F.transform(widgets, lambda v: F.try_variant_get(v, "$.widgetData.insightId", "string")),
+                   lambda x: x != "")
+    none = F.array().cast("array<variant>")
+    below = F.transform(frontier, lambda v: F.coalesce(
+        F.try_variant_get(v, "$", "array<variant>"), F.map_values(F.try_variant_get(v, "$", "map<string,variant>")), none))
+    return ids, F.flatten(below)
+
+
+def _walk_levels(spark: SparkSession, src: DataFrame, first: int = 8, most: int = 32) -> DataFrame:
+    """Widget ids by a walk inside each row: an array of the nodes of one level, replaced by their children.
+
+    A job goes ``first`` levels down (twice as many in each later one, up to ``most``); only documents that are still
+    open then are written to the shared folder and taken further. So a document is parsed once, nothing is
+    exploded or shuffled, and a few very deep documents cost further jobs over themselves only.
+    """
+    empty = F.array().cast("array<string>")
+    walk = src.select("report_id", F.array(F.try_parse_json("structure")).alias("nodes"), empty.alias("ids")).where("structure IS NOT NULL")
+    out, levels = None, first
+    while True:
+        for _ in range(levels):
+            ids, below = _level(F.col("nodes"))
+            walk = walk.select("report_id", below.alias("nodes"), F.concat("ids", ids).alias("ids"))
+        walk = walk.select("report_id", F.when(F.size("nodes") > 0, F.col("nodes")).alias("nodes"), F.array_distinct("ids").alias("ids"))
         path = scratch_path(spark, "widgets", uuid.uuid4().hex)
-        spark.sql(WIDGET_SQL, reports=src).write.mode("overwrite").parquet(path)
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-    return spark.read.parquet(path)
+        walk.where("nodes IS NOT NULL OR size(ids) > 0").write.parquet(path)
+        walk = spark.read.schema(walk.schema).parquet(path)
+        done = walk.where("nodes IS NULL").select("report_id", F.explode("ids").alias("insight_id"))
+        out = done if out is None else out.unionByName(done)
+        walk = walk.where("nodes IS NOT NULL")
+        if walk.isEmpty():
+            return out
+        levels = min(2 * levels, most)
 
 
 def reference_diff(current: DataFrame, new: DataFrame, updated_reports: DataFrame | None = None) -> DataFrame:
@@ -150,15 +151,56 @@ def table_blocks(rows: DataFrame, has_header: bool = True) -> DataFrame:
     aggregation; a table's rows are gathered into one array (bounded by one table's size)."""
     per = rows.groupBy("table_id").agg(F.sort_array(F.collect_list(F.struct("row_nr", "cells"))).alias("_rows"))
 
+    return per.select(
+        "table_id",
+        F.to_json(F.struct(F.lit("table").alias("type"),
+                           F.concat(F.lit("t"), F.col("table_id").cast("string")).alias("id"),
+                           _table_rows(F.col("_rows"), F.lit(has_header)).alias("children"))).alias("block"))
+
+
+def assemble_sections(blocks: DataFrame, section_size: int = 1000) -> DataFrame:
+    """W4 for reports of any size: one row per (report, section of ``section_size`` positions) with the
+    section's ``blocks`` (comma-joined, in order) and ``insights``, the widget insight ids that the report
+    shows in this section for the first time, in order. Concatenated in ``section`` order, the blocks are the
+    ``editorState`` list and the insights the report's list.
+
+    No task holds more than a section, if positions are unique in a report: the place where an
+    insight is first seen is a grouped minimum with a map-side partial step.
+    """
+    keys = ["report_id", "section"]
+    section = F.floor((F.col("pos") - 1) / F.lit(section_size)).cast("int").alias("section")
+    texts = (blocks.select("report_id", section, F.struct("pos", "block", "insight_id").alias("_b")).groupBy(*keys)
+             .agg(F.array_join(F.sort_array(F.collect_list("_b"))["block"], ", ").alias("blocks")))
+    firsts = (blocks.where(F.col("insight_id") != "").groupBy("report_id", "insight_id")
+              .agg(F.min(F.struct("pos", "block", "insight_id")).alias("_at"), F.min("pos").alias("pos"))
+              .groupBy("report_id", section).agg(F.sort_array(F.collect_list("_at"))["insight_id"].alias("insights")))
+    return texts.join(firsts, keys, "left").select(
+        *keys, "blocks", F.coalesce("insights", F.array().cast("array<string>")).alias("insights"))
+
+
+def _table_rows(rows: Column, header: Column) -> Column:
+    """``tr`` structs of an array of rows; ``header``: the first of them has ``th`` cells."""
     def tr(row, i):
-        kind = F.when(F.lit(has_header) & (i == 0), F.lit("th")).otherwise(F.lit("td"))
+        kind = F.when(header & (i == 0), F.lit("th")).otherwise(F.lit("td"))
         return F.struct(F.lit("tr").alias("type"),
                         F.transform(row["cells"], lambda c: F.struct(kind.alias("type"),
                                                                      F.array(F.struct(c.alias("text"))).alias("children")))
                         .alias("children"))
 
-    return per.select(
-        "table_id",
-        F.to_json(F.struct(F.lit("table").alias("type"),
-                           F.concat(F.lit("t"), F.col("table_id").cast("string")).alias("id"),
-                           F.transform("_rows", tr).alias("children"))).alias("block"))
+    return F.transform(rows, tr)
+
+
+def table_sections(rows: DataFrame, has_header: bool = True, section_size: int = 1000) -> DataFrame:
+    """W5 for tables of any size: one row per (table, section of ``section_size`` row numbers) with ``rows``, the
+    section's table rows as comma-joined JSON. ``table_blocks`` gives the same rows as one block.
+
+    The header row is the table's smallest row number, known from a grouped minimum; it is joined with
+    sections, not with rows.
+    """
+    section = F.floor((F.col("row_nr") - 1) / F.lit(section_size)).cast("int").alias("section")
+    per = (rows.select("table_id", section, F.struct("row_nr", "cells").alias("_r")).groupBy("table_id", "section")
+           .agg(F.sort_array(F.collect_list("_r")).alias("_rows")))
+    first = rows.groupBy("table_id").agg(F.min(section).alias("_first"))
+    children = F.to_json(_table_rows(F.col("_rows"), F.lit(has_header) & (F.col("section") == F.col("_first"))))
+    return per.join(first, "table_id").select("table_id", "section", children.alias("_json")).select(
+        "table_id", "section", F.expr("substring(_json, 2, char_length(_json) - 2)").alias("rows"))

@@ -17,6 +17,7 @@ from typing import Any, Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from vantage.plans.spec import SpecError
+from vantage.sources.versions import replace_folder
 
 # Fixed value: a dataset placeholder is an id in double braces inside single quotes.
 PLACEHOLDER = re.compile(r"'\{\{([^}]+)\}\}'")
@@ -84,12 +85,11 @@ def export(spark: SparkSession, dataset_id: str, out_path: str, resolve: Resolve
            datasets: Iterable[str] | None = None, args: list | None = None,
            named_args: dict | None = None) -> str:
     """Run ``sql`` (default: the whole dataset) over the listed datasets and write the result
-    as Parquet to ``out_path``. The result is written by the executors; nothing is gathered on
-    the driver. Returns the path."""
+    as Parquet to ``out_path``, replacing what was there once it is complete. The result is written by
+    the executors; nothing is gathered on the driver. Returns the path."""
     text = sql or export_query(dataset_id)
     ids = list(datasets) if datasets is not None else [dataset_id]
-    execute_sql(spark, text, ids, resolve=resolve, args=args, named_args=named_args) \
-        .write.mode("overwrite").parquet(out_path)
+    replace_folder(execute_sql(spark, text, ids, resolve=resolve, args=args, named_args=named_args), out_path)
     return out_path
 
 

@@ -82,6 +82,36 @@ def dataset_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.lit("table"), F.col("table")).alias("metadata")))
 
 
+def dataset_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON document per dataset, as its details come from a catalog: with column metadata, without columns, with
+    a null or missing level above them, or cut off."""
+    p = read_table(spark, sf_dir, "part")
+    key = F.col("p_partkey").cast("string")
+    columns = F.concat(F.lit('{"c1": {"label": "'), F.col("p_brand"), F.lit('", "position": '), F.col("p_size"),
+                       F.lit('}, "c2": {"hidden": '), (F.col("p_size") > 25).cast("string"), F.lit('}, "c3": {}}'))
+    kind = F.col("p_partkey") % 7
+    meta = (F.when(kind == 0, F.lit(""))
+             .when(kind == 1, F.lit(', "metadata": null'))
+             .when(kind == 2, F.lit(', "metadata": {}'))
+             .when(kind == 3, F.lit(', "metadata": {"schema": {"rows": 5}}'))
+             .otherwise(F.concat(F.lit(', "metadata": {"schema": {"columns": '), columns, F.lit("}}"))))
+    text = F.concat(F.lit('{"id": "'), key, F.lit('"'), meta, F.lit("}"))
+    return p.select(key.alias("dataset_id"), F.when(F.col("p_size") == 50, F.substring(text, 1, 20)).otherwise(text).alias("document"))
+
+
+def metadata_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates of column metadata, one per order: to the dataset of the order's customer number. They name the columns
+    of a customer dataset and one that does not exist; some payloads are no objects."""
+    o = read_table(spark, sf_dir, "orders")
+    payload = (F.when(F.col("o_orderkey") % 11 == 0, F.lit("[1, 2]"))
+               .when(F.col("o_orderkey") % 11 == 1, F.lit('{"c_name": "no object", "c_custkey": {"unit": null}}'))
+               .when(F.col("o_orderstatus") == "F", F.concat(
+                   F.lit('{"c_name": {"label": "'), F.col("o_orderpriority"), F.lit('", "order": '), F.col("o_orderkey"),
+                   F.lit('}, "c_missing": {}}')))
+               .otherwise(F.concat(F.lit('{"c_acctbal": {"unit": "EUR", "order": "'), F.col("o_orderkey"), F.lit('"}}'))))
+    return o.select(F.col("o_custkey").cast("string").alias("dataset_id"), F.col("o_orderkey").alias("seq"), payload.alias("columns"))
+
+
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     return (p.select(F.regexp_replace("p_brand", "Brand#", "tag-").alias("tag_id"),
@@ -119,6 +149,44 @@ def _k(e: DataFrame) -> Column:
     return F.get_json_object(F.col("props"), "$.k")
 
 
+def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(group_id, member_id): an event group holds a region's group, that its nations' groups, those the suppliers. One nation
+    holds its region again, so there is a cycle."""
+    events = F.array(*[F.lit(f"g-{e}") for e in ("click", "view", "purchase", "signup", "error")])
+    nation = read_table(spark, sf_dir, "nation")
+    region_of = F.concat(F.lit("region-"), F.col("n_regionkey"))
+    nation_of = F.concat(F.lit("nation-"), F.col("n_nationkey"))
+    pairs = [
+        read_table(spark, sf_dir, "region").select(F.element_at(events, F.col("r_regionkey") + 1).alias("group_id"),
+                                                   F.concat(F.lit("region-"), F.col("r_regionkey")).alias("member_id")),
+        nation.select(region_of, nation_of),
+        nation.where("n_nationkey = 3").select(nation_of, region_of),
+        read_table(spark, sf_dir, "supplier").select(F.concat(F.lit("nation-"), F.col("s_nationkey")), F.concat(F.lit("u"), F.col("s_suppkey"))),
+    ]
+    out = pairs[0]
+    for pair in pairs[1:]:
+        out = out.union(pair)
+    return out
+
+
+def containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(container_id, id): a workspace per brand holds solutions, a solution its resources."""
+    p = read_table(spark, sf_dir, "part")
+    solution = F.lower("p_type")
+    workspaces = p.where("p_size < 3").select(F.concat(F.lit("ws-"), F.col("p_brand")).alias("container_id"), solution.alias("id")).distinct()
+    return workspaces.union(p.select(solution, F.col("p_partkey").cast("string")))
+
+
+def container_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assignments on containers: every nation's group has a role on one solution or one workspace."""
+    n = read_table(spark, sf_dir, "nation")
+    kinds = F.array(*[F.lit(t.lower()) for t in sorted(TYPE_TO_TABLE)])
+    where = F.when(F.col("n_nationkey") % 5 == 0, F.concat(F.lit("ws-Brand#"), F.col("n_nationkey") + 1)).otherwise(
+        F.element_at(kinds, F.col("n_nationkey") % 6 + 1))
+    return n.select(where.alias("resource_id"), F.concat(F.lit("nation-"), F.col("n_nationkey")).alias("principal_id"),
+                    role_band(F.col("n_nationkey") * 7).alias("role"))
+
+
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change stream (key, seq, op, payload JSON). Payloads carry a subset of the fields
     name/score/tier, sometimes an explicit JSON null."""
@@ -221,6 +289,40 @@ def report_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything a lookup can ask for: (entity_type, key, id, name)."""
+    res = resources(spark, sf_dir)
+    insight = res.where("resource_type = 'insight'")
+    parts = [
+        insight.select(F.lit("insight").alias("entity_type"), F.col("id").alias("key"), "id", "name"),
+        insight.select(F.lit("insight_slug"), F.concat(F.lit("p"), F.col("id")), "id", "name"),
+        res.where("resource_type = 'report'").select(F.lit("report"), "id", "id", "name"),
+        report_views(spark, sf_dir).select(F.lit("report_view"), "id", "id", "name"),
+        res.select("container_id").distinct().select(F.lit("solution"), "container_id", "container_id", "container_id"),
+        tags(spark, sf_dir).select(F.lit("tag"), "tag_id", "tag_id", "name"),
+        role_changes(spark, sf_dir).select("principal_id").distinct().select(
+            F.lit("group"), "principal_id", "principal_id", F.substring("principal_id", 3, 100)),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+def lookup_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One lookup per line item, of all entity types, with misses: (entity_type, key)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    part, kind = F.col("l_partkey").cast("string"), F.col("l_linenumber") % 7
+    types = ["insight", "insight_slug", "report", "report_view", "solution", "tag", "group"]
+    keys = [part, F.concat(F.lit("p"), part), part, F.concat(F.lit("v"), F.col("l_orderkey") * 2),
+            F.when(F.col("l_returnflag") == "R", "economy").when(F.col("l_returnflag") == "A", "large").otherwise("nowhere"),
+            F.concat(F.lit("tag-"), F.col("l_partkey") % 40), F.when(F.col("l_linestatus") == "O", "g-click").otherwise("g-nobody")]
+    entity, key = F.lit(types[0]), keys[0]
+    for i in range(1, 7):
+        entity, key = F.when(kind == i, types[i]).otherwise(entity), F.when(kind == i, keys[i]).otherwise(key)
+    return li.select(entity.alias("entity_type"), key.alias("key"))
+
+
 def dpa_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat requests to create processing-register entries, one per supplier. Status and
     toggleable are left out (NULL) where the defaults apply."""
@@ -247,6 +349,33 @@ def dpa_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dpa_entries_from(dpa_requests(spark, sf_dir))
 
 
+def dpa_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat update requests for the entries of suppliers with a low balance, two for some of them."""
+    base = dpa_requests(spark, sf_dir)
+    s = read_table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey")).alias("slug"), "s_acctbal")
+    low = base.join(s.where(F.col("s_acctbal") < 3000), "slug")
+    first = low.withColumn("seq", F.lit(1)).withColumn("person_group", F.lit("visitors"))
+    second = (low.where(F.col("s_acctbal") < 1500).withColumn("seq", F.lit(2))
+              .withColumn("person_group", F.lit("suppliers")).withColumn("status", F.lit(None).cast("string")))
+    columns = ["seq", *base.columns]
+    return first.select(*columns).unionByName(second.select(*columns))
+
+
+def dpa_amendment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of single amendments, one per line item, keyed by the line's supplier: returned lines
+    remove an amendment, the others set one. First lines name the entry's own data type."""
+    li = read_table(spark, sf_dir, "lineitem")
+    s = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    kind = F.when(F.col("l_linenumber") == 1, F.concat(F.lit("type-"), F.col("s_nationkey"))).otherwise(
+        F.concat(F.lit("line-"), F.col("l_linenumber")))
+    item = F.struct(kind.alias("dataType"), F.when(F.col("l_linestatus") == "O", "visitors").otherwise("staff").alias("personGroup"),
+                    F.concat(F.lit("order "), F.col("l_orderkey")).alias("purpose"), F.lit("access log").alias("safetyMeasures"))
+    return li.join(s, "l_suppkey").select(
+        F.concat(F.lit("sol"), F.col("s_nationkey")).alias("solution_id"), F.concat(F.lit("s"), F.col("l_suppkey")).alias("slug"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+        F.when(F.col("l_returnflag") == "R", "remove").otherwise("set").alias("op"), item.alias("item"))
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records to validate: content type, status and JSON body; every seventh body is cut."""
     e = read_table(spark, sf_dir, "events")

@@ -13,33 +13,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantage.functions.expressions import normalize_source_timestamp
+from vantage.sources.versions import read_folder, read_version, replace_folder, versions, write_version
 
 DATASET_COLUMNS = ("id", "solution_id", "name", "description", "source", "slug", "documentation")
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """The whole dataset as a DataFrame (schema from the Parquet footers)."""
-    return spark.read.parquet(path)
+    """The whole dataset as a DataFrame, as ``write_dataset`` got it; a folder of plain Parquet
+    files is read with the schema of their footers."""
+    return read_version(spark, path) if versions(spark, path) else read_folder(spark, path)
 
 
 def write_dataset(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   sort_within: list[str] | None = None) -> None:
-    """S3: write as Parquet, replacing what was there.
+    """S3: write as Parquet, replacing what was there once the write is complete; a failed write leaves
+    the old dataset (``versions.py``).
 
-    ``partition_by`` gives folder-level pruning on low-cardinality columns. ``sort_within`` sorts
+    ``partition_by`` gives folder-level pruning on low-cardinality columns of any flat type; their
+    values come back as they were, NULL and the empty string included. ``sort_within`` sorts
     each output file by the columns queries usually filter on, which keeps Parquet row-group
     min/max statistics tight, so pushed-down filters skip most row groups. It is a per-task sort.
     Rows are rebalanced on ``partition_by`` first, so a value's rows do not scatter over one file
     per task, and adaptive execution splits a value that holds more than a task's share.
     """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    if sort_within:
-        df = df.sortWithinPartitions(*(partition_by or []), *sort_within)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    replace_folder(df, path, partition_by, sort_within)
 
 
 def lookup_by_id(catalog: DataFrame, requests: DataFrame, id_col: str = "id") -> DataFrame:
@@ -125,11 +122,17 @@ class DatasetStore:
 
     def write(self, dataset_id: str, df: DataFrame, partition_by: list[str] | None = None,
               sort_within: list[str] | None = None) -> str:
+        """The dataset's next version; readers see it once it is complete."""
         path = self.path(dataset_id)
-        write_dataset(df, path, partition_by, sort_within)
+        write_version(df, path, partition_by, sort_within)
         return path
 
-    def read(self, dataset_id: str) -> DataFrame:
-        return read_dataset(self.spark, self.path(dataset_id))
+    def read(self, dataset_id: str, version: int | None = None) -> DataFrame:
+        """The last version, or an earlier one that is still kept."""
+        path = self.path(dataset_id)
+        return read_dataset(self.spark, path) if version is None else read_version(self.spark, path, version)
+
+    def versions(self, dataset_id: str) -> list[int]:
+        return versions(self.spark, self.path(dataset_id))
 
     __call__ = read

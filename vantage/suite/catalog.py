@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from vantage.operators import changes as chg
 from vantage.operators import listing as lst
-from vantage.operators import roles
+from vantage.operators import rights, roles
+from vantage.operators.indexes import PageIndex, SearchIndex
+from vantage.session import scratch_path
 from vantage.sources import catalog as cat
 from vantage.sources.tables import read_table
 from vantage.suite import fixtures_sql as fx
@@ -25,6 +29,53 @@ def list_resources(spark, sf_dir):
                               principal_id="g-click", role_assignments=cat.role_assignments(spark, sf_dir))
 
 
+_EVENT_GROUPS = "['g-click', 'g-view', 'g-purchase', 'g-signup', 'g-error']"
+MEMBERSHIPS = f"""(SELECT {_EVENT_GROUPS}[r_regionkey + 1] AS group_id, 'region-' || r_regionkey AS member_id FROM region
+  UNION ALL SELECT 'region-' || n_regionkey, 'nation-' || n_nationkey FROM nation
+  UNION ALL SELECT 'nation-' || n_nationkey, 'region-' || n_regionkey FROM nation WHERE n_nationkey = 3
+  UNION ALL SELECT 'nation-' || s_nationkey, 'u' || s_suppkey FROM supplier)"""
+CONTAINMENT = """(SELECT DISTINCT 'ws-' || p_brand AS container_id, lower(p_type) AS id FROM part WHERE p_size < 3
+  UNION ALL SELECT lower(p_type), CAST(p_partkey AS VARCHAR) FROM part)"""
+_KINDS = "['economy', 'large', 'medium', 'promo', 'small', 'standard']"
+CONTAINER_ROLES = f"""(SELECT CASE WHEN n_nationkey % 5 = 0 THEN 'ws-Brand#' || (n_nationkey + 1) ELSE {_KINDS}[n_nationkey % 6 + 1] END AS resource_id,
+  'nation-' || n_nationkey AS principal_id,
+  CASE WHEN n_nationkey * 7 < 20 THEN 'viewer' WHEN n_nationkey * 7 < 100 THEN 'editor' ELSE 'admin' END AS role FROM nation)"""
+
+
+@register("list_permitted", f"""
+WITH RECURSIVE member(principal_id, member_id) AS (
+  SELECT group_id, member_id FROM {MEMBERSHIPS} m0
+  UNION SELECT m.principal_id, n.member_id FROM member m JOIN {MEMBERSHIPS} n ON m.member_id = n.group_id),
+inside(resource_id, id) AS (
+  SELECT container_id, id FROM {CONTAINMENT} c0
+  UNION SELECT i.resource_id, c.id FROM inside i JOIN {CONTAINMENT} c ON i.id = c.container_id),
+given AS (SELECT resource_id, principal_id, role FROM {fx.ROLE_ASSIGNMENTS} a UNION ALL SELECT * FROM {CONTAINER_ROLES} cr),
+spread AS (SELECT * FROM given UNION ALL SELECT i.id, g.principal_id, g.role FROM given g JOIN inside i ON g.resource_id = i.resource_id),
+held AS (SELECT * FROM spread UNION ALL SELECT s.resource_id, m.member_id, s.role FROM spread s JOIN member m ON s.principal_id = m.principal_id)
+SELECT DISTINCT h.principal_id, r.id, r.name FROM held h JOIN {fx.RESOURCES} r ON h.resource_id = r.id
+WHERE h.role IN ('editor', 'admin') AND r.container_id = 'economy' AND r.resource_type = 'report' AND h.principal_id LIKE 'u%'
+""")
+def list_permitted(spark, sf_dir):
+    """The reports of a solution that each user may edit, through nested groups (with a cycle) and containers."""
+    res = cat.resources(spark, sf_dir).where("container_id = 'economy' AND resource_type = 'report'").select("id", "name")
+    given = cat.role_assignments(spark, sf_dir).unionByName(cat.container_roles(spark, sf_dir))
+    out = rights.permitted(res, given, "can_edit", cat.memberships(spark, sf_dir), cat.containment(spark, sf_dir))
+    return out.where(F.col("principal_id").startswith("u"))
+
+
+@register("effective_roles", f"""
+WITH RECURSIVE member(principal_id, member_id) AS (
+  SELECT group_id, member_id FROM {MEMBERSHIPS} m0
+  UNION SELECT m.principal_id, n.member_id FROM member m JOIN {MEMBERSHIPS} n ON m.member_id = n.group_id),
+held AS (SELECT * FROM {CONTAINER_ROLES} g UNION ALL
+         SELECT g.resource_id, m.member_id, g.role FROM {CONTAINER_ROLES} g JOIN member m ON g.principal_id = m.principal_id)
+SELECT resource_id, principal_id, arg_max(role, list_position(['viewer', 'editor', 'admin'], role)) AS role FROM held GROUP BY 1, 2
+""")
+def effective_roles(spark, sf_dir):
+    """The strongest role of every user and group on every container, through nested groups with a cycle."""
+    return rights.effective_roles(cat.container_roles(spark, sf_dir), cat.memberships(spark, sf_dir))
+
+
 @register("page", f"""
 SELECT id, container_id, resource_type, name FROM {fx.RESOURCES} r WHERE container_id = 'economy'
 ORDER BY id LIMIT 50 OFFSET 50
@@ -34,6 +85,18 @@ def page(spark, sf_dir):
     return lst.page(res, page_nr=2, size=50, order_by=["id"])
 
 
+@register("page_deep", """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 75 OFFSET (SELECT (count(*) // 150) * 75 FROM lineitem)
+""")
+def page_deep(spark, sf_dir):
+    """C2 from a stored page index: a page in the middle of all line items by price; only the parts it touches are read."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    index = PageIndex.build(li, scratch_path(spark, "pages", uuid.uuid4().hex),
+                            [F.desc("l_extendedprice"), "l_orderkey", "l_linenumber"])
+    return index.page(index.total // 150 + 1, 75)
+
+
 @register("page_total", f"""
 SELECT count(*) AS total FROM {fx.RESOURCES} r WHERE container_id = 'economy'
 """)
@@ -65,6 +128,18 @@ def search(spark, sf_dir):
     return lst.search(cat.resources(spark, sf_dir), "RED").select("id", "name")
 
 
+@register("search_index", f"""
+SELECT id, name FROM {fx.RESOURCES} r WHERE contains(lower(name), 'red')
+UNION ALL SELECT id, name FROM {fx.RESOURCES} r2 WHERE contains(lower(name), 'brand#2')
+UNION ALL SELECT id, name FROM {fx.RESOURCES} r3 WHERE contains(lower(name), '#1')
+""")
+def search_index(spark, sf_dir):
+    """C4 from a stored index: texts of many trigrams, of one, and one too short for them."""
+    res = cat.resources(spark, sf_dir).select("id", "name")
+    index = SearchIndex.build(res, scratch_path(spark, "search", uuid.uuid4().hex))
+    return index.search("RED").unionByName(index.search("Brand#2")).unionByName(index.search("#1"))
+
+
 @register("search_tags", f"""
 SELECT tag_id, name FROM {fx.TAGS} t WHERE contains(lower(name), 'brand#1')
 """)
@@ -97,6 +172,34 @@ def lookup_batch(spark, sf_dir):
     return lst.lookup(cat.resources(spark, sf_dir).select("id", "name"), req, "id").select("id", "name", "found")
 
 
+ENTITIES = f"""(SELECT 'insight' AS entity_type, id AS key, id, name FROM {fx.RESOURCES} r1 WHERE resource_type = 'insight'
+  UNION ALL SELECT 'insight_slug', 'p' || id, id, name FROM {fx.RESOURCES} r2 WHERE resource_type = 'insight'
+  UNION ALL SELECT 'report', id, id, name FROM {fx.RESOURCES} r3 WHERE resource_type = 'report'
+  UNION ALL SELECT 'report_view', id, id, name FROM {fx.REPORT_VIEWS} v
+  UNION ALL SELECT DISTINCT 'solution', container_id, container_id, container_id FROM {fx.RESOURCES} r4
+  UNION ALL SELECT 'tag', tag_id, tag_id, name FROM {fx.TAGS} t
+  UNION ALL SELECT DISTINCT 'group', principal_id, principal_id, substr(principal_id, 3) FROM {fx.ROLE_CHANGES} c)"""
+
+
+@register("lookup_entities", f"""
+WITH q AS (SELECT DISTINCT
+  CASE l_linenumber % 7 WHEN 0 THEN 'insight' WHEN 1 THEN 'insight_slug' WHEN 2 THEN 'report' WHEN 3 THEN 'report_view'
+       WHEN 4 THEN 'solution' WHEN 5 THEN 'tag' ELSE 'group' END AS entity_type,
+  CASE l_linenumber % 7 WHEN 0 THEN CAST(l_partkey AS VARCHAR) WHEN 1 THEN 'p' || l_partkey WHEN 2 THEN CAST(l_partkey AS VARCHAR)
+       WHEN 3 THEN 'v' || (l_orderkey * 2) WHEN 4 THEN CASE l_returnflag WHEN 'R' THEN 'economy' WHEN 'A' THEN 'large' ELSE 'nowhere' END
+       WHEN 5 THEN 'tag-' || (l_partkey % 40) ELSE CASE l_linestatus WHEN 'O' THEN 'g-click' ELSE 'g-nobody' END END AS key
+  FROM lineitem)
+SELECT q.entity_type, q.key, e.id, e.name, e.key IS NOT NULL AS found
+FROM q LEFT JOIN {ENTITIES} e ON q.entity_type = e.entity_type AND q.key = e.key
+""")
+def lookup_entities(spark, sf_dir):
+    """Insights by id and by slug, reports, views, solutions, tags and groups, looked up in one join with a stored index."""
+    mark = uuid.uuid4().hex
+    index = lst.entity_index(cat.entities(spark, sf_dir), f"entities_{mark}", scratch_path(spark, "entities", mark), buckets=16)
+    out = lst.lookup_entities(index, cat.lookup_requests(spark, sf_dir))
+    return out.select("entity_type", "key", "id", "name", "found")
+
+
 @register("report_views", f"""
 SELECT id, report_id, name, config FROM {fx.REPORT_VIEWS} v WHERE report_id = 'rep7' ORDER BY id LIMIT 5
 """)
@@ -148,6 +251,27 @@ def kpi_upsert(spark, sf_dir):
     return chg.upsert_by_kpi(insights, bodies, order=F.col("id").cast("bigint"))
 
 
+@register("kpi_upsert_merge", f"""
+WITH bodies AS (SELECT lower(p_type) AS solution_id, CASE WHEN p_size = 50 THEN p_name ELSE p_brand END AS kpi_id,
+                p_partkey AS seq FROM part WHERE p_size > 40),
+latest AS (SELECT solution_id, kpi_id, kpi_id || ' - order ' || max(seq) AS name FROM bodies GROUP BY 1, 2),
+firsts AS (SELECT solution_id, kpi_id, arg_min(id, CAST(id AS BIGINT)) AS id FROM {KPI_FIRST} k GROUP BY 1, 2),
+upserts AS (SELECT l.solution_id, l.kpi_id, l.name, f.id FROM latest l LEFT JOIN firsts f
+            ON l.solution_id = f.solution_id AND l.kpi_id = f.kpi_id)
+SELECT i.id, i.solution_id, coalesce(u.name, i.name) AS name FROM {KPI_INSIGHTS} i LEFT JOIN upserts u ON i.id = u.id
+UNION ALL SELECT 'new-' || solution_id || '-' || kpi_id, solution_id, name FROM upserts WHERE id IS NULL
+""")
+def kpi_upsert_merge(spark, sf_dir):
+    """M6: the whole insight table after a batch of upserts that holds many bodies per KPI."""
+    insights, _ = _kpi_inputs(spark, sf_dir)
+    p = read_table(spark, sf_dir, "part").filter(F.col("p_size") > 40)
+    kpi = F.when(F.col("p_size") == 50, F.col("p_name")).otherwise(F.col("p_brand"))
+    bodies = p.select(F.lower("p_type").alias("solution_id"), kpi.alias("kpi_id"), F.col("p_partkey").alias("seq"),
+                      F.concat(kpi, F.lit(" - order "), F.col("p_partkey")).alias("name"))
+    state, _ = chg.merge_by_kpi(insights, bodies, order=F.col("id").cast("bigint"))
+    return state
+
+
 NEW_DATASETS = f"""(SELECT CAST(p_partkey + 1500 AS VARCHAR) AS id, 0 AS seq FROM part
   UNION ALL SELECT CAST(p_partkey + 1500 AS VARCHAR), 1 FROM part WHERE p_size > 45)"""
 
@@ -281,6 +405,39 @@ def dpa_entries(spark, sf_dir):
         a["activityAmendments"][0]["personGroup"].alias("person_group"))
 
 
+@register("dpa_amendments", f"""
+WITH entry AS (
+  SELECT solution_id, slug, CASE WHEN bal < 1500 THEN 'inactive' ELSE status END AS status, toggleable, has_personal, data_type,
+         CASE WHEN bal < 1500 THEN 'suppliers' WHEN bal < 3000 THEN 'visitors' ELSE person_group END AS person_group
+  FROM {fx.DPA_ENTRIES} e JOIN (SELECT 's' || s_suppkey AS slug, s_acctbal AS bal FROM supplier) s USING (slug)),
+change AS (
+  SELECT 'sol' || s_nationkey AS solution_id, 's' || s_suppkey AS slug,
+         CASE WHEN l_linenumber = 1 THEN 'type-' || s_nationkey ELSE 'line-' || l_linenumber END AS data_type,
+         CASE WHEN l_linestatus = 'O' THEN 'visitors' ELSE 'staff' END AS person_group, max(l_orderkey * 10 + l_linenumber) AS seq,
+         arg_max(CASE WHEN l_returnflag = 'R' THEN 'remove' ELSE 'set' END, l_orderkey * 10 + l_linenumber) AS op,
+         'order ' || arg_max(l_orderkey, l_orderkey * 10 + l_linenumber) || '/access log' AS rest
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3, 4),
+item AS (
+  SELECT e.solution_id, e.slug, -1 AS pos, e.data_type || '/' || e.person_group || '/' || coalesce(c.rest, 'reporting/pseudonymised') AS item
+  FROM entry e LEFT JOIN change c USING (solution_id, slug, data_type, person_group) WHERE c.op IS NULL OR c.op = 'set'
+  UNION ALL
+  SELECT c.solution_id, c.slug, c.seq, c.data_type || '/' || c.person_group || '/' || c.rest
+  FROM change c LEFT JOIN entry e USING (solution_id, slug, data_type, person_group) WHERE c.op = 'set' AND e.status IS NULL),
+joined AS (SELECT solution_id, slug, string_agg(item, ';' ORDER BY pos) AS amendments FROM item GROUP BY 1, 2)
+SELECT e.solution_id, e.slug, e.status, e.toggleable, e.has_personal, coalesce(j.amendments, '') AS amendments
+FROM entry e LEFT JOIN joined j USING (solution_id, slug)
+""")
+def dpa_amendments(spark, sf_dir):
+    """M7: entries updated as a whole, then single amendments replaced, added and removed by (data type, person group)."""
+    state, _ = chg.dpa_update(cat.dpa_entries(spark, sf_dir), cat.dpa_updates(spark, sf_dir))
+    state, _ = chg.merge_nested(state, cat.dpa_amendment_changes(spark, sf_dir), "attributes.activityAmendments",
+                                ["dataType", "personGroup"])
+    text = F.transform("attributes.activityAmendments",
+                       lambda a: F.concat_ws("/", a["dataType"], a["personGroup"], a["purpose"], a["safetyMeasures"]))
+    return state.select("solution_id", "slug", "status", "toggleable", F.col("attributes.hasPersonalData").alias("has_personal"),
+                        F.array_join(text, ";").alias("amendments"))
+
+
 @register("apply_changes", _fold_sql(fx.CHANGES))
 def apply_changes(spark, sf_dir):
     """M8: the whole create/update/delete stream folded onto the records in one pass."""
@@ -292,9 +449,6 @@ def apply_changes(spark, sf_dir):
 def apply_changes_stream(spark, sf_dir):
     """M8 over a stream: the change table lands as files in random seq order, Structured Streaming
     folds two files per micro-batch; the records after the last batch equal the batch fold."""
-    import uuid
-
-    from vantage.session import scratch_path
     from vantage.streaming import changes as stream
 
     root = scratch_path(spark, "change-stream", uuid.uuid4().hex)

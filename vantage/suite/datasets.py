@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from vantage.operators import metadata as md
 from vantage.operators.listing import lookup
 from vantage.session import scratch_path
 from vantage.sources import catalog as cat
@@ -26,6 +27,25 @@ def dataset_roundtrip(spark, sf_dir):
     return ds.read_dataset(spark, path).select(*li.columns)
 
 
+@register("dataset_partition_values", """
+SELECT o_orderkey,
+       CASE WHEN o_orderkey % 4 = 0 THEN '01' WHEN o_orderkey % 4 = 1 THEN '1' WHEN o_orderkey % 4 = 2 THEN '' END AS code,
+       CASE WHEN o_orderstatus <> 'P' THEN CAST(year(o_orderdate) AS INTEGER) END AS year, o_totalprice
+FROM orders
+""")
+def dataset_partition_values(spark, sf_dir):
+    """S3/S1 through the store: a dataset partitioned by a string column that holds '01', '1', '' and NULL and by
+    a number with NULLs is replaced by a second version and comes back whole and with its types."""
+    store = ds.DatasetStore(spark, scratch_path(spark, "datasets", uuid.uuid4().hex))
+    o = read_table(spark, sf_dir, "orders")
+    rest = F.col("o_orderkey") % 4
+    code = F.when(rest == 0, "01").when(rest == 1, "1").when(rest == 2, "")
+    year = F.when(F.col("o_orderstatus") != "P", F.year("o_orderdate"))
+    store.write("orders", o.select("o_orderkey"))
+    store.write("orders", o.select("o_orderkey", code.alias("code"), year.alias("year"), "o_totalprice"), partition_by=["code", "year"])
+    return store.read("orders")
+
+
 @register("dataset_lookup", f"""
 SELECT r.id, d.name, d.slug, d.id IS NOT NULL AS found
 FROM (SELECT DISTINCT CAST(o_custkey * 2 AS VARCHAR) AS id FROM orders) r LEFT JOIN {fx.DATASETS} d ON r.id = d.id
@@ -82,6 +102,71 @@ def dataset_columns(spark, sf_dir):
                        F.col("metadata")["table"].alias("table_name"))
 
 
+@register("dataset_metadata_read", f"""
+SELECT CAST(p_partkey AS VARCHAR) AS dataset_id,
+       CASE WHEN p_size < 50 AND p_partkey % 7 > 3 THEN
+         '{{"c1":{{"label":"' || p_brand || '","position":' || p_size || '}},"c2":{{"hidden":' || (p_size > 25) || '}},"c3":{{}}}}'
+       ELSE '{{}}' END AS columns
+FROM part
+""")
+def dataset_metadata_read(spark, sf_dir):
+    """S7 read: the columns' metadata of every dataset document; a missing level reads as an empty object."""
+    return md.metadata_columns(cat.dataset_documents(spark, sf_dir)).select("dataset_id", "columns")
+
+
+@register("dataset_metadata_columns", """
+SELECT CAST(p_partkey AS VARCHAR) AS dataset_id, c.column_id, c.label, c.hidden FROM part,
+  (VALUES ('c1'), ('c2'), ('c3')) v(name),
+  LATERAL (SELECT v.name AS column_id, CASE v.name WHEN 'c1' THEN p_brand END AS label,
+                  CASE v.name WHEN 'c2' THEN CAST(p_size > 25 AS VARCHAR) END AS hidden) c
+WHERE p_size < 50 AND p_partkey % 7 > 3
+""")
+def dataset_metadata_columns(spark, sf_dir):
+    """S7 read as a table: one row per column that a document describes."""
+    rows = md.column_rows(cat.dataset_documents(spark, sf_dir))
+    return rows.select("dataset_id", "column_id", F.try_element_at("metadata", F.lit("label")).alias("label"),
+                       F.try_element_at("metadata", F.lit("hidden")).alias("hidden"))
+
+
+_UPDATES_SQL = """(SELECT CAST(o_custkey AS VARCHAR) AS dataset_id, o_orderkey AS seq, column_id,
+    CASE WHEN column_id = 'c_name' THEN 'label=' || o_orderpriority || ',order=' || o_orderkey
+         WHEN column_id = 'c_acctbal' THEN 'order=' || o_orderkey || ',unit=EUR' WHEN column_id = 'c_custkey' THEN 'unit=' ELSE '' END AS metadata
+  FROM orders, (VALUES ('c_name'), ('c_missing'), ('c_acctbal'), ('c_custkey')) v(column_id)
+  WHERE o_orderkey % 11 <> 0 AND CASE WHEN o_orderkey % 11 = 1 THEN column_id = 'c_custkey'
+        WHEN o_orderstatus = 'F' THEN column_id IN ('c_name', 'c_missing') ELSE column_id = 'c_acctbal' END)"""
+
+
+def _flat(metadata):
+    """A metadata map as one text, its entries in order."""
+    entries = F.transform(F.array_sort(F.map_entries(metadata)), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit(""))))
+    return F.array_join(entries, ",")
+
+
+@register("dataset_metadata_merge", f"""
+WITH last AS (SELECT dataset_id, column_id, arg_max(metadata, seq) AS metadata FROM {_UPDATES_SQL} u GROUP BY 1, 2)
+SELECT t.dataset_id, t.column_id, t.label,
+       coalesce(l.metadata, 'position=' || t.position || ',table=' || t.table_name) AS metadata
+FROM {fx.DATASET_COLUMNS} t LEFT JOIN last l ON t.dataset_id = l.dataset_id AND t.column_id = l.column_id
+""")
+def dataset_metadata_merge(spark, sf_dir):
+    """S7 write: the whole column catalog after the updates."""
+    new, _ = md.merge_column_metadata(cat.dataset_columns(spark, sf_dir), cat.metadata_updates(spark, sf_dir))
+    return new.select("dataset_id", "column_id", "label", _flat(F.col("metadata")).alias("metadata"))
+
+
+@register("dataset_metadata_rejects", f"""
+SELECT CAST(o_custkey AS VARCHAR) AS dataset_id, NULL AS column_id, o_orderkey AS seq, 'bad payload' AS reason
+FROM orders WHERE o_orderkey % 11 = 0
+UNION ALL SELECT CAST(o_custkey AS VARCHAR), 'c_name', o_orderkey, 'bad column' FROM orders WHERE o_orderkey % 11 = 1
+UNION ALL SELECT dataset_id, column_id, max(seq), 'absent column' FROM {_UPDATES_SQL} u
+WHERE (dataset_id, column_id) NOT IN (SELECT dataset_id, column_id FROM {fx.DATASET_COLUMNS} t) GROUP BY 1, 2
+""")
+def dataset_metadata_rejects(spark, sf_dir):
+    """S7 write: what could not be applied."""
+    _, rejects = md.merge_column_metadata(cat.dataset_columns(spark, sf_dir), cat.metadata_updates(spark, sf_dir))
+    return rejects
+
+
 SOURCE_TS_SQL = """(SELECT o_orderkey,
   CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d')
        WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')

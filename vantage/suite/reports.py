@@ -19,7 +19,7 @@ def widget_extract(spark, sf_dir):
 
 @register("widget_extract_sql", f"SELECT report_id, insight_id FROM {fx.STRUCTURE_INSIGHTS} s")
 def widget_extract_sql(spark, sf_dir):
-    """W1 with built-ins only: recursive CTE over ``variant_explode``."""
+    """W1 with built-ins only: level by level over VARIANT arrays inside the row."""
     return rep.extract_widgets(spark, cat.reports(spark, sf_dir), method="sql")
 
 
@@ -68,6 +68,24 @@ def report_assemble(spark, sf_dir):
     return out.withColumn("insights", F.when(F.size("insights") > 0, F.col("insights")))
 
 
+_SECTION = 2  # positions per section here, so that reports have several
+
+
+@register("report_sections", f"""
+WITH b AS (SELECT report_id, block, insight_id, CAST((pos - 1) // {_SECTION} AS INTEGER) AS section,
+                  row_number() OVER (PARTITION BY report_id ORDER BY pos, block, insight_id) AS rn FROM {fx.REPORT_BLOCKS} b0),
+firsts AS (SELECT report_id, insight_id, min(rn) AS rn, arg_min(section, rn) AS section FROM b WHERE insight_id <> '' GROUP BY 1, 2),
+ids AS (SELECT report_id, section, string_agg(insight_id, ',' ORDER BY rn) AS insights FROM firsts GROUP BY 1, 2)
+SELECT s.report_id, s.section, s.blocks, coalesce(i.insights, '') AS insights
+FROM (SELECT report_id, section, string_agg(block, ', ' ORDER BY rn) AS blocks FROM b GROUP BY 1, 2) s
+LEFT JOIN ids i ON s.report_id = i.report_id AND s.section = i.section
+""")
+def report_sections(spark, sf_dir):
+    """W4 in sections: no task holds more than one section of a report."""
+    out = rep.assemble_sections(cat.report_blocks(spark, sf_dir), section_size=_SECTION)
+    return out.withColumn("insights", F.array_join("insights", ","))
+
+
 _CELL = """'{"type":"' || CASE WHEN rn = 1 THEN 'th' ELSE 'td' END || '","children":[{"text":"' || c || '"}]}'"""
 
 
@@ -90,6 +108,24 @@ def report_table_block(spark, sf_dir):
     return rep.table_blocks(rows, has_header=True)
 
 
+@register("report_table_sections", f"""
+WITH rows AS (SELECT l_suppkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_returnflag) AS rn,
+                     [CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), l_returnflag] AS cells,
+                     l_orderkey * 10 + l_linenumber AS row_nr FROM lineitem),
+trs AS (SELECT l_suppkey, CAST((row_nr - 1) // 5000 AS INTEGER) AS section, rn,
+               '{{"type":"tr","children":[' || array_to_string(list_transform(cells, lambda c: {_CELL}), ',') || ']}}' AS tr
+        FROM rows)
+SELECT l_suppkey AS table_id, section, string_agg(tr, ',' ORDER BY rn) AS rows FROM trs GROUP BY 1, 2
+""")
+def report_table_sections(spark, sf_dir):
+    """W5 in sections: one table per supplier, of any length."""
+    li = read_table(spark, sf_dir, "lineitem")
+    rows = li.select(F.col("l_suppkey").alias("table_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_nr"),
+                     F.array(F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"),
+                             F.col("l_returnflag")).alias("cells"))
+    return rep.table_sections(rows, section_size=5000)
+
+
 @register("validate_records", f"""
 SELECT id, error, error IS NULL AS ok FROM (
   SELECT id, CASE
