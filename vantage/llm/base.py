@@ -19,8 +19,10 @@ def read_documents(spark: SparkSession, sf_dir: str, table: str = "documents") -
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared checkpoint folder."""
-    return scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
+    """A new path below the shared checkpoint folder, with its file system: a path without one is the cluster's
+    default for Spark, but a machine's own disk for Python."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex}"))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -28,6 +28,14 @@ def local_path(uri: str) -> str | None:
     return parts.path if parts.scheme in ("", "file") else None
 
 
+def remote(uri: str):
+    """Arrow's file system of a path that is not mounted, and the path in it."""
+    from pyarrow import fs
+
+    scheme, _, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
+
+
 def save_chunk(uri: str, table) -> None:
     import pyarrow.parquet as pq
 
@@ -36,9 +44,7 @@ def save_chunk(uri: str, table) -> None:
         os.makedirs(os.path.dirname(path), exist_ok=True)
         pq.write_table(table, path, compression="zstd")
         return
-    from pyarrow import fs
-
-    store, key = fs.FileSystem.from_uri(uri)
+    store, key = remote(uri)
     store.create_dir(os.path.dirname(key), recursive=True)
     pq.write_table(table, key, compression="zstd", filesystem=store)
 
@@ -51,9 +57,7 @@ def load_chunk(uri: str) -> tuple[list[int], list[bytes]]:
     if path is not None:
         table = pq.read_table(path)
     else:
-        from pyarrow import fs
-
-        store, key = fs.FileSystem.from_uri(uri)
+        store, key = remote(uri)
         table = pq.read_table(key, filesystem=store)
     return table.column("doc_id").to_pylist(), table.column("text").to_pylist()
 
@@ -65,6 +69,7 @@ def write_chunks(docs: DataFrame, name: str, chunk_bytes: int) -> DataFrame:
     folder = scratch(spark, name)
 
     def cut(batches: Iterator) -> Iterator:
+        import hashlib
         import uuid
 
         import numpy as np
@@ -76,7 +81,11 @@ def write_chunks(docs: DataFrame, name: str, chunk_bytes: int) -> DataFrame:
         def flush():
             table = pa.concat_tables(held)
             table = table.take(pa.array(np.argsort(table.column("doc_id").to_numpy(), kind="stable")))
-            chunk = uuid.uuid4().hex
+            # rows of one id are in the order of their chunks: by content first, so that it does not change
+            mark = hashlib.blake2b(digest_size=8)
+            for part in table.column("text").chunks:
+                mark.update(part.buffers()[2] or b"")
+            chunk = mark.hexdigest() + uuid.uuid4().hex
             save_chunk(f"{folder}/files/{chunk}.parquet", table)
             return pa.RecordBatch.from_pylist([{"chunk": chunk, "path": f"{folder}/files/{chunk}.parquet", "n_bytes": size}])
 
@@ -127,6 +136,22 @@ def low_words(sorted_hashes, bits: int):
     return ((sorted_hashes << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
 
 
+def _distinct(ascending):
+    """The distinct values of an array that is in order."""
+    import numpy as np
+
+    return ascending[np.concatenate(([True], ascending[1:] != ascending[:-1]))] if len(ascending) else ascending
+
+
+def dealt(rows: DataFrame, key: str, groups: int, per_task: int = 4) -> DataFrame:
+    """``rows`` with each ``key`` in one of as many partitions as ``per_task`` groups a task take.
+
+    The work on a group is Python's and goes with its bytes many times over, so partitions must not be
+    put together by size, as adaptive execution does where the number is not given.
+    """
+    return rows.repartition(min(100_000, max(1, -(-groups // per_task))), key)
+
+
 def count_chunks(manifest: DataFrame, n_chunks: int, bits: int, hashes: Callable) -> DataFrame:
     """(chunk, bucket, codes): for each distinct hash of a chunk, in order, how many chunks hold it (255: or more).
 
@@ -153,7 +178,7 @@ def count_chunks(manifest: DataFrame, n_chunks: int, bits: int, hashes: Callable
         import numpy as np
         import pyarrow as pa
 
-        blobs = [np.unique(np.frombuffer(x.as_py(), np.uint32)) for x in table.column("low")]
+        blobs = [_distinct(np.frombuffer(x.as_py(), np.uint32)) for x in table.column("low")]
         values, held = np.unique(np.concatenate(blobs), return_counts=True)
         codes = np.minimum(held, 255).astype(np.uint8)
         found = [codes[np.searchsorted(values, np.frombuffer(x.as_py(), np.uint32))].tobytes() for x in table.column("low")]

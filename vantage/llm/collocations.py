@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantage.llm.base import number_rows, scratch, ship, slices, written
-from vantage.llm.chunks import by_chunk, local_path, path_of, save_chunk
+from vantage.llm.chunks import by_chunk, local_path, remote, save_chunk
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _MARK = b"\xff"  # in no UTF-8 text
@@ -38,9 +38,7 @@ def _load(uri: str):
     path = local_path(uri)
     if path is not None:
         return pq.read_table(path)
-    from pyarrow import fs
-
-    store, key = fs.FileSystem.from_uri(uri)
+    store, key = remote(uri)
     return pq.read_table(key, filesystem=store)
 
 

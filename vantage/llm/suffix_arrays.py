@@ -13,6 +13,16 @@ def step_of(size: int) -> int:
     raise ValueError("size must have a divisor from 16 to 32")
 
 
+def stable_order(symbols: np.ndarray) -> np.ndarray:
+    """The stable order of non-negative integers, dealt by 16 bits at a time from the lowest."""
+    order = np.argsort((symbols & 0xFFFF).astype(np.uint16), kind="stable")
+    most, shift = int(symbols.max(initial=0)), 16
+    while most >> shift:
+        order = order[np.argsort((symbols >> shift & 0xFFFF).astype(np.uint16)[order], kind="stable")]
+        shift += 16
+    return order
+
+
 def dense(keys: np.ndarray) -> np.ndarray:
     """The rank of each key among the distinct ones."""
     order = np.argsort(keys)
@@ -81,7 +91,7 @@ def merged_classes(shards: list[np.ndarray], size: int) -> np.ndarray:
     grams = gram_ranks(np.concatenate(closed), left, step)
     suffix = np.empty(total, np.int64)  # shard by shard, in suffix order: the suffix's position
     for a, n in zip((np.cumsum(sizes) - sizes).tolist(), sizes.tolist()):
-        suffix[a:a + n] = a + np.argsort(suffix_ranks(grams[a:a + n], step, size), kind="stable")
+        suffix[a:a + n] = a + stable_order(suffix_ranks(grams[a:a + n], step, size))
     before = np.where(suffix - start >= step, grams[np.maximum(suffix - step, 0)], -1)
     tails = suffix[left[suffix] <= step]  # no suffix stands ``step`` bytes after these
     interleave, block = shard.copy(), np.zeros(total, np.int64)
@@ -91,7 +101,7 @@ def merged_classes(shards: list[np.ndarray], size: int) -> np.ndarray:
         symbol[place] = before
         has = np.flatnonzero(symbol >= 0)
         symbol = np.concatenate((grams[tails], symbol[has]))
-        order = np.argsort(symbol, kind="stable")
+        order = stable_order(symbol)
         symbol = symbol[order]
         source = np.concatenate((np.full(len(tails), -1), block[has]))[order]
         interleave = np.concatenate((shard[tails], interleave[has]))[order]

@@ -20,8 +20,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.base import scratch, written
-from vantage.llm.chunks import _LAST, bucket_bits, by_chunk, count_chunks, load_chunk, path_of, received, write_chunks
+from vantage.llm.base import delete_path, scratch, written
+from vantage.llm.chunks import (_LAST, bucket_bits, by_chunk, count_chunks, dealt, load_chunk, path_of, received,
+                                write_chunks)
 
 _GRAM, _INNER = 24, 50
 _HOT = 200
@@ -155,7 +156,8 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
     a character), ``n_bytes``, ``n_removed`` and ``spans`` (maximal removed runs of byte positions,
     end exclusive); other columns are left out. A null text is empty; an empty or short text keeps
     all. Null ids come after all others, and rows sharing an id follow one another in the order of
-    their chunks: equal rows lose all strings but those of the first. An empty table gives an empty
+    their chunks' contents, which is the same as long as the table is read in the same splits: equal rows
+    lose all strings but those of the first. An empty table gives an empty
     result. A task holds one chunk, or one text if that is longer, at about 100 bytes per byte.
     """
     from vantage.llm.suffix_arrays import step_of
@@ -199,9 +201,10 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
                 grams = gram_ranks(text, np.arange(len(text), 0, -1), step)
                 # each suffix's rank by ``size`` bytes; the smallest position of a rank is its first
                 rank = suffix_ranks(grams, step, size)[compact]
-                at = np.unique(rank, return_index=True)[1]
+                at = np.full(int(rank.max()) + 1, -1)
+                at[rank[::-1]] = np.arange(len(rank))[::-1]  # the smallest position of a rank is written last
                 again = np.ones(len(open_), bool)
-                again[at] = False
+                again[at[at >= 0]] = False
                 gone = open_[again]
                 first = open_[~again]
                 first = first[_all_of(held >= 2, span)[first]]
@@ -228,14 +231,16 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
                 rows["text"].append(_gathered(own.data, starts[a:b], lens[a:b]).tobytes())
                 rows["lens"].append(lens[a:b].astype(np.int32).tobytes())
                 rows["doc"].append(doc[a:b].tobytes())
-        # a row for pass 3: the strings that repeat inside the chunk, and the sent ones in their order
+        # a row for pass 3: the strings that repeat inside the chunk, and the sent ones in their order;
+        # it goes through the exchange as a bucket of its own
         flags = np.zeros(len(own.data), bool)
         flags[gone] = True
         state = [x.astype(np.int64).tobytes() for x in (*_ranges(flags), starts, lens)]
         n = len(rows["bucket"])
         chunk = table.column("chunk")[0].as_py()
         return pa.table({
-            "chunk": pa.array([chunk] * (n + 1), pa.string()), "bucket": pa.array(rows["bucket"] + [-1], pa.int32()),
+            "chunk": pa.array([chunk] * (n + 1), pa.string()),
+            "bucket": pa.array(rows["bucket"] + [-1 - int(chunk[:8], 16) % (1 << piece_bits)], pa.int32()),
             **{k: pa.array(rows[k] + [None], pa.binary()) for k in ("text", "lens", "doc")},
             "state": pa.array([None] * n + [state], pa.list_(pa.binary()))})
 
@@ -245,6 +250,9 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
 
         from vantage.llm.suffix_arrays import merged_classes
 
+        if table.column("bucket")[0].as_py() < 0:
+            return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
+                             "codes": pa.nulls(table.num_rows, pa.binary()), "state": table.column("state")})
         table = table.take(pa.array(np.argsort(np.array(table.column("chunk").to_pylist()))))
         texts = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("text")]
         lens = [np.frombuffer(x.as_py(), np.int32).astype(np.int64) for x in table.column("lens")]
@@ -253,13 +261,17 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
         flat = np.concatenate(lens)
         count = flat - size + 1
         at = np.repeat(np.cumsum(flat) - flat - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-        group, doc = merged_classes(texts, size)[at], np.repeat(docs_, count)
-        order = np.lexsort((np.arange(len(at)), doc, group))
-        later = np.zeros(len(at), np.uint8)
-        later[order[1:]] = group[order[1:]] == group[order[:-1]]
+        group = merged_classes(texts, size)[at]
+        # the first of a class has the smallest document, then the smallest place
+        doc = np.repeat(np.searchsorted(np.sort(docs_), docs_), count)
+        key = doc << 32 | np.arange(len(at))
+        low = np.full(int(group.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(low, group, key)
+        later = (key != low[group]).astype(np.uint8)
         ends = np.cumsum(strings)
         return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
-                         "codes": pa.array([later[b - n:b].tobytes() for n, b in zip(strings, ends)], pa.binary())})
+                         "codes": pa.array([later[b - n:b].tobytes() for n, b in zip(strings, ends)], pa.binary()),
+                         "state": pa.nulls(table.num_rows, pa.list_(pa.binary()))})
 
     def remove(table):
         import numpy as np
@@ -299,14 +311,15 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
 
     folder = scratch(spark, "suffix-answers")
     counted = _kept(count_chunks(manifest, n_chunks, bits, anchors), f"{folder}/count")
-    sent = _kept(by_chunk(manifest, {"count": counted}).groupBy("chunk").applyInArrow(
-        send, "chunk string, bucket int, text binary, lens binary, doc binary, state array<binary>"), f"{folder}/sent")
-    later = _kept(sent.where("bucket >= 0").select("chunk", "bucket", "text", "lens", "doc").groupBy("bucket").applyInArrow(
-        merge, "chunk string, bucket int, codes binary"), f"{folder}/later")
-    states = sent.where("bucket < 0").select("chunk", "state")
-    rows = by_chunk(manifest, {"later": later}).withColumn("state", F.lit(None).cast("array<binary>"))
-    rows = rows.unionByName(states, allowMissingColumns=True)
-    return rows.groupBy("chunk").applyInArrow(
+    # the exchange between the two steps is the only copy of the pieces' text
+    sent = dealt(by_chunk(manifest, {"count": counted}), "chunk", n_chunks).groupBy("chunk").applyInArrow(
+        send, "chunk string, bucket int, text binary, lens binary, doc binary, state array<binary>")
+    later = _kept(dealt(sent, "bucket", 1 << piece_bits, 2).groupBy("bucket").applyInArrow(
+        merge, "chunk string, bucket int, codes binary, state array<binary>"), f"{folder}/later")
+    delete_path(spark, f"{folder}/count")  # read by nothing any more
+    rows = by_chunk(manifest, {"later": later.where("bucket >= 0")}).withColumn("state", F.lit(None).cast("array<binary>"))
+    rows = rows.unionByName(later.where("bucket < 0").select("chunk", "state"), allowMissingColumns=True)
+    return dealt(rows, "chunk", n_chunks).groupBy("chunk").applyInArrow(
         remove, "doc_id long, kept binary, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>")
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vantage.llm.base import ship
+from vantage.llm.chunks import remote
 
 _MANIFEST = "shard long, name string, n_docs long, n_null long, n_tokens long, width int"
 
@@ -37,9 +38,7 @@ def _write(uri: str):
     if path is not None:
         os.makedirs(os.path.dirname(path), exist_ok=True)
         return open(path, "wb")
-    from pyarrow import fs
-
-    store, key = fs.FileSystem.from_uri(uri)
+    store, key = remote(uri)
     store.create_dir(os.path.dirname(key), recursive=True)
     return store.open_output_stream(key)
 
@@ -51,9 +50,7 @@ def _mapped(uri: str, dtype: str):
     path = _local(uri)
     if path is not None:
         return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
-    from pyarrow import fs
-
-    store, key = fs.FileSystem.from_uri(uri)
+    store, key = remote(uri)
     with store.open_input_file(key) as file:
         return np.frombuffer(file.read_buffer(), dtype)
 

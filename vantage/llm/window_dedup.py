@@ -66,7 +66,8 @@ def dedup_windows(docs: DataFrame, size: int = 20, chunk_bytes: int = 4 << 20) -
     words joined by a space), ``n_words``, ``n_removed`` and ``spans`` (maximal removed intervals of
     word positions, end exclusive); other columns are left out. A null or empty text has no words.
     Null ids come after all others, and rows sharing an id follow one another in the order of their
-    chunks: equal rows lose all windows but those of the first. An empty table gives an empty result.
+    chunks' contents, which is the same as long as the table is read in the same splits: equal rows lose
+    all windows but those of the first. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     manifest = write_chunks(docs, "window-chunks", chunk_bytes)
