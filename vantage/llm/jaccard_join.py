@@ -26,8 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.base import written
-from vantage.llm.chunks import (_LAST, bucket_bits, by_chunk, count_chunks, load_chunk, path_of, received,
+from vantage.llm.base import delete_path, scratch, with_classes, written
+from vantage.llm.chunks import (_LAST, bucket_bits, by_chunk, count_chunks, dealt, load_chunk, path_of, received,
                                 write_chunks)
 from vantage.llm.components import connected_components
 
@@ -41,6 +41,7 @@ class _Chunk:
         from vantage.llm.hashing import inside, mix, window_hashes, word_hashes
 
         self.ids, texts = load_chunk(path)
+        self.texts = texts
         counts = np.zeros(len(texts), np.int64)
         parts, words = [], []
         for i, text in enumerate(texts):
@@ -72,7 +73,7 @@ class _Chunk:
         self.hashes, self.place, self.held = np.unique(self.token, return_inverse=True, return_counts=True)
 
 
-_NODE = "doc_id long, n long, cls string, core array<long>, pre1 array<long>, pre2 array<long>"
+_NODE = "doc_id long, body long, n long, cls string, core array<long>, pre1 array<long>, pre2 array<long>"
 
 
 def _nodes(docs: DataFrame, size: int, percent: int, chunk_bytes: int) -> DataFrame:
@@ -80,17 +81,21 @@ def _nodes(docs: DataFrame, size: int, percent: int, chunk_bytes: int) -> DataFr
     manifest = write_chunks(docs, "shingle-chunks", chunk_bytes)
     n_chunks, n_bytes = manifest.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
     bits = bucket_bits(n_bytes / 6)
-    counted = written(count_chunks(manifest, n_chunks, bits, lambda path: _Chunk(path, size).hashes), "shingle-counts")
+    answers = scratch(docs.sparkSession, "shingle-counts")
+    count_chunks(manifest, n_chunks, bits, lambda path: _Chunk(path, size).hashes).write.parquet(answers)
+    counted = docs.sparkSession.read.parquet(answers)
 
     def nodes(table):
         import hashlib
 
         import numpy as np
         import pyarrow as pa
+        import xxhash
 
         from vantage.llm.hashing import mix
 
         own = _Chunk(path_of(table), size)
+        body = np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in own.texts), np.uint64, len(own.texts))
         codes = received(table, "count")
         # the frequency all chunks agree on: chunks that hold the token, or documents of the only chunk
         often = np.where(codes >= 2, codes, np.minimum(own.held, 255)).astype(np.uint8)[own.place]
@@ -118,18 +123,25 @@ def _nodes(docs: DataFrame, size: int, percent: int, chunk_bytes: int) -> DataFr
                     out[i] = order[a:a + lens[i] - need[i] + 1]
         kind = pa.list_(pa.int64())
         return pa.table({"doc_id": pa.array([None if i == _LAST else i for i in own.ids], pa.int64()),
-                         "n": pa.array(own.sizes, pa.int64()), "cls": pa.array(cls, pa.string()),
+                         "body": pa.array(body.view(np.int64)), "n": pa.array(own.sizes, pa.int64()), "cls": pa.array(cls, pa.string()),
                          **{c: pa.array(x, kind) for c, x in zip(("core", "pre1", "pre2"), arrays)}})
 
-    return written(by_chunk(manifest, {"count": counted}).groupBy("chunk").applyInArrow(nodes, _NODE), "shingle-nodes")
+    found = dealt(by_chunk(manifest, {"count": counted}), "chunk", n_chunks).groupBy("chunk").applyInArrow(nodes, _NODE)
+    found = written(found, "shingle-nodes")
+    delete_path(docs.sparkSession, answers)  # read by nothing any more
+    return found
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that also share a prefix token in the second order and reach the threshold."""
-    def side(end: str) -> DataFrame:
-        return sets.select(F.col("cls").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("n", "core", "pre2")])
+    """The pairs (a, b) of classes that also share a prefix token in the second order and reach the threshold.
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(F.arrays_overlap("pre2_a", "pre2_b"))
+    The prefixes are compared first; only pairs that pass both filters get their sets.
+    """
+    def side(end: str, *columns: str) -> DataFrame:
+        return sets.select(F.col("cls").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
+
+    both = pairs.join(side("a", "pre2"), "a").join(side("b", "pre2"), "b").where(F.arrays_overlap("pre2_a", "pre2_b"))
+    both = both.select("a", "b").join(side("a", "n", "core"), "a").join(side("b", "n", "core"), "b")
     shared = F.size(F.array_intersect("core_a", "core_b"))
     return (both.select("a", "b", "n_a", "n_b", shared.alias("shared"))
             .where(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b"))
@@ -149,20 +161,23 @@ def _hub_pairs(posts: DataFrame, goodness, percent: int) -> DataFrame:
     return met.select(F.least("x", "y.cls").alias("a"), F.greatest("x", "y.cls").alias("b")).distinct()
 
 
-def _linked_rows(sets: DataFrame, percent: int, block_rows: int, block_tokens: int) -> DataFrame:
+def _linked_rows(sets: DataFrame, percent: int, pack_rows: int, block_rows: int, block_tokens: int) -> DataFrame:
     """(cls, linked): documents of other classes of its component each class links with; ``sets`` has cls, n, core, comp, rows.
 
-    Every pair of classes of a component meets in one task: that of their two blocks.
+    Every pair of classes of a component meets in one task: that of their two blocks. Components of up to
+    ``pack_rows`` classes share tasks; a larger one is cut into blocks of ``block_rows`` classes or ``block_tokens``
+    tokens, and each block goes to as many tasks as there are blocks.
     """
-    sizes = sets.groupBy("comp").agg(F.count("*").alias("classes"), F.ceil(F.greatest(
-        F.count("*") / block_rows, F.sum(F.size("core")) / block_tokens)).cast("int").alias("blocks")).where("classes > 1")
-    total = sizes.agg(F.coalesce(F.sum(F.when(F.col("blocks") == 1, F.col("classes"))), F.lit(0))).first()[0]
-    packs = F.lit(-(-total // block_rows) or 1)  # components of one block share tasks
+    n, tokens = F.count("*"), F.sum(F.size("core"))
+    sizes = sets.groupBy("comp").agg(n.alias("classes"), (n <= min(pack_rows, block_rows)).alias("small"), F.ceil(F.greatest(
+        n / block_rows, tokens / block_tokens)).cast("int").alias("blocks")).where("classes > 1")
+    total = sizes.agg(F.coalesce(F.sum(F.when(F.col("small"), F.col("classes"))), F.lit(0))).first()[0]
+    packs = F.lit(-(-total // pack_rows) or 1)
     placed = sets.join(sizes, "comp").withColumn("block", F.when(
-        F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), packs)).otherwise(F.pmod(F.xxhash64("cls"), F.col("blocks"))).cast("int"))
-    others = F.when(F.col("blocks") == 1, F.array("block")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+        F.col("small"), F.pmod(F.xxhash64("comp"), packs)).otherwise(F.pmod(F.xxhash64("cls"), F.col("blocks"))).cast("int"))
+    others = F.when(F.col("small"), F.array("block")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = (placed.withColumn("other", F.explode(others))
-           .select(F.when(F.col("blocks") > 1, F.col("comp")).otherwise("").alias("part"), F.least("block", "other").alias("i"),
+           .select(F.when(~F.col("small"), F.col("comp")).otherwise("").alias("part"), F.least("block", "other").alias("i"),
                    F.greatest("block", "other").alias("j"), "block", "cls", "n", "core", "rows"))
 
     def count(table):
@@ -207,9 +222,12 @@ def _linked_rows(sets: DataFrame, percent: int, block_rows: int, block_tokens: i
 
 
 def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_bytes: int = 4 << 20, with_links: bool = False,
-                    block_rows: int = 128, block_tokens: int = 250_000) -> DataFrame:
+                    pack_rows: int = 128, block_rows: int = 1024, block_tokens: int = 2_000_000, with_rows: bool = False) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) for every row of ``docs``; ``with_links`` adds n_links.
 
+    ``with_rows`` adds body, the XXH64 of the text as Spark's ``xxhash64`` gives it, and group_id: the same for rows
+    of one component, whatever their ids; null for a row that can link with nothing.
+
     Two rows link when 100 * shared >= percent * union over their distinct ``size``-word shingles
     (words without ASCII blanks, A-Z lower-cased; a shorter text is one shingle). ``component_id`` is
     the smallest ``doc_id`` reachable by links, itself included; ``class_id`` names rows whose links
@@ -251,17 +269,25 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_byt
     label = (alone.join(components, F.col("cls") == F.col("node"), "full")
              .select(F.coalesce("cls", "node").alias("cls"), F.coalesce("component", "cls").alias("comp")))
     label = written(label, "class-components")
-    lowest = written(nodes.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("low")), "class-lowest")
+    lowest = written(nodes.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")),
+                     "class-lowest")
     named = label.join(lowest, "cls")
     of = written(named.groupBy("comp").agg(F.min("low").alias("component_id")), "component-lowest")
-    of = written(label.join(of, "comp").select("cls", "component_id"), "class-lowest")
-    columns = ["doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"),
+    of = written(label.join(of, "comp").select("cls", "comp", "component_id"), "class-lowest")
+    columns = ["doc_id", "n_shingles", F.col("cls").alias("class_id"),
                F.coalesce("component_id", "doc_id").alias("component_id")]
     if with_links:
-        rows = written(nodes.where("cls IS NOT NULL").groupBy("cls").agg(F.count("*").alias("rows")), "class-rows")
-        linked = _linked_rows(sets.select("cls", "n", "core").join(label, "cls").join(rows, "cls"), percent, block_rows, block_tokens)
+        rows = lowest.select("cls", F.col("n").alias("rows"))
+        linked = _linked_rows(sets.select("cls", "n", "core").join(label, "cls").join(rows, "cls"), percent, pack_rows,
+                              block_rows, block_tokens)
         own = alone.join(rows, "cls").select("cls", (F.col("rows") - 1).alias("linked"))
         links = written(linked.unionByName(own).groupBy("cls").agg(F.sum("linked").alias("linked")), "class-links")
         of = of.join(links, "cls", "left")
         columns.append(F.coalesce("linked", F.lit(0)).cast("long").alias("n_links"))
-    return nodes.select("doc_id", "n", "cls").join(of, "cls", "left").select(*columns)
+    if with_rows:
+        columns += ["body", F.col("comp").alias("group_id")]
+    # rows without a class have nothing to look up, and would all meet in one task
+    rows = nodes.select("doc_id", "body", F.col("n").alias("n_shingles"), "cls")
+    classes = written(lowest.select("cls", "n").join(of, "cls", "left"), "class-answers")
+    found = with_classes(rows.where("cls IS NOT NULL"), classes, "cls")
+    return found.unionByName(rows.where("cls IS NULL"), allowMissingColumns=True).select(*columns)
