@@ -2,7 +2,7 @@
 
 The lexicon holds the terms whose document frequency lies in a band (an inverse-document-frequency
 band). Each of several random subsets of the lexicon gives one signature: the document's distinct
-terms in the subset, sorted and hashed; none if there are none. The first signature takes the whole
+terms in the subset, hashed as a set (the XOR of the terms' hashes, so no order has to be made); none if there are none. The first signature takes the whole
 lexicon, or all terms of the text if none is in the lexicon. Two fingerprints are as alike as the
 share of equal signatures among those that either of them has. Dense subsets tell exact from edited
 copies, sparse ones agree about as often as the term sets overlap.
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.base import blank, number_rows, written
+from vantage.llm.base import blank, number_rows, with_classes, written
 
 #: (one term in so many, number of subsets of that density); 48 subsets, one bit of a mask each.
 SUBSETS = ((8, 8), (32, 12), (128, 14), (512, 14))
@@ -93,7 +93,7 @@ def fingerprint_with_edits(docs: DataFrame, low: float = 0.001, high: float = 0.
     ``near_next`` and, ``with_text``, ``edited`` (the text, at the price of one more shuffle of all
     texts); other columns are left out. A null text is empty. Null ids (and the smallest 64-bit
     number, which counts as one) come first; rows that share an id are ordered by a hash of their
-    text, and equal rows are one document. A single document is its own next one. An empty table
+    text. Rows equal in id and text are one document with one next document, and each of them is returned. A single document is its own next one. An empty table
     gives an empty result.
     """
     words = lexicon(docs, low, high)
@@ -108,7 +108,8 @@ def fingerprint_with_edits(docs: DataFrame, low: float = 0.001, high: float = 0.
     links = written(order.select("k1", "k2", "rank").join(back, "rank").drop("rank"), "document-links")
     # every text is shuffled once by its key (both joins below use the same exchange); only the part
     # that the document before takes moves on
-    placed = keyed.dropDuplicates(["k1", "k2"]) if n != docs.count() else keyed
+    repeated = n != docs.count()
+    placed = keyed.dropDuplicates(["k1", "k2"]) if repeated else keyed
     tails = placed.join(links, ["k1", "k2"]).select(
         F.col("prev1").alias("k1"), F.col("prev2").alias("k2"),
         F.substring("text", F.lit(1), F.floor(F.col("prev_n") / 2).cast("int")).alias("tail"))
@@ -132,4 +133,9 @@ def fingerprint_with_edits(docs: DataFrame, low: float = 0.001, high: float = 0.
                likeness("marks", "edited_marks").alias("near_edited"), likeness("marks", "next_marks").alias("near_next")]
     if with_text:
         found, columns = found.join(pairs.select("k1", "k2", "edited"), ["k1", "k2"]), columns + ["edited"]
-    return found.select(*columns)
+    found = found.select("k1", "k2", *columns)
+    if repeated:  # equal rows were one document so far; each gets the answer
+        copies = keyed.groupBy("k1", "k2").agg(F.count("*").alias("n"))
+        classes = written(found.join(copies, ["k1", "k2"]).withColumn("key", F.struct("k1", "k2")).drop("k1", "k2"), "document-answers")
+        found = with_classes(keyed.select(F.struct("k1", "k2").alias("key")), classes, "key")
+    return found.drop("k1", "k2", "key")

@@ -134,8 +134,8 @@ def fit(ids, values, lens, labels, rank: int = 8, epochs: int = 8, batch: int =
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000) -> FactorisationMachine:
     """Fit on at most ``max_rows`` labelled documents (those with the smallest hash of their id).
 
-    ``labels`` has (doc_id, label 0 or 1); several labels of one id are averaged, null ones ignored.
-    Only the sampled rows' features reach the driver.
+    ``labels`` has (doc_id, label 0 or 1); several labels of one id are averaged, null ones ignored. Of
+    several texts of one id the smallest counts. Only the sampled rows' features reach the driver.
     """
     import numpy as np
 
@@ -145,6 +145,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000) -> Factori
               .agg((F.avg("label") >= 0.5).cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
     rows = docs.select("doc_id", blank(F.col("text")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    # one row per chosen id, whatever number of rows has it; reduced before the shuffle
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
 
     def extract(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -195,7 +197,7 @@ def score(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.3)
 
 
 def held_out(doc_id: str = "doc_id"):
-    """Rows no label is learned from."""
+    """Rows no label is learned from; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
 
 

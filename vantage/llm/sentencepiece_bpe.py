@@ -196,11 +196,23 @@ class Codec:
             units += own
         ids, lens = self.cache(units)
         ends = np.cumsum(counts)
+        if self.judge is not None and not self.plain:
+            return self._judged(texts, ids, np.diff(np.concatenate(([0], np.cumsum(lens)))[ends], prepend=0))
         if self.differing:
             for i, (a, b) in enumerate(zip(ends - counts, ends)):
                 agreed[i] = self.differing.isdisjoint(units[a:b])
         return ids, np.diff(np.concatenate(([0], np.cumsum(lens)))[ends], prepend=0), agreed
 
+    def _judged(self, texts: list[str], ids, lens):
+        """Whole texts compared with the sentencepiece library, whose ids count where they differ: its
+        normaliser looks at the whole text, so units cannot be judged alone."""
+        import numpy as np
+
+        ends = np.cumsum(lens)
+        right = self.judge.encode(texts, num_threads=self.threads)
+        agreed = np.array([ids[a:b].tolist() == w for a, b, w in zip(ends - lens, ends, right)], bool)
+        return np.array([i for own in right for i in own], np.int64), np.array([len(w) for w in right], np.int64), agreed
+
     def decode(self, ids) -> str:
         """The text of the ids: pieces joined, marks as spaces, byte pieces as bytes, the added space dropped."""
         import numpy as np
@@ -230,7 +242,7 @@ def encode_documents(docs: DataFrame, model_path: str, threads: int = 2, verify:
     """Encode every text and decode it again.
 
     Returns the columns of ``docs`` without ``text``, then ``n_tokens``, ``ids_crc32`` (of the ids as
-    little-endian unsigned 32-bit integers), ``parity`` (both libraries gave the same ids),
+    little-endian unsigned 32-bit integers), ``parity`` (both libraries gave the same ids; null without ``verify``),
     ``decoded_ok`` (decoding gives the text, a mark character standing for a space) and, with
     ``with_ids``, ``ids``. These replace input columns of the same name. A null or empty text has no
     ids. Rows keep their other columns whatever they hold; an empty table gives an empty result.
@@ -255,7 +267,7 @@ def encode_documents(docs: DataFrame, model_path: str, threads: int = 2, verify:
             own = [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
             same = [codec.decode(x) == t.replace(MARK, " ") for x, t in zip(own, texts)]
             columns = [pa.array(counts), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in own], pa.int64()),
-                       pa.array(agreed), pa.array(same, pa.bool_())]
+                       pa.array(agreed) if verify else pa.nulls(len(agreed), pa.bool_()), pa.array(same, pa.bool_())]
             if with_ids:
                 columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))))
             yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(kept))] + columns, kept + made)
