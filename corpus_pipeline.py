@@ -7,11 +7,11 @@ budget is as large as that needs), SentencePiece encoding (the last stage's rows
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vantage.llm import jaccard_join, line_dedup, mixing, quality_fm, sentencepiece_bpe
-from vantage.llm.base import read_documents, row_struct, written
+from vantage.llm.base import blank, read_documents, row_struct, written
 from vantage.llm.queries import MIX_TARGETS, mixing_labels
 
 
@@ -28,11 +28,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: the one with the smallest doc_id."""
-    kept = (jaccard_join.link_components(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id")))
-            .select(F.col("doc_id").alias("kept")).distinct())
-    rows = docs.select(F.col("doc_id").cast("long").alias("key"), row_struct(docs).alias("row"))
-    return rows.join(kept, F.col("key").eqNullSafe(F.col("kept")), "left_semi").select("row.*")
+    """One document of each group of linked ones: the smallest doc_id (a null one last), ties by a hash of the text.
+
+    Documents that link with nothing stay, null and empty texts among them. Of rows that are equal in id
+    and text a group keeps one; rows that share an id only are documents of their own.
+    """
+    links = written(jaccard_join.link_components(docs, with_rows=True).select("doc_id", "body", "group_id"), "pipeline-links")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "body")).alias("first")
+    kept = links.where("group_id IS NOT NULL").groupBy("group_id").agg(first).select(
+        F.col("first.doc_id").alias("id"), F.col("first.body").alias("body"), F.lit(True).alias("one"))
+    kept = kept.distinct().unionByName(links.where("group_id IS NULL").select(F.col("doc_id").alias("id"), "body", F.lit(False).alias("one")).distinct())
+    rows = docs.select(F.col("doc_id").cast("long").alias("key"), F.xxhash64(blank(F.col("text"))).alias("own"), row_struct(docs).alias("row"))
+    rows = rows.join(kept, F.col("key").eqNullSafe(F.col("id")) & (F.col("own") == F.col("body")))
+    again = F.row_number().over(Window.partitionBy("key", "own").orderBy("key")) > 1
+    return rows.withColumn("again", again).where(~(F.col("one") & F.col("again"))).select("row.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
