@@ -64,7 +64,8 @@ def brute_phrases(rows, least, percent, top):
 
 @pytest.mark.parametrize("least,percent,top", [(3, 100, 50), (2, 60, 100_000)])
 def test_collocations(docs, rows, least, percent, top):
-    got = collocations.top_phrases(docs, least=least, percent=percent, top=top, shard_bytes=50_000, range_arcs=700, sample_every=4)
+    got = collocations.top_phrases(docs, least=least, percent=percent, top=top, shard_bytes=50_000, bucket_words=3000,
+                                  range_arcs=700, sample_every=4)
     assert [f.dataType.simpleString() for f in got.schema] == ["string", "bigint", "string"] + ["bigint"] * 5
     assert sorted(tuple(r) for r in got.collect()) == brute_phrases(rows, least, percent, top)
 
@@ -72,8 +73,8 @@ def test_collocations(docs, rows, least, percent, top):
 def test_collocations_exact_beyond_64_bits(spark):
     """A score's products pass 64 bits; the quotient is exact."""
     a, n, left, right = 4_000_000_000_007, 9_000_000_000_011, 4_000_000_000_009, 5_000_000_000_021
-    phrase = spark.createDataFrame([(1, 0, 0, "en", a, ["x", "y"], [left, a], [right, a])],
-                                   "id long, start long, back long, lang string, a long, words array<string>, heads array<long>, tails array<long>")
+    phrase = spark.createDataFrame([(1, 0, 0, 0, "en", a, [left, a], [right, a])],
+                                   "id long, start long, back long, word long, lang string, a long, heads array<long>, tails array<long>")
     totals = spark.createDataFrame([("en", n)], "lang string, n long")
     assert collocations._scored(phrase, None, 100, totals).first().score == 1000 * a * n // (left * right)
 

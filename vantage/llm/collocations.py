@@ -1,7 +1,8 @@
 """Phrase collocations by weighted acyclic automata.
 
 Texts are cut into shards of bounded size; a shard's words are numbered and its token numbers kept in a
-file. The automaton that counts phrases grows by one layer (one word) a round. Each shard builds its
+file. The automaton that counts phrases grows by one layer (one word) a round. The first layer, the words
+themselves, is united by hash: words have no common order yet. From then on each shard builds its
 layer from its sorted n-grams, taking only n-grams whose two shorter parts are frequent: a phrase is at
 most as frequent as its parts, so nothing that counts is left out. The shards' layers are cut at common
 bounds into prefix ranges; a range's task unites them, sums the weights of equal arcs, keeps the frequent
@@ -18,8 +19,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantage.llm.base import number_rows, scratch, ship, slices, written
-from vantage.llm.chunks import by_chunk, local_path, remote, save_chunk
+from vantage.llm.base import delete_path, scratch, ship, slices, written
+from vantage.llm.chunks import by_chunk, dealt, local_path, remote, save_chunk
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _MARK = b"\xff"  # in no UTF-8 text
@@ -54,7 +55,10 @@ def _arrays(uri: str, *names: str):
 
 
 def shards(docs: DataFrame, folder: str, shard_bytes: int) -> DataFrame:
-    """Writes each shard's token numbers (-1: a piece ends) below ``folder``; its words (chunk, at, lang, word, n)."""
+    """Writes each shard's token numbers (-1: a piece ends) below ``folder``; its words (chunk, at, words, n).
+
+    A row has the words numbered from ``at`` on, as language, tab and word, and their counts.
+    """
     ship(docs.sparkSession)
 
     def tokenise(batches: Iterator) -> Iterator:
@@ -68,7 +72,7 @@ def shards(docs: DataFrame, folder: str, shard_bytes: int) -> DataFrame:
 
             def __missing__(self, word):
                 at = self[word] = len(names)
-                names.append((self.lang, word))
+                names.append(self.lead + word)
                 return at
 
         names: list = []
@@ -80,20 +84,22 @@ def shards(docs: DataFrame, folder: str, shard_bytes: int) -> DataFrame:
             chunk = uuid.uuid4().hex
             ids = np.concatenate(tokens)
             _save(f"{folder}/{chunk}/tokens.parquet", token=ids)
-            n = np.bincount(ids[ids >= 0], minlength=len(names))
-            for a in range(0, len(names), 50_000):
-                part = names[a:a + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * len(part)), pa.array(np.arange(a, a + len(part), dtype=np.int32)),
-                     pa.array([x[0] for x in part], pa.string()), pa.array([x[1].decode() for x in part], pa.string()),
-                     pa.array(n[a:a + len(part)], pa.int64())], ["chunk", "at", "lang", "word", "n"])
+            n = np.bincount(ids[ids >= 0], minlength=len(names)).astype("<i8")
+            step = 50_000
+            starts = range(0, len(names), step)
+            words = [pa.array(names[a:a + step], pa.binary()).cast(pa.string()) for a in starts]
+            ends = np.cumsum([0, *map(len, words)]).astype(np.int32)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([chunk] * len(words)), pa.array(list(starts), pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(words)),
+                 pa.array([n[a:a + step].tobytes() for a in starts], pa.binary())], ["chunk", "at", "words", "n"])
 
         for batch in batches:
             texts = batch.column(1).cast(pa.large_binary())
             for lang, text in zip(batch.column(0).to_pylist(), texts):
                 if lang not in numbers:
                     numbers[lang] = Numbers({_MARK: -1})
-                    numbers[lang].lang = lang
+                    numbers[lang].lead = f"{lang}\t".encode()
                 number = numbers[lang].__getitem__
                 for data in slices(text.as_py() or b"", _SLICE):
                     words = pieces(data)
@@ -101,13 +107,96 @@ def shards(docs: DataFrame, folder: str, shard_bytes: int) -> DataFrame:
                     size += len(data)
                 tokens.append(np.array([-1], np.int32))
                 if size >= shard_bytes:
-                    yield from flush()
+                    if names:
+                        yield flush()
                     names, numbers, tokens, size = [], {}, [], 0
         if names:
-            yield from flush()
+            yield flush()
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    return written(rows.mapInArrow(tokenise, "chunk string, at int, lang string, word string, n long"), "phrase-words")
+    return rows.mapInArrow(tokenise, "chunk string, at int, words array<string>, n binary")
+
+
+def _words(shard_words: DataFrame, least: int, bucket_words: int) -> DataFrame:
+    """Unites the shards' words by hash bucket.
+
+    Rows (bucket, chunk, at, codes): the shard's frequent words of a bucket and their numbers among the bucket's
+    frequent ones; and per bucket a row without chunk: ``words`` and ``counts`` of the frequent ones, and
+    the occurrences of all its words by language (``langs``, ``sums``).
+    """
+    total = shard_words.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
+    n_buckets = max(1, -(-total // bucket_words))
+
+    def send(batches: Iterator) -> Iterator:
+        import zlib
+
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words = batch.column(2)[i].values
+                n, at = np.frombuffer(batch.column(3)[i].as_py(), "<i8"), batch.column(1)[i].as_py()
+                bucket = np.fromiter(map(zlib.crc32, words.cast(pa.binary()).to_pylist()), np.int64, len(words)) % n_buckets
+                order = np.argsort(bucket, kind="stable")
+                found, starts = np.unique(bucket[order], return_index=True)
+                ends = np.append(starts[1:], len(order))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.astype(np.int32)), pa.array([batch.column(0)[i].as_py()] * len(found)),
+                     pa.array([(order[a:b] + at).astype("<i4").tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                     pa.array([n[order[a:b]].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)).astype(np.int32)), words.take(pa.array(order)))],
+                    ["bucket", "chunk", "at", "n", "words"])
+
+    def unite(table):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        lists = table.column("words").combine_chunks()
+        held = lists.flatten().dictionary_encode()
+        code, known = held.indices.to_numpy(), held.dictionary
+        n = np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in table.column("n")])
+        sums = np.zeros(len(known), np.int64)
+        np.add.at(sums, code, n)
+        langs: dict[str, int] = {}
+        for word, own in zip(known.to_pylist(), sums.tolist()):
+            lang = word.rpartition("\t")[0]
+            langs[lang] = langs.get(lang, 0) + own
+        frequent = np.flatnonzero(sums >= least)
+        frequent = frequent[pc.sort_indices(known.take(pa.array(frequent))).to_numpy()]
+        number = np.full(len(known), -1, np.int64)
+        number[frequent] = np.arange(len(frequent))
+        code = number[code]
+        ends = np.cumsum(np.asarray(lists.value_lengths()))
+        at, codes = [], []
+        for a, b, x in zip(np.concatenate(([0], ends[:-1])), ends, table.column("at")):
+            own = np.flatnonzero(code[a:b] >= 0)
+            at.append(np.frombuffer(x.as_py(), "<i4")[own].tobytes())
+            codes.append(code[a:b][own].astype("<i4").tobytes())
+        rows = table.num_rows
+        return pa.table({
+            "bucket": pa.array([table.column("bucket")[0].as_py()] * (rows + 1), pa.int32()),
+            "chunk": pa.array(table.column("chunk").to_pylist() + [None], pa.string()),
+            "at": pa.array(at + [None], pa.binary()), "codes": pa.array(codes + [None], pa.binary()),
+            "words": pa.array([None] * rows + [known.take(pa.array(frequent)).to_pylist()], pa.list_(pa.string())),
+            "counts": pa.array([None] * rows + [sums[frequent].tolist()], pa.list_(pa.int64())),
+            "langs": pa.array([None] * rows + [list(langs)], pa.list_(pa.string())),
+            "sums": pa.array([None] * rows + [list(langs.values())], pa.list_(pa.int64()))})
+
+    sent = shard_words.mapInArrow(send, "bucket int, chunk string, at binary, n binary, words array<string>")
+    return written(dealt(sent, "bucket", n_buckets, 1).groupBy("bucket").applyInArrow(
+        unite, "bucket int, chunk string, at binary, codes binary, words array<string>, counts array<bigint>, "
+               "langs array<string>, sums array<bigint>"), "phrase-words")
+
+
+def _bases(united: DataFrame, size, count: int) -> list[int]:
+    """The first number of every part, and the total; ``size`` is that of a part's row without chunk."""
+    sizes = {r.bucket: r.n for r in united.where("chunk IS NULL").select("bucket", size.cast("long").alias("n")).collect()}  # one row per part
+    bases = [0]
+    for i in range(count):
+        bases.append(bases[-1] + sizes.get(i, 0))
+    return bases
 
 
 _LAYER = "chunk string, n_arcs long, sample array<bigint>"
@@ -131,23 +220,23 @@ def _next_layer(folder: str, chunk: str, level: int, at, state, word, every: int
                      "sample": pa.array([arcs[every // 2::every]], pa.list_(pa.int64()))})
 
 
-def _first_layer(words: DataFrame, frequent: DataFrame, folder: str, n_chunks: int, every: int) -> DataFrame:
-    """Each shard learns the states (numbers) of its frequent words and builds its layer of two-word n-grams."""
+def _first_layer(united: DataFrame, bases: list[int], folder: str, n_chunks: int, every: int) -> DataFrame:
+    """Each shard learns the numbers of its frequent words and builds its layer of two-word n-grams."""
 
     def receive(table):
         import numpy as np
 
         chunk = table.column("chunk")[0].as_py()
-        at, rank = (table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("at", "rank"))
         token, = _arrays(f"{folder}/{chunk}/tokens.parquet", "token")
-        number = np.full(max(int(token.max()) + 2, 1), -1, np.int64)  # the last one is that of -1
-        number[at] = rank
+        number = np.full(max(int(token.max(initial=-1)) + 2, 1), -1, np.int64)  # the last one is that of -1
+        for bucket, at, codes in zip(table.column("bucket").to_pylist(), table.column("at"), table.column("codes")):
+            number[np.frombuffer(at.as_py(), "<i4")] = np.frombuffer(codes.as_py(), "<i4") + bases[bucket]
         state = number[token]
         held = np.flatnonzero(state >= 0)
         return _next_layer(folder, chunk, 1, held.astype(np.int64), state[held], state[held], every)
 
-    found = words.join(frequent.select("lang", "word", "rank"), ["lang", "word"]).select("chunk", "at", "rank")
-    return found.repartition(n_chunks, "chunk").groupBy("chunk").applyInArrow(receive, _LAYER)
+    found = united.where("chunk IS NOT NULL").select("chunk", "bucket", "at", "codes")
+    return dealt(found, "chunk", n_chunks, 1).groupBy("chunk").applyInArrow(receive, _LAYER)
 
 
 def _united(layer: DataFrame, folder: str, level: int, least: int, range_arcs: int) -> tuple[DataFrame, list[int]]:
@@ -181,7 +270,8 @@ def _united(layer: DataFrame, folder: str, level: int, least: int, range_arcs: i
                     part = full[k:k + 64]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([i for i, _, _ in part], pa.int32()), pa.array([chunk] * len(part)),
-                         *[pa.array([x[a:b].tobytes() for _, a, b in part], pa.binary()) for x in (arcs, weights, back)]],
+                         *[pa.array([x[a:b].tobytes() for _, a, b in part], pa.binary())
+                           for x in (arcs, weights.astype("<u4"), back)]],  # a shard has fewer than 2^32 words
                         ["range", "chunk", "arcs", "weights", "back"])
 
     def unite(table):
@@ -190,8 +280,8 @@ def _united(layer: DataFrame, folder: str, level: int, least: int, range_arcs: i
 
         from vantage.llm import count_transducer as ct
 
-        layers = [tuple(np.frombuffer(x.as_py(), np.int64) for x in row)
-                  for row in zip(table.column("arcs"), table.column("weights"), table.column("back"))]
+        layers = [(np.frombuffer(a.as_py(), np.int64), np.frombuffer(w.as_py(), "<u4"), np.frombuffer(k.as_py(), np.int64))
+                  for a, w, k in zip(table.column("arcs"), table.column("weights"), table.column("back"))]
         arcs, weights, back = ct.union(layers, least)
         own = table.column("range")[0].as_py()
         codes = [ct.find(arcs, x[0]).astype(np.int32).tobytes() for x in layers]
@@ -203,15 +293,10 @@ def _united(layer: DataFrame, folder: str, level: int, least: int, range_arcs: i
 
     sent = layer.select("chunk").repartition(max(1, n_chunks)).mapInArrow(
         send, "range int, chunk string, arcs binary, weights binary, back binary")
-    united = sent.repartition(n_ranges, "range").groupBy("range").applyInArrow(
+    united = dealt(sent, "range", n_ranges, 1).groupBy("range").applyInArrow(
         unite, "bucket int, chunk string, codes binary, arcs binary, weights binary, back binary")
     united = written(united, "phrase-ranges")
-    sizes = {r.bucket: r.n for r in united.where("chunk IS NULL").select(
-        "bucket", (F.length("arcs") / 8).cast("long").alias("n")).collect()}  # one row per range
-    bases = [0]
-    for i in range(len(bounds) + 1):
-        bases.append(bases[-1] + sizes.get(i, 0))
-    return united, bases
+    return united, _bases(united, F.length("arcs") / 8, len(bounds) + 1)
 
 
 def _grown(manifest: DataFrame, united: DataFrame, bases: list[int], folder: str, level: int, n_chunks: int, every: int) -> DataFrame:
@@ -233,11 +318,11 @@ def _grown(manifest: DataFrame, united: DataFrame, bases: list[int], folder: str
         return _next_layer(folder, chunk, level, at[held], reached[arc[held]], ct.word_of(arcs[arc[held]]), every)
 
     rows = by_chunk(manifest.select("chunk", F.lit(folder).alias("path")), {"codes": united.where("chunk IS NOT NULL")})
-    return rows.repartition(n_chunks, "chunk").groupBy("chunk").applyInArrow(receive, _LAYER)
+    return dealt(rows, "chunk", n_chunks, 1).groupBy("chunk").applyInArrow(receive, _LAYER)
 
 
 def _states(united: DataFrame, bases: list[int]) -> DataFrame:
-    """(id, start, back, a): a layer's frequent arcs by the number of the state they lead to."""
+    """(id, start, back, word, a): a layer's frequent arcs by the number of the state they lead to."""
 
     def spread(batches: Iterator) -> Iterator:
         import numpy as np
@@ -249,24 +334,24 @@ def _states(united: DataFrame, bases: list[int]) -> DataFrame:
             for own, *blobs in zip(*[c.to_pylist() for c in batch.columns]):
                 arcs, weights, back = (np.frombuffer(x, np.int64) for x in blobs)
                 ids = bases[own] + np.arange(len(arcs), dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, ct.start_of(arcs), back, weights)],
-                                                 ["id", "start", "back", "a"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, ct.start_of(arcs), back, ct.word_of(arcs), weights)],
+                                                 ["id", "start", "back", "word", "a"])
 
     return united.where("chunk IS NULL").select("bucket", "arcs", "weights", "back").mapInArrow(
-        spread, "id long, start long, back long, a long")
+        spread, "id long, start long, back long, word long, a long")
 
 
-def _phrases(states: DataFrame, shorter: DataFrame) -> DataFrame:
-    """The states of a layer with their words and the counts of their first (heads) and last words (tails).
+def _counted(states: DataFrame, shorter: DataFrame) -> DataFrame:
+    """The states of a layer with the counts of their phrases' first (heads) and last words (tails).
 
     Composition with the layer before: the start state is the phrase without its last word, the back link
     the phrase without its first.
     """
-    head = shorter.select(F.col("id").alias("start"), "lang", F.col("words").alias("_words"), F.col("heads").alias("_heads"))
-    tail = shorter.select(F.col("id").alias("back"), F.element_at("words", -1).alias("_last"), F.col("tails").alias("_tails"))
+    head = shorter.select(F.col("id").alias("start"), "lang", F.col("heads").alias("_heads"))
+    tail = shorter.select(F.col("id").alias("back"), F.col("tails").alias("_tails"))
     return states.join(head, "start").join(tail, "back").select(
-        "id", "start", "back", "lang", "a", F.concat("_words", F.array("_last")).alias("words"),
-        F.concat("_heads", F.array("a")).alias("heads"), F.concat("_tails", F.array("a")).alias("tails"))
+        "id", "start", "back", "word", "lang", "a", F.concat("_heads", F.array("a")).alias("heads"),
+        F.concat("_tails", F.array("a")).alias("tails"))
 
 
 def _scored(phrases: DataFrame, longer: DataFrame | None, percent: int, totals: DataFrame) -> DataFrame:
@@ -281,28 +366,44 @@ def _scored(phrases: DataFrame, longer: DataFrame | None, percent: int, totals:
         phrases = phrases.join(most, "id", "left").where(
             F.col("_most").isNull() | (100 * F.col("_most") < percent * F.col("a")))
     # products of counts may pass 64 bits: decimals of 38 digits hold 1000 * a * n and l * r exactly
-    cuts = F.expr("""array_min(transform(sequence(1, size(words) - 1), k -> named_struct(
+    cuts = F.expr("""array_min(transform(sequence(1, size(heads) - 1), k -> named_struct(
         'score', (1000BD * cast(a as decimal(17, 0)) * cast(n as decimal(17, 0)))
-                 div (cast(heads[k - 1] as decimal(19, 0)) * cast(tails[size(words) - k - 1] as decimal(19, 0))),
-        'k', k, 'l', heads[k - 1], 'r', tails[size(words) - k - 1])))""")
+                 div (cast(heads[k - 1] as decimal(19, 0)) * cast(tails[size(heads) - k - 1] as decimal(19, 0))),
+        'k', k, 'l', heads[k - 1], 'r', tails[size(heads) - k - 1])))""")
     # one row per language of the corpus: joined as Spark sees fit
     return phrases.join(totals, "lang").withColumn("_cut", cuts).select(
-        "lang", F.array_join("words", " ").alias("phrase"), "a", F.col("_cut.l").alias("l"), F.col("_cut.r").alias("r"),
-        "n", F.col("_cut.score").alias("score"))
+        "lang", "start", "word", "a", F.col("_cut.l").alias("l"), F.col("_cut.r").alias("r"), "n", F.col("_cut.score").alias("score"))
 
 
-def _best(scored: DataFrame, top: int) -> DataFrame:
-    """The first ``top`` of each language: in salted parts first, so that no task ranks all of one language."""
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salted = scored.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(64)))
+def _best(rows: DataFrame, top: int, rank, order: list, salt: str) -> DataFrame:
+    """Rows with a ``rank`` of up to ``top`` in their language: in salted parts first, so that no task ranks all of one."""
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(64)))
     for keys in (["lang", "_salt"], ["lang"]):
-        ranked = salted.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
-        salted = ranked.where(F.col("rank") <= top)
-    return salted.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+        placed = rank.over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
+        rows = rows.withColumn("rank", placed).where(F.col("rank") <= top)
+    return rows.drop("_salt")
+
+
+def _spelled(rows: DataFrame, layers: dict[int, DataFrame], words: DataFrame) -> DataFrame:
+    """The phrases of ``rows`` (length, start, word): from each state back along its path to the root."""
+    rows = rows.withColumn("phrase", F.lit(None).cast("string"))
+    carried = None
+    for length in range(max(layers), 0, -1):
+        own = rows.where(F.col("length") == length)
+        own = own if carried is None else carried.unionByName(own)
+        own = own.join(words.select(F.col("id").alias("word"), F.col("word").alias("_word")), "word")
+        own = own.withColumn("phrase", F.concat_ws(" ", "_word", "phrase")).drop("word", "_word")
+        if length > 1:  # the start state is the phrase without its last word; that of one word has the word's number
+            path = (layers[length - 1].select("id", "start", "word") if length > 2
+                    else words.select("id", F.lit(None).cast("long").alias("start"), F.col("id").alias("word")))
+            own = own.withColumnRenamed("start", "id").join(path, "id").drop("id")
+        carried = own
+    return carried.drop("length", "start")
 
 
 def top_phrases(docs: DataFrame, least: int = 100, longest: int = 5, percent: int = 100, top: int = 2000,
-                shard_bytes: int = 16 << 20, range_arcs: int = 500_000, sample_every: int = 64) -> DataFrame:
+                shard_bytes: int = 16 << 20, bucket_words: int = 400_000, range_arcs: int = 500_000,
+                sample_every: int = 64) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases of 2 to ``longest`` words.
 
     Texts, A-Z lower-cased, are split into pieces at ``.,;:!?`` and line ends, those into words at spaces
@@ -320,29 +421,44 @@ def top_phrases(docs: DataFrame, least: int = 100, longest: int = 5, percent: in
     from vantage.llm import count_transducer as ct
 
     spark = docs.sparkSession
-    folder = scratch(spark, "phrase-shards")
-    words = shards(docs, folder, shard_bytes)
-    manifest = written(words.select("chunk").distinct(), "phrase-manifest")
+    folder, kept = scratch(spark, "phrase-shards"), scratch(spark, "phrase-shard-words")
+    found = shards(docs, folder, shard_bytes)
+    found.write.option("compression", "zstd").parquet(kept)
+    shard_words = spark.read.schema(found.schema).parquet(kept)
+    manifest = written(shard_words.select("chunk").distinct(), "phrase-manifest")
     n_chunks = max(1, manifest.count())
-    totals = written(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
-    counted = words.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    frequent = written(number_rows(counted, ["lang", "word"], "phrase-sorted"), "phrase-frequent")
-    if frequent.count() > 1 << ct.WORD_BITS:
+    united = _words(shard_words, least, bucket_words)
+    delete_path(spark, kept)  # read by nothing any more
+    parts = united.where("chunk IS NULL")
+    totals = written(parts.select(F.explode(F.arrays_zip("langs", "sums")).alias("x")).groupBy(F.col("x.langs").alias("lang"))
+                     .agg(F.sum("x.sums").alias("n")), "phrase-totals")
+    bases = _bases(united, F.size("words"), (parts.agg(F.max("bucket")).first()[0] or 0) + 1)
+    if bases[-1] > 1 << ct.WORD_BITS:
         raise OverflowError("too many frequent words")
-    shorter = frequent.select(F.col("rank").alias("id"), "lang", F.array("word").alias("words"), F.array("a").alias("heads"),
-                              F.array("a").alias("tails"))
-    layer = written(_first_layer(words, frequent, folder, n_chunks, sample_every), "phrase-layer")
-    found = []
+    base = F.element_at(F.lit(bases).cast("array<bigint>"), F.col("bucket") + 1)
+    named = F.substring_index("x.words", "\t", -1)
+    frequent = parts.select(base.alias("base"), F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "x"))
+    words = written(frequent.select(
+        (F.col("base") + F.col("pos")).alias("id"), F.expr("left(x.words, char_length(x.words) - char_length(substring_index(x.words, '\t', -1)) - 1)").alias("lang"),
+        named.alias("word"), F.col("x.counts").alias("a")), "phrase-frequent")
+    shorter = words.select("id", "lang", F.array("a").alias("heads"), F.array("a").alias("tails"))
+    layer = written(_first_layer(united, bases, folder, n_chunks, sample_every), "phrase-layer")
+    layers: dict[int, DataFrame] = {}
     for level in range(2, longest + 1):
         united, bases = _united(layer, folder, level, least, range_arcs)
         if bases[-1] > 1 << ct.STATE_BITS:
             raise OverflowError("too many frequent phrases")
-        shorter = written(_phrases(_states(united, bases), shorter), "phrase-states")
-        found.append(shorter)
+        layers[level] = shorter = written(_counted(_states(united, bases), shorter), "phrase-states")
         if level < longest:
             layer = written(_grown(manifest, united, bases, folder, level, n_chunks, sample_every), "phrase-layer")
-    scored = [_scored(own, longer, percent, totals) for own, longer in zip(found, [*found[1:], None])]
-    every = scored[0]
-    for other in scored[1:]:
-        every = every.unionByName(other)
-    return _best(every, top)
+    order = [F.desc("score"), F.desc("a")]
+    every = None
+    for level, own in layers.items():
+        scored = _scored(own, layers.get(level + 1), percent, totals).withColumn("length", F.lit(level))
+        every = scored if every is None else every.unionByName(scored)
+    # ties of the last place stay until the words decide
+    best = written(_best(every.withColumn("_key", F.struct("length", "start", "word")), top, F.rank(), order, "_key").drop("rank", "_key"),
+                   "phrase-best")
+    spelled = _spelled(best, layers, words)
+    return _best(spelled, top, F.row_number(), [*order, F.asc("phrase")], "phrase").select(
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score")
