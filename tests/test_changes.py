@@ -137,6 +137,27 @@ def test_stream_fold_equals_batch_fold(spark, tmp_path):
     assert got == {k: (v["name"], v["score"]) for k, v in expected.items()}
 
 
+def test_stream_goes_on_from_its_state(spark, tmp_path):
+    """A second run of the query reads new files only, also after the folds were compacted."""
+    from vantage.streaming import changes as stream
+
+    rng = random.Random(15)
+    state, changes = random_case(rng, n_changes=300)
+    sdf = spark.createDataFrame([(k, v["name"], v["score"]) for k, v in state.items()], STATE_SCHEMA)
+    for n, part in enumerate((changes[150:], changes[:150])):
+        cdf = spark.createDataFrame(part, CHANGE_SCHEMA)
+        cdf.coalesce(1).write.mode("append").parquet(str(tmp_path / "src"))
+        stream.start_change_stream(spark, str(tmp_path / "src"), cdf.schema, stream.fields_of(sdf),
+                                   str(tmp_path / "fold"), str(tmp_path / "ckpt")).awaitTermination()
+        if n == 0:
+            stream.compact_folds(spark, str(tmp_path / "fold"))
+            assert [p.name for p in (tmp_path / "fold").iterdir() if p.name.startswith("batch=")] == ["batch=-1"]
+    got = {r.key: (r.name, r.score) for r in stream.current_records(spark, sdf, str(tmp_path / "fold")).collect()}
+    expected, _ = replay(state, changes)
+    assert got == {k: (v["name"], v["score"]) for k, v in expected.items()}
+    assert stream.current_records(spark, sdf, str(tmp_path / "nothing")).count() == sdf.count()
+
+
 def test_hot_key_fold_across_many_buckets(spark):
     """One key carries most changes (spread over many seq buckets); result equals the replay."""
     rng = random.Random(9)

@@ -2,5 +2,5 @@
 
 The specification format has no streams, windows over time or watermarks; nothing of that kind is
 built. What does arrive continuously is the catalog's change stream, so ``changes`` applies it
-with Structured Streaming: each micro-batch is folded and merged into the accumulated fold.
+as a streaming aggregation: the fold of each key is kept in Spark's state store.
 """
