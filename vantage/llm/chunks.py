@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import os
+import uuid
 from collections.abc import Callable, Iterator
 from urllib.parse import urlsplit
 
@@ -40,25 +41,30 @@ def save_chunk(uri: str, table) -> None:
     import pyarrow.parquet as pq
 
     path = local_path(uri)
-    if path is not None:
+    if path is not None:  # seen whole or not at all, should two attempts of a task write it
         os.makedirs(os.path.dirname(path), exist_ok=True)
-        pq.write_table(table, path, compression="zstd")
+        draft = f"{path}.{uuid.uuid4().hex}.tmp"
+        pq.write_table(table, draft, compression="zstd")
+        os.replace(draft, path)
         return
     store, key = remote(uri)
     store.create_dir(os.path.dirname(key), recursive=True)
     pq.write_table(table, key, compression="zstd", filesystem=store)
 
 
-def load_chunk(uri: str) -> tuple[list[int], list[bytes]]:
-    """Ids and texts (UTF-8) of a chunk in ascending order of id."""
+def open_table(uri: str):
     import pyarrow.parquet as pq
 
     path = local_path(uri)
     if path is not None:
-        table = pq.read_table(path)
-    else:
-        store, key = remote(uri)
-        table = pq.read_table(key, filesystem=store)
+        return pq.read_table(path)
+    store, key = remote(uri)
+    return pq.read_table(key, filesystem=store)
+
+
+def load_chunk(uri: str) -> tuple[list[int], list[bytes]]:
+    """Ids and texts (UTF-8) of a chunk in ascending order of id."""
+    table = open_table(uri)
     return table.column("doc_id").to_pylist(), table.column("text").to_pylist()
 
 
@@ -70,7 +76,6 @@ def write_chunks(docs: DataFrame, name: str, chunk_bytes: int) -> DataFrame:
 
     def cut(batches: Iterator) -> Iterator:
         import hashlib
-        import uuid
 
         import numpy as np
         import pyarrow as pa

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantage.llm.base import delete_path, scratch, ship, slices, written
-from vantage.llm.chunks import by_chunk, dealt, local_path, remote, save_chunk
+from vantage.llm.chunks import by_chunk, dealt, open_table, save_chunk
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _MARK = b"\xff"  # in no UTF-8 text
@@ -33,16 +33,6 @@ def pieces(data: bytes) -> list[bytes]:
     return data.lower().translate(_TABLE).replace(_MARK, b" " + _MARK + b" ").split()  # only spaces and tabs are left
 
 
-def _load(uri: str):
-    import pyarrow.parquet as pq
-
-    path = local_path(uri)
-    if path is not None:
-        return pq.read_table(path)
-    store, key = remote(uri)
-    return pq.read_table(key, filesystem=store)
-
-
 def _save(uri: str, **columns) -> None:
     import pyarrow as pa
 
@@ -50,7 +40,7 @@ def _save(uri: str, **columns) -> None:
 
 
 def _arrays(uri: str, *names: str):
-    table = _load(uri)
+    table = open_table(uri)
     return [table.column(n).combine_chunks().to_numpy(zero_copy_only=False) for n in names]
 
 

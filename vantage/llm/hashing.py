@@ -68,7 +68,8 @@ def window_hashes(words: np.ndarray, size: int, salt: int = 0) -> np.ndarray:
         return np.zeros(0, np.uint64)
     up, down = _powers((0xD1342543DE82EF95 + 2 * salt) & (2**64 - 1) | 1, len(words))
     sums = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(mix(words, salt) * down[:len(words)], out=sums[1:])
+    mixed = mix(np.arange(256, dtype=np.uint64), salt)[words] if words.dtype == np.uint8 else mix(words, salt)
+    np.cumsum(mixed * down[:len(words)], out=sums[1:])
     return mix((sums[size:] - sums[:-size]) * up[:n], salt)
 
 

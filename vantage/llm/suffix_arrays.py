@@ -6,11 +6,11 @@ import numpy as np
 
 
 def step_of(size: int) -> int:
-    """Bytes that one round compares: the largest divisor of ``size`` from 16 to 32."""
-    for step in range(32, 15, -1):
+    """Bytes that one round compares: the largest divisor of ``size`` from 16 to 64."""
+    for step in range(64, 15, -1):
         if size % step == 0:
             return step
-    raise ValueError("size must have a divisor from 16 to 32")
+    raise ValueError("size must have a divisor from 16 to 64")
 
 
 def stable_order(symbols: np.ndarray) -> np.ndarray:
@@ -28,7 +28,10 @@ def dense(keys: np.ndarray) -> np.ndarray:
     order = np.argsort(keys)
     own = keys[order]
     out = np.empty(len(keys), np.int64)
-    out[order] = np.concatenate(([0], np.cumsum(own[1:] != own[:-1]))) if len(keys) else own
+    if len(keys):
+        new = np.zeros(len(keys), np.int32)
+        np.cumsum(own[1:] != own[:-1], out=new[1:])
+        out[order] = new
     return out
 
 
@@ -49,10 +52,11 @@ def gram_ranks(data: np.ndarray, left: np.ndarray, step: int) -> np.ndarray:
     short = np.flatnonzero(left < 8)
     gone = (8 * (8 - left[short])).astype(np.uint64)
     key[short] = (key[short] >> gone) << gone
-    rank = dense(key)
-    for by in (8, step - 16):
-        if by:
-            rank = dense(rank * (len(rank) + 1) + ahead(rank, left, by))
+    rank, depth = dense(key), 8
+    while depth < step:
+        by = min(depth, step - depth)
+        rank = dense(rank * (len(rank) + 1) + ahead(rank, left, by))
+        depth += by
     return rank
 
 
@@ -88,24 +92,25 @@ def merged_classes(shards: list[np.ndarray], size: int) -> np.ndarray:
     start = np.repeat(np.cumsum(sizes) - sizes, sizes)
     at = np.arange(total)
     left = np.repeat(np.cumsum(sizes), sizes) - at
-    grams = gram_ranks(np.concatenate(closed), left, step)
+    grams = gram_ranks(np.concatenate(closed), left, step).astype(np.int32)
     suffix = np.empty(total, np.int64)  # shard by shard, in suffix order: the suffix's position
     for a, n in zip((np.cumsum(sizes) - sizes).tolist(), sizes.tolist()):
-        suffix[a:a + n] = a + stable_order(suffix_ranks(grams[a:a + n], step, size))
+        suffix[a:a + n] = a + stable_order(suffix_ranks(grams[a:a + n].astype(np.int64), step, size))
     before = np.where(suffix - start >= step, grams[np.maximum(suffix - step, 0)], -1)
     tails = suffix[left[suffix] <= step]  # no suffix stands ``step`` bytes after these
-    interleave, block = shard.copy(), np.zeros(total, np.int64)
+    interleave, block = shard.copy(), np.zeros(total, np.int32)
     for _ in range(size // step):
         place = np.argsort(interleave, kind="stable")
-        symbol = np.empty(total, np.int64)
+        symbol = np.empty(total, np.int32)
         symbol[place] = before
         has = np.flatnonzero(symbol >= 0)
         symbol = np.concatenate((grams[tails], symbol[has]))
         order = stable_order(symbol)
         symbol = symbol[order]
-        source = np.concatenate((np.full(len(tails), -1), block[has]))[order]
+        source = np.concatenate((np.full(len(tails), -1, np.int32), block[has]))[order]
         interleave = np.concatenate((shard[tails], interleave[has]))[order]
-        block = np.concatenate(([0], np.cumsum((symbol[1:] != symbol[:-1]) | (source[1:] != source[:-1]))))
+        block = np.zeros(total, np.int32)
+        np.cumsum((symbol[1:] != symbol[:-1]) | (source[1:] != source[:-1]), out=block[1:])
     out = np.empty(total, np.int64)
     out[suffix] = block[np.argsort(interleave, kind="stable")]
     return out[left > 1]

@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 
 from vantage.llm.base import delete_path, scratch, written
 from vantage.llm.chunks import (_LAST, bucket_bits, by_chunk, count_chunks, dealt, load_chunk, path_of, received,
-                                write_chunks)
+                                open_table, save_chunk, write_chunks)
 
 _GRAM, _INNER = 24, 50
 _HOT = 200
+_KEPT = {"runs": "<u4", "place": "<i4", "hashes": "<u8", "copies": "<u1"}  # a chunk's anchors between two passes
 
 
 def _sliding(values, width: int, pick):
@@ -82,7 +83,8 @@ def _without_copies(manifest: DataFrame, size: int) -> DataFrame:
 class _Chunk:
     """The bytes of a chunk's documents and the anchors of every ``_INNER`` bytes."""
 
-    def __init__(self, address: str):
+    def __init__(self, address: str, known: str | None = None):
+        """``known``: the file an earlier pass has kept the anchors in."""
         import numpy as np
 
         from vantage.llm.hashing import window_hashes
@@ -93,30 +95,45 @@ class _Chunk:
         self.data = np.frombuffer(b"".join(texts), np.uint8)
         n = len(self.data)
         self.left = np.repeat(self.ends, self.lens) - np.arange(n)  # bytes up to the end of the document
-        self.anchor = np.zeros(0, np.uint64)
-        self.hashes, self.copies = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        # per run of equal anchors its length and its anchor's place among the hashes: places are in hash order
+        self.runs, self.place = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.hashes, self.copies = np.zeros(0, np.uint64), np.zeros(0, np.uint8)
         if n < _INNER:
             return
-        grams = window_hashes(self.data.astype(np.uint64), _GRAM)
+        if known:
+            table = open_table(known)
+            self.runs, self.place, self.hashes, self.copies = (
+                np.frombuffer(table.column(c)[0].as_py(), d) for c, d in _KEPT.items())
+            return
+        grams = window_hashes(self.data, _GRAM)
         width = _INNER - _GRAM + 1
-        self.anchor = _sliding(grams, width, np.minimum)
-        own = np.where(self.left[:len(self.anchor)] >= _INNER, self.anchor, np.uint64(0))  # 0: crosses documents
+        anchor = _sliding(grams, width, np.minimum)
+        own = np.where(self.left[:len(anchor)] >= _INNER, anchor, np.uint64(0))  # 0: crosses documents
         spread = np.concatenate((np.zeros(width - 1, np.uint64), own, np.zeros(width - 1, np.uint64)))
         taken = grams[_sliding(spread, width, np.maximum) == grams]
         # as anchors are small hashes, they are mixed again before buckets are read from their top bits
-        self.hashes, self.copies = np.unique(_again(taken), return_counts=True)
+        self.hashes, copies = np.unique(_again(taken), return_counts=True)
+        self.copies = np.minimum(copies, 2).astype(np.uint8)
+        if not len(self.hashes):  # no text is long enough
+            return
+        cuts = np.concatenate(([0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1))
+        self.runs = np.diff(np.append(cuts, len(anchor)))
+        # the place of an anchor that crosses documents is any; no string looks there
+        self.place = np.minimum(np.searchsorted(self.hashes, _again(anchor[cuts])), len(self.hashes) - 1).astype(np.int32)
+
+    def keep(self, uri: str) -> None:
+        """Keeps the anchors, run by run, for the next pass."""
+        import pyarrow as pa
+
+        columns = {"runs": self.runs, "place": self.place, "hashes": self.hashes, "copies": self.copies}
+        save_chunk(uri, pa.table({k: pa.array([v.astype(_KEPT[k]).tobytes()], pa.large_binary()) for k, v in columns.items()}))
 
     def looked_up(self, codes):
         """For each position: in how many chunks its anchor stands, and whether it repeats at all."""
         import numpy as np
 
-        if not len(self.hashes):  # no text is long enough
-            return np.zeros(len(self.anchor), np.uint8), np.zeros(len(self.anchor), bool)
-        cuts = np.concatenate(([0], np.flatnonzero(self.anchor[1:] != self.anchor[:-1]) + 1))
-        place = np.minimum(np.searchsorted(self.hashes, _again(self.anchor[cuts])), len(self.hashes) - 1)
-        runs = np.diff(np.append(cuts, len(self.anchor)))
-        held = codes[place]
-        return np.repeat(held, runs), np.repeat((held >= 2) | (self.copies[place] >= 2), runs)
+        held = codes[self.place]
+        return np.repeat(held, self.runs), np.repeat((held >= 2) | (self.copies[self.place] >= 2), self.runs)
 
 
 def _again(hashes):
@@ -129,7 +146,8 @@ def _all_of(flags, width: int):
     """Whether the ``width`` flags from each position on are all set."""
     import numpy as np
 
-    sums = np.concatenate(([0], np.cumsum(~flags)))
+    sums = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(~flags, out=sums[1:])
     return sums[width:] == sums[:-width]
 
 
@@ -152,7 +170,7 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
 
     Earlier is a smaller ``doc_id``, or an earlier start in the same document; strings are judged on
     the input (UTF-8), may overlap, and never cross documents. ``size`` is at least ``_INNER`` and has
-    a divisor from 16 to 32. Returns ``doc_id``, ``kept`` (the remaining bytes, which may end inside
+    a divisor from 16 to 64. Returns ``doc_id``, ``kept`` (the remaining bytes, which may end inside
     a character), ``n_bytes``, ``n_removed`` and ``spans`` (maximal removed runs of byte positions,
     end exclusive); other columns are left out. A null text is empty; an empty or short text keeps
     all. Null ids come after all others, and rows sharing an id follow one another in the order of
@@ -172,8 +190,15 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
     bits = bucket_bits(n_bytes * 2 / (_INNER - _GRAM + 2))
     piece_bits = bucket_bits(n_bytes, 2 << 20)
 
+    folder = scratch(spark, "suffix-answers")
+
+    def kept_anchors(address: str) -> str:
+        return f"{folder}/anchors/{address.rpartition('#')[0].rpartition('/')[2]}"
+
     def anchors(path: str):
-        return _Chunk(path).hashes
+        own = _Chunk(path)
+        own.keep(kept_anchors(path))
+        return own.hashes
 
     def send(table):
         import numpy as np
@@ -182,7 +207,8 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
         from vantage.llm.hashing import window_hashes
         from vantage.llm.suffix_arrays import gram_ranks, suffix_ranks
 
-        own = _Chunk(path_of(table))
+        address = path_of(table)
+        own = _Chunk(address, kept_anchors(address))
         codes = received(table, "count")
         held, repeats = own.looked_up(codes)
         span = size - _INNER + 1
@@ -195,8 +221,8 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
                 cover = np.zeros(len(own.data) + 1, np.int32)
                 cover[open_] += 1
                 cover[open_ + size] -= 1
-                kept = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
-                compact = np.searchsorted(kept, open_)
+                kept = np.cumsum(cover, dtype=np.int32)[:-1] > 0
+                compact = np.cumsum(kept, dtype=np.int32)[open_] - 1
                 text = own.data[kept]
                 grams = gram_ranks(text, np.arange(len(text), 0, -1), step)
                 # each suffix's rank by ``size`` bytes; the smallest position of a rank is its first
@@ -211,12 +237,12 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
         rows = {n: [] for n in ("bucket", "text", "lens", "doc")}
         starts, lens = none, none
         if len(first):
-            least = _sliding(own.anchor, span, np.minimum)[first]
-            hot = codes[np.searchsorted(own.hashes, _again(least))] >= _HOT
-            route = _again(least)
+            least = _sliding(np.repeat(own.place, own.runs), span, np.minimum)[first]  # places are in hash order
+            new = np.concatenate(([True], least[1:] != least[:-1]))
+            hot, route = codes[least] >= _HOT, own.hashes[least]
             if hot.any():
-                route[hot] = window_hashes(own.data.astype(np.uint64), size)[first[hot]]
-            cut = np.concatenate(([True], (first[1:] != first[:-1] + 1) | (least[1:] != least[:-1]) | hot[1:] | hot[:-1]))
+                route[hot] = window_hashes(own.data, size)[first[hot]]
+            cut = np.concatenate(([True], (first[1:] != first[:-1] + 1) | new[1:] | hot[1:] | hot[:-1]))
             run = np.arange(len(first)) - np.maximum.accumulate(np.where(cut, np.arange(len(first)), 0))
             cut |= run % size == 0  # a piece may end anywhere: each string is whole in one
             cuts = np.flatnonzero(cut)
@@ -254,14 +280,28 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
             return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
                              "codes": pa.nulls(table.num_rows, pa.binary()), "state": table.column("state")})
         table = table.take(pa.array(np.argsort(np.array(table.column("chunk").to_pylist()))))
-        texts = [np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("text")]
         lens = [np.frombuffer(x.as_py(), np.int32).astype(np.int64) for x in table.column("lens")]
+        # pieces are cut by their content, so a passage is the same pieces in every chunk: each takes part once
+        known: dict[bytes, int] = {}
+        piece, shards = [], []
+        for text, own in zip(table.column("text"), lens):
+            text, a, new = text.as_py(), 0, []
+            for b in np.cumsum(own).tolist():
+                part, a = text[a:b], b
+                at = known.get(part)
+                if at is None:
+                    at = known[part] = len(known)
+                    new.append(part)
+                piece.append(at)
+            if new:
+                shards.append(np.frombuffer(b"".join(new), np.uint8))
         docs_ = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("doc")])
         strings = np.array([int((x - size + 1).sum()) for x in lens])
-        flat = np.concatenate(lens)
-        count = flat - size + 1
-        at = np.repeat(np.cumsum(flat) - flat - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-        group = merged_classes(texts, size)[at]
+        count = np.concatenate(lens) - size + 1
+        flat = np.fromiter(map(len, known), np.int64, len(known))
+        start = (np.cumsum(flat) - flat)[piece]
+        at = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        group = merged_classes(shards, size)[at]
         # the first of a class has the smallest document, then the smallest place
         doc = np.repeat(np.searchsorted(np.sort(docs_), docs_), count)
         key = doc << 32 | np.arange(len(at))
@@ -309,14 +349,14 @@ def dedup_substrings(docs: DataFrame, size: int = 100, chunk_bytes: int = 4 << 2
                          "kept": pa.array(kept, pa.binary()), "n_bytes": pa.array([len(copies.get(i, t)) for i, t in enumerate(texts)], pa.int64()),
                          "n_removed": pa.array(removed, pa.int64()), "spans": pa.array(spans, kind)})
 
-    folder = scratch(spark, "suffix-answers")
     counted = _kept(count_chunks(manifest, n_chunks, bits, anchors), f"{folder}/count")
     # the exchange between the two steps is the only copy of the pieces' text
     sent = dealt(by_chunk(manifest, {"count": counted}), "chunk", n_chunks).groupBy("chunk").applyInArrow(
         send, "chunk string, bucket int, text binary, lens binary, doc binary, state array<binary>")
     later = _kept(dealt(sent, "bucket", 1 << piece_bits, 2).groupBy("bucket").applyInArrow(
         merge, "chunk string, bucket int, codes binary, state array<binary>"), f"{folder}/later")
-    delete_path(spark, f"{folder}/count")  # read by nothing any more
+    for name in ("count", "anchors"):
+        delete_path(spark, f"{folder}/{name}")  # read by nothing any more
     rows = by_chunk(manifest, {"later": later.where("bucket >= 0")}).withColumn("state", F.lit(None).cast("array<binary>"))
     rows = rows.unionByName(later.where("bucket < 0").select("chunk", "state"), allowMissingColumns=True)
     return dealt(rows, "chunk", n_chunks).groupBy("chunk").applyInArrow(
