@@ -180,8 +180,8 @@ def merge_nested(state: DataFrame, changes: DataFrame, path: str, item_key: list
     ``path`` names the array: a column, or a field of a struct column (``attributes.activityAmendments``).
     ``changes``: the record's key, ``seq``, ``op`` (``set`` or ``remove``) and ``item``, a struct like the array's
     items whose ``item_key`` fields name the item (for ``remove`` only those matter). Of several changes of
-    one item the one with the highest ``seq`` counts. A set replaces the item where it stands, or adds it
-    behind the others in the order of ``seq``; should an array hold a key twice, the first is replaced and
+    one item the one with the highest ``seq`` counts (at ties a set, then the greatest item). A set replaces the item where it stands, or adds it
+    behind the others in the order of ``seq`` (then of their keys); should an array hold a key twice, the first is replaced and
     the others go. Other items keep their place, a NULL array counts as empty. A remove of what is not
     there does nothing. Changes of absent records and unknown operations are rejected.
     Returns ``(new state, rejects)``.

@@ -414,7 +414,8 @@ change AS (
   SELECT 'sol' || s_nationkey AS solution_id, 's' || s_suppkey AS slug,
          CASE WHEN l_linenumber = 1 THEN 'type-' || s_nationkey ELSE 'line-' || l_linenumber END AS data_type,
          CASE WHEN l_linestatus = 'O' THEN 'visitors' ELSE 'staff' END AS person_group, max(l_orderkey * 10 + l_linenumber) AS seq,
-         arg_max(CASE WHEN l_returnflag = 'R' THEN 'remove' ELSE 'set' END, l_orderkey * 10 + l_linenumber) AS op,
+         arg_max(CASE WHEN l_returnflag = 'R' THEN 'remove' ELSE 'set' END,
+                 (l_orderkey * 10 + l_linenumber, CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END)) AS op,
          'order ' || arg_max(l_orderkey, l_orderkey * 10 + l_linenumber) || '/access log' AS rest
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3, 4),
 item AS (
@@ -423,7 +424,7 @@ item AS (
   UNION ALL
   SELECT c.solution_id, c.slug, c.seq, c.data_type || '/' || c.person_group || '/' || c.rest
   FROM change c LEFT JOIN entry e USING (solution_id, slug, data_type, person_group) WHERE c.op = 'set' AND e.status IS NULL),
-joined AS (SELECT solution_id, slug, string_agg(item, ';' ORDER BY pos) AS amendments FROM item GROUP BY 1, 2)
+joined AS (SELECT solution_id, slug, string_agg(item, ';' ORDER BY pos, item) AS amendments FROM item GROUP BY 1, 2)
 SELECT e.solution_id, e.slug, e.status, e.toggleable, e.has_personal, coalesce(j.amendments, '') AS amendments
 FROM entry e LEFT JOIN joined j USING (solution_id, slug)
 """)
