@@ -69,7 +69,7 @@ def _walk_levels(spark: SparkSession, src: DataFrame, first: int = 8, most: int
             walk = walk.select("report_id", below.alias("nodes"), F.concat("ids", ids).alias("ids"))
         walk = walk.select("report_id", F.when(F.size("nodes") > 0, F.col("nodes")).alias("nodes"), F.array_distinct("ids").alias("ids"))
         path = scratch_path(spark, "widgets", uuid.uuid4().hex)
-        walk.where("nodes IS NOT NULL OR size(ids) > 0").write.parquet(path)
+        walk.write.parquet(path)  # unfiltered: a filter would be moved down and repeat the walk at every level
         walk = spark.read.schema(walk.schema).parquet(path)
         done = walk.where("nodes IS NULL").select("report_id", F.explode("ids").alias("insight_id"))
         out = done if out is None else out.unionByName(done)
