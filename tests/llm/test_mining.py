@@ -22,6 +22,7 @@ ODD = [
     (5, "The Same words. again, the same words; the same", "en"), (5, "other row of five", "de"), (None, "the same words", None),
     (None, None, None), (7, "Ünïcode wörter sind wörter\x0bwörter sind", "de"), (8, "colour color colors colorr couleur", "en"),
     (9, "x" * 2000 + " " + "y" * 1999 + " " + "x" * 1999, "en"), (10, "one", "en"), (11, "a  b\tc d e f g", None),
+    (12, "odd lang odd lang odd lang", "x\ty\nz"),
 ]
 
 

@@ -33,6 +33,21 @@ def pieces(data: bytes) -> list[bytes]:
     return data.lower().translate(_TABLE).replace(_MARK, b" " + _MARK + b" ").split()  # only spaces and tabs are left
 
 
+def _packed(values) -> bytes:
+    """An array of integers for the exchange, compressed."""
+    import pyarrow as pa
+
+    return len(values).to_bytes(8, "little") + pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, kind: str):
+    import numpy as np
+    import pyarrow as pa
+
+    size = int.from_bytes(blob[:8], "little") * np.dtype(kind).itemsize
+    return np.frombuffer(pa.decompress(blob[8:], decompressed_size=size, codec="zstd", asbytes=True), kind)
+
+
 def _save(uri: str, **columns) -> None:
     import pyarrow as pa
 
@@ -73,7 +88,7 @@ def shards(docs: DataFrame, folder: str, shard_bytes: int) -> DataFrame:
         def flush():
             chunk = uuid.uuid4().hex
             ids = np.concatenate(tokens)
-            _save(f"{folder}/{chunk}/tokens.parquet", token=ids)
+            _save(f"{folder}/tokens/{chunk}.parquet", token=ids)
             n = np.bincount(ids[ids >= 0], minlength=len(names)).astype("<i8")
             step = 50_000
             starts = range(0, len(names), step)
@@ -125,17 +140,18 @@ def _words(shard_words: DataFrame, least: int, bucket_words: int) -> DataFrame:
 
         for batch in batches:
             for i in range(batch.num_rows):
-                words = batch.column(2)[i].values
+                words = batch.column(2)[i].values.cast(pa.binary()).to_pylist()
                 n, at = np.frombuffer(batch.column(3)[i].as_py(), "<i8"), batch.column(1)[i].as_py()
-                bucket = np.fromiter(map(zlib.crc32, words.cast(pa.binary()).to_pylist()), np.int64, len(words)) % n_buckets
+                bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % n_buckets
                 order = np.argsort(bucket, kind="stable")
                 found, starts = np.unique(bucket[order], return_index=True)
                 ends = np.append(starts[1:], len(order))
+                own = [words[k] for k in order.tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.astype(np.int32)), pa.array([batch.column(0)[i].as_py()] * len(found)),
-                     pa.array([(order[a:b] + at).astype("<i4").tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                     pa.array([n[order[a:b]].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)).astype(np.int32)), words.take(pa.array(order)))],
+                     pa.array([_packed((order[a:b] + at).astype("<i4")) for a, b in zip(starts, ends)], pa.binary()),
+                     pa.array([_packed(n[order[a:b]].astype("<u4")) for a, b in zip(starts, ends)], pa.binary()),
+                     pa.array([_packed(np.frombuffer(_MARK.join(own[a:b]), np.uint8)) for a, b in zip(starts, ends)], pa.binary())],
                     ["bucket", "chunk", "at", "n", "words"])
 
     def unite(table):
@@ -143,10 +159,10 @@ def _words(shard_words: DataFrame, least: int, bucket_words: int) -> DataFrame:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        lists = table.column("words").combine_chunks()
-        held = lists.flatten().dictionary_encode()
+        lists = [_unpacked(x.as_py(), "u1").tobytes().split(_MARK) for x in table.column("words")]
+        held = pa.array([w for own in lists for w in own], pa.binary()).cast(pa.string()).dictionary_encode()
         code, known = held.indices.to_numpy(), held.dictionary
-        n = np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in table.column("n")])
+        n = np.concatenate([_unpacked(x.as_py(), "<u4") for x in table.column("n")])
         sums = np.zeros(len(known), np.int64)
         np.add.at(sums, code, n)
         langs: dict[str, int] = {}
@@ -158,11 +174,11 @@ def _words(shard_words: DataFrame, least: int, bucket_words: int) -> DataFrame:
         number = np.full(len(known), -1, np.int64)
         number[frequent] = np.arange(len(frequent))
         code = number[code]
-        ends = np.cumsum(np.asarray(lists.value_lengths()))
+        ends = np.cumsum([len(own) for own in lists])
         at, codes = [], []
         for a, b, x in zip(np.concatenate(([0], ends[:-1])), ends, table.column("at")):
             own = np.flatnonzero(code[a:b] >= 0)
-            at.append(np.frombuffer(x.as_py(), "<i4")[own].tobytes())
+            at.append(_unpacked(x.as_py(), "<i4")[own].tobytes())
             codes.append(code[a:b][own].astype("<i4").tobytes())
         rows = table.num_rows
         return pa.table({
@@ -174,7 +190,7 @@ def _words(shard_words: DataFrame, least: int, bucket_words: int) -> DataFrame:
             "langs": pa.array([None] * rows + [list(langs)], pa.list_(pa.string())),
             "sums": pa.array([None] * rows + [list(langs.values())], pa.list_(pa.int64()))})
 
-    sent = shard_words.mapInArrow(send, "bucket int, chunk string, at binary, n binary, words array<string>")
+    sent = shard_words.mapInArrow(send, "bucket int, chunk string, at binary, n binary, words binary")
     return written(dealt(sent, "bucket", n_buckets, 1).groupBy("bucket").applyInArrow(
         unite, "bucket int, chunk string, at binary, codes binary, words array<string>, counts array<bigint>, "
                "langs array<string>, sums array<bigint>"), "phrase-words")
@@ -204,8 +220,8 @@ def _next_layer(folder: str, chunk: str, level: int, at, state, word, every: int
 
     near = np.flatnonzero(at[1:] == at[:-1] + 1) if len(at) else np.zeros(0, np.int64)
     arcs, weights, back, which = ct.build(ct.pack(state[near], word[near + 1]), state[near + 1])
-    _save(f"{folder}/{chunk}/grams-{level + 1}.parquet", at=at[near], arc=which.astype(np.int32))
-    _save(f"{folder}/{chunk}/arcs-{level + 1}.parquet", arc=arcs, weight=weights, back=back)
+    _save(f"{folder}/grams-{level + 1}/{chunk}.parquet", at=at[near], arc=which.astype(np.int32))
+    _save(f"{folder}/arcs-{level + 1}/{chunk}.parquet", arc=arcs, weight=weights, back=back)
     return pa.table({"chunk": pa.array([chunk]), "n_arcs": pa.array([len(arcs)], pa.int64()),
                      "sample": pa.array([arcs[every // 2::every]], pa.list_(pa.int64()))})
 
@@ -217,7 +233,7 @@ def _first_layer(united: DataFrame, bases: list[int], folder: str, n_chunks: int
         import numpy as np
 
         chunk = table.column("chunk")[0].as_py()
-        token, = _arrays(f"{folder}/{chunk}/tokens.parquet", "token")
+        token, = _arrays(f"{folder}/tokens/{chunk}.parquet", "token")
         number = np.full(max(int(token.max(initial=-1)) + 2, 1), -1, np.int64)  # the last one is that of -1
         for bucket, at, codes in zip(table.column("bucket").to_pylist(), table.column("at"), table.column("codes")):
             number[np.frombuffer(at.as_py(), "<i4")] = np.frombuffer(codes.as_py(), "<i4") + bases[bucket]
@@ -253,15 +269,19 @@ def _united(layer: DataFrame, folder: str, level: int, least: int, range_arcs: i
 
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
-                arcs, weights, back = _arrays(f"{folder}/{chunk}/arcs-{level}.parquet", "arc", "weight", "back")
+                arcs, weights, back = _arrays(f"{folder}/arcs-{level}/{chunk}.parquet", "arc", "weight", "back")
+                if level == 2:  # the second word's state has its number
+                    back = None
                 cuts = ct.cut(arcs, np.array(bounds, np.int64))
                 full = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
                 for k in range(0, len(full), 64):
                     part = full[k:k + 64]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([i for i, _, _ in part], pa.int32()), pa.array([chunk] * len(part)),
-                         *[pa.array([x[a:b].tobytes() for _, a, b in part], pa.binary())
-                           for x in (arcs, weights.astype("<u4"), back)]],  # a shard has fewer than 2^32 words
+                         pa.array([_packed(np.diff(arcs[a:b], prepend=0)) for _, a, b in part], pa.binary()),
+                         # a shard has fewer than 2^32 words
+                         pa.array([_packed(weights[a:b].astype("<u4")) for _, a, b in part], pa.binary()),
+                         pa.array([None if back is None else _packed(back[a:b]) for _, a, b in part], pa.binary())],
                         ["range", "chunk", "arcs", "weights", "back"])
 
     def unite(table):
@@ -270,8 +290,10 @@ def _united(layer: DataFrame, folder: str, level: int, least: int, range_arcs: i
 
         from vantage.llm import count_transducer as ct
 
-        layers = [(np.frombuffer(a.as_py(), np.int64), np.frombuffer(w.as_py(), "<u4"), np.frombuffer(k.as_py(), np.int64))
-                  for a, w, k in zip(table.column("arcs"), table.column("weights"), table.column("back"))]
+        layers = []
+        for a, w, k in zip(*(table.column(c).to_pylist() for c in ("arcs", "weights", "back"))):
+            arcs = np.cumsum(_unpacked(a, "<i8"))
+            layers.append((arcs, _unpacked(w, "<u4"), ct.word_of(arcs) if k is None else _unpacked(k, "<i8")))
         arcs, weights, back = ct.union(layers, least)
         own = table.column("range")[0].as_py()
         codes = [ct.find(arcs, x[0]).astype(np.int32).tobytes() for x in layers]
@@ -302,8 +324,8 @@ def _grown(manifest: DataFrame, united: DataFrame, bases: list[int], folder: str
         codes = [np.frombuffer(c, np.int32).astype(np.int64) for _, c in own]
         states = [np.where(c >= 0, c + bases[b], -1) for (b, _), c in zip(own, codes)]
         reached = np.concatenate(states) if states else np.zeros(0, np.int64)
-        at, arc = _arrays(f"{folder}/{chunk}/grams-{level}.parquet", "at", "arc")
-        arcs, = _arrays(f"{folder}/{chunk}/arcs-{level}.parquet", "arc")
+        at, arc = _arrays(f"{folder}/grams-{level}/{chunk}.parquet", "at", "arc")
+        arcs, = _arrays(f"{folder}/arcs-{level}/{chunk}.parquet", "arc")
         held = np.flatnonzero(reached[arc] >= 0)
         return _next_layer(folder, chunk, level, at[held], reached[arc[held]], ct.word_of(arcs[arc[held]]), every)
 
@@ -441,6 +463,8 @@ def top_phrases(docs: DataFrame, least: int = 100, longest: int = 5, percent: in
         layers[level] = shorter = written(_counted(_states(united, bases), shorter), "phrase-states")
         if level < longest:
             layer = written(_grown(manifest, united, bases, folder, level, n_chunks, sample_every), "phrase-layer")
+        for name in ("tokens", f"arcs-{level}", f"grams-{level}"):
+            delete_path(spark, f"{folder}/{name}")  # read by nothing any more
     order = [F.desc("score"), F.desc("a")]
     every = None
     for level, own in layers.items():
