@@ -48,15 +48,17 @@ def _unpacked(blob: bytes, kind: str):
     return np.frombuffer(pa.decompress(blob[8:], decompressed_size=size, codec="zstd", asbytes=True), kind)
 
 
-def _save(uri: str, **columns) -> None:
+def _save(uri: str, *arrays) -> None:
+    """Arrays of integers as one file."""
     import pyarrow as pa
 
-    save_chunk(uri, pa.table({k: pa.array(v) for k, v in columns.items()}))
+    save_chunk(uri, pa.table({f"a{i}": pa.array([_packed(x)], pa.large_binary()) for i, x in enumerate(arrays)}))
 
 
-def _arrays(uri: str, *names: str):
+def _arrays(uri: str, *kinds: str):
+    """The first arrays of a file; ``kinds`` are their types."""
     table = open_table(uri)
-    return [table.column(n).combine_chunks().to_numpy(zero_copy_only=False) for n in names]
+    return [_unpacked(table.column(f"a{i}")[0].as_py(), k) for i, k in enumerate(kinds)]
 
 
 def shards(docs: DataFrame, folder: str, shard_bytes: int) -> DataFrame:
@@ -88,7 +90,7 @@ def shards(docs: DataFrame, folder: str, shard_bytes: int) -> DataFrame:
         def flush():
             chunk = uuid.uuid4().hex
             ids = np.concatenate(tokens)
-            _save(f"{folder}/tokens/{chunk}.parquet", token=ids)
+            _save(f"{folder}/tokens/{chunk}.parquet", ids.astype("<i4"))
             n = np.bincount(ids[ids >= 0], minlength=len(names)).astype("<i8")
             step = 50_000
             starts = range(0, len(names), step)
@@ -220,8 +222,10 @@ def _next_layer(folder: str, chunk: str, level: int, at, state, word, every: int
 
     near = np.flatnonzero(at[1:] == at[:-1] + 1) if len(at) else np.zeros(0, np.int64)
     arcs, weights, back, which = ct.build(ct.pack(state[near], word[near + 1]), state[near + 1])
-    _save(f"{folder}/grams-{level + 1}/{chunk}.parquet", at=at[near], arc=which.astype(np.int32))
-    _save(f"{folder}/arcs-{level + 1}/{chunk}.parquet", arc=arcs, weight=weights, back=back)
+    # places and arcs ascend, so their steps are kept; a shard has fewer than 2^32 words
+    _save(f"{folder}/grams-{level + 1}/{chunk}.parquet", np.diff(at[near], prepend=0).astype("<u4"), which.astype("<i4"))
+    _save(f"{folder}/arcs-{level + 1}/{chunk}.parquet", np.diff(arcs, prepend=0).astype("<i8"), weights.astype("<u4"),
+          back[:0] if level == 1 else back)  # a word's state has its number
     return pa.table({"chunk": pa.array([chunk]), "n_arcs": pa.array([len(arcs)], pa.int64()),
                      "sample": pa.array([arcs[every // 2::every]], pa.list_(pa.int64()))})
 
@@ -233,7 +237,7 @@ def _first_layer(united: DataFrame, bases: list[int], folder: str, n_chunks: int
         import numpy as np
 
         chunk = table.column("chunk")[0].as_py()
-        token, = _arrays(f"{folder}/tokens/{chunk}.parquet", "token")
+        token, = _arrays(f"{folder}/tokens/{chunk}.parquet", "<i4")
         number = np.full(max(int(token.max(initial=-1)) + 2, 1), -1, np.int64)  # the last one is that of -1
         for bucket, at, codes in zip(table.column("bucket").to_pylist(), table.column("at"), table.column("codes")):
             number[np.frombuffer(at.as_py(), "<i4")] = np.frombuffer(codes.as_py(), "<i4") + bases[bucket]
@@ -269,9 +273,8 @@ def _united(layer: DataFrame, folder: str, level: int, least: int, range_arcs: i
 
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
-                arcs, weights, back = _arrays(f"{folder}/arcs-{level}/{chunk}.parquet", "arc", "weight", "back")
-                if level == 2:  # the second word's state has its number
-                    back = None
+                steps, weights, back = _arrays(f"{folder}/arcs-{level}/{chunk}.parquet", "<i8", "<u4", "<i8")
+                arcs, back = np.cumsum(steps), back if level > 2 else None
                 cuts = ct.cut(arcs, np.array(bounds, np.int64))
                 full = [(i, a, b) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
                 for k in range(0, len(full), 64):
@@ -279,8 +282,7 @@ def _united(layer: DataFrame, folder: str, level: int, least: int, range_arcs: i
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([i for i, _, _ in part], pa.int32()), pa.array([chunk] * len(part)),
                          pa.array([_packed(np.diff(arcs[a:b], prepend=0)) for _, a, b in part], pa.binary()),
-                         # a shard has fewer than 2^32 words
-                         pa.array([_packed(weights[a:b].astype("<u4")) for _, a, b in part], pa.binary()),
+                         pa.array([_packed(weights[a:b]) for _, a, b in part], pa.binary()),
                          pa.array([None if back is None else _packed(back[a:b]) for _, a, b in part], pa.binary())],
                         ["range", "chunk", "arcs", "weights", "back"])
 
@@ -324,8 +326,9 @@ def _grown(manifest: DataFrame, united: DataFrame, bases: list[int], folder: str
         codes = [np.frombuffer(c, np.int32).astype(np.int64) for _, c in own]
         states = [np.where(c >= 0, c + bases[b], -1) for (b, _), c in zip(own, codes)]
         reached = np.concatenate(states) if states else np.zeros(0, np.int64)
-        at, arc = _arrays(f"{folder}/grams-{level}/{chunk}.parquet", "at", "arc")
-        arcs, = _arrays(f"{folder}/arcs-{level}/{chunk}.parquet", "arc")
+        steps, arc = _arrays(f"{folder}/grams-{level}/{chunk}.parquet", "<u4", "<i4")
+        at = np.cumsum(steps, dtype=np.int64)
+        arcs = np.cumsum(_arrays(f"{folder}/arcs-{level}/{chunk}.parquet", "<i8")[0])
         held = np.flatnonzero(reached[arc] >= 0)
         return _next_layer(folder, chunk, level, at[held], reached[arc[held]], ct.word_of(arcs[arc[held]]), every)
 
@@ -455,6 +458,7 @@ def top_phrases(docs: DataFrame, least: int = 100, longest: int = 5, percent: in
         named.alias("word"), F.col("x.counts").alias("a")), "phrase-frequent")
     shorter = words.select("id", "lang", F.array("a").alias("heads"), F.array("a").alias("tails"))
     layer = written(_first_layer(united, bases, folder, n_chunks, sample_every), "phrase-layer")
+    delete_path(spark, f"{folder}/tokens")
     layers: dict[int, DataFrame] = {}
     for level in range(2, longest + 1):
         united, bases = _united(layer, folder, level, least, range_arcs)
@@ -463,7 +467,7 @@ def top_phrases(docs: DataFrame, least: int = 100, longest: int = 5, percent: in
         layers[level] = shorter = written(_counted(_states(united, bases), shorter), "phrase-states")
         if level < longest:
             layer = written(_grown(manifest, united, bases, folder, level, n_chunks, sample_every), "phrase-layer")
-        for name in ("tokens", f"arcs-{level}", f"grams-{level}"):
+        for name in (f"arcs-{level}", f"grams-{level}"):
             delete_path(spark, f"{folder}/{name}")  # read by nothing any more
     order = [F.desc("score"), F.desc("a")]
     every = None
