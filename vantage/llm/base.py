@@ -98,6 +98,24 @@ def with_classes(rows: DataFrame, classes: DataFrame, key: str, share: int = 100
     return marked.where(F.col("_large").isNotNull()).select(*rows.columns, "_large.*").unionByName(rest.select(*rows.columns, *others))
 
 
+def release() -> None:
+    """In a task: gives memory that this Python worker has freed back to the system.
+
+    Spark keeps a worker for later tasks, and its allocators keep what large arrays and lists leave behind.
+    """
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the session's Python workers, wherever they start.
 

@@ -19,7 +19,7 @@ from urllib.parse import urlsplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.base import scratch, ship
+from vantage.llm.base import release, scratch, ship
 
 _LAST = (1 << 63) - 1  # stands for a null doc_id: such rows come last
 
@@ -178,6 +178,8 @@ def count_chunks(manifest: DataFrame, n_chunks: int, bits: int, hashes: Callable
                          pa.array([row["chunk"]] * len(parts[i:i + 64])),
                          pa.array([low[a:b].tobytes() for _, a, b in parts[i:i + 64]], pa.binary())],
                         ["bucket", "chunk", "low"])
+                del own, low
+        release()
 
     def answer(key, table):
         import numpy as np

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vantage.llm.base import blank, ship
+from vantage.llm.base import blank, release, ship
 
 BUCKETS = 1 << 16
 BINS = 12
@@ -192,6 +192,8 @@ def score(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.3)
             p = 1 / (1 + np.exp(-own.logits(*_flat(texts, cache)).astype(np.float64)))
             yield pa.RecordBatch.from_arrays(part.columns + [pa.array(p), pa.array((p >= threshold).astype(np.int32))],
                                              kept + ["score", "predicted"])
+        del own, cache
+        release()
 
     return source.mapInArrow(apply, StructType(source.schema.fields + StructType.fromDDL("score double, predicted int").fields))
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vantage.llm.base import ship
+from vantage.llm.base import release, ship
 
 MARK = "▁"
 # Fixed values of the model format: piece types and model types.
@@ -271,6 +271,7 @@ def encode_documents(docs: DataFrame, model_path: str, threads: int = 2, verify:
             if with_ids:
                 columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))))
             yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(kept))] + columns, kept + made)
+        release()
 
     ship(docs.sparkSession)
     source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text"))
