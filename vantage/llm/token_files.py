@@ -55,6 +55,9 @@ def _mapped(uri: str, dtype: str):
         return np.frombuffer(file.read_buffer(), dtype)
 
 
+_BETWEEN = "\0"  # stands between words while their pieces are cut
+
+
 class WordEncoder:
     """Encodes distinct words for a tokenizer that drops white space and splits words by a pattern.
 
@@ -70,6 +73,8 @@ class WordEncoder:
         import regex
         from tokenizers import Tokenizer
 
+        from vantage.llm.unit_cache import UnitCache
+
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -81,44 +86,62 @@ class WordEncoder:
         self.beyond = re.compile("[^\x00-\u024f]").search  # a character beyond Latin
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
-        self.pieces: dict[str, list[int]] = {}
-        self.limit = limit
+        if self.pattern and self.pattern.findall(f"a {_BETWEEN} b") != ["a", _BETWEEN, "b"]:
+            self.pattern = None
+        self.cache = UnitCache(self._pieces, limit)
 
     def _alone(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _pieces(self, pieces: list[str]) -> list[list[int]]:
+        """The ids of distinct pieces; the mark between words has none."""
+        out: list[list[int]] = []
         for a in range(0, len(pieces), 500):
-            part = pieces[a:a + 500]
+            part = [p for p in pieces[a:a + 500] if p != _BETWEEN]
             found, own = [], []
             for i in self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids:
                 own.append(i)
                 if i in self.last:
                     found.append(own)
                     own = []
-            self.pieces.update(zip(part, found if len(found) == len(part) and not own else self._alone(part)))
+            known = dict(zip(part, found if len(found) == len(part) and not own else self._alone(part)))
+            out += [known.get(p, []) for p in pieces[a:a + 500]]
+        return out
+
+    def __call__(self, words: list[bytes]):
+        import numpy as np
 
-    def __call__(self, words: list[bytes]) -> list[list[int]]:
         texts = [w.decode() for w in words]
         if self.pattern is None:
             return self._alone(texts)
-        cut: list = [None] * len(texts)
+        cut, rest = [""] * len(texts), []
         for i, text in enumerate(texts):
-            if text.isascii():
-                if not ("<" in text and any(x in text for x in self.special)):
-                    cut[i] = self.pattern.findall(text.lower())
+            if _BETWEEN in text or "<" in text and any(x in text for x in self.special):
+                rest.append(i)
+            elif text.isascii():
+                cut[i] = text.lower()
             elif not self.beyond(text):
-                cut[i] = self.pattern.findall(self.normal(text))
-        if len(self.pieces) > self.limit:
-            self.pieces.clear()
-        pieces = self.pieces
-        self._learn(list(set(chain.from_iterable(own for own in cut if own)) - pieces.keys()))
-        out: list = [None if own is None else pieces[own[0]] if len(own) == 1 else
-                     list(chain.from_iterable(map(pieces.__getitem__, own))) for own in cut]
-        rest = [i for i, own in enumerate(cut) if own is None]
-        for i, ids in zip(rest, self._alone([texts[i] for i in rest])):
-            out[i] = ids
-        return out
+                cut[i] = self.normal(text)
+            else:
+                rest.append(i)
+        pieces = self.pattern.findall(f" {_BETWEEN} ".join(cut))
+        ids, lens = self.cache(pieces)
+        ends = np.flatnonzero(lens == 0)  # the marks
+        if len(ends) != len(texts) - 1:  # a piece has no ids, or holds a mark
+            return self._alone(texts)
+        sums = np.concatenate(([0], np.cumsum(lens)))
+        size = np.diff(sums[np.concatenate(([0], ends, [len(lens)]))])
+        if rest:
+            alone = self._alone([texts[i] for i in rest])
+            size[rest] = [len(x) for x in alone]
+            other = np.zeros(len(texts), bool)
+            other[rest] = True
+            other = np.repeat(other, size)
+            out = np.empty(len(other), np.uint32)
+            out[~other] = ids
+            out[other] = np.fromiter(chain.from_iterable(alone), np.uint32, int(other.sum()))
+            ids = out
+        return ids, size
 
 
 _kept: dict[str, tuple] = {}

@@ -12,7 +12,9 @@ import numpy as np
 
 
 class UnitCache:
-    def __init__(self, encode: Callable[[list], list[list[int]]], limit: int = 300_000):
+    """``encode`` gives the ids of new units: a list for each, or one array of all and their lengths."""
+
+    def __init__(self, encode: Callable[[list], list[list[int]] | tuple], limit: int = 300_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
@@ -25,26 +27,35 @@ class UnitCache:
 
     def _add(self, units: list) -> None:
         found = self.encode(units)
-        lens = np.fromiter(map(len, found), np.int64, len(found))
-        k, n, total = len(self.at), len(found), int(lens.sum())
+        if isinstance(found, tuple):
+            ids, lens = found
+        else:
+            lens = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(lens.sum()))
+        k, n, total = len(self.at), len(lens), int(lens.sum())
         while k + n > len(self.starts):
             self.starts, self.lens = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lens, 2 * len(self.lens))
         while self.used + total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        self.flat[self.used:self.used + total] = ids
         self.starts[k:k + n], self.lens[k:k + n] = self.used + np.cumsum(lens) - lens, lens
         self.used += total
         self.at.update(zip(units, range(k, k + n)))
 
     def __call__(self, units: list) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all units one after another, and how many each unit has."""
-        new = set(units) - self.at.keys()
+        small = dict.fromkeys(units)  # each distinct unit is looked up once in the large table
+        found = list(map(self.at.get, small))
+        new = [u for u, i in zip(small, found) if i is None]
         if len(self.at) + len(new) > self.limit and self.at:
             self._clear()
-            new = set(units)
+            new = list(small)
+        base = len(self.at)
         if new:
-            self._add(list(new))
-        which = np.fromiter(map(self.at.__getitem__, units), np.int64, len(units))
+            self._add(new)
+        small.update(zip(small, found))
+        small.update(zip(new, range(base, base + len(new))))
+        which = np.fromiter(map(small.__getitem__, units), np.int64, len(units))
         lens = self.lens[which]
         total = int(lens.sum())
         ends = np.cumsum(lens)
