@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,32 @@ def test_effective_roles_against_python(spark):
     with pytest.raises(ValueError):
         rights.permitted(res, assign, "can_fly")
     assert rights.effective_roles(assign.limit(0), mem, con).where(F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [2, 1024])
+def test_permitted_pairs_come_up_once(spark, block_rows):
+    """Nested groups, cycles, direct and container assignments, repeated and null keys, against a plain statement;
+    the pairs are made last: nothing groups, sorts or joins them."""
+    rng = np.random.default_rng(4)
+    members = [(f"g{a}", f"g{b}") for a, b in rng.integers(0, 8, (9, 2))] + [(f"g{a}", f"u{b}") for a, b in rng.integers(0, (8, 30), (60, 2))]
+    inside = [("c0", "c1"), ("c1", "c0")] + [(f"c{a}", f"r{b}") for a, b in rng.integers(0, (4, 40), (50, 2))]
+    on = [f"r{i}" for i in range(40)] + ["c0", "c1", "c2"]
+    who = [f"g{i}" for i in range(8)] + [f"u{i}" for i in range(30)]
+    roles = ["viewer", "editor", "admin", "other"]
+    assign = [(on[a], who[b], roles[c]) for a, b, c in rng.integers(0, (len(on), len(who), 4), (70, 3))]
+    res = [(f"r{i}", f"name {i}") for i in range(30)] + [("r3", "again"), (None, "none")]
+    make = spark.createDataFrame
+    mem = make(members + [(None, "u1"), ("g1", None)], "group_id string, member_id string")
+    con = make(inside + [(None, "r1"), ("c1", None)], "container_id string, id string")
+    asg = make(assign + assign[:5] + [(None, "u1", "admin"), ("r1", None, "admin")], "resource_id string, principal_id string, role string")
+    around, groups = plain_closure(inside), plain_closure(members)
+    held = {(r, p) for r, p, role in assign if role in ("editor", "admin")}
+    held |= {(i, p) for r, p in held for c, i in around if c == r}
+    held |= {(r, m) for r, p in held for g, m in groups if g == p}
+    want = sorted((p, r, name) for r, name in res for own, p in held if own == r)
+    out = rights.permitted(make(res, "id string, name string"), asg, "can_edit", mem, con, block_rows=block_rows, pairs_per_task=50)
+    assert sorted(map(tuple, out.collect())) == want
+    top = out._jdf.queryExecution().optimizedPlan().toString().split("Generate explode(ids")[0]
+    assert "Join" not in top and "Aggregate" not in top
+    some = rights.permitted(make(res, "id string, name string"), asg, "can_edit", mem, con, make([("u3",), ("g2",)], "principal_id string"))
+    assert sorted(map(tuple, some.collect())) == [r for r in want if r[0] in ("u3", "g2")]
