@@ -261,3 +261,13 @@ def test_mining_queries(spark):
     got = QUERIES["op12_simhash_dedup"](spark, SF_SMALL).collect()
     assert sorted(tuple(r) for r in got) == sorted((d, f"{v:016x}", c) for (d, v), c in zip(prints, comps))
     assert {tuple(r) for r in QUERIES["op13_spelling_variants"](spark, SF_SMALL).collect()} == brute_variants(rows, 3)
+
+
+def test_acceptor_holds_no_replaced_states():
+    """States that were replaced by registered ones are used again: as many are held as the minimal acceptor has, and a path."""
+    from vantage.llm.word_automata import Acceptor
+
+    words = sorted({f"{a:03d}ending" for a in range(1000)})
+    acceptor = Acceptor(words)
+    assert len(acceptor.arcs) <= 1 + 3 + 2 * 9
+    assert sum(1 for _ in acceptor.one_edit_pairs()) == 1000 * 27 // 2

@@ -19,10 +19,11 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.base import ship, written
+from vantage.llm.base import release, ship, written
 
 _FLUSH = 400_000  # distinct words a task counts before it sends them on
 _SLICE = 1 << 22
+_PAIRS = 20_000  # pairs a task holds before it sends them on
 
 
 def doc_words(doc_id: int | None, text: str, typo_every: int = 97, least: int = 5) -> dict[str, int]:
@@ -67,6 +68,8 @@ def vocabulary(docs: DataFrame, least_length: int = 5, least_count: int = 3) ->
                     held = {}
         if held:
             yield flush()
+        held.clear()
+        release()
 
     counted = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_count)
@@ -143,17 +146,24 @@ def near_pairs(words: DataFrame, least_length: int = 5, max_words: int = 50_000,
             for own, middle, n in zip(zip(*columns[:5]), columns[5], columns[6]):
                 if own != key:
                     if len(middles) > 1:
-                        found += pairs_of(key, middles, ns)
-                        if len(found) >= 50_000:
-                            yield flush()
-                            found = []
+                        for pair in pairs_of(key, middles, ns):
+                            found.append(pair)
+                            if len(found) >= _PAIRS:
+                                yield flush()
+                                found = []
                     key, middles, ns = own, [], []
                 middles.append(middle)
                 ns.append(n)
         if len(middles) > 1:
-            found += pairs_of(key, middles, ns)
+            for pair in pairs_of(key, middles, ns):
+                found.append(pair)
+                if len(found) >= _PAIRS:
+                    yield flush()
+                    found = []
         if found:
             yield flush()
+        del found, middles, ns
+        release()
 
     dealt = parts.select(*_KEY, "open", "n").repartition(tasks, *_KEY).sortWithinPartitions(*_KEY, "open")
     return dealt.mapInArrow(compose, "word string, n long, near string, near_n long")

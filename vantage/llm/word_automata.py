@@ -9,7 +9,8 @@ class Acceptor:
     """The minimal deterministic acyclic acceptor of distinct words given in ascending order.
 
     Built word by word: once the next word leaves a path, the states behind it cannot change any more
-    and are replaced by registered ones with the same final mark and arcs.
+    and are replaced by registered ones with the same final mark and arcs; their numbers are used again, so
+    memory is that of the minimal acceptor.
     """
 
     def __init__(self, words: list[str]):
@@ -18,6 +19,7 @@ class Acceptor:
         register: dict = {}
         path: list[tuple[int, str, int]] = []  # (from, label, to) along the last word
         last = ""
+        free: list[int] = []  # replaced states
 
         def settle(depth: int) -> None:
             while len(path) > depth:
@@ -26,6 +28,8 @@ class Acceptor:
                 known = register.setdefault(key, end)
                 if known != end:
                     self.arcs[start][label] = known
+                    self.arcs[end] = {}
+                    free.append(end)
         for word in words:
             depth = 0
             for x, y in zip(word, last):
@@ -35,11 +39,16 @@ class Acceptor:
             settle(depth)
             state = path[-1][2] if path else 0
             for label in word[depth:]:
-                self.arcs.append({})
-                self.final.append(False)
-                self.arcs[state][label] = len(self.arcs) - 1
-                path.append((state, label, len(self.arcs) - 1))
-                state = len(self.arcs) - 1
+                if free:
+                    new = free.pop()
+                    self.final[new] = False
+                else:
+                    new = len(self.arcs)
+                    self.arcs.append({})
+                    self.final.append(False)
+                self.arcs[state][label] = new
+                path.append((state, label, new))
+                state = new
             self.final[state] = True
             last = word
         settle(0)
