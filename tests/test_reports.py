@@ -148,3 +148,18 @@ def test_table_sections_concatenate_to_the_block(spark):
         for t, block in blocks.items():
             mine = ",".join(p.rows for p in sorted((p for p in parts if p.table_id == t), key=lambda p: p.section))
             assert block == f'{{"type":"table","id":"t{t}","children":[{mine}]}}'
+
+
+def test_reference_diff_exchanges_each_list_once(spark):
+    """Repeated rows, null keys (which meet nothing) and reports out of scope, with two exchanges and no full join."""
+    keys = "report_id string, insight_id string"
+    current = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "y"), ("a", None), (None, "x"), ("b", "x"), ("c", "z")], keys)
+    new = spark.createDataFrame([("a", "y"), ("a", "z"), ("a", "z"), ("a", None), (None, "x"), ("c", "w")], keys)
+    scope = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "report_id string")
+    change = [("a", None, "add"), ("a", None, "remove"), ("a", "x", "remove"), ("a", "z", "add")]
+    out = rep.reference_diff(current, new, scope)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(change + [("b", "x", "remove")], key=str)
+    assert "FullOuter" not in out._jdf.queryExecution().optimizedPlan().toString()
+    out = rep.reference_diff(current, new)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        change + [(None, "x", "add"), ("c", "w", "add"), ("c", "z", "remove")], key=str)

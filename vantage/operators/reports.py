@@ -84,19 +84,19 @@ def reference_diff(current: DataFrame, new: DataFrame, updated_reports: DataFram
     (referenced, no longer in the structure). Only reports whose structure was supplied are
     diffed (``updated_reports``: report ids; default: the reports present in ``new``).
 
-    One full outer join on (report, insight): each input is computed once and shuffled once.
+    Both lists are exchanged once, by report, and grouped there. A row with a NULL key meets none of the other list.
     """
     keys = ["report_id", "insight_id"]
     scope = (updated_reports if updated_reports is not None else new).select("report_id").distinct()
-    cur = (current.select(*keys).join(scope, "report_id", "left_semi").distinct()
-           .withColumn("_cur", F.lit(True)))
-    nxt = (new.select(*keys).join(scope, "report_id", "left_semi").distinct()
-           .withColumn("_new", F.lit(True))) if updated_reports is not None else (
-        new.select(*keys).distinct().withColumn("_new", F.lit(True)))
-    both = cur.join(nxt, keys, "full")
-    action = (F.when(F.col("_cur").isNull(), F.lit("add"))
-               .when(F.col("_new").isNull(), F.lit("remove")))
-    return both.select(*keys, action.alias("action")).filter(F.col("action").isNotNull())
+    sides = [side.select(*keys, F.lit(n).alias("_new")) for n, side in enumerate((current, new))]
+    if updated_reports is not None:
+        rows = sides[0].unionByName(sides[1]).join(scope, "report_id", "left_semi")
+    else:
+        rows = sides[0].join(scope, "report_id", "left_semi").unionByName(sides[1])
+    apart = F.when(F.col("report_id").isNull() | F.col("insight_id").isNull(), F.col("_new")).alias("_apart")
+    both = rows.groupBy(*keys, apart).agg(F.min("_new").alias("_low"), F.max("_new").alias("_high"))
+    action = F.when(F.col("_low") == 1, F.lit("add")).when(F.col("_high") == 0, F.lit("remove"))
+    return both.where(F.col("_low") == F.col("_high")).select(*keys, action.alias("action"))
 
 
 def metadata_references(reports: DataFrame, id_col: str = "report_id", insights_col: str = "insights") -> DataFrame:
