@@ -271,3 +271,21 @@ def test_acceptor_holds_no_replaced_states():
     acceptor = Acceptor(words)
     assert len(acceptor.arcs) <= 1 + 3 + 2 * 9
     assert sum(1 for _ in acceptor.one_edit_pairs()) == 1000 * 27 // 2
+
+
+def test_units_reach_the_libraries_a_bounded_number_at_a_time(monkeypatch):
+    import public_tokenizers
+
+    from vantage.llm import sentencepiece_bpe
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = [" ".join(f"word{i} zahl{i * 7}" for i in range(a, a + 40)) for a in range(0, 4000, 40)]
+    seen = []
+    plain = sentencepiece_bpe.Codec._encode_some
+    monkeypatch.setattr(sentencepiece_bpe.Codec, "_encode_some", lambda self, units: seen.append(len(units)) or plain(self, units))
+    ids, counts, agreed = sentencepiece_bpe.Codec(path).encode(texts)
+    assert len(seen) > 1 and max(seen) <= 2048 and agreed.all()
+    import sentencepiece
+
+    judge = sentencepiece.SentencePieceProcessor(model_file=path)
+    assert ids.tolist() == [i for own in judge.encode(texts) for i in own] and len(counts) == len(texts)

@@ -26,6 +26,9 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
+_AT_ONCE = 2048  # units given to the libraries at once
+_SLICE = 1 << 19  # bytes of text encoded at once
+
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
     """(field number, value) of one protobuf message; nested messages stay bytes."""
@@ -161,6 +164,10 @@ class Codec:
         self.piece_starts = np.cumsum(self.piece_lens) - self.piece_lens
 
     def _encode(self, units: list[str]) -> list[list[int]]:
+        """The ids of distinct units, ``_AT_ONCE`` at a time: what the libraries return is many times the ids' size."""
+        return [ids for a in range(0, len(units), _AT_ONCE) for ids in self._encode_some(units[a:a + _AT_ONCE])]
+
+    def _encode_some(self, units: list[str]) -> list[list[int]]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
         if self.judge is not None and self.plain:
             # the library adds one mark in front itself, but none to a text without any other character
@@ -260,7 +267,7 @@ def encode_documents(docs: DataFrame, model_path: str, threads: int = 2, verify:
         from vantage.llm.unit_cache import text_slices
 
         codec = worker_codec(model_path, threads, verify)
-        for part in text_slices(batches, "text", 2 << 20):
+        for part in text_slices(batches, "text", _SLICE):
             texts = [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()]
             ids, counts, agreed = codec.encode(texts)
             ends = np.concatenate(([0], np.cumsum(counts)))
