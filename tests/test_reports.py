@@ -50,6 +50,22 @@ def test_widget_extraction_equals_walk(spark, method):
     assert got == expected
 
 
+def test_widget_walk_takes_two_levels_at_a_time(spark, monkeypatch):
+    """Widgets on odd and even levels, in arrays of arrays; ten levels are one job's work and one written table."""
+    def widget(iid, **more):
+        return {"type": "widget", "widgetData": {"insightId": iid}, **more}
+    doc = {"a": [[widget("w3", x={"y": [widget("w6", z=[{"end": ""}])]})], widget("w2"), [[widget("w4")], 5, None, "s"]],
+           "b": widget("w1", type2={"type": "widget"}), "c": {"type": "p", "widgetData": {"insightId": "no"}},
+           "d": {"type": "widget", "widgetData": ["no"]}, "e": {"type": "widget", "widgetData": {"insightId": ""}}}
+    docs = [("r", json.dumps(doc)), ("r", json.dumps([[widget("w3"), widget("top")], widget("w3")])), (None, json.dumps(widget("w0")))]
+    paths = []
+    monkeypatch.setattr(rep, "scratch_path", lambda *a, real=rep.scratch_path: paths.append(real(*a)) or paths[-1])
+    got = rep.extract_widgets(spark, spark.createDataFrame(docs, "report_id string, structure string"), method="sql").collect()
+    expected = [(rid, iid) for rid, text in docs for iid in walk(json.loads(text), set())]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+    assert len(paths) == 1
+
+
 def test_widget_ids_deep_document():
     doc = {"type": "widget", "widgetData": {"insightId": "top"}}
     for _ in range(3000):       # deeper than Python's recursion limit

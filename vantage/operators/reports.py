@@ -41,30 +41,43 @@ def extract_widgets(spark: SparkSession, reports: DataFrame, id_col: str = "repo
     raise ValueError(f"unknown method {method!r}")
 
 
+# what the walk asks of an object; a widget without an object as ``widgetData`` has no insight id
+_WIDGET = "struct<type string, widgetData struct<insightId string>>"
+
+
+def _inside(nodes: Column, kind: str) -> Column:
+    """The members of objects and elements of arrays among ``nodes`` that can be read as ``kind``."""
+    found = F.flatten(F.filter(F.transform(nodes, lambda v: F.coalesce(
+        F.map_values(F.try_variant_get(v, "$", f"map<string,{kind}>")), F.try_variant_get(v, "$", f"array<{kind}>"))),
+        lambda x: x.isNotNull()))
+    return F.filter(found, lambda x: x.isNotNull())
+
+
 def _level(frontier: Column) -> tuple[Column, Column]:
-    """The insight ids of the widgets among an array of nodes, and the nodes one level below."""
-    widgets = F.filter(frontier, lambda v: (F.try_variant_get(v, "$.type", "string") == "widget")
-                       & F.try_variant_get(v, "$.widgetData", "variant").isNotNull())
-    ids = F.filter(F.transform(widgets, lambda v: F.try_variant_get(v, "$.widgetData.insightId", "string")),
-                   lambda x: x != "")
-    none = F.array().cast("array<variant>")
-    below = F.transform(frontier, lambda v: F.coalesce(
-        F.try_variant_get(v, "$", "array<variant>"), F.map_values(F.try_variant_get(v, "$", "map<string,variant>")), none))
-    return ids, F.flatten(below)
+    """The insight ids of the widgets among an array of nodes and one level below, and the nodes two levels below.
+
+    Reading a node as a variant copies all below it, so the level between is read as plain maps and arrays.
+    """
+    objects = _inside(frontier, "map<string,variant>")
+    own = F.transform(frontier, lambda v: F.try_variant_get(v, "$", _WIDGET))
+    below = F.transform(F.filter(objects, lambda m: F.try_variant_get(m["type"], "$", "string") == "widget"),
+                        lambda m: F.try_variant_get(m["widgetData"], "$.insightId", "string"))
+    ids = F.concat(F.filter(own, lambda x: x["type"] == "widget")["widgetData"]["insightId"], below)
+    return F.filter(ids, lambda x: x != ""), F.flatten(F.concat(F.transform(objects, F.map_values), _inside(frontier, "array<variant>")))
 
 
-def _walk_levels(spark: SparkSession, src: DataFrame, first: int = 8, most: int = 32) -> DataFrame:
-    """Widget ids by a walk inside each row: an array of the nodes of one level, replaced by their children.
+def _walk_levels(spark: SparkSession, src: DataFrame, first: int = 5, most: int = 16) -> DataFrame:
+    """Widget ids by a walk inside each row: an array of the nodes of one level, replaced by those two levels below.
 
-    A job goes ``first`` levels down (twice as many in each later one, up to ``most``); only documents that are still
+    A job takes ``first`` such steps (twice as many in each later one, up to ``most``); only documents that are still
     open then are written to the shared folder and taken further. So a document is parsed once, nothing is
     exploded or shuffled, and a few very deep documents cost further jobs over themselves only.
     """
     empty = F.array().cast("array<string>")
     walk = src.select("report_id", F.array(F.try_parse_json("structure")).alias("nodes"), empty.alias("ids")).where("structure IS NOT NULL")
-    out, levels = None, first
+    out, steps = None, first
     while True:
-        for _ in range(levels):
+        for _ in range(steps):
             ids, below = _level(F.col("nodes"))
             walk = walk.select("report_id", below.alias("nodes"), F.concat("ids", ids).alias("ids"))
         walk = walk.select("report_id", F.when(F.size("nodes") > 0, F.col("nodes")).alias("nodes"), F.array_distinct("ids").alias("ids"))
@@ -76,7 +89,7 @@ def _walk_levels(spark: SparkSession, src: DataFrame, first: int = 8, most: int
         walk = walk.where("nodes IS NOT NULL")
         if walk.isEmpty():
             return out
-        levels = min(2 * levels, most)
+        steps = min(2 * steps, most)
 
 
 def reference_diff(current: DataFrame, new: DataFrame, updated_reports: DataFrame | None = None) -> DataFrame:
