@@ -217,6 +217,26 @@ def test_token_files(spark, docs, empty):
     assert token_files.read_token_files(spark, out).count() == 0
 
 
+def test_word_encoder_letters_are_not_cut():
+    """Words of letters alone go to the model as they are; ids equal the tokenizer's, also when the cache is emptied."""
+    import regex
+    from tokenizers import Tokenizer
+
+    from vantage.llm.unit_cache import UnitCache
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, encoder = Tokenizer.from_file(path), token_files.WordEncoder(path, limit=5)
+    cut = []
+    encoder.pattern = type("Pattern", (), {"findall": lambda self, text, real=encoder.pattern: cut.append(text) or real.findall(text)})()
+    letters = ["Ünïque", "word", "WORD", "e\u0301te\u0301", "\u0130stanbul", "\u00e9", "\u01c5", "\u65e5\u672c", "a" * 300]
+    others = ["it's", "'ll", "we've,", "x1y22", "don't!!", "\u00bd", "a\u00a0b", "<|endoftext|>", "\u00ab\u00e7a\u00bb", "a\0b", "$$$"]
+    for words in (letters, others, letters + others, others[::-1] + letters, []):
+        ids, lens = UnitCache(encoder, 7)([w.encode() for w in words])
+        expected = [tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+        assert (ids.tolist(), lens.tolist()) == ([i for x in expected for i in x], [len(x) for x in expected])
+    assert not any(regex.search(r"(?<!\S)(word|ünïque)(?!\S)", text) for text in cut)
+
+
 def test_sentencepiece(docs, empty):
     import sentencepiece
 

@@ -61,17 +61,19 @@ _BETWEEN = "\0"  # stands between words while their pieces are cut
 class WordEncoder:
     """Encodes distinct words for a tokenizer that drops white space and splits words by a pattern.
 
-    A new word is cut into the tokenizer's own pieces, and distinct pieces are encoded many at a
-    time: the word-end suffix of the vocabulary tells where each piece's ids end. Words with
-    characters beyond Latin, and tokenizers without such a pattern or suffix, are encoded word by word.
+    A new word is cut into the tokenizer's own pieces (one of letters alone is a piece), and distinct
+    pieces are encoded many at a time by the same model, without normalizing and cutting them again: the
+    word-end suffix of the vocabulary tells where each piece's ids end. Words with characters beyond
+    Latin, and tokenizers without such a pattern or suffix, are encoded word by word.
     """
 
     def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
         import json
 
+        import numpy as np
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         from vantage.llm.unit_cache import UnitCache
 
@@ -82,31 +84,44 @@ class WordEncoder:
         pattern = steps[0].get("pattern", {}).get("Regex") if steps[0].get("invert") else None
         suffix = spec["model"].get("end_of_word_suffix")
         self.pattern = regex.compile(pattern) if pattern and suffix else None
-        self.last = {i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         self.beyond = re.compile("[^\x00-\u024f]").search  # a character beyond Latin
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
         if self.pattern and self.pattern.findall(f"a {_BETWEEN} b") != ["a", _BETWEEN, "b"]:
             self.pattern = None
+        letters = "".join(c for c in map(chr, range(0x250)) if c.isalpha())
+        self.run = bool(self.pattern) and self.pattern.findall(letters) == [letters]  # letters stay together
+        if self.pattern:
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.CharDelimiterSplit(" "), *[self.tokenizer.pre_tokenizer[i] for i in range(1, len(steps))]])
         self.cache = UnitCache(self._pieces, limit)
 
     def _alone(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, pieces: list[str]) -> list[list[int]]:
-        """The ids of distinct pieces; the mark between words has none."""
-        out: list[list[int]] = []
+    def _pieces(self, pieces: list[str]):
+        """The ids of distinct pieces and how many each has; the mark between words has none."""
+        import numpy as np
+
+        ids, lens = [np.zeros(0, np.uint32)], []
         for a in range(0, len(pieces), 500):
             part = [p for p in pieces[a:a + 500] if p != _BETWEEN]
-            found, own = [], []
-            for i in self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids:
-                own.append(i)
-                if i in self.last:
-                    found.append(own)
-                    own = []
-            known = dict(zip(part, found if len(found) == len(part) and not own else self._alone(part)))
-            out += [known.get(p, []) for p in pieces[a:a + 500]]
-        return out
+            own = np.array(self.model.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.last[own]) + 1
+            if len(ends) == len(part) and (not len(part) or ends[-1] == len(own)):
+                size = np.diff(ends, prepend=0)
+            else:
+                alone = self._alone(part)
+                own, size = np.fromiter(chain.from_iterable(alone), np.uint32), np.array([len(x) for x in alone], np.int64)
+            if len(part) < len(pieces[a:a + 500]):
+                size = np.insert(size, pieces.index(_BETWEEN, a) - a, 0)
+            ids.append(own)
+            lens.append(size)
+        return np.concatenate(ids), np.concatenate(lens)
 
     def __call__(self, words: list[bytes]):
         import numpy as np
@@ -114,34 +129,40 @@ class WordEncoder:
         texts = [w.decode() for w in words]
         if self.pattern is None:
             return self._alone(texts)
-        cut, rest = [""] * len(texts), []
+        runs, cut, rest = ([], []), ([], []), ([], [])  # positions and texts: of letters alone, to cut, others
         for i, text in enumerate(texts):
             if _BETWEEN in text or "<" in text and any(x in text for x in self.special):
-                rest.append(i)
+                kind = rest
             elif text.isascii():
-                cut[i] = text.lower()
+                text = text.lower()
+                kind = runs if self.run and text.isalpha() else cut
             elif not self.beyond(text):
-                cut[i] = self.normal(text)
+                text = self.normal(text)
+                kind = runs if self.run and text.isalpha() and not self.beyond(text) else cut
             else:
-                rest.append(i)
-        pieces = self.pattern.findall(f" {_BETWEEN} ".join(cut))
-        ids, lens = self.cache(pieces)
-        ends = np.flatnonzero(lens == 0)  # the marks
-        if len(ends) != len(texts) - 1:  # a piece has no ids, or holds a mark
-            return self._alone(texts)
-        sums = np.concatenate(([0], np.cumsum(lens)))
-        size = np.diff(sums[np.concatenate(([0], ends, [len(lens)]))])
-        if rest:
-            alone = self._alone([texts[i] for i in rest])
-            size[rest] = [len(x) for x in alone]
-            other = np.zeros(len(texts), bool)
-            other[rest] = True
-            other = np.repeat(other, size)
-            out = np.empty(len(other), np.uint32)
-            out[~other] = ids
-            out[other] = np.fromiter(chain.from_iterable(alone), np.uint32, int(other.sum()))
-            ids = out
-        return ids, size
+                kind = rest
+            kind[0].append(i)
+            kind[1].append(text)
+        found = [(runs[0], *self.cache(runs[1]))]
+        if cut[0]:
+            pieces = self.pattern.findall(f" {_BETWEEN} ".join(cut[1]))
+            ids, lens = self.cache(pieces)
+            ends = np.flatnonzero(lens == 0)  # the marks
+            if len(ends) != len(cut[1]) - 1:  # a piece has no ids, or holds a mark
+                return self._alone(texts)
+            sums = np.concatenate(([0], np.cumsum(lens)))
+            found.append((cut[0], ids, np.diff(sums[np.concatenate(([0], ends, [len(lens)]))])))
+        if rest[0]:
+            alone = self._alone(rest[1])
+            found.append((rest[0], np.fromiter(chain.from_iterable(alone), np.uint32), np.array([len(x) for x in alone])))
+        size = np.zeros(len(texts), np.int64)
+        for at, _, own in found:
+            size[at] = own
+        starts = np.cumsum(size) - size
+        out = np.empty(int(size.sum()), np.uint32)
+        for at, ids, own in found:
+            out[np.arange(len(ids)) + np.repeat(starts[at] - (np.cumsum(own) - own), own)] = ids
+        return out, size
 
 
 _kept: dict[str, tuple] = {}
@@ -154,7 +175,7 @@ def worker_encoder(path: str) -> tuple:
     if path not in _kept:
         _kept.clear()
         encoder = WordEncoder(path)
-        _kept[path] = encoder, UnitCache(encoder, 600_000)
+        _kept[path] = encoder, UnitCache(encoder, 1_000_000)
     return _kept[path]
 
 
@@ -193,8 +214,8 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer_path: str, end_id
                 files = [_write(f"{out_dir}/{name}.{end}") for end in ("bin", "cnt", "doc")]
             words, counts = [], np.zeros(part.num_rows, np.int64)
             whole = None
-            for i, text in enumerate(part.column(1).to_pylist()):
-                own = (text or "").encode().split()
+            for i, text in enumerate(part.column(1).cast(pa.binary()).to_pylist()):
+                own = (text or b"").split()
                 counts[i] = len(own)
                 words += own
                 if own and (whole is None or len(own) < counts[whole]):

@@ -6,7 +6,7 @@ Used inside tasks. The cache is emptied when it holds ``limit`` units, so its me
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -42,20 +42,20 @@ class UnitCache:
         self.used += total
         self.at.update(zip(units, range(k, k + n)))
 
+    def _find(self, units: list) -> np.ndarray:
+        return np.fromiter(map(self.at.get, units, repeat(-1)), np.int64, len(units))
+
     def __call__(self, units: list) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all units one after another, and how many each unit has."""
-        small = dict.fromkeys(units)  # each distinct unit is looked up once in the large table
-        found = list(map(self.at.get, small))
-        new = [u for u, i in zip(small, found) if i is None]
+        which = self._find(units)
+        missed = np.flatnonzero(which < 0)
+        new = list(dict.fromkeys([units[i] for i in missed.tolist()]))
         if len(self.at) + len(new) > self.limit and self.at:
             self._clear()
-            new = list(small)
-        base = len(self.at)
+            missed, new = np.arange(len(units)), list(dict.fromkeys(units))
         if new:
             self._add(new)
-        small.update(zip(small, found))
-        small.update(zip(new, range(base, base + len(new))))
-        which = np.fromiter(map(small.__getitem__, units), np.int64, len(units))
+            which[missed] = self._find([units[i] for i in missed.tolist()])
         lens = self.lens[which]
         total = int(lens.sum())
         ends = np.cumsum(lens)
