@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from vantage.llm import (fingerprints, jaccard_join, line_dedup, mixing, quality_fm, sentencepiece_bpe, suffix_arrays,
                          suffix_dedup, token_files, vector_search, window_dedup)
-from vantage.llm.base import scratch
+from vantage.llm.base import scratch, written
 
 BASE = " ".join(f"word{i}" for i in range(60))
 TEXTS = [
@@ -178,6 +178,28 @@ def test_jaccard_join_links(spark, docs, empty, block_rows):
     assert jaccard_join.link_components(empty, with_links=True).count() == 0
 
 
+def test_jaccard_sets_stay_where_they_are(spark, monkeypatch):
+    """Verifying pairs exchanges the pairs (twice for each filter), never the sets of all classes; no table is left behind."""
+    plans = []
+
+    def recorded(df, name, *more):
+        if name == "links":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, name, *more)
+
+    monkeypatch.setattr(jaccard_join, "written", recorded)
+    rows = [(i, BASE.replace("word30", f"new{i // 2}") + (" tail" if i % 3 else "")) for i in range(12)] + [(90, None), (91, BASE)]
+    tables, usual = spark.catalog.listTables(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in got) == components(rows)
+    assert plans and all(p.count("Exchange hashpartitioning") <= 4 for p in plans)
+    assert spark.catalog.listTables() == tables
+
+
 def test_fingerprints(docs, empty):
     found = fingerprints.fingerprint_with_edits(docs, low=0.01, high=0.5).collect()
     rows = sorted({(d, t or "") for d, t in TEXTS if d not in (None, 13)})

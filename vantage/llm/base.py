@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,6 +38,25 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def bucketed(rows: DataFrame, name: str, key: str, only: DataFrame) -> Iterator[DataFrame]:
+    """The ``rows`` whose ``key`` is in ``only`` (distinct keys), as a table bucketed by ``key`` in the shared folder.
+
+    Joins by ``key`` leave the table where it is and exchange the other side alone. The rows are exchanged once, here.
+    The catalog knows the table inside the ``with`` block only.
+    """
+    spark = rows.sparkSession
+    # as many buckets as a join by shuffle has partitions, else Spark exchanges both sides
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"spark_catalog.default.vantage_{uuid.uuid4().hex}"
+    (rows.repartition(buckets, key).join(only, key).write.bucketBy(buckets, key)
+     .option("path", scratch(spark, name)).format("parquet").saveAsTable(table))
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder on whatever file system holds it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -14,7 +14,11 @@ Candidates share a prefix token in both; then the intersection is counted.
 Groups are linked through hubs first: every prefix token has a hub (the class with the largest share
 of repeated tokens, later a random one), and each class is paired with the best hub it meets. Only pairs whose
 classes are not connected by then are proposed exhaustively, so no link between components is lost
-and a large group of near copies costs links in proportion to its size.
+and a large group of near copies costs links in proportion to its size. Tokens whose classes are all
+connected leave after each round.
+
+The token sets are the bulk of the data. They are dealt out once, into a table bucketed by class, so
+only the sets of candidates move again, and those of classes whose links are counted.
 
 The links of each document are counted over all pairs of classes of a component, as every link is
 inside one. Components are cut into blocks of classes; a task compares two blocks and returns counts,
@@ -26,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.base import delete_path, scratch, with_classes, written
+from vantage.llm.base import bucketed, delete_path, scratch, with_classes, written
 from vantage.llm.chunks import (_LAST, bucket_bits, by_chunk, count_chunks, dealt, load_chunk, path_of, received,
                                 write_chunks)
 from vantage.llm.components import connected_components
@@ -73,11 +77,11 @@ class _Chunk:
         self.hashes, self.place, self.held = np.unique(self.token, return_inverse=True, return_counts=True)
 
 
-_NODE = "doc_id long, body long, n long, cls string, core array<long>, pre1 array<long>, pre2 array<long>"
+_NODE = "doc_id long, body long, n long, class_id string, core array<long>, pre1 array<long>, pre2 array<long>"
 
 
 def _nodes(docs: DataFrame, size: int, percent: int, chunk_bytes: int) -> DataFrame:
-    """Per document its set size and class; one document of each class and chunk carries the arrays."""
+    """Per document its set size, class and a number; one document of each class and chunk carries the arrays."""
     manifest = write_chunks(docs, "shingle-chunks", chunk_bytes)
     n_chunks, n_bytes = manifest.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
     bits = bucket_bits(n_bytes / 6)
@@ -123,11 +127,11 @@ def _nodes(docs: DataFrame, size: int, percent: int, chunk_bytes: int) -> DataFr
                     out[i] = order[a:a + lens[i] - need[i] + 1]
         kind = pa.list_(pa.int64())
         return pa.table({"doc_id": pa.array([None if i == _LAST else i for i in own.ids], pa.int64()),
-                         "body": pa.array(body.view(np.int64)), "n": pa.array(own.sizes, pa.int64()), "cls": pa.array(cls, pa.string()),
+                         "body": pa.array(body.view(np.int64)), "n": pa.array(own.sizes, pa.int64()), "class_id": pa.array(cls, pa.string()),
                          **{c: pa.array(x, kind) for c, x in zip(("core", "pre1", "pre2"), arrays)}})
 
     found = dealt(by_chunk(manifest, {"count": counted}), "chunk", n_chunks).groupBy("chunk").applyInArrow(nodes, _NODE)
-    found = written(found, "shingle-nodes")
+    found = written(found.withColumn("place", F.monotonically_increasing_id()), "shingle-nodes")
     delete_path(docs.sparkSession, answers)  # read by nothing any more
     return found
 
@@ -135,7 +139,8 @@ def _nodes(docs: DataFrame, size: int, percent: int, chunk_bytes: int) -> DataFr
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that also share a prefix token in the second order and reach the threshold.
 
-    The prefixes are compared first; only pairs that pass both filters get their sets.
+    The prefixes are compared first; only pairs that pass both filters get their sets. ``sets`` is bucketed by
+    class, so what is exchanged goes with the pairs.
     """
     def side(end: str, *columns: str) -> DataFrame:
         return sets.select(F.col("cls").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
@@ -161,24 +166,59 @@ def _hub_pairs(posts: DataFrame, goodness, percent: int) -> DataFrame:
     return met.select(F.least("x", "y.cls").alias("a"), F.greatest("x", "y.cls").alias("b")).distinct()
 
 
-def _linked_rows(sets: DataFrame, percent: int, pack_rows: int, block_rows: int, block_tokens: int) -> DataFrame:
-    """(cls, linked): documents of other classes of its component each class links with; ``sets`` has cls, n, core, comp, rows.
+def _open(posts: DataFrame) -> DataFrame:
+    """The rows of tokens that stand in several components; the others can propose nothing any more."""
+    several = (posts.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+               .where("low <> high").select("token"))
+    return written(posts.join(several, "token", "left_semi"), "open-posts")
+
+
+def _components(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the classes that link with others."""
+    posts = written(sets.select("cls", "n", F.size("core").alias("k"), (F.size("core") / F.col("n")).alias("share"),
+                                F.posexplode("pre1").alias("at", "token")), "shingle-posts")
+    posts = _open(posts.withColumn("comp", F.col("cls")))
+    links = components = None
+    for goodness in (F.col("share"), F.xxhash64("cls"), F.xxhash64("cls", F.lit(1))):
+        found = written(_verified(written(_hub_pairs(posts, goodness, percent), "hub-pairs"), sets, percent), "links")
+        links = found if links is None else links.unionByName(found)
+        if components is None or not found.isEmpty():
+            components = written(connected_components(links), "link-components")
+            posts = _open(written(posts.drop("comp").join(components.withColumnRenamed("node", "cls"), "cls", "left")
+                                  .withColumn("comp", F.coalesce("component", "cls")).drop("component"), "shingle-posts"))
+    pairs = (posts.alias("x").join(posts.alias("y"), "token")
+             .where((F.col("x.cls") < F.col("y.cls")) & (F.col("x.comp") != F.col("y.comp"))).where(_near(percent))
+             # at the first token two linked classes share, enough of both must be left
+             .where((100 + percent) * F.least(F.col("x.k") - F.col("x.at"), F.col("y.k") - F.col("y.at"))
+                    >= percent * (F.col("x.n") + F.col("y.n")))
+             .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
+    found = written(_verified(written(pairs, "open-pairs"), sets, percent), "links")
+    return components if found.isEmpty() else written(connected_components(links.unionByName(found)), "link-components")
+
+
+def _linked_rows(sets: DataFrame, members: DataFrame, percent: int, pack_rows: int, block_rows: int, block_tokens: int) -> DataFrame:
+    """(cls, linked): documents of other classes of its component each class links with.
+
+    ``sets`` has cls, n, core and is bucketed by cls; ``members`` has cls, comp, rows.
 
     Every pair of classes of a component meets in one task: that of their two blocks. Components of up to
     ``pack_rows`` classes share tasks; a larger one is cut into blocks of ``block_rows`` classes or ``block_tokens``
-    tokens, and each block goes to as many tasks as there are blocks.
+    tokens, and each block goes to as many tasks as there are blocks. Sets move only then, and only those of
+    components of several classes.
     """
-    n, tokens = F.count("*"), F.sum(F.size("core"))
-    sizes = sets.groupBy("comp").agg(n.alias("classes"), (n <= min(pack_rows, block_rows)).alias("small"), F.ceil(F.greatest(
+    members = written(members.join(sets.select("cls", "n", F.size("core").alias("k")), "cls"), "class-members")
+    n, tokens = F.count("*"), F.sum("k")
+    sizes = members.groupBy("comp").agg(n.alias("classes"), (n <= min(pack_rows, block_rows)).alias("small"), F.ceil(F.greatest(
         n / block_rows, tokens / block_tokens)).cast("int").alias("blocks")).where("classes > 1")
     total = sizes.agg(F.coalesce(F.sum(F.when(F.col("small"), F.col("classes"))), F.lit(0))).first()[0]
     packs = F.lit(-(-total // pack_rows) or 1)
-    placed = sets.join(sizes, "comp").withColumn("block", F.when(
+    placed = members.join(sizes, "comp").withColumn("block", F.when(
         F.col("small"), F.pmod(F.xxhash64("comp"), packs)).otherwise(F.pmod(F.xxhash64("cls"), F.col("blocks"))).cast("int"))
     others = F.when(F.col("small"), F.array("block")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = (placed.withColumn("other", F.explode(others))
-           .select(F.when(~F.col("small"), F.col("comp")).otherwise("").alias("part"), F.least("block", "other").alias("i"),
-                   F.greatest("block", "other").alias("j"), "block", "cls", "n", "core", "rows"))
+           .select(F.when(~F.col("small"), F.col("comp")).otherwise(-1).alias("part"), F.least("block", "other").alias("i"),
+                   F.greatest("block", "other").alias("j"), "block", "cls", "n", "rows")
+           .join(sets.select("cls", "core"), "cls"))
 
     def count(table):
         import numpy as np
@@ -217,7 +257,7 @@ def _linked_rows(sets: DataFrame, percent: int, pack_rows: int, block_rows: int,
         some = np.flatnonzero(linked)
         return pa.table({"cls": cls.take(pa.array(some)), "linked": pa.array(linked[some], pa.int64())})
 
-    found = met.groupBy("part", "i", "j").applyInArrow(count, "cls string, linked long")
+    found = met.groupBy("part", "i", "j").applyInArrow(count, "cls long, linked long")
     return found.groupBy("cls").agg(F.sum("linked").alias("linked"))
 
 
@@ -239,55 +279,34 @@ def link_components(docs: DataFrame, size: int = 5, percent: int = 80, chunk_byt
     are left out. An empty table gives an empty result.
     """
     nodes = _nodes(docs, size, percent, chunk_bytes)
-    sets = written(nodes.where("core IS NOT NULL").dropDuplicates(["cls"]).select("cls", "n", "core", "pre1", "pre2"),
-                   "shingle-sets")
-    base = written(sets.select("cls", "n", F.size("core").alias("k"), (F.size("core") / F.col("n")).alias("share"),
-                              F.posexplode("pre1").alias("at", "token")),
-                   "shingle-posts")
-    posts = base.withColumn("comp", F.col("cls"))
-    links = None
-    for goodness in (F.col("share"), F.xxhash64("cls"), F.xxhash64("cls", F.lit(1))):
-        found = written(_verified(written(_hub_pairs(posts, goodness, percent), "hub-pairs"), sets, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        components = written(connected_components(links), "link-components")
-        posts = written(base.join(components.withColumnRenamed("node", "cls"), "cls", "left")
-                        .withColumn("comp", F.coalesce("component", "cls")).drop("component"), "shingle-posts")
-    open_tokens = posts.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    rest = written(posts.join(open_tokens.select("token"), "token", "left_semi"), "open-posts")
-    pairs = (rest.alias("x").join(rest.alias("y"), "token")
-             .where((F.col("x.cls") < F.col("y.cls")) & (F.col("x.comp") != F.col("y.comp"))).where(_near(percent))
-             # at the first token two linked classes share, enough of both must be left
-             .where((100 + percent) * F.least(F.col("x.k") - F.col("x.at"), F.col("y.k") - F.col("y.at"))
-                    >= percent * (F.col("x.n") + F.col("y.n")))
-             .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
-    found = written(_verified(written(pairs, "open-pairs"), sets, percent), "links")
-    components = written(connected_components(links.unionByName(found)), "link-components")
-
-    # a class without links to others is a component if its own members link with each other
-    shared = F.size("core")
-    alone = sets.where(100 * shared >= percent * (2 * F.col("n") - shared)).select("cls")
-    label = (alone.join(components, F.col("cls") == F.col("node"), "full")
-             .select(F.coalesce("cls", "node").alias("cls"), F.coalesce("component", "cls").alias("comp")))
-    label = written(label, "class-components")
-    lowest = written(nodes.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")),
-                     "class-lowest")
-    named = label.join(lowest, "cls")
-    of = written(named.groupBy("comp").agg(F.min("low").alias("component_id")), "component-lowest")
-    of = written(label.join(of, "comp").select("cls", "comp", "component_id"), "class-lowest")
-    columns = ["doc_id", "n_shingles", F.col("cls").alias("class_id"),
-               F.coalesce("component_id", "doc_id").alias("component_id")]
+    # a class is known by the number of its first document that carries the arrays
+    classes = written(nodes.where("class_id IS NOT NULL").groupBy("class_id").agg(
+        F.min(F.when(F.col("core").isNotNull(), F.col("place"))).alias("cls"), F.min("doc_id").alias("low"),
+        F.count("*").alias("rows")), "classes")
+    carriers = nodes.where("core IS NOT NULL").select(F.col("place").alias("cls"), "n", "core", "pre1", "pre2")
+    with bucketed(carriers, "shingle-sets", "cls", only=classes.select("cls")) as sets:
+        components = _components(sets, percent)
+        # a class without links to others is a component if its own members link with each other
+        shared = F.size("core")
+        alone = written(sets.where(100 * shared >= percent * (2 * F.col("n") - shared)).select("cls"), "class-alone")
+        label = (alone.join(components, F.col("cls") == F.col("node"), "full")
+                 .select(F.coalesce("cls", "node").alias("cls"), F.coalesce("component", "cls").alias("comp")))
+        label = written(label.join(classes, "cls"), "class-components")
+        if with_links:
+            members = label.select("cls", "comp", "rows")
+            linked = _linked_rows(sets, members, percent, pack_rows, block_rows, block_tokens)
+            own = alone.join(members, "cls").select("cls", (F.col("rows") - 1).alias("linked"))
+            linked = written(linked.unionByName(own).groupBy("cls").agg(F.sum("linked").alias("n_links")), "class-links")
+    of = label.groupBy("comp").agg(F.min("low").alias("component_id"), F.min("class_id").alias("group_id"))
+    of = label.join(written(of, "component-lowest"), "comp").select("cls", "component_id", "group_id")
+    columns = ["doc_id", "n_shingles", "class_id", F.coalesce("component_id", "doc_id").alias("component_id")]
     if with_links:
-        rows = lowest.select("cls", F.col("n").alias("rows"))
-        linked = _linked_rows(sets.select("cls", "n", "core").join(label, "cls").join(rows, "cls"), percent, pack_rows,
-                              block_rows, block_tokens)
-        own = alone.join(rows, "cls").select("cls", (F.col("rows") - 1).alias("linked"))
-        links = written(linked.unionByName(own).groupBy("cls").agg(F.sum("linked").alias("linked")), "class-links")
-        of = of.join(links, "cls", "left")
-        columns.append(F.coalesce("linked", F.lit(0)).cast("long").alias("n_links"))
+        of = of.join(linked, "cls", "left")
+        columns.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     if with_rows:
-        columns += ["body", F.col("comp").alias("group_id")]
+        columns += ["body", "group_id"]
     # rows without a class have nothing to look up, and would all meet in one task
-    rows = nodes.select("doc_id", "body", F.col("n").alias("n_shingles"), "cls")
-    classes = written(lowest.select("cls", "n").join(of, "cls", "left"), "class-answers")
-    found = with_classes(rows.where("cls IS NOT NULL"), classes, "cls")
-    return found.unionByName(rows.where("cls IS NULL"), allowMissingColumns=True).select(*columns)
+    rows = nodes.select("doc_id", "body", F.col("n").alias("n_shingles"), "class_id")
+    answers = written(classes.select("class_id", "cls", F.col("rows").alias("n")).join(of, "cls", "left").drop("cls"), "class-answers")
+    found = with_classes(rows.where("class_id IS NOT NULL"), answers, "class_id")
+    return found.unionByName(rows.where("class_id IS NULL"), allowMissingColumns=True).select(*columns)
