@@ -289,3 +289,76 @@ def test_units_reach_the_libraries_a_bounded_number_at_a_time(monkeypatch):
 
     judge = sentencepiece.SentencePieceProcessor(model_file=path)
     assert ids.tolist() == [i for own in judge.encode(texts) for i in own] and len(counts) == len(texts)
+
+
+class CountingJudge:
+    """The sentencepiece library with the number of texts it got; wrong on texts that hold ``wrong``."""
+
+    def __init__(self, judge, wrong=None):
+        self.judge, self.wrong, self.texts = judge, wrong, 0
+
+    def encode(self, given, **options):
+        if isinstance(given, str):
+            return self.judge.encode(given)
+        self.texts += len(given)
+        return [own + [5] * bool(self.wrong and self.wrong in t) for t, own in zip(given, self.judge.encode(given, **options))]
+
+
+def test_units_reach_the_libraries_joined():
+    """Distinct units cost no text of their own, unless the libraries differ or a unit has several spaces."""
+    import public_tokenizers
+
+    from vantage.llm import sentencepiece_bpe
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = [" ".join(f"word{i} zahl{i * 7}" for i in range(a, a + 40)) for a in range(0, 4000, 40)]
+    codec = sentencepiece_bpe.Codec(path)
+    right, codec.judge = codec.judge, CountingJudge(codec.judge)
+    ids, counts, agreed = codec.encode(texts)
+    assert ids.tolist() == [i for own in right.encode(texts) for i in own] and agreed.all()
+    assert codec.judge.texts <= 8000 // 100
+    codec = sentencepiece_bpe.Codec(path)
+    codec.judge = CountingJudge(codec.judge, "word123")
+    ids, counts, agreed = codec.encode(texts)
+    assert codec.differing == {"word123", *(f"word{i}" for i in range(1230, 1240))}
+    assert [i for i, x in enumerate(agreed) if not x] == [3, 30]
+    assert counts.tolist() == [len(own) + (i == 3) + 10 * (i == 30) for i, own in enumerate(right.encode(texts))]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "the", "ing", " ", " ", "  ", "▁", "\n", "\t", "é", "☃", "\x00", "\u00a0", "🙂",
+                                          "<s>", "<unk>", "<0x0A>", "\ufffd", "1", "'"]), max_size=12).map("".join), max_size=12),
+       st.booleans())
+def test_encoded_texts_are_those_of_the_library(texts, verify):
+    import public_tokenizers
+
+    from vantage.llm import sentencepiece_bpe
+
+    codec = sentencepiece_bpe.worker_codec(public_tokenizers.path("piece_bpe_32k.model"), 1, verify)
+    judge = sentencepiece_bpe.worker_codec(public_tokenizers.path("piece_bpe_32k.model"), 1, True).judge
+    ids, counts, agreed = codec.encode(texts)
+    want = [judge.encode(t) for t in texts]
+    assert ids.tolist() == [i for own in want for i in own] and counts.tolist() == [len(own) for own in want] and agreed.all()
+
+
+@pytest.mark.parametrize("words,fallback", [
+    (["▁", "a", "b", "c", "▁a", "ab", "▁ab", "bc", "▁▁"], True), (["▁", "a", "b", "c", "▁a", "ab", "▁ab", "bc", "▁▁"], False),
+    (["a", "b", "c", "ab", "bc"], True), (["▁", "a", "b", "c", "▁a", "ab", "a▁b", "b▁", "▁b"], True),
+    (["▁", "a", "b", "c", "▁a", "ab", "a▁b", "b▁", "▁b"], False)])
+def test_small_bpe_models(tmp_path, words, fallback):
+    """Models with and without bytes, without a piece for the mark (it is bytes), and with pieces over several words."""
+    import sentencepiece
+
+    from tests.llm.test_brute_force import message
+    from vantage.llm import sentencepiece_bpe
+
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(w, -1.0 - i, 1) for i, w in enumerate(words)]
+    pieces += [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)] * fallback
+    path = tmp_path / "model"
+    path.write_bytes(message(*[(1, message((1, p), (2, s), (3, k))) for p, s, k in pieces], (2, message((3, 2), (35, int(fallback)))),
+                             (3, message((1, "identity"), (3, 1), (4, 0)))))
+    judge = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    texts = ["abc abc b", "a  b", "", " a b ", "xyz abx x yab c", "   ", "é a", "abcabc " * 300, "a b a b", "x", "a▁b c"]
+    ids, counts, agreed = sentencepiece_bpe.Codec(str(path)).encode(texts)
+    want = [judge.encode(t) for t in texts]
+    assert counts.tolist() == [len(own) for own in want] and ids.tolist() == [i for own in want for i in own]

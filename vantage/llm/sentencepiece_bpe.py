@@ -3,7 +3,8 @@
 The model file (a protobuf) is read with a small wire-format reader, and normaliser, metaspace
 marker, scores and byte fallback are rebuilt as a ``tokenizers`` pipeline, for unigram and for BPE
 models. Batches are encoded with the library's threads. Every distinct unit is also encoded with
-the sentencepiece library; on a difference its ids are taken and the document is marked.
+the sentencepiece library; on a difference its ids are taken and the document is marked. BPE units
+that no piece leaves are given to both libraries joined, many at a time.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
 _AT_ONCE = 2048  # units given to the libraries at once
+_JOINED = 256  # units in one text given to them
 _SLICE = 1 << 19  # bytes of text encoded at once
 
 
@@ -136,7 +139,11 @@ def unit_safe(model: PieceModel) -> bool:
 
 
 class Codec:
-    """Encoder and decoder of one worker. A unit is a run of marks with what follows up to the next mark."""
+    """Encoder and decoder of one worker. A unit is a run of marks with what follows up to the next mark.
+
+    Units of a plain model are written without their first mark, which both libraries put in front of any
+    text, and with spaces for the others: as words stand in a text with single spaces.
+    """
 
     def __init__(self, path: str, threads: int = 2, verify: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
@@ -159,29 +166,68 @@ class Codec:
         self.cache = UnitCache(self._encode)
         pieces = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL
                   else p.replace(MARK, " ").encode() for p, _, kind in self.model.pieces]
+        self.leads = np.array([kind in (NORMAL, USER_DEFINED) and p.startswith(MARK) for p, _, kind in self.model.pieces], bool)
         self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self.piece_lens = np.array([len(p) for p in pieces], np.int64)
         self.piece_starts = np.cumsum(self.piece_lens) - self.piece_lens
 
-    def _encode(self, units: list[str]) -> list[list[int]]:
-        """The ids of distinct units, ``_AT_ONCE`` at a time: what the libraries return is many times the ids' size."""
-        return [ids for a in range(0, len(units), _AT_ONCE) for ids in self._encode_some(units[a:a + _AT_ONCE])]
+    def _encode(self, units: list[str]):
+        """The ids of distinct units and how many each has, ``_AT_ONCE`` at a time: what the libraries return is
+        many times the ids' size."""
+        import numpy as np
+
+        # units with spaces and the empty one cannot be joined: they go last, by themselves
+        odd = np.array([not u or " " in u for u in units], bool)
+        order = np.flatnonzero(~odd), np.flatnonzero(odd)
+        found = [self._encode_some([units[i] for i in group[a:a + _AT_ONCE].tolist()])
+                 for group in order for a in range(0, len(group), _AT_ONCE)]
+        ids, lens = (np.concatenate(x) for x in zip(*found))
+        places = np.argsort(np.concatenate(order))
+        starts, lens = (np.cumsum(lens) - lens)[places], lens[places]
+        return ids[np.arange(len(ids)) + np.repeat(starts - (np.cumsum(lens) - lens), lens)], lens
+
+    def _encode_some(self, units: list[str]):
+        import numpy as np
 
-    def _encode_some(self, units: list[str]) -> list[list[int]]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        if not self.by_unit or self.model.kind != BPE or "" in units or " " in "".join(units):
+            return self._encode_apart(units)
+        # a piece that starts with a mark starts a unit
+        parts = [units[a:a + _JOINED] for a in range(0, len(units), _JOINED)]
+        joined = [" ".join(part) for part in parts]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(
+            [MARK + text.replace(" ", MARK) for text in joined], add_special_tokens=False)]
+        right = found if self.judge is None else self.judge.encode(joined, num_threads=self.threads)
+        ids, lens = [], []
+        for part, own, want in zip(parts, found, right):
+            flat = np.array(own, np.uint32)
+            starts = np.flatnonzero(self.leads[flat])
+            if own != want or len(starts) != len(part) or starts[0]:
+                flat, size = self._encode_apart(part)
+            else:
+                size = np.diff(starts, append=len(flat))
+            ids.append(flat)
+            lens.append(size)
+        return np.concatenate(ids), np.concatenate(lens)
+
+    def _encode_apart(self, units: list[str]):
+        """Each unit as a text of its own."""
+        import numpy as np
+
+        texts = [MARK + u.replace(" ", MARK) for u in units] if self.plain else units
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         if self.judge is not None and self.plain:
             # the library adds one mark in front itself, but none to a text without any other character
-            bare = [not u.strip(MARK) for u in units]
+            bare = [not u.strip(" ") for u in units]
             lead = self.judge.encode("x")
-            right = self.judge.encode([("x" + u if b else u[1:]).replace(MARK, " ") for u, b in zip(units, bare)],
-                                      num_threads=self.threads)
+            right = self.judge.encode(["x " + u if b else u for u, b in zip(units, bare)], num_threads=self.threads)
             for i, (unit, own, want) in enumerate(zip(units, found, right)):
                 if bare[i]:
                     want = want[len(lead):]
                 if own != want:
                     self.differing.add(unit)
                     found[i] = want
-        return found
+        return (np.fromiter(chain.from_iterable(found), np.uint32),
+                np.fromiter(map(len, found), np.int64, len(found)))
 
     def units(self, text: str) -> list[str]:
         if not text:
@@ -189,26 +235,48 @@ class Codec:
         if not self.plain:
             text = self.normalizer.normalize_str(text)
             return [text] if text else []
-        text = MARK + text.replace(" ", MARK)
-        return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", text) if self.by_unit else [text]
+        text = text.replace(MARK, " ")
+        return [u[1:] for u in re.findall(" *[^ ]+| +", " " + text)] if self.by_unit else [text]
+
+    def _distinct_units(self, texts: list[str]):
+        """The distinct units of the texts, the number among them of each unit, and where each text's units end."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        kind = pa.list_(pa.string())
+        if self.by_unit:
+            lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), MARK, " "), " ").cast(kind)
+            # spaces at an end or several together leave empty words: these texts are cut by the pattern
+            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            blank = np.flatnonzero(pc.binary_length(lists.flatten()).to_numpy(zero_copy_only=False) == 0)
+            odd = np.unique(np.searchsorted(ends, blank, "right"))
+            if len(odd):
+                order = np.arange(len(texts))
+                order[odd] = len(texts) + np.arange(len(odd))
+                cut = pa.array([self.units(texts[i]) for i in odd.tolist()], kind)
+                lists = pa.concat_arrays([lists, cut]).take(pa.array(order))
+        else:
+            lists = pa.array([self.units(t) for t in texts], kind)
+        every = lists.flatten().dictionary_encode()
+        ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+        units = every.dictionary.to_numpy(zero_copy_only=False).tolist()
+        return units, every.indices.to_numpy(zero_copy_only=False), ends
 
     def encode(self, texts: list[str]):
         """(flat ids, ids per text, whether the two libraries agreed) of the texts."""
         import numpy as np
 
-        units, counts, agreed = [], np.zeros(len(texts), np.int64), np.ones(len(texts), bool)
-        for i, text in enumerate(texts):
-            own = self.units(text)
-            counts[i] = len(own)
-            units += own
-        ids, lens = self.cache(units)
-        ends = np.cumsum(counts)
+        units, places, ends = self._distinct_units(texts)
+        ids, lens = self.cache(units, places)
+        counts = np.diff(np.concatenate(([0], np.cumsum(lens)))[ends], prepend=0)
         if self.judge is not None and not self.plain:
-            return self._judged(texts, ids, np.diff(np.concatenate(([0], np.cumsum(lens)))[ends], prepend=0))
+            return self._judged(texts, ids, counts)
+        agreed = np.ones(len(texts), bool)
         if self.differing:
-            for i, (a, b) in enumerate(zip(ends - counts, ends)):
-                agreed[i] = self.differing.isdisjoint(units[a:b])
-        return ids, np.diff(np.concatenate(([0], np.cumsum(lens)))[ends], prepend=0), agreed
+            wrong = np.fromiter(map(self.differing.__contains__, units), bool, len(units))[places]
+            agreed = np.diff(np.concatenate(([0], np.cumsum(wrong)))[ends], prepend=0) == 0
+        return ids, counts, agreed
 
     def _judged(self, texts: list[str], ids, lens):
         """Whole texts compared with the sentencepiece library, whose ids count where they differ: its

@@ -45,8 +45,8 @@ class UnitCache:
     def _find(self, units: list) -> np.ndarray:
         return np.fromiter(map(self.at.get, units, repeat(-1)), np.int64, len(units))
 
-    def __call__(self, units: list) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all units one after another, and how many each unit has."""
+    def __call__(self, units: list, places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units one after another, and how many each unit has; of ``units[places]`` if given."""
         which = self._find(units)
         missed = np.flatnonzero(which < 0)
         new = list(dict.fromkeys([units[i] for i in missed.tolist()]))
@@ -56,6 +56,8 @@ class UnitCache:
         if new:
             self._add(new)
             which[missed] = self._find([units[i] for i in missed.tolist()])
+        if places is not None:
+            which = which[places]
         lens = self.lens[which]
         total = int(lens.sum())
         ends = np.cumsum(lens)
